@@ -12,10 +12,12 @@ from __future__ import annotations
 
 import html as html_lib
 import re
+import sys
+from collections import Counter
 from collections.abc import Sequence
-from functools import lru_cache
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 ELEMENT_FIELDS = ("content", "title", "src", "data-src", "datetime")
@@ -30,8 +32,8 @@ _ARROW_TYPE = pa.list_(pa.struct(
 _PART = re.compile(r"(\w*)(?:\.([\w-]+))?(?:\[(\w+)(?:='([^']*)')?\])?$")
 _TAG = re.compile(
     r"<(?:!--.*?(?:-->|\Z)"
-    r"|(script|style)\b.*?(?:</\1\s*>|\Z)"
-    r"|(/?)([a-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>)", re.S | re.I)
+    r"|([sS](?i:cript|tyle))\b.*?(?:</(?i:\1)\s*>|\Z)"
+    r"|(/?)([a-zA-Z][^\s/>]*)([^>\"']*+(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*+)*+)>)", re.S)
 _ATTRIBUTE = re.compile(
     r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _ANY_MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<[^>]+>", re.S)
@@ -61,62 +63,78 @@ def _matches(part: tuple, tag: str, attrs: dict[str, str]) -> bool:
         and (not attr or (attr in attrs and (not value or attrs[attr] == value))))
 
 
-@lru_cache(maxsize=8)
-def _rules(selectors: tuple[str, ...]) -> dict[str, list[tuple]]:
-    """Selectors by the tag, ``.class`` or ``[attr`` their target must show."""
-    by_mark: dict[str, list[tuple]] = {}
+def compile_rules(selectors: Sequence[str]) -> tuple:
+    """The selectors arranged for the scanner.
+
+    Parts that name a tag are looked up by it.  The others ask for a class or
+    an attribute; they are tried when the tag mentions one of those names.
+    """
+    targets: dict[str, list[tuple]] = {}
+    scopes: dict[str, dict[str, tuple]] = {}
+    names = {"class"}
     for selector in selectors:
-        *scope, target = [_PART.match(p).groups() for p in selector.split(" ")]
-        tag, css_class, attr, _ = target
-        mark = tag or (css_class and "." + css_class) or "[" + attr
-        by_mark.setdefault(mark, []).append((selector, scope, target))
-    return by_mark
+        *outer, target = selector.split(" ")
+        part = _PART.match(target).groups()
+        targets.setdefault(part[0], []).append((selector, part, *outer))
+        names.update([part[2]] if part[2] and not part[0] else [])
+        for scope in outer:
+            part = _PART.match(scope).groups()
+            scopes.setdefault(part[0], {})[scope] = part
+    return targets, scopes, re.compile("|".join(sorted(names)), re.I)
 
 
-def find_elements(html: str, selectors: tuple[str, ...]) -> list[dict]:
+def find_elements(html: str, rules: tuple) -> list[dict]:
     """The elements of a page that at least one selector picks."""
-    rules = _rules(selectors)
+    targets, scopes, asked_for = rules
     found: list[dict] = []
-    stack: list[tuple] = []     # open elements: (tag, attributes, record or None)
+    stack: list[tuple] = []          # open elements: (tag, record, scopes it opens)
+    inside: Counter = Counter()      # scopes open at this point
 
     def close(depth: int, stop: int) -> None:
-        for _, _, record in stack[depth:]:
+        while len(stack) > depth:
+            _, record, opened = stack.pop()
             if record:
                 record["length"] = stop - record["start"]
-        del stack[depth:]
+            for scope in opened:
+                inside[scope] -= 1
 
     for m in _TAG.finditer(html):
-        end, tag, rest = m.group(2, 3, 4)
+        _, end, tag, rest = m.groups()
         if tag is None:
             continue
         tag = tag.lower()
         if end:
-            for depth in range(len(stack) - 1, -1, -1):
+            if stack and stack[-1][0] == tag:
+                close(len(stack) - 1, m.end())
+                continue
+            for depth in range(len(stack) - 2, -1, -1):
                 if stack[depth][0] == tag:
                     close(depth + 1, m.start())
                     close(depth, m.end())
                     break
             continue
-        if stack and (
-            (stack[-1][0] == "p" and tag in ENDS_PARAGRAPH)
-            or (stack[-1][0] == tag and tag in ENDS_SAME)
-        ):
-            close(len(stack) - 1, m.start())
-        attrs = _attributes(rest) if rest and not rest.isspace() else {}
-        record = None
-        marks = {tag, *("." + c for c in attrs.get("class", "").split()),
-                 *("[" + a for a in attrs)}
-        hits = [
-            name for mark in marks for name, scope, target in rules.get(mark, ())
-            if _matches(target, tag, attrs) and (not scope or any(
-                _matches(scope[0], t, a) for t, a, _ in stack))]
-        if hits:
-            record = {"selectors": hits, "start": m.start(),
-                      "length": m.end() - m.start(), "body": m.end()}
-            record.update((name, attrs.get(name)) for name in ELEMENT_FIELDS)
-            found.append(record)
+        if stack:
+            top = stack[-1][0]
+            if (top == "p" and tag in ENDS_PARAGRAPH) or (top == tag and tag in ENDS_SAME):
+                close(len(stack) - 1, m.start())
+        record, opened = None, ()
+        groups = [tag, ""] if rest and asked_for.search(rest) else [tag]
+        candidates = [
+            t for g in groups for t in targets.get(g, ()) if len(t) == 2 or inside[t[2]]]
+        openers = [s for g in groups for s in scopes.get(g, {}).items()]
+        if candidates or openers:
+            attrs = _attributes(rest) if rest else {}
+            hits = [name for name, part, *_ in candidates if _matches(part, tag, attrs)]
+            opened = [name for name, part in openers if _matches(part, tag, attrs)]
+            if hits:
+                record = {"selectors": hits, "start": m.start(),
+                          "length": m.end() - m.start(), "body": m.end()}
+                record.update((name, attrs.get(name)) for name in ELEMENT_FIELDS)
+                found.append(record)
         if tag not in VOID and not rest.endswith("/"):
-            stack.append((tag, attrs, record))
+            stack.append((tag, record, opened))
+            for scope in opened:
+                inside[scope] += 1
     close(0, len(html))
     return found
 
@@ -129,10 +147,10 @@ def elements_function(selectors: Sequence[str], text_selectors: Sequence[str]):
     bodies are not copied.  The function is marked non-deterministic: that
     keeps Spark from running the scan a second time inside a filter.
     """
-    selectors, wants_text = tuple(selectors), frozenset(text_selectors)
+    rules, wants_text = compile_rules(selectors), frozenset(text_selectors)
 
     def scan_page(page: str) -> list[dict]:
-        found = find_elements(page, selectors)
+        found = find_elements(page, rules)
         for record in found:
             body = record.pop("body")
             if not wants_text.isdisjoint(record["selectors"]):
@@ -145,5 +163,7 @@ def elements_function(selectors: Sequence[str], text_selectors: Sequence[str]):
             [None if p is None else scan_page(p) for p in pages.to_pylist()],
             type=_ARROW_TYPE)
 
+    # Ship the scanner itself, so that executors need no copy of this package.
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     scan.__annotations__ = {"pages": pa.Array, "return": pa.Array}
     return F.arrow_udf(scan, ELEMENTS_TYPE).asNondeterministic()

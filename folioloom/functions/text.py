@@ -1,18 +1,21 @@
 """Text rules as column expressions (all JVM-side).
 
 Whitespace means what Unicode calls whitespace plus the four separators
-U+001C..U+001F, so the class is spelled out: Java's own ``\\s`` is ASCII only.
-The spelling is accepted by RE2 as well, which lets the SQL checks share it.
+U+001C..U+001F; Java's ``\\s`` is ASCII only unless told otherwise.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
+# All of it one by one (fixed values), and as a Java pattern.
 WHITESPACE = (
-    r"\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
-)
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000")
+WHITESPACE_RUN = r"(?U)[\s\x1c-\x1f]+"
 CONTROL = r"[\x00-\x08\x0b-\x0c\x0e-\x1f\x{7f}-\x{9f}]"
 TAG = r"<[^>]+>"
 DECIMAL_REFERENCE = r"&#\p{Nd}+;"
@@ -31,17 +34,23 @@ def blank_to_null(col: Column) -> Column:
     return F.nullif(col, F.lit(""))
 
 
+def once(col: Column, fn: Callable[[Column], Column]) -> Column:
+    """``fn(col)`` for an ``fn`` that names its argument several times.
+
+    Binding the value to a lambda makes Spark compute a dear ``col`` once,
+    inside conditional expressions too.
+    """
+    return F.get(F.transform(F.array(col), fn), F.lit(0))
+
+
 def collapse(col: Column) -> Column:
     """Each run of whitespace becomes one space."""
-    return F.regexp_replace(col, f"[{WHITESPACE}]+", " ")
+    return F.regexp_replace(col, WHITESPACE_RUN, " ")
 
 
 def strip(col: Column) -> Column:
     """Whitespace removed from both ends."""
-    # The look-behind starts the tail match only at the head of a run, which
-    # keeps long inner runs linear.
-    return F.regexp_replace(
-        col, f"^[{WHITESPACE}]+|(?<![{WHITESPACE}])[{WHITESPACE}]+$", "")
+    return F.btrim(col, F.lit(WHITESPACE))
 
 
 def drop_tags(col: Column) -> Column:
@@ -57,20 +66,29 @@ def strip_html(col: Column) -> Column:
     return F.trim(collapse(text))
 
 
+def drop_control(col: Column) -> Column:
+    return F.regexp_replace(col, CONTROL, "")
+
+
 def clean_text(col: Column) -> Column:
     """Whitespace collapsed, control characters deleted, ends trimmed."""
-    return F.trim(F.regexp_replace(collapse(col), CONTROL, ""))
+    return F.trim(drop_control(collapse(col)))
+
 
+def content_hash(col: Column, cleaned: bool = False) -> Column:
+    """MD5 of the text without whitespace; empty string when there is no text.
 
-def content_hash(col: Column) -> Column:
-    """MD5 of the text without whitespace; empty string when there is no text."""
-    packed = F.replace(clean_text(col), F.lit(" "), F.lit(""))
+    ``cleaned`` says that the text is the result of a cleaning already.
+    """
+    packed = F.replace(col if cleaned else clean_text(col), F.lit(" "), F.lit(""))
     return F.when(F.coalesce(col, F.lit("")) == "", F.lit("")).otherwise(F.md5(packed))
 
 
 def word_count(col: Column) -> Column:
     """Number of whitespace-separated tokens, 0 for null."""
-    return F.coalesce(F.regexp_count(col, F.lit(f"[^{WHITESPACE}]+")), F.lit(0))
+    words = once(F.trim(collapse(col)), lambda t: F.when(t == "", 0).otherwise(
+        F.length(t) - F.length(F.replace(t, F.lit(" "), F.lit(""))) + 1))
+    return F.coalesce(words, F.lit(0))
 
 
 def truncate(col: Column, n: int) -> Column:

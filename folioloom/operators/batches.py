@@ -138,7 +138,7 @@ def batch_members(batches: DataFrame) -> DataFrame:
     return (
         batches.select("batch_id", F.explode("pages").alias("page"))
         .select(F.col("page.url").alias("url"), "batch_id",
-                content_hash(F.col("page.content")).alias("content_hash")))
+                content_hash(F.col("page.content"), cleaned=True).alias("content_hash")))
 
 
 def apply_batch_outcome(

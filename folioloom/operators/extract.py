@@ -7,13 +7,13 @@ filters do not move below it.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from folioloom.functions.markup import elements_function
 from folioloom.functions.text import (
-    blank_to_null, clean_text, drop_tags, strip, strip_html, word_count)
+    blank_to_null, drop_control, drop_tags, once, strip, strip_html, word_count)
 from folioloom.functions.urls import ANY_HOST, url_section
 
 # Selectors per field, tried in this order (fixed values).
@@ -40,39 +40,51 @@ FIRST_VALUE_SELECTORS = TITLE + AUTHOR + PUBLISHED + CATEGORY + DESCRIPTION
 ALL_SELECTORS = tuple(dict.fromkeys(FIRST_VALUE_SELECTORS + CONTENT + TAGS + IMAGES))
 
 def scan_pages(pages: DataFrame) -> DataFrame:
-    """``pages`` with an ``elements`` column."""
+    """``pages`` with an ``elements`` column: what the selectors pick.
+
+    Per element: ``selectors, start, length, text`` (trimmed), ``value`` (the
+    text, else the attribute ``content``, ``title`` or ``src``), ``datetime``
+    and ``image``.
+    """
     scan = elements_function(ALL_SELECTORS, FIRST_VALUE_SELECTORS)
-    return pages.withColumn("elements", scan(F.col("html")))
 
+    def shaped(e: Column) -> Column:
+        text, *attributes = [
+            blank_to_null(strip(e[n])) for n in ("text", "content", "title", "src")]
+        return F.struct(
+            e["selectors"].alias("selectors"), e["start"].alias("start"),
+            e["length"].alias("length"), text.alias("text"),
+            F.coalesce(text, *attributes).alias("value"),
+            e["datetime"].alias("datetime"),
+            F.coalesce(e["src"], e["data-src"]).alias("image"))
 
-def _all(selector: str, value: Callable[[Column], Column]) -> Column:
-    """``value`` of every element of a selector, in document order."""
-    picked = F.filter(
-        F.col("elements"), lambda e: F.array_contains(e["selectors"], selector))
-    return F.transform(picked, value)
+    return (
+        pages.withColumn("elements", scan(F.col("html")))
+        .withColumn("elements", F.transform("elements", shaped)))
 
 
-def _first(selectors: Sequence[str], value: Callable[[Column], Column]) -> Column:
-    """First non-null ``value`` of the first element of each selector in turn."""
-    return F.coalesce(*[F.get(_all(s, value), F.lit(0)) for s in selectors])
+def _all(selector: str) -> str:
+    return f'filter(elements, e -> array_contains(e.selectors, "{selector}"))'
 
 
-def _text(e: Column) -> Column:
-    return blank_to_null(strip(e["text"]))
+def _first(selectors: Sequence[str], field: str) -> Column:
+    """First non-null ``field`` of the first element of each selector in turn."""
+    return F.expr("coalesce(" + ", ".join(f"get({_all(s)}, 0).{field}" for s in selectors) + ")")
 
 
-def _text_or_attribute(e: Column) -> Column:
-    return F.coalesce(_text(e), *[
-        blank_to_null(strip(e[name])) for name in ("content", "title", "src")])
+def _texts(selector: str) -> Column:
+    """Text of every element of a selector, from its markup."""
+    return F.transform(F.expr(_all(selector)), lambda e: strip_html(
+        F.substr(F.col("html"), e["start"] + 1, e["length"])))
 
 
-def _markup(e: Column) -> Column:
-    return F.substr(F.col("html"), e["start"] + 1, e["length"])
+def _non_blank(col: Column) -> Column:
+    return once(col, blank_to_null)
 
 
 def first_value(selectors: Sequence[str]) -> Column:
     """Text of the first match, else its ``content``, ``title`` or ``src``."""
-    return _first(selectors, _text_or_attribute)
+    return _first(selectors, "value")
 
 
 def title() -> Column:
@@ -80,22 +92,23 @@ def title() -> Column:
 
 
 def author(host: str = ANY_HOST) -> Column:
-    return F.coalesce(_first(AUTHOR, _text), url_section(F.col("url"), host))
+    return F.coalesce(_first(AUTHOR, "text"), url_section(F.col("url"), host))
 
 
 def published_date() -> Column:
-    shown = first_value(PUBLISHED)
-    return F.coalesce(
-        blank_to_null(strip(drop_tags(shown))), shown,
-        _first(PUBLISHED, lambda e: e["datetime"]))
+    shown = once(first_value(PUBLISHED), lambda v: F.coalesce(
+        blank_to_null(strip(drop_tags(v))), v))
+    return F.coalesce(shown, _first(PUBLISHED, "datetime"))
 
 
 def content() -> Column:
     """Text of all matches of the first selector that has any text."""
+    # Each text comes out of strip_html collapsed and trimmed, so joining the
+    # non-empty ones by a space leaves only control characters to clean.
     texts = [
-        F.array_join(_all(s, lambda e: strip_html(_markup(e))), "\n") for s in CONTENT]
-    chosen = F.coalesce(*[blank_to_null(F.btrim(t, F.lit(" \n"))) for t in texts])
-    return blank_to_null(clean_text(chosen))
+        F.array_join(F.filter(_texts(s), lambda t: t != ""), " ") for s in CONTENT]
+    chosen = F.coalesce(*[_non_blank(t) for t in texts])
+    return _non_blank(F.trim(drop_control(chosen)))
 
 
 def category() -> Column:
@@ -108,17 +121,15 @@ def description() -> Column:
 
 def tags() -> Column:
     """Every short non-empty text of the tag selectors, repeats included."""
-    texts = F.flatten(F.array(*[
-        _all(s, lambda e: strip_html(_markup(e))) for s in TAGS]))
+    texts = F.concat(*[_texts(s) for s in TAGS])
     short = F.filter(texts, lambda t: F.length(t).between(1, MAX_TAG - 1))
-    return blank_to_null(F.array_join(short, ", "))
+    return _non_blank(F.array_join(short, ", "))
 
 
 def images() -> Column:
     """Absolute image sources; ``data-src`` counts where ``src`` is absent."""
-    sources = F.flatten(F.array(*[
-        _all(s, lambda e: F.coalesce(e["src"], e["data-src"])) for s in IMAGES]))
-    return blank_to_null(F.array_join(
+    sources = F.expr("concat(" + ", ".join(f"{_all(s)}.image" for s in IMAGES) + ")")
+    return _non_blank(F.array_join(
         F.filter(sources, lambda s: F.startswith(s, F.lit("http"))), ","))
 
 

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import re
 
-from folioloom.functions.text import ENTITIES, WHITESPACE
+from folioloom.functions.text import ENTITIES
 from folioloom.functions.urls import ARTICLE_PATTERNS, NON_ARTICLE_PATTERNS, any_of
 from folioloom.plans.fixtures import FIXTURES, SITE, fixture_sql
 
+# RE2's own class is ASCII only, so Unicode whitespace is spelled out.
+WHITESPACE = (
+    r"\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}")
 WS = f"[{WHITESPACE}]"
 _CONTROL = r"[\x00-\x08\x0b-\x0c\x0e-\x1f\x{7f}-\x{9f}]"
 

@@ -18,6 +18,7 @@ def make_session():
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.checkpoint.dir", scratch + "/checkpoints")
         .config("spark.sql.warehouse.dir", scratch + "/warehouse")
