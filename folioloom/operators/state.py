@@ -9,13 +9,15 @@ left to Spark's own size check.  ``now`` is always passed in.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from folioloom.functions.text import truncate
 from folioloom.schemas import (
     DONE, ERROR, MAX_FAILURES, MAX_RETRIES, PENDING, STATE_MESSAGE_CHARS, STATE_SCHEMA)
+from folioloom.sources.tables import shared_dir
 
 STATE_COLUMNS = tuple(STATE_SCHEMA.names)
+TOP_K_ROWS = 100_000     # largest queue taken by a top-k
 
 
 # --- filters -----------------------------------------------------------------
@@ -187,4 +189,31 @@ def recent_crawled(state: DataFrame, limit: int = 50) -> DataFrame:
 
 def run_queue(state: DataFrame, max_urls: int | None = None) -> DataFrame:
     """URLs a run works on: all pending ones, or the ``max_urls`` oldest."""
-    return pending(state) if max_urls is None else pending_queue(state, max_urls)
+    if max_urls is None:
+        return pending(state)
+    if max_urls <= TOP_K_ROWS:
+        return pending_queue(state, max_urls)
+    return oldest_by_range(pending(state), max_urls)
+
+
+def oldest_by_range(rows: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` rows by ``first_seen, url`` for an ``n`` too large for a top-k.
+
+    A top-k passes its rows through one task.  Here the rows are sorted into
+    ranges and stored once, so that the ranges stay what they were counted as;
+    the counts (one per range) say which ranges to keep whole and where to cut.
+    """
+    spark = rows.sparkSession
+    stored = shared_dir(spark)
+    (rows.repartitionByRange("first_seen", "url")
+     .withColumn("part", F.spark_partition_id())
+     .write.parquet(stored))
+    ranged = spark.read.parquet(stored)
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranged.groupBy("part").agg(F.count("*").alias("rows")).select(
+        "part", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"))
+    in_part = Window.partitionBy("part").orderBy("first_seen", "url")
+    return (
+        ranged.join(F.broadcast(starts.where(F.col("start") < n)), "part")
+        .withColumn("rank", F.col("start") + F.row_number().over(in_part))
+        .where(F.col("rank") <= n).select(*rows.columns))

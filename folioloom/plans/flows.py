@@ -37,15 +37,24 @@ def crawl_cycle(
     state.  The articles are a stored table because packing reads them twice
     and the parse is the dear part; a lost executor then costs no re-parse.
     URLs are done once their batch is stored.
+
+    Markup is never shuffled.  A queue of bounded size is broadcast and spares
+    the parse of other pages; an unbounded one is joined to the much smaller
+    articles after it.
     """
     if mode == "full":
         state = S.reset_done(state)
     state = S.reset_errors(state, max_failures)
     queue = S.run_queue(state, max_urls).select("url")
-    due = pages.join(queue, "url", "left_semi")
+    small = max_urls is not None and max_urls <= S.TOP_K_ROWS
 
     articles_path, batches_path = f"{out_dir}/articles", f"{out_dir}/batches"
-    X.extract_articles(due).write.mode("errorifexists").parquet(articles_path)
+    if small:
+        pages = pages.join(F.broadcast(queue), "url", "left_semi")
+    articles = X.extract_articles(pages)
+    if not small:
+        articles = articles.join(queue, "url", "left_semi")
+    articles.write.mode("errorifexists").parquet(articles_path)
     articles = spark.read.parquet(articles_path)
     valid = X.valid_article(articles)
     tables.append_batches(B.pack_batches(valid, run_id, now, batch_size), batches_path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -13,12 +14,14 @@ from folioloom.schemas import BATCH_SCHEMA
 def shared_dir(spark: SparkSession) -> str:
     """A fresh folder name below the folder every executor can reach.
 
-    The cluster names that folder in ``spark.checkpoint.dir``.  There is no
-    fallback to a machine-local folder: executors could not read it back.
+    The cluster names that folder in ``spark.checkpoint.dir``.  Only a local
+    session may do without: there the driver's own disk is everybody's.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        root = tempfile.mkdtemp(prefix="run-")
     return f"{root.rstrip('/')}/folioloom-{uuid.uuid4().hex}"
 
 
@@ -44,7 +47,8 @@ def save_state_table(state: DataFrame, table: str, buckets: int) -> None:
     """Write the state as a table bucketed by URL.
 
     Joins on ``url`` read such a table without shuffling it: only the changes
-    move.  Take as many buckets as give files of a few hundred MB.  URLs are
+    move.  Take as many buckets as shuffle partitions, so that folded changes
+    already lie the same way, and enough for files of a few hundred MB.  URLs are
     unique, so hashing them first gives even buckets of one sorted file each.
     """
     (state.repartition(buckets, "url").write.mode("errorifexists").format("parquet")

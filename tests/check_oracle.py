@@ -42,6 +42,11 @@ def rows_of(columns, rows):
     return sorted(columns), sorted(tuple(normal(r[i]) for i in order) for r in rows)
 
 
+SPARK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+               "boolean": "BOOLEAN", "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP",
+               "date": "DATE"}
+
+
 def compare(spark, con, sf_dir, run, sql):
     """None when equal, else what differs."""
     got_df = run(spark, sf_dir)
@@ -49,9 +54,15 @@ def compare(spark, con, sf_dir, run, sql):
     if sql is None:
         return None, len(got)
     cur = con.execute(sql)
+    want_types = {d[0]: str(d[1]) for d in cur.description}
     want_cols, want = rows_of([d[0] for d in cur.description], cur.fetchall())
     if got_cols != want_cols:
         return f"columns {got_cols} vs {want_cols}", len(got)
+    types = {f.name: (SPARK_TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()),
+                      want_types[f.name]) for f in got_df.schema}
+    types = {k: v for k, v in types.items() if v[0] != v[1]}
+    if types:
+        return f"types {types}", len(got)
     if got != want:
         extra = [r for r in got if r not in set(want)][:2]
         missing = [r for r in want if r not in set(got)][:2]
