@@ -21,13 +21,15 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 ELEMENT_FIELDS = ("content", "title", "src", "data-src", "datetime")
-ELEMENTS_TYPE = (
-    "array<struct<selectors:array<string>,start:int,length:int,text:string,"
-    "content:string,title:string,src:string,`data-src`:string,datetime:string>>")
-_ARROW_TYPE = pa.list_(pa.struct(
-    [("selectors", pa.list_(pa.string())), ("start", pa.int32()),
-     ("length", pa.int32()), ("text", pa.string())]
-    + [(name, pa.string()) for name in ELEMENT_FIELDS]))
+FOUND_TYPE = (
+    "struct<elements:array<struct<start:int,length:int,text:string,"
+    "content:string,title:string,src:string,`data-src`:string,datetime:string>>,"
+    "picks:array<array<int>>>")
+_ARROW_TYPE = pa.struct([
+    ("elements", pa.list_(pa.struct(
+        [("start", pa.int32()), ("length", pa.int32()), ("text", pa.string())]
+        + [(name, pa.string()) for name in ELEMENT_FIELDS]))),
+    ("picks", pa.list_(pa.list_(pa.int32())))])
 
 _PART = re.compile(r"(\w*)(?:\.([\w-]+))?(?:\[(\w+)(?:='([^']*)')?\])?$")
 _TAG = re.compile(
@@ -55,40 +57,32 @@ def _attributes(text: str) -> dict[str, str]:
     return found
 
 
-def _matches(part: tuple, tag: str, attrs: dict[str, str]) -> bool:
-    want_tag, css_class, attr, value = part
-    return (
-        (not want_tag or want_tag == tag)
-        and (not css_class or css_class in attrs.get("class", "").split())
-        and (not attr or (attr in attrs and (not value or attrs[attr] == value))))
+def _key(part: str) -> tuple[str, str, str]:
+    """What an element must show for a part to match: a key, an attribute, its value."""
+    tag, css_class, attr, value = (g or "" for g in _PART.match(part).groups())
+    return tag + ("." + css_class if css_class else "") + ("[" + attr if attr else ""), attr, value
 
 
 def compile_rules(selectors: Sequence[str]) -> tuple:
-    """The selectors arranged for the scanner.
-
-    Parts that name a tag are looked up by it.  The others ask for a class or
-    an attribute; they are tried when the tag mentions one of those names.
-    """
+    """The selectors by the key of their target, the scopes by their own key."""
     targets: dict[str, list[tuple]] = {}
-    scopes: dict[str, dict[str, tuple]] = {}
+    scopes: dict[str, str] = {}
     names = {"class"}
     for selector in selectors:
-        *outer, target = selector.split(" ")
-        part = _PART.match(target).groups()
-        targets.setdefault(part[0], []).append((selector, part, *outer))
-        names.update([part[2]] if part[2] and not part[0] else [])
-        for scope in outer:
-            part = _PART.match(scope).groups()
-            scopes.setdefault(part[0], {})[scope] = part
-    return targets, scopes, re.compile("|".join(sorted(names)), re.I)
+        *scope, target = selector.split(" ")
+        key, attr, value = _key(target)
+        targets.setdefault(key, []).append((selector, attr, value, scope[0] if scope else ""))
+        names.update([attr] if attr else [])
+        scopes.update((_key(s)[0], s) for s in scope)
+    return targets, scopes, names, re.compile("|".join(sorted(names)), re.I)
 
 
 def find_elements(html: str, rules: tuple) -> list[dict]:
     """The elements of a page that at least one selector picks."""
-    targets, scopes, asked_for = rules
+    targets, scopes, names, asked_for = rules
     found: list[dict] = []
-    stack: list[tuple] = []          # open elements: (tag, record, scopes it opens)
-    inside: Counter = Counter()      # scopes open at this point
+    stack: list[tuple] = []                  # open elements: (tag, record, scopes it opens)
+    inside: Counter = Counter({"": 1})       # scopes open at this point
 
     def close(depth: int, stop: int) -> None:
         while len(stack) > depth:
@@ -117,20 +111,25 @@ def find_elements(html: str, rules: tuple) -> list[dict]:
             top = stack[-1][0]
             if (top == "p" and tag in ENDS_PARAGRAPH) or (top == tag and tag in ENDS_SAME):
                 close(len(stack) - 1, m.start())
-        record, opened = None, ()
-        groups = [tag, ""] if rest and asked_for.search(rest) else [tag]
-        candidates = [
-            t for g in groups for t in targets.get(g, ()) if len(t) == 2 or inside[t[2]]]
-        openers = [s for g in groups for s in scopes.get(g, {}).items()]
-        if candidates or openers:
-            attrs = _attributes(rest) if rest else {}
-            hits = [name for name, part, *_ in candidates if _matches(part, tag, attrs)]
-            opened = [name for name, part in openers if _matches(part, tag, attrs)]
-            if hits:
-                record = {"selectors": hits, "start": m.start(),
-                          "length": m.end() - m.start(), "body": m.end()}
-                record.update((name, attrs.get(name)) for name in ELEMENT_FIELDS)
-                found.append(record)
+        record, opened, attrs, keys = None, (), {}, (tag,)
+        if rest and asked_for.search(rest):
+            attrs = _attributes(rest)
+            marks = ["." + c for c in attrs.get("class", "").split()]
+            marks += ["[" + a for a in attrs if a in names]
+            keys = {tag, *marks, *(tag + mark for mark in marks)}
+        for key in keys:
+            if key in scopes:
+                opened += (scopes[key],)
+            for selector, attr, value, scope in targets.get(key, ()):
+                if inside[scope] and (not value or attrs[attr] == value):
+                    if record is None:
+                        attrs = attrs or (_attributes(rest) if rest else attrs)
+                        record = {"selectors": [], "start": m.start(),
+                                  "length": m.end() - m.start(), "body": m.end()}
+                        for name in ELEMENT_FIELDS:
+                            record[name] = attrs.get(name)
+                        found.append(record)
+                    record["selectors"].append(selector)
         if tag not in VOID and not rest.endswith("/"):
             stack.append((tag, record, opened))
             for scope in opened:
@@ -140,23 +139,30 @@ def find_elements(html: str, rules: tuple) -> list[dict]:
 
 
 def elements_function(selectors: Sequence[str], text_selectors: Sequence[str]):
-    """An Arrow function ``html -> elements`` for the given selectors.
-
-    ``start`` counts characters from 0.  ``text`` (character references
-    decoded) is filled for elements of ``text_selectors`` only, so that large
-    bodies are not copied.  The function is marked non-deterministic: that
-    keeps Spark from running the scan a second time inside a filter.
+    """An Arrow function from markup to ``struct<elements, picks>``.
+
+    ``picks[i]`` lists the elements selector ``i`` picks, in document order, as
+    positions in ``elements``; it is null when there are none.  ``start``
+    counts characters from 0.  ``text`` (character references decoded) is
+    filled for elements of ``text_selectors`` only, so that large bodies are
+    not copied.  The function is marked non-deterministic: that keeps Spark
+    from running the scan a second time inside a filter.
     """
     rules, wants_text = compile_rules(selectors), frozenset(text_selectors)
-
-    def scan_page(page: str) -> list[dict]:
-        found = find_elements(page, rules)
-        for record in found:
-            body = record.pop("body")
-            if not wants_text.isdisjoint(record["selectors"]):
-                inner = page[body:record["start"] + record["length"]]
-                record["text"] = html_lib.unescape(_ANY_MARKUP.sub("", inner))
-        return found
+    number = {selector: i for i, selector in enumerate(selectors)}
+
+    def scan_page(page: str) -> dict:
+        elements = find_elements(page, rules)
+        picks: list = [None] * len(number)
+        for position, element in enumerate(elements):
+            body, picked = element.pop("body"), element.pop("selectors")
+            for selector in picked:
+                i = number[selector]
+                picks[i] = (picks[i] or []) + [position]
+            if not wants_text.isdisjoint(picked):
+                inner = page[body:element["start"] + element["length"]]
+                element["text"] = html_lib.unescape(_ANY_MARKUP.sub("", inner))
+        return {"elements": elements, "picks": picks}
 
     def scan(pages: pa.Array) -> pa.Array:
         return pa.array(
@@ -166,4 +172,4 @@ def elements_function(selectors: Sequence[str], text_selectors: Sequence[str]):
     # Ship the scanner itself, so that executors need no copy of this package.
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
     scan.__annotations__ = {"pages": pa.Array, "return": pa.Array}
-    return F.arrow_udf(scan, ELEMENTS_TYPE).asNondeterministic()
+    return F.arrow_udf(scan, FOUND_TYPE).asNondeterministic()

@@ -38,8 +38,16 @@ ANY_HOST = r"://[^/]+"
 
 
 def any_of(patterns: Sequence[str]) -> str:
-    """One alternation; ``\\d`` widened to every decimal digit of Unicode."""
-    return "|".join(patterns).replace(r"\d", r"\p{Nd}")
+    """One Java pattern for all; ``\\d`` widened to every decimal digit of Unicode.
+
+    The slash most patterns start with is taken out of the alternation, so
+    that a position without one is passed over at once.
+    """
+    slashed = [p[1:] for p in patterns if p.startswith("/")]
+    parts = [p for p in patterns if not p.startswith("/")]
+    if slashed:
+        parts.append(f"/(?:{'|'.join(slashed)})")
+    return "|".join(parts).replace(r"\d", r"\p{Nd}")
 
 
 def url_matches(url: Column, patterns: Sequence[str]) -> Column:

@@ -40,11 +40,11 @@ FIRST_VALUE_SELECTORS = TITLE + AUTHOR + PUBLISHED + CATEGORY + DESCRIPTION
 ALL_SELECTORS = tuple(dict.fromkeys(FIRST_VALUE_SELECTORS + CONTENT + TAGS + IMAGES))
 
 def scan_pages(pages: DataFrame) -> DataFrame:
-    """``pages`` with an ``elements`` column: what the selectors pick.
+    """``pages`` with what the selectors find in them, from one scan.
 
-    Per element: ``selectors, start, length, text`` (trimmed), ``value`` (the
-    text, else the attribute ``content``, ``title`` or ``src``), ``datetime``
-    and ``image``.
+    ``elements``: ``start, length, text`` (trimmed), ``value`` (the text, else
+    the attribute ``content``, ``title`` or ``src``), ``datetime`` and
+    ``image``.  ``picks``: per selector, the positions of its elements.
     """
     scan = elements_function(ALL_SELECTORS, FIRST_VALUE_SELECTORS)
 
@@ -52,30 +52,34 @@ def scan_pages(pages: DataFrame) -> DataFrame:
         text, *attributes = [
             blank_to_null(strip(e[n])) for n in ("text", "content", "title", "src")]
         return F.struct(
-            e["selectors"].alias("selectors"), e["start"].alias("start"),
-            e["length"].alias("length"), text.alias("text"),
+            e["start"].alias("start"), e["length"].alias("length"), text.alias("text"),
             F.coalesce(text, *attributes).alias("value"),
             e["datetime"].alias("datetime"),
             F.coalesce(e["src"], e["data-src"]).alias("image"))
 
     return (
-        pages.withColumn("elements", scan(F.col("html")))
-        .withColumn("elements", F.transform("elements", shaped)))
+        pages.withColumn("found", scan(F.col("html")))
+        .withColumn("elements", F.transform("found.elements", shaped))
+        .withColumn("picks", F.col("found.picks")).drop("found"))
 
 
-def _all(selector: str) -> str:
-    return f'filter(elements, e -> array_contains(e.selectors, "{selector}"))'
+def _picks(selector: str) -> str:
+    return f"get(picks, {ALL_SELECTORS.index(selector)})"
 
 
 def _first(selectors: Sequence[str], field: str) -> Column:
     """First non-null ``field`` of the first element of each selector in turn."""
-    return F.expr("coalesce(" + ", ".join(f"get({_all(s)}, 0).{field}" for s in selectors) + ")")
+    return F.expr("coalesce(" + ", ".join(
+        f"get(elements, get({_picks(s)}, 0)).{field}" for s in selectors) + ")")
 
 
 def _texts(selector: str) -> Column:
     """Text of every element of a selector, from its markup."""
-    return F.transform(F.expr(_all(selector)), lambda e: strip_html(
-        F.substr(F.col("html"), e["start"] + 1, e["length"])))
+    def text(i: Column) -> Column:
+        e = F.get("elements", i)
+        return strip_html(F.substr(F.col("html"), e["start"] + 1, e["length"]))
+
+    return F.transform(F.expr(_picks(selector)), text)
 
 
 def _non_blank(col: Column) -> Column:
@@ -121,14 +125,15 @@ def description() -> Column:
 
 def tags() -> Column:
     """Every short non-empty text of the tag selectors, repeats included."""
-    texts = F.concat(*[_texts(s) for s in TAGS])
+    texts = F.concat(*[F.coalesce(_texts(s), F.array()) for s in TAGS])
     short = F.filter(texts, lambda t: F.length(t).between(1, MAX_TAG - 1))
     return _non_blank(F.array_join(short, ", "))
 
 
 def images() -> Column:
     """Absolute image sources; ``data-src`` counts where ``src`` is absent."""
-    sources = F.expr("concat(" + ", ".join(f"{_all(s)}.image" for s in IMAGES) + ")")
+    picks = F.concat(*[F.coalesce(F.expr(_picks(s)), F.array()) for s in IMAGES])
+    sources = F.transform(picks, lambda i: F.get("elements", i)["image"])
     return _non_blank(F.array_join(
         F.filter(sources, lambda s: F.startswith(s, F.lit("http"))), ","))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 from folioloom.functions.text import ENTITIES
-from folioloom.functions.urls import ARTICLE_PATTERNS, NON_ARTICLE_PATTERNS, any_of
+from folioloom.functions.urls import ARTICLE_PATTERNS, NON_ARTICLE_PATTERNS
 from folioloom.plans.fixtures import FIXTURES, SITE, fixture_sql
 
 # RE2's own class is ASCII only, so Unicode whitespace is spelled out.
@@ -51,6 +51,10 @@ def word_count(x: str) -> str:
     return f"coalesce(len(regexp_extract_all({x}, '[^{WHITESPACE}]+')), 0)"
 
 
+def any_of(patterns) -> str:
+    return "|".join(patterns).replace(r"\d", r"\p{Nd}")
+
+
 def is_article(url: str) -> str:
     return (f"(NOT regexp_matches(lower({url}), '{any_of(NON_ARTICLE_PATTERNS)}') "
             f"AND regexp_matches(lower({url}), '{any_of(ARTICLE_PATTERNS)}'))")
