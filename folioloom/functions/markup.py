@@ -38,6 +38,7 @@ _TAG = re.compile(
     r"|(/?)([a-zA-Z][^\s/>]*)([^>\"']*+(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*+)*+)>)", re.S)
 _ATTRIBUTE = re.compile(
     r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_REFERENCE = re.compile(r"&#?\w+;")
 _ANY_MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<[^>]+>", re.S)
 
 # HTML rules (fixed values): elements without an end tag, and start tags that
@@ -50,10 +51,15 @@ ENDS_PARAGRAPH = frozenset(
 ENDS_SAME = frozenset("li option tr td th dt dd".split())
 
 
+def _decoded(text: str) -> str:
+    """Character references decoded; one without its semicolon is plain text."""
+    return _REFERENCE.sub(lambda m: html_lib.unescape(m[0]), text) if "&" in text else text
+
+
 def _attributes(text: str) -> dict[str, str]:
     found: dict[str, str] = {}
     for name, *values in _ATTRIBUTE.findall(text):
-        found.setdefault(name.lower(), html_lib.unescape("".join(values)))
+        found.setdefault(name.lower(), _decoded("".join(values)))
     return found
 
 
@@ -161,7 +167,7 @@ def elements_function(selectors: Sequence[str], text_selectors: Sequence[str]):
                 picks[i] = (picks[i] or []) + [position]
             if not wants_text.isdisjoint(picked):
                 inner = page[body:element["start"] + element["length"]]
-                element["text"] = html_lib.unescape(_ANY_MARKUP.sub("", inner))
+                element["text"] = _decoded(_ANY_MARKUP.sub("", inner))
         return {"elements": elements, "picks": picks}
 
     def scan(pages: pa.Array) -> pa.Array:

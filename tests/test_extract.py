@@ -82,6 +82,10 @@ def test_title_attribute_and_src_fallback(spark):
     assert X.scan_pages(pages).select(X.first_value(X.IMAGES)).collect()[0][0] == "http://i/9"
 
 
+def test_references(spark):
+    assert extract(spark, "<h1>a&amp;b&ampc&#65;&#x42;&nope;&amp;lt;</h1>").title == "a&b&ampcAB&nope;&lt;"
+
+
 def test_content_falls_through_blank_selectors(spark):
     a = extract(spark, '<div class="body"> &nbsp; </div><article>text</article>')
     assert a.content == "text"
