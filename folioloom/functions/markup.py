@@ -32,14 +32,17 @@ _ARROW_TYPE = pa.struct([
     ("picks", pa.list_(pa.list_(pa.int32())))])
 
 _PART = re.compile(r"(\w*)(?:\.([\w-]+))?(?:\[(\w+)(?:='([^']*)')?\])?$")
+# A quoted value may hold "<" only over a short stretch: an unclosed quote then
+# costs a bounded look ahead, and the scan stays linear on broken pages.
+_QUOTED = r"\"[^\"<]*+(?:\"|[^\"]{0,999}\")|'[^'<]*+(?:'|[^']{0,999}')"
 _TAG = re.compile(
     r"<(?:!--.*?(?:-->|\Z)"
     r"|([sS](?i:cript|tyle))\b.*?(?:</(?i:\1)\s*>|\Z)"
-    r"|(/?)([a-zA-Z][^\s/>]*)([^>\"']*+(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*+)*+)>)", re.S)
+    rf"|(/?)([a-zA-Z][^\s/><]*)([^><\"']*+(?:(?:{_QUOTED})[^><\"']*+)*+)>)", re.S)
 _ATTRIBUTE = re.compile(
     r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _REFERENCE = re.compile(r"&#?\w+;")
-_ANY_MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<[^>]+>", re.S)
+_ANY_MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|(<[^>]*+\Z)|<[^>]++>", re.S)
 
 # HTML rules (fixed values): elements without an end tag, and start tags that
 # end an open paragraph or an open element of their own kind.
@@ -167,7 +170,7 @@ def elements_function(selectors: Sequence[str], text_selectors: Sequence[str]):
                 picks[i] = (picks[i] or []) + [position]
             if not wants_text.isdisjoint(picked):
                 inner = page[body:element["start"] + element["length"]]
-                element["text"] = _decoded(_ANY_MARKUP.sub("", inner))
+                element["text"] = _decoded(_ANY_MARKUP.sub(r"\1", inner))
         return {"elements": elements, "picks": picks}
 
     def scan(pages: pa.Array) -> pa.Array:

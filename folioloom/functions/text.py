@@ -17,7 +17,9 @@ WHITESPACE = (
     "\u2028\u2029\u202f\u205f\u3000")
 WHITESPACE_RUN = r"(?U)[\s\x1c-\x1f]+"
 CONTROL = r"[\x00-\x08\x0b-\x0c\x0e-\x1f\x{7f}-\x{9f}]"
-TAG = r"<[^>]+>"
+# A tag, or (group 1) an unclosed one up to the end of the text, which stays.
+# Taking that tail in one match keeps texts full of "<" linear.
+TAG = r"(<[^>]*+\z)|<[^>]++>"
 DECIMAL_REFERENCE = r"&#\p{Nd}+;"
 
 # Decoded one after the other, in this order (fixed values).
@@ -54,12 +56,12 @@ def strip(col: Column) -> Column:
 
 
 def drop_tags(col: Column) -> Column:
-    return F.regexp_replace(col, TAG, "")
+    return F.regexp_replace(col, TAG, "$1")
 
 
 def strip_html(col: Column) -> Column:
     """Markup to one line of text: tags, five entities, decimal references."""
-    text = F.regexp_replace(col, TAG, " ")
+    text = F.regexp_replace(col, TAG, "$1 ")
     for entity, char in ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(char))
     text = F.regexp_replace(text, DECIMAL_REFERENCE, "")

@@ -164,12 +164,16 @@ def extract_articles(
     return fields.select(F.inline(F.array(row)))
 
 
-def valid_article(articles: DataFrame) -> DataFrame:
-    """Articles with a title, enough content and a URL."""
+def is_valid_article() -> Column:
+    """Does a row have a title, enough content and a URL?"""
     def text(name: str) -> Column:
         return F.coalesce(F.col(name), F.lit(""))
 
-    return articles.where(
+    return (
         (F.length(strip(text("title"))) > MIN_TITLE)
         & (F.length(strip(text("content"))) > MIN_CONTENT)
         & (text("url") != ""))
+
+
+def valid_article(articles: DataFrame) -> DataFrame:
+    return articles.where(is_valid_article())

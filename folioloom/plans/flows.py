@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from folioloom.operators import batches as B, extract as X, merge as M, state as S
@@ -14,7 +16,7 @@ def refresh_state(
     docs: DataFrame, index_docs: DataFrame, news: DataFrame, state: DataFrame, now: Column
 ) -> DataFrame:
     """Sitemaps parsed, merged with the news entries, unknown URLs inserted."""
-    main = sitemaps.expand_sitemaps(docs, index_docs)
+    main = sitemaps.expand_sitemaps(docs, index_docs, keep_repeats=False)
     return S.insert_if_absent(M.merge_entries(main, news), state, now)
 
 
@@ -30,8 +32,12 @@ def crawl_cycle(
     batch_size: int = BATCH_SIZE,
     max_retries: int = MAX_RETRIES,
     max_failures: int = MAX_FAILURES,
+    keys: Sequence[str] = ("url",),
 ) -> DataFrame:
-    """One run over fetched ``pages`` (``url, html``, one row per URL).
+    """One run over fetched ``pages``: ``url, html`` and the ``keys``.
+
+    ``keys`` identify a page.  If a URL can occur in many pages, add a page id:
+    its pages are then spread over the batches like any others.
 
     Writes ``articles`` and ``batches`` below ``out_dir`` and returns the new
     state.  The articles are a stored table because packing reads them twice
@@ -51,24 +57,24 @@ def crawl_cycle(
     articles_path, batches_path = f"{out_dir}/articles", f"{out_dir}/batches"
     if small:
         pages = pages.join(F.broadcast(queue), "url", "left_semi")
-    articles = X.extract_articles(pages)
+    articles = X.extract_articles(pages, keep=[k for k in keys if k != "url"])
     if not small:
         articles = articles.join(queue, "url", "left_semi")
-    articles.write.mode("errorifexists").parquet(articles_path)
+    (articles.withColumn("valid", X.is_valid_article())
+     .write.mode("errorifexists").parquet(articles_path))
     articles = spark.read.parquet(articles_path)
-    valid = X.valid_article(articles)
-    tables.append_batches(B.pack_batches(valid, run_id, now, batch_size), batches_path)
+    packed = B.pack_batches(articles.where("valid"), run_id, now, batch_size, keys)
+    tables.append_batches(packed, batches_path)
 
-    at = now.cast("timestamp").alias("changed_at")
+    nothing, at = F.lit(None).cast("string"), now.cast("timestamp").alias("changed_at")
     stored = B.batch_members(tables.read_batches(spark, batches_path)).select(
         "url", F.lit(True).alias("ok"), "batch_id", "content_hash",
-        F.lit(None).cast("string").alias("error_message"), at,
-        F.col("batch_id").alias("seq"))
-    rejected = articles.select("url").join(stored.select("url"), "url", "left_anti").select(
-        "url", F.lit(False).alias("ok"), F.lit(None).cast("string").alias("batch_id"),
-        F.lit(None).cast("string").alias("content_hash"),
-        F.lit("No content extracted or validation failed").alias("error_message"), at,
-        F.lit("").alias("seq"))
+        nothing.alias("error_message"), at, F.col("batch_id").alias("seq"))
+    rejected = articles.where("NOT valid").select(
+        "url", F.lit(False).alias("ok"), nothing.alias("batch_id"),
+        nothing.alias("content_hash"),
+        F.lit("No content extracted or validation failed").alias("error_message"),
+        at, F.lit("").alias("seq"))
     return S.apply_changes(state, stored.unionByName(rejected), max_retries)
 
 

@@ -405,6 +405,11 @@ SELECT count(*) AS total, count(*) FILTER (WHERE status = 'pending') AS pending,
        count(*) FILTER (WHERE status = 'done') AS done, count(*) FILTER (WHERE status = 'error') AS error
 FROM (SELECT url, status FROM crawl_state
       UNION ALL SELECT url, 'pending' FROM refreshed WHERE url NOT IN (SELECT url FROM crawl_state)) t""",
+    "check_new": """
+SELECT (SELECT count(*) FROM main_articles) AS main_count, (SELECT count(*) FROM news_articles) AS news_count,
+       count(*) AS total_found, (SELECT count(*) FROM crawl_state) AS tracked,
+       count(*) FILTER (WHERE s.url IS NULL) AS new_count, count(*) FILTER (WHERE s.url IS NOT NULL) AS done_count
+FROM merged m LEFT JOIN (SELECT url FROM crawl_state WHERE crawled_at IS NOT NULL) s ON m.url = s.url""",
     "crawl_cycle": f"""
 SELECT p.url, CASE WHEN b.url IS NOT NULL THEN 'done' ELSE 'pending' END AS status,
        CASE WHEN b.url IS NOT NULL THEN concat('run-', CAST(b.batch_no AS VARCHAR)) END AS batch_id,

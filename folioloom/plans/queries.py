@@ -494,6 +494,11 @@ def sitemap_refresh(spark, sf):
     return S.state_stats(state)
 
 
+@query
+def check_new(spark, sf):
+    return flows.check_new(_main(spark, sf), _news(spark, sf), _state(spark, sf), POS)
+
+
 @query
 def crawl_cycle(spark, sf):
     pages = read_table(spark, sf, "pages").select("url", "html")

@@ -81,15 +81,26 @@ def index_children(index_docs: DataFrame) -> DataFrame:
         .where(F.col("doc_url") != ""))
 
 
-def expand_sitemaps(docs: DataFrame, index_docs: DataFrame) -> DataFrame:
+def expand_sitemaps(
+    docs: DataFrame, index_docs: DataFrame, keep_repeats: bool = True
+) -> DataFrame:
     """Entries of all sitemaps listed by the index documents.
 
     Columns: ``index_url, sitemap_no, doc_url, pos, url, lastmod``; the first
     two and ``pos`` give the order in which a sequential reader sees the
     entries.  A listed sitemap without a document is skipped.  An index that
     lists nothing is read as a sitemap itself.
+
+    A sitemap listed several times is read as often.  Where only the last
+    entry of a URL counts, ``keep_repeats=False`` reads it once, in the place
+    of its last listing, however often it is listed.
     """
-    listed = docs.select("doc_url", "body").join(index_children(index_docs), "doc_url")
+    children = index_children(index_docs)
+    if not keep_repeats:
+        children = children.groupBy("doc_url").agg(
+            F.max(F.struct("index_url", "sitemap_no")).alias("last")
+        ).select("last.*", "doc_url")
+    listed = docs.select("doc_url", "body").join(children, "doc_url")
     plain = (
         index_docs
         .where(F.coalesce(F.size(_parsed(F.col("body"))["sitemap"]), F.lit(0)) <= 0)

@@ -26,6 +26,16 @@ def test_comments_scripts_and_odd_attributes_are_skipped():
     assert picked(html) == [(["h1", "h1.title"], '<h1 data-x="a>b" CLASS=\'title  big\'>yes</h1>')]
 
 
+def test_broken_markup_stays_linear(spark):
+    """Half a megabyte of openings that never close."""
+    for junk in ("<", "<a ", '<a href="', "<!--", "<script>", "<div class='x", "</p"):
+        find_elements("<h1>t</h1>" + junk * (500_000 // len(junk)), RULES)
+    a = extract(spark, "<h1>t</h1><article>ok" + "<b" * 250_000)
+    assert a.title == "t" and a.content.startswith("ok<b<b") and len(a.content) == 500_002
+    assert picked('<h1 title="a<b">x</h1><p "><h1>y</h1>') == [
+        (["h1"], '<h1 title="a<b">x</h1>'), (["h1"], "<h1>y</h1>")]
+
+
 def test_scopes():
     html = ('<div class="entry-header"><h1>a</h1></div><article><h1>b</h1>'
             '<div class="content x">c</div></article><nav class="breadcrumb"><a>d</a></nav>'

@@ -46,6 +46,24 @@ def test_expand_skips_missing_and_reads_a_plain_index(spark):
         ("idx", 3, "b", 0, "https://s/news/2", None)]
 
 
+def test_repeated_listings_do_not_change_the_merge(spark):
+    """One sitemap makes up a third of all listings."""
+    def child(*entries):
+        return f"<urlset {NS}>" + "".join(
+            f"<url><loc>https://s/news/{u}</loc><lastmod>{m}</lastmod></url>" for u, m in entries
+        ) + "</urlset>"
+
+    d = docs(spark, ("hot", child((1, "9"), (2, "9"))), ("x", child((1, "5"), (3, "5"))),
+             ("y", child((2, "4"), (3, ""))), ("z", child((3, "1"))))
+    order = (["hot", "x", "hot", "y", "z", "hot"] * 40) + ["x"]
+    idx = docs(spark, *[(f"idx{k}", f"<sitemapindex {NS}>" + "".join(
+        f"<sitemap><loc>{u}</loc></sitemap>" for u in order[k:]) + "</sitemapindex>") for k in range(3)])
+    news = spark.createDataFrame([], "url string, lastmod string")
+    every, last = (M.merge_entries(S.expand_sitemaps(d, idx, keep_repeats=k), news) for k in (True, False))
+    assert rows(every, "url") == rows(last, "url")
+    assert S.expand_sitemaps(d, idx, keep_repeats=False).count() == 7
+
+
 def merged(spark, main, news):
     m = spark.createDataFrame([(u, l, i) for i, (u, l) in enumerate(main)],
                               "url string, lastmod string, pos bigint")
