@@ -79,9 +79,13 @@ def run_summary(
              rate(F.col("processed"), F.col("seconds")).alias("rate"))
 
 
-def attempt_changes(attempts: DataFrame, batch_id: Column | None = None) -> DataFrame:
-    """Attempts in the shape of state changes, each attempt being one crawl."""
-    status = F.col("http_status")
+def attempt_changes(attempts: DataFrame) -> DataFrame:
+    """Attempts in the shape of state changes, each attempt being one crawl.
+
+    ``batch_id`` and ``content_hash`` are taken over where the log has them;
+    ``(ts, event_id)`` orders the attempts of a URL.
+    """
+    status, nothing = F.col("http_status"), F.lit(None).cast("string")
     ok = F.coalesce(
         (status == 200) & F.col("valid") & F.col("exception").isNull(), F.lit(False))
     message = F.coalesce(
@@ -89,9 +93,8 @@ def attempt_changes(attempts: DataFrame, batch_id: Column | None = None) -> Data
         F.concat(F.lit("HTTP "), F.coalesce(status.cast("string"), F.lit("No response"))))
     return attempts.select(
         "url", ok.alias("ok"),
-        (F.lit(None) if batch_id is None else batch_id).cast("string").alias("batch_id"),
-        F.md5("url").alias("content_hash") if "content_hash" not in attempts.columns
-        else F.col("content_hash"),
+        *[(F.col(c) if c in attempts.columns else nothing).alias(c)
+          for c in ("batch_id", "content_hash")],
         F.when(~ok, message).alias("error_message"),
         F.col("ts").cast("timestamp").alias("changed_at"),
         F.col("event_id").alias("seq"))

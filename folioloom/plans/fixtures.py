@@ -56,6 +56,7 @@ FROM (SELECT {_url("c_custkey")} AS url, c_custkey AS k FROM {{customer}}) t""",
 
     # Four attempts per URL, one of them beyond the limit of three.
     "attempts": f"""
+SELECT *, md5(url) AS content_hash FROM (
 SELECT concat('{SITE}news/', CAST(CAST(floor(event_id / 4) AS BIGINT) AS STRING), '.html') AS url,
        CAST(event_id % 4 + 1 AS INT) AS attempt,
        ts,
@@ -65,7 +66,7 @@ SELECT concat('{SITE}news/', CAST(CAST(floor(event_id / 4) AS BIGINT) AS STRING)
        value > 15 AS valid,
        CASE WHEN value > 60 AND user_id % 2 = 0 THEN concat('timeout ', props) END AS exception,
        event_id
-FROM {{events}}""",
+FROM {{events}}) t""",
 
     "checkpoints": """
 SELECT concat('crawl_', CAST(o_orderkey AS STRING)) AS crawl_id,

@@ -166,7 +166,7 @@ SELECT url,
        CASE WHEN NOT last.bad THEN 'done' WHEN scrape_count >= 3 THEN 'error' ELSE 'pending' END AS status,
        crawled_at, content_hash, substr(last.message, 1, 500) AS error_message, scrape_count
 FROM (SELECT url, CAST(count(*) FILTER (WHERE bad) AS INT) AS scrape_count, max(ts) AS crawled_at,
-             arg_max(CASE WHEN NOT bad THEN md5(url) END, row(ts, event_id)) AS content_hash,
+             arg_max(CASE WHEN NOT bad THEN content_hash END, row(ts, event_id)) AS content_hash,
              arg_max_null(struct_pack(bad := bad, message := message), row(ts, event_id)) AS last
       FROM attempt_results WHERE {where} GROUP BY url) t"""
 

@@ -82,6 +82,17 @@ def test_article_urls(spark, url, article):
     assert apply(spark, U.is_article_url, url) == [article]
 
 
+@pytest.mark.parametrize("patterns", [
+    U.NON_ARTICLE_PATTERNS, U.ARTICLE_PATTERNS, ("/a|b", "/c"), ("/?x", "/y/"), ("/+z", "#"),
+    (r"\.html$", "x*y"), ("^https", "/q"), ("[ab]c", r"\?"), (r"\d{2}", r"/\d"), ("b",), (),
+])
+def test_joined_patterns_match_as_each_alone(spark, patterns):
+    urls = ["https://s/a", "b", "/c", "x", "/y/", "//z", "#", "p.html", "p.htmlx", "y", "xxy",
+            "bc", "?", "12", "/٣", "https://s/news/1?", "", "https://s/feed", "/2024/05/"]
+    got = apply(spark, lambda c: U.url_matches(c, patterns), *urls)
+    assert got == [any(re.search(p, u) is not None for p in patterns) for u in urls]
+
+
 def test_url_section(spark):
     assert apply(spark, U.url_section, "https://h/ar/sPORT news/1.html", "https://h/ar/sport",
                  "https://h/ar/a/b/c", "nothing") == ["Sport news", None, "A", None]
