@@ -150,7 +150,7 @@ def find_elements(html: str, rules: tuple) -> list[dict]:
 def elements_function(selectors: Sequence[str], text_selectors: Sequence[str]):
     """An Arrow function from markup to ``struct<elements, picks>``.
 
-    ``picks[i]`` lists the elements selector ``i`` picks, in document order, as
+    Null for a page that cannot be read.  ``picks[i]`` lists the elements selector ``i`` picks, in document order, as
     positions in ``elements``; it is null when there are none.  ``start``
     counts characters from 0.  ``text`` (character references decoded) is
     filled for elements of ``text_selectors`` only, so that large bodies are
@@ -160,8 +160,11 @@ def elements_function(selectors: Sequence[str], text_selectors: Sequence[str]):
     rules, wants_text = compile_rules(selectors), frozenset(text_selectors)
     number = {selector: i for i, selector in enumerate(selectors)}
 
-    def scan_page(page: str) -> dict:
-        elements = find_elements(page, rules)
+    def scan_page(page: str | None) -> dict | None:
+        try:
+            elements = find_elements(page, rules)
+        except Exception:       # also for null: the row says so in its error column
+            return None
         picks: list = [None] * len(number)
         for position, element in enumerate(elements):
             body, picked = element.pop("body"), element.pop("selectors")
@@ -174,9 +177,7 @@ def elements_function(selectors: Sequence[str], text_selectors: Sequence[str]):
         return {"elements": elements, "picks": picks}
 
     def scan(pages: pa.Array) -> pa.Array:
-        return pa.array(
-            [None if p is None else scan_page(p) for p in pages.to_pylist()],
-            type=_ARROW_TYPE)
+        return pa.array([scan_page(p) for p in pages.to_pylist()], type=_ARROW_TYPE)
 
     # Ship the scanner itself, so that executors need no copy of this package.
     cloudpickle.register_pickle_by_value(sys.modules[__name__])

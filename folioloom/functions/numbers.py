@@ -25,13 +25,17 @@ def day(col: Column) -> Column:
     return F.to_date(col)
 
 
+# Texts of the time left (fixed values): "~n hours", "~n days" and these.
+NOTHING_LEFT, NO_RATE = "Done!", "Calculating..."
+
+
 def eta(pending: Column, per_second: Column) -> Column:
     """Human-readable time left: whole hours below one day, else whole days."""
     seconds = F.try_divide(pending.cast("double"), per_second)
     hours = F.concat(F.lit("~"), F.ceil(seconds / 3600).cast("string"), F.lit(" hours"))
     days = F.concat(F.lit("~"), F.ceil(seconds / 86400).cast("string"), F.lit(" days"))
     return (
-        F.when(pending == 0, F.lit("Done!"))
-        .when(F.coalesce(per_second, F.lit(0.0)) <= 0, F.lit("Calculating..."))
+        F.when(pending == 0, F.lit(NOTHING_LEFT))
+        .when(F.coalesce(per_second, F.lit(0.0)) <= 0, F.lit(NO_RATE))
         .when(seconds / 86400 < 1, hours)
         .otherwise(days))

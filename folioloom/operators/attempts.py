@@ -16,6 +16,12 @@ from folioloom.schemas import (
 # HTTP codes that ask for another try (fixed values).
 RETRY_STATUS = (429, 503)
 
+# Error texts (fixed values).
+NO_RESPONSE = "HTTP No response"
+NOT_FOUND = "HTTP 404 Not Found"
+NO_ARTICLE = "No content extracted or validation failed"
+EXHAUSTED = "All {} fetch attempts failed"
+
 
 def _outcomes(
     attempts: DataFrame, keys: Sequence[str], max_attempts: int, *extra: Column
@@ -28,17 +34,17 @@ def _outcomes(
         status.isNull() | ~status.isin(*RETRY_STATUS))
     error = (
         F.when(failed, truncate(F.col("exception"), FETCH_MESSAGE_CHARS))
-        .when(status.isNull(), F.lit("HTTP No response"))
+        .when(status.isNull(), F.lit(NO_RESPONSE))
         .when((status == 200) & F.coalesce(F.col("valid"), F.lit(False)), F.lit(None))
-        .when(status == 200, F.lit("No content extracted or validation failed"))
-        .when(status == 404, F.lit("HTTP 404 Not Found"))
+        .when(status == 200, F.lit(NO_ARTICLE))
+        .when(status == 404, F.lit(NOT_FOUND))
         .otherwise(F.concat(F.lit("HTTP "), status.cast("string"))))
     result = F.struct(
         F.when(error.isNull(), F.lit("success")).otherwise(F.lit("error")).alias("outcome"),
         error.alias("error"))
     exhausted = F.struct(
         F.lit("error").alias("outcome"),
-        F.lit(f"All {max_attempts} fetch attempts failed").alias("error"))
+        F.lit(EXHAUSTED.format(max_attempts)).alias("error"))
     settled = F.min_by(result, F.when(settles, F.col("attempt")))
     return (
         attempts.where(F.col("attempt") <= max_attempts)
@@ -90,7 +96,7 @@ def attempt_changes(attempts: DataFrame) -> DataFrame:
         (status == 200) & F.col("valid") & F.col("exception").isNull(), F.lit(False))
     message = F.coalesce(
         F.col("exception"),
-        F.concat(F.lit("HTTP "), F.coalesce(status.cast("string"), F.lit("No response"))))
+        F.concat(F.lit("HTTP "), status.cast("string")), F.lit(NO_RESPONSE))
     return attempts.select(
         "url", ok.alias("ok"),
         *[(F.col(c) if c in attempts.columns else nothing).alias(c)

@@ -39,6 +39,7 @@ MIN_TITLE, MIN_CONTENT, MAX_TAG = 5, 100, 100
 FIRST_VALUE_SELECTORS = TITLE + AUTHOR + PUBLISHED + CATEGORY + DESCRIPTION
 ALL_SELECTORS = tuple(dict.fromkeys(FIRST_VALUE_SELECTORS + CONTENT + TAGS + IMAGES))
 
+
 def scan_pages(pages: DataFrame) -> DataFrame:
     """``pages`` with what the selectors find in them, from one scan.
 
@@ -146,7 +147,8 @@ def extract_articles(
 ) -> DataFrame:
     """The article of each page; columns ``keep`` of ``pages`` come along.
 
-    A page without markup keeps its row, with null fields and an ``error``.
+    A page that cannot be read keeps its row, with null fields and an
+    ``error``; the job goes on.
     """
     scanned = scan_pages(pages.select(*keep, "url", "html"))
     fields = scanned.select(
@@ -154,7 +156,7 @@ def extract_articles(
         author(host).alias("author"), published_date().alias("published_date"),
         category().alias("category"), tags().alias("tags"), images().alias("images"),
         description().alias("description"),
-        F.when(F.col("elements").isNull(), F.lit("no markup")).alias("error"))
+        F.when(F.col("elements").isNull(), F.lit("no readable markup")).alias("error"))
     row = F.struct(
         *keep, "url", "title", "content", "author", "published_date", "category",
         "tags", "images", "description", F.lit(language).alias("language"),

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from folioloom.operators import batches as B, extract as X, merge as M, state as S
+from folioloom.operators.attempts import NO_ARTICLE
 from folioloom.operators.runs import start_run, update_runs
 from folioloom.schemas import BATCH_SIZE, COMPLETED, MAX_FAILURES, MAX_RETRIES
 from folioloom.sources import sitemaps, tables
@@ -73,7 +74,7 @@ def crawl_cycle(
     rejected = articles.where("NOT valid").select(
         "url", F.lit(False).alias("ok"), nothing.alias("batch_id"),
         nothing.alias("content_hash"),
-        F.lit("No content extracted or validation failed").alias("error_message"),
+        F.lit(NO_ARTICLE).alias("error_message"),
         at, F.lit("").alias("seq"))
     return S.apply_changes(state, stored.unionByName(rejected), max_retries)
 

@@ -13,7 +13,7 @@ def make_session():
     from pyspark.sql import SparkSession
 
     scratch = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    spark = (
+    builder = (
         SparkSession.builder.master("local[8]").appName("folioloom-tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
@@ -21,8 +21,11 @@ def make_session():
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.checkpoint.dir", scratch + "/checkpoints")
-        .config("spark.sql.warehouse.dir", scratch + "/warehouse")
-        .getOrCreate())
+        .config("spark.sql.warehouse.dir", scratch + "/warehouse"))
+    # e.g. "spark.sql.autoBroadcastJoinThreshold=-1,spark.sql.adaptive.enabled=false"
+    for setting in filter(None, os.environ.get("TEST_SPARK_CONF", "").split(",")):
+        builder = builder.config(*setting.split("=", 1))
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("OFF")
     return spark
 

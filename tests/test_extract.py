@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from folioloom.functions.markup import compile_rules, find_elements
 from folioloom.operators import extract as X
@@ -82,7 +81,7 @@ def test_missing_fields(spark):
     a = extract(spark, "<p>nothing here</p>", language="fr")
     assert (a.title, a.content, a.tags, a.images, a.word_count) == (None, None, None, None, 0)
     assert (a.author, a.language) == ("Sport", "fr")
-    assert extract(spark, None).error == "no markup"
+    assert extract(spark, None).error == "no readable markup"
     assert extract(spark, "").error is None
 
 
