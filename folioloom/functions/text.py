@@ -59,13 +59,21 @@ def drop_tags(col: Column) -> Column:
     return F.regexp_replace(col, TAG, "$1")
 
 
+def _decode(col: Column) -> Column:
+    for entity, char in ENTITIES:
+        col = F.replace(col, F.lit(entity), F.lit(char))
+    return _where_found("&#", col, lambda t: F.regexp_replace(t, DECIMAL_REFERENCE, ""))
+
+
+def _where_found(mark: str, col: Column, fn: Callable[[Column], Column]) -> Column:
+    """``fn`` for texts that contain ``mark``; finding it is cheaper than a pattern."""
+    return once(col, lambda t: F.when(F.contains(t, F.lit(mark)), fn(t)).otherwise(t))
+
+
 def strip_html(col: Column) -> Column:
     """Markup to one line of text: tags, five entities, decimal references."""
     text = F.regexp_replace(col, TAG, "$1 ")
-    for entity, char in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    text = F.regexp_replace(text, DECIMAL_REFERENCE, "")
-    return F.trim(collapse(text))
+    return F.trim(collapse(_where_found("&", text, _decode)))
 
 
 def drop_control(col: Column) -> Column:

@@ -31,7 +31,7 @@ def normal(value):
     if isinstance(value, bool) or value is None:
         return str(value)
     if isinstance(value, (int, float)):
-        return f"{float(value):.9g}"
+        return repr(float(value))
     if hasattr(value, "tzinfo") and getattr(value, "tzinfo", None) is not None:
         value = value.replace(tzinfo=None)
     return str(value)
