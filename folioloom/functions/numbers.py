@@ -4,10 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from folioloom.functions.text import once
+
 
 def percent(part: Column, whole: Column) -> Column:
-    """``100 * part / whole`` with one decimal, 0 when there is no whole."""
-    return F.when(whole > 0, F.round(F.try_divide(100 * part, whole), 1)).otherwise(F.lit(0.0))
+    """``part / whole * 100`` with one decimal, 0 when there is no whole.
+
+    Rounded by the binary value, ties up: ``round`` would go by the shortest
+    decimal form, where 0.35 looks like a tie although it lies below one.
+    """
+    def rounded(x: Column) -> Column:
+        # Only quarters are exact ties; format_number would take them to even.
+        nearest = F.replace(F.format_number(x, 1), F.lit(","), F.lit("")).cast("double")
+        return F.when(x * 4 == F.floor(x * 4), F.floor(x * 10 + 0.5) / 10).otherwise(nearest)
+
+    exact = F.try_divide(part.cast("double"), whole) * 100
+    return F.when(whole > 0, once(exact, rounded)).otherwise(F.lit(0.0))
 
 
 def seconds_between(start: Column, end: Column) -> Column:

@@ -61,7 +61,9 @@ def is_article(url: str) -> str:
 
 
 def percent(a: str, b: str) -> str:
-    return f"CASE WHEN {b} > 0 THEN round(100 * {a} / {b}, 1) ELSE 0.0 END"
+    x = f"({a}::DOUBLE / {b} * 100)"
+    return (f"CASE WHEN NOT {b} > 0 THEN 0.0::DOUBLE WHEN {x} * 4 = floor({x} * 4) "
+            f"THEN floor({x} * 10 + 0.5) / 10 ELSE CAST(printf('%.1f', {x}) AS DOUBLE) END")
 
 
 def seconds(a: str, b: str) -> str:

@@ -109,3 +109,12 @@ def test_percent_and_eta(spark):
     df = spark.createDataFrame([(1, 3), (1, 0), (0, 7), (2, 2)], "a bigint, b bigint")
     assert [r[0] for r in df.select(N.percent(F.col("a"), F.col("b"))).collect()] == [
         33.3, 0.0, 0.0, 100.0]
+
+
+def test_percent_rounds_by_the_binary_value(spark):
+    from decimal import ROUND_HALF_UP, Decimal
+
+    pairs = [(a, b) for b in (7, 16, 400, 800, 1000, 2000) for a in range(0, b + 1, 1 + b // 150)]
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "i int, a bigint, b bigint")
+    got = [r.x for r in df.select("i", N.percent(F.col("a"), F.col("b")).alias("x")).orderBy("i").collect()]
+    assert got == [float(Decimal(a / b * 100).quantize(Decimal("0.1"), ROUND_HALF_UP)) for a, b in pairs]

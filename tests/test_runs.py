@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from folioloom.operators import runs as R, attempts as A
+from folioloom.operators import attempts as A, runs as R, state as S
 from folioloom.plans import flows
 from folioloom.schemas import RUN_SCHEMA, STATE_SCHEMA
 from helpers import rows, ts
@@ -118,6 +118,21 @@ def test_crawl_cycle(spark, tmp_path):
         "status", "processed_urls", "successful_urls", "failed_urls")) == [("completed", 4, 3, 1)]
 
 
+def test_crawl_cycle_with_a_url_fetched_many_times(spark, tmp_path):
+    """A third of the pages are one URL; with a page id they are spread and all kept."""
+    pages = spark.range(90).select(
+        F.col("id").alias("page_id"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("u"), "id")).alias("url"),
+        F.lit(page("A long title", "x" * 150)).alias("html"))
+    urls = pages.select("url", F.lit(None).cast("string").alias("lastmod"))
+    state = S.new_urls(urls, spark.createDataFrame([], STATE_SCHEMA), ts("2024-01-01"))
+    got = flows.crawl_cycle(spark, state, pages, str(tmp_path), "run", ts("2024-03-01"),
+                            batch_size=7, keys=("url", "page_id"))
+    assert rows(got.groupBy("status").count()) == [("done", 61)]
+    sizes = sorted(r.page_count for r in spark.read.parquet(str(tmp_path / "batches")).collect())
+    assert sizes == [6] + [7] * 12
+
+
 def test_check_new(spark):
     entry = "url string, lastmod string, pos int"
     main = spark.createDataFrame([("a", None, 0), ("b", None, 1)], entry)
