@@ -39,16 +39,16 @@ def _outcomes(
         .when(status == 200, F.lit(NO_ARTICLE))
         .when(status == 404, F.lit(NOT_FOUND))
         .otherwise(F.concat(F.lit("HTTP "), status.cast("string"))))
-    result = F.struct(
-        F.when(error.isNull(), F.lit("success")).otherwise(F.lit("error")).alias("outcome"),
-        error.alias("error"))
-    exhausted = F.struct(
-        F.lit("error").alias("outcome"),
-        F.lit(EXHAUSTED.format(max_attempts)).alias("error"))
-    settled = F.min_by(result, F.when(settles, F.col("attempt")))
+    # The least (attempt, error): of repeated entries for one attempt a success
+    # comes first, so the result does not depend on the order of the log.
+    settled = F.min(F.when(settles, F.struct("attempt", error.alias("error"))))
     return (
         attempts.where(F.col("attempt") <= max_attempts)
-        .groupBy(*keys).agg(F.coalesce(settled, exhausted).alias("r"), *extra))
+        .groupBy(*keys).agg(settled.alias("settled"), *extra)
+        .withColumn("error", F.when(
+            F.col("settled").isNull(), F.lit(EXHAUSTED.format(max_attempts)))
+            .otherwise(F.col("settled.error")))
+        .withColumn("outcome", F.when(F.col("error").isNull(), "success").otherwise("error")))
 
 
 def attempt_outcome(
@@ -61,8 +61,7 @@ def attempt_outcome(
     The first attempt that settles the fetch decides; later ones and those
     beyond ``max_attempts`` do not count.  If none settles it, the fetch failed.
     """
-    return _outcomes(attempts, keys, max_attempts).select(
-        *keys, "r.outcome", "r.error")
+    return _outcomes(attempts, keys, max_attempts).select(*keys, "outcome", "error")
 
 
 def run_summary(
@@ -75,7 +74,7 @@ def run_summary(
     """
     per_url = _outcomes(attempts, (run, "url"), max_attempts,
                         F.min("ts").alias("first"), F.max("ts").alias("last"))
-    outcome = F.col("r.outcome")
+    outcome = F.col("outcome")
     return per_url.groupBy(run).agg(
         F.count("*").alias("processed"),
         F.count_if(outcome == "success").alias("successful"),

@@ -11,7 +11,8 @@ def content_changed(crawl: DataFrame, state: DataFrame, order: str) -> DataFrame
     ``crawl``: ``url, content_hash`` and an ``order`` column; of several
     crawls of a URL the last one counts.
     """
-    latest = crawl.groupBy("url").agg(F.max_by("content_hash", order).alias("new_hash"))
+    latest = crawl.groupBy("url").agg(F.max_by(
+        "content_hash", F.struct(order, "content_hash")).alias("new_hash"))
     stored = state.select("url", F.col("content_hash").alias("old_hash"))
     return latest.join(stored, "url", "left").select(
         "url",
