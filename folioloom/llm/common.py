@@ -7,9 +7,13 @@ import sys
 import tempfile
 import uuid
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: The bytes A-Z lowered, and those that separate words of letters and digits.
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -28,6 +32,33 @@ def letter_words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "replace").translate(LETTERS).split() if text else []
 
 
+def split_words(texts: pa.Array, table: bytes | None = None) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """The white-space separated words of a column, after replacing bytes by the table.
+
+    Gives (codes, starts, words): text i has the words numbered codes[starts[i]:starts[i + 1]], and
+    words holds each different word once. Null has no words. The table may only change ASCII.
+    """
+    texts = pc.fill_null(texts.cast(pa.string()), "")
+    n = len(texts)
+    if table is not None and n:
+        at = np.frombuffer(texts.buffers()[1], np.int32, n + 1, 4 * texts.offset)
+        raw = texts.buffers()[2]
+        data = np.frombuffer(raw, np.uint8)[at[0]:at[-1]] if raw is not None else np.zeros(0, np.uint8)
+        data = np.frombuffer(table, np.uint8)[data]
+        texts = pa.StringArray.from_buffers(n, pa.py_buffer((at - at[0]).astype(np.int32)), pa.py_buffer(data))
+    lists = pc.ascii_split_whitespace(texts)
+    starts = lists.offsets.to_numpy().astype(np.int64)
+    coded = lists.values[starts[0]:starts[-1]].dictionary_encode()
+    codes, words = coded.indices.to_numpy(), coded.dictionary
+    starts = starts - starts[0]
+    empty = pc.index(words, pa.scalar("", words.type)).as_py()
+    if empty >= 0:  # before leading and after trailing white space
+        some = codes != empty
+        starts = np.concatenate(([0], np.cumsum(some)))[starts]
+        codes = codes[some]
+    return codes, starts, words
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder in the one named by spark.checkpoint.dir, which all executors share.
 
@@ -64,6 +95,51 @@ def ship(spark: SparkSession, value):
     return get
 
 
+def add_columns(docs: DataFrame, text: str, fields: list[T.StructField], compute) -> DataFrame:
+    """docs with columns that compute makes of the texts: compute(texts) -> one array per field.
+
+    Columns of docs that have the names of the new ones are replaced.
+    """
+    names = [c for c in docs.columns if c not in {f.name for f in fields}]
+    inner = docs.select(*(F.col(f"`{c}`").alias(f"in_{i}") for i, c in enumerate(names)),
+                        F.col(f"`{text}`").cast("string").alias("added_text"))
+    new = [T.StructField(f"added_{i}", f.dataType) for i, f in enumerate(fields)]
+    schema = T.StructType(inner.schema.fields[:-1] + new)
+
+    def run(batches):
+        for batch in batches:
+            old = batch.columns[:-1]
+            yield pa.RecordBatch.from_arrays([*old, *compute(batch.columns[-1])], names=schema.names)
+
+    added = inner.mapInArrow(run, schema)
+    return added.select(*(F.col(f"in_{i}").alias(c) for i, c in enumerate(names)),
+                        *(F.col(f"added_{i}").alias(f.name) for i, f in enumerate(fields)))
+
+
+def split_of(doc_id: str, parts: int):
+    """crc32 of the id as text, modulo parts. Null has none."""
+    return F.crc32(F.col(doc_id).cast("string")) % parts
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, *, doc_id: str, text: str,
+                    most: int, training) -> DataFrame:
+    """(text, label) of at most `most` labelled training documents of each class, by the hash of
+    their ids. Several labels of an id count as the largest; an id with several texts counts once,
+    with the largest. training: the condition on the column doc_id that marks rows to learn from.
+    """
+    marks = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).alias("label")).where(
+        F.col("label").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
+        F.max("label").cast("int").alias("label")).where(training)
+    order = (F.xxhash64("doc_id"), F.col("doc_id"))
+    chosen = marks.where("label = 0").orderBy(*order).limit(most).unionByName(
+        marks.where("label = 1").orderBy(*order).limit(most))
+    texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
+    # Twice `most` ids and marks: a bounded broadcast.
+    found = texts.join(F.broadcast(chosen), "doc_id")
+    once = found.groupBy("doc_id", "label").agg(F.max(F.struct(F.coalesce("text", F.lit("")).alias("text"))).alias("t"))
+    return once.select("doc_id", F.col("t.text").alias("text"), "label")
+
+
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) for every node of an edge, component being its smallest reachable node.
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioloom.llm import decontaminate, simhash
+from folioloom.llm import decontaminate, embedding_dedup, packing, quality, simhash, toxicity
+from folioloom.llm.common import split_of
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,13 +21,54 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    pieces = packing.tokenize(
+        table(spark, sf_dir, "documents"), tokenizer or tokenizer_path("word_bpe_49k.json"))
+    return packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+
+
+def held_out(remainder: int, parts: int):
+    return F.coalesce(split_of("doc_id", parts) == remainder, F.lit(False))
+
+
+def judged(scored: DataFrame, threshold: float) -> DataFrame:
+    return scored.select("doc_id", held_out(2, 4).alias("held_out"), "score",
+                         (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def op4_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return judged(quality.score(docs.select("doc_id", "text"), model), quality.THRESHOLD)
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return judged(toxicity.score(docs.select("doc_id", "text"), model), toxicity.THRESHOLD)
+
+
 def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op2_embedding_dedup": op2_embedding_dedup,
+    "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_quality_ranking": op4_quality_ranking,
     "op6_simhash_dedup": op6_simhash_dedup,
+    "op9_toxicity": op9_toxicity,
 }
 
 #: SQL for DuckDB, where it can say the same.

@@ -137,7 +137,8 @@ def links(bits: DataFrame, distance: int = DISTANCE) -> DataFrame:
     if not 0 <= distance <= 4:
         raise ValueError("distance must be from 0 to 4")
     home = replicas(bits, 0).select("anchor", F.col("fingerprint").alias("a"))
-    near = replicas(bits, distance).select("anchor", F.col("fingerprint").alias("b"))
+    wide = int(bits.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    near = replicas(bits.repartition(wide, "fingerprint"), distance).select("anchor", F.col("fingerprint").alias("b"))
     return home.join(near, "anchor").where(
         (F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance)).select("a", "b")
 
