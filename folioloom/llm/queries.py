@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioloom.llm import decontaminate, embedding_dedup, packing, quality, simhash, toxicity
+from folioloom.llm import (
+    decontaminate, embedding_dedup, licenses, ngram_lm, packing, quality, simhash, tool_calls,
+    toxicity, url_rules)
 from folioloom.llm.common import split_of
 
 
@@ -52,6 +54,45 @@ def op4_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(quality.score(docs.select("doc_id", "text"), model), quality.THRESHOLD)
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+#: The tools that turns of a conversation are taken for.
+TURN = {"type": "object", "additionalProperties": False, "required": ["text", "turn"], "properties": {
+    "text": {"type": "string", "minLength": 1}, "turn": {"type": "integer", "minimum": 0}}}
+TOOLS = {"user": TURN, "system": TURN}
+
+
+def conversation_calls(turns: DataFrame) -> DataFrame:
+    """Turns as tool messages: an assistant's turn is the result of the turn before it; any other
+    turn is a call, which depends on the call that was answered just before."""
+    def at(back: int):
+        return F.concat(F.col("conv_id").cast("string"), F.lit(":"), (F.col("turn") - back).cast("string"))
+
+    answer = F.coalesce(F.col("role") == "assistant", F.lit(False))
+    return turns.select(
+        "conv_id", "turn", F.when(answer, "result").otherwise("call").alias("kind"),
+        F.when(answer, at(1)).otherwise(at(0)).alias("call_id"), F.when(~answer, F.col("role")).alias("name"),
+        F.when(~answer, F.to_json(F.struct("text", "turn"), {"ignoreNullFields": "false"})).alias("arguments"),
+        F.when(~answer & (F.col("turn") >= 2), F.array(at(2))).otherwise(F.array().cast("array<string>")).alias("depends_on"),
+        F.when(answer, F.col("text")).alias("content"))
+
+
+def op7_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return tool_calls.link(conversation_calls(turns), TOOLS).withColumn("errors", F.array_join("errors", "; "))
+
+
+def op8_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = ngram_lm.score(table(spark, sf_dir, "documents"))
+    return scored.withColumn("held_out", held_out(0, 10)).drop("training")
+
+
+def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge(table(spark, sf_dir, "pages").select("page_id", "url"), url_rules.rules_of(spark))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -67,9 +108,13 @@ QUERIES = {
     "op2_embedding_dedup": op2_embedding_dedup,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_quality_ranking": op4_quality_ranking,
+    "op5_license_scan": op5_license_scan,
     "op6_simhash_dedup": op6_simhash_dedup,
+    "op7_tool_calls": op7_tool_calls,
+    "op8_backoff_lm": op8_backoff_lm,
     "op9_toxicity": op9_toxicity,
+    "op10_url_rules": op10_url_rules,
 }
 
 #: SQL for DuckDB, where it can say the same.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op10_url_rules": url_rules.oracle()}
