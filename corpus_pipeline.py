@@ -1,38 +1,66 @@
-"""The corpus pipeline: documents through five stages, each a written table."""
+"""The corpus pipeline: documents through five stages, each a written table.
+
+Clean documents stay whole in every filtering stage. Null and empty texts are judged like any other
+text by each stage's operator; repeated rows are near-duplicates of each other, of which one stays.
+Extra columns go through to the last stage, which returns pieces of documents.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from folioloom.llm import decontaminate as clean
-from folioloom.llm import simhash
+from folioloom.llm import decontaminate, packing, quality, simhash, toxicity
 from folioloom.llm.common import stored
-from folioloom.llm.queries import table
+from folioloom.llm.queries import table, tokenizer_path
 
-#: SQL can't express the learned stages; tests/llm compares each stage with a brute-force version.
+#: SQL can't express the learned stages; tests/llm holds the stages against brute-force versions.
 ORACLE_SQL = None
 
 
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose quality score is at the threshold or above."""
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, model, column="quality_score").where(
+        F.col("quality_score") >= quality.THRESHOLD).select(docs.columns)
+
+
+def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity score is below the threshold."""
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model, column="toxicity_score").where(
+        F.col("toxicity_score") < toxicity.THRESHOLD).select(docs.columns)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays: the one with the smallest doc_id."""
     return simhash.keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without benchmark passages."""
-    found = clean.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    """Documents that are not contaminated by the benchmark."""
+    found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
     return found.where("NOT contaminated").select(docs.columns)
 
 
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents and their places in sequences."""
+    pieces = packing.tokenize(docs, tokenizer_path("word_bpe_49k.json"))
+    return packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+
+
 STAGES = [
+    ("quality", good_quality),
+    ("toxicity", not_toxic),
     ("simhash_dedup", near_duplicates),
     ("decontamination", decontamination),
+    ("packing", packed),
 ]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents, each reading what the one before wrote."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
+    for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name)
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -157,4 +157,17 @@ def simhash_groups(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
         "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def keep_one(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
+             distance: int = DISTANCE) -> DataFrame:
+    """The rows of docs that stay: of each group the row with the smallest id, and of rows with that
+    same id one. Groups whose ids are all null keep one row."""
+    # Rows get numbers in the id's order: written, so that they stay the same.
+    numbered = stored(docs.withColumn("simhash_row", F.monotonically_increasing_id()), "numbered")
+    named = simhash_groups(numbered.withColumn("simhash_key", F.struct(
+        F.col(f"`{doc_id}`").isNull().alias("n"), F.col(f"`{doc_id}`").alias("i"), F.col("simhash_row").alias("r"))),
+        doc_id="simhash_key", text=text, shingle=shingle, distance=distance)
+    first = named.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id.r").alias("simhash_row"))
+    return numbered.join(first, "simhash_row", "left_semi").select(docs.columns)
+
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -293,7 +293,8 @@ def calibrate(model: Lexicon, sample: DataFrame) -> Lexicon:
     return model
 
 
-def score(docs: DataFrame, model: Lexicon, *, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+def score(docs: DataFrame, model: Lexicon, *, text: str = "text", threshold: float = THRESHOLD,
+          column: str = "score", passages: str = "passages") -> DataFrame:
     """docs with `score` and `passages`: the significant passages (first word, last word, score)."""
     sent = ship(docs.sparkSession, model)
 
@@ -306,7 +307,8 @@ def score(docs: DataFrame, model: Lexicon, *, text: str = "text", threshold: flo
                        if lexicon.expected(s, n) <= CHANCE] for n, x in found],
                      pa.list_(pa.struct([("first_word", pa.int64()), ("last_word", pa.int64()), ("score", pa.float64())])))]
 
-    return add_columns(docs, text, [T.StructField("score", T.DoubleType()), T.StructField("passages", PASSAGES)], compute)
+    return add_columns(docs, text, [
+        T.StructField(column, T.DoubleType()), T.StructField(passages, PASSAGES)], compute)
 
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
