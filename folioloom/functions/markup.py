@@ -14,7 +14,7 @@ import html as html_lib
 import re
 import sys
 from collections import Counter
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -32,13 +32,10 @@ _ARROW_TYPE = pa.struct([
     ("picks", pa.list_(pa.list_(pa.int32())))])
 
 _PART = re.compile(r"(\w*)(?:\.([\w-]+))?(?:\[(\w+)(?:='([^']*)')?\])?$")
-# A quoted value may hold "<" only over a short stretch: an unclosed quote then
-# costs a bounded look ahead, and the scan stays linear on broken pages.
-_QUOTED = r"\"[^\"<]*+(?:\"|[^\"]{0,999}\")|'[^'<]*+(?:'|[^']{0,999}')"
-_TAG = re.compile(
-    r"<(?:!--.*?(?:-->|\Z)"
-    r"|([sS](?i:cript|tyle))\b.*?(?:</(?i:\1)\s*>|\Z)"
-    rf"|(/?)([a-zA-Z][^\s/><]*)([^><\"']*+(?:(?:{_QUOTED})[^><\"']*+)*+)>)", re.S)
+_NAME = re.compile(r"[a-zA-Z][^\s/><]*")
+# Where a tag ends, or where a quoted value begins in it.
+_STOP = re.compile(r">|=\s*([\"'])")
+_RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I) for tag in ("script", "style")}
 _ATTRIBUTE = re.compile(
     r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _REFERENCE = re.compile(r"&#?\w+;")
@@ -86,6 +83,59 @@ def compile_rules(selectors: Sequence[str]) -> tuple:
     return targets, scopes, names, re.compile("|".join(sorted(names)), re.I)
 
 
+def read_tags(html: str) -> Iterator[tuple[int, int, bool, str, str]]:
+    """Start, stop, whether it is an end tag, lower-case name and attribute text of each tag.
+
+    A quoted value runs to its next quote, however far.  A comment or a tag
+    that never ends takes the rest of the page.  The contents of scripts and
+    styles are no markup.  The page is read once from left to right.
+    """
+    at = html.find("<")
+    while at >= 0:
+        if html.startswith("<!--", at):
+            stop = html.find("-->", at + 4)
+            if stop < 0:
+                return
+            at = html.find("<", stop + 3)
+            continue
+        end = html.startswith("/", at + 1)
+        name = _NAME.match(html, at + 1 + end)
+        if not name:
+            at = html.find("<", at + 1)
+            continue
+        place = name.end()
+        while True:
+            found = _STOP.search(html, place)
+            if not found:
+                return
+            if not found[1]:
+                break
+            place = html.find(found[1], found.end()) + 1
+            if not place:
+                return
+        stop, tag = found.end(), name[0].lower()
+        if not end and tag in _RAW_END:
+            closing = _RAW_END[tag].search(html, stop)
+            if not closing:
+                return
+            at = closing.start()
+            stop = html.find(">", at)
+            if stop < 0:
+                return
+            at = html.find("<", stop + 1)
+            continue
+        yield at, stop, end, tag, html[name.end():stop - 1]
+        at = html.find("<", stop)
+
+
+def closes_itself(rest: str) -> bool:
+    """Whether a start tag ends in a slash that is not part of an unquoted value."""
+    if not rest.endswith("/"):
+        return False
+    cut = max(map(rest.rfind, " \t\n\r\f\"'")) + 1
+    return "=" not in rest[cut:] and not rest[:cut].rstrip().endswith("=")
+
+
 def find_elements(html: str, rules: tuple) -> list[dict]:
     """The elements of a page that at least one selector picks."""
     targets, scopes, names, asked_for = rules
@@ -101,25 +151,21 @@ def find_elements(html: str, rules: tuple) -> list[dict]:
             for scope in opened:
                 inside[scope] -= 1
 
-    for m in _TAG.finditer(html):
-        _, end, tag, rest = m.groups()
-        if tag is None:
-            continue
-        tag = tag.lower()
+    for start, stop, end, tag, rest in read_tags(html):
         if end:
             if stack and stack[-1][0] == tag:
-                close(len(stack) - 1, m.end())
+                close(len(stack) - 1, stop)
                 continue
             for depth in range(len(stack) - 2, -1, -1):
                 if stack[depth][0] == tag:
-                    close(depth + 1, m.start())
-                    close(depth, m.end())
+                    close(depth + 1, start)
+                    close(depth, stop)
                     break
             continue
         if stack:
             top = stack[-1][0]
             if (top == "p" and tag in ENDS_PARAGRAPH) or (top == tag and tag in ENDS_SAME):
-                close(len(stack) - 1, m.start())
+                close(len(stack) - 1, start)
         record, opened, attrs, keys = None, (), {}, (tag,)
         if rest and asked_for.search(rest):
             attrs = _attributes(rest)
@@ -133,13 +179,13 @@ def find_elements(html: str, rules: tuple) -> list[dict]:
                 if inside[scope] and (not value or attrs[attr] == value):
                     if record is None:
                         attrs = attrs or (_attributes(rest) if rest else attrs)
-                        record = {"selectors": [], "start": m.start(),
-                                  "length": m.end() - m.start(), "body": m.end()}
+                        record = {"selectors": [], "start": start,
+                                  "length": stop - start, "body": stop}
                         for name in ELEMENT_FIELDS:
                             record[name] = attrs.get(name)
                         found.append(record)
                     record["selectors"].append(selector)
-        if tag not in VOID and not rest.endswith("/"):
+        if tag not in VOID and not closes_itself(rest):
             stack.append((tag, record, opened))
             for scope in opened:
                 inside[scope] += 1
@@ -150,7 +196,7 @@ def find_elements(html: str, rules: tuple) -> list[dict]:
 def elements_function(selectors: Sequence[str], text_selectors: Sequence[str]):
     """An Arrow function from markup to ``struct<elements, picks>``.
 
-    Null for a page that cannot be read.  ``picks[i]`` lists the elements selector ``i`` picks, in document order, as
+    Null for a null page.  ``picks[i]`` lists the elements selector ``i`` picks, in document order, as
     positions in ``elements``; it is null when there are none.  ``start``
     counts characters from 0.  ``text`` (character references decoded) is
     filled for elements of ``text_selectors`` only, so that large bodies are
@@ -161,10 +207,9 @@ def elements_function(selectors: Sequence[str], text_selectors: Sequence[str]):
     number = {selector: i for i, selector in enumerate(selectors)}
 
     def scan_page(page: str | None) -> dict | None:
-        try:
-            elements = find_elements(page, rules)
-        except Exception:       # also for null: the row says so in its error column
+        if page is None:        # the row says so in its error column
             return None
+        elements = find_elements(page, rules)
         picks: list = [None] * len(number)
         for position, element in enumerate(elements):
             body, picked = element.pop("body"), element.pop("selectors")

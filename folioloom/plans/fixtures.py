@@ -73,12 +73,12 @@ SELECT concat('crawl_', CAST(o_orderkey AS STRING)) AS crawl_id,
        CASE WHEN o_orderkey % 10 = 0 THEN 'full' ELSE 'incremental' END AS mode,
        CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'O' THEN 'running' ELSE 'failed' END AS status,
        o_orderdate AS start_time,
-       CASE WHEN o_orderstatus <> 'O' THEN o_orderdate + secs * INTERVAL '1' SECOND END AS end_time,
+       CASE WHEN o_orderstatus <> 'O' THEN o_orderdate + coalesce(secs, 0) * INTERVAL '1' SECOND END AS end_time,
        CAST(0 AS BIGINT) AS total_urls,
-       CASE WHEN o_orderstatus = 'O' AND o_orderkey % 2 = 0 THEN CAST(0 AS BIGINT) ELSE n END AS processed_urls,
-       CASE WHEN o_orderstatus = 'O' AND o_orderkey % 2 = 0 THEN CAST(0 AS BIGINT) ELSE ok END AS successful_urls,
-       CASE WHEN o_orderstatus = 'O' AND o_orderkey % 2 = 0 THEN CAST(0 AS BIGINT) ELSE n - ok END AS failed_urls
-FROM {orders} JOIN (
+       CASE WHEN o_orderstatus = 'O' AND o_orderkey % 2 = 0 THEN CAST(0 AS BIGINT) ELSE coalesce(n, 0) END AS processed_urls,
+       CASE WHEN o_orderstatus = 'O' AND o_orderkey % 2 = 0 THEN CAST(0 AS BIGINT) ELSE coalesce(ok, 0) END AS successful_urls,
+       CASE WHEN o_orderstatus = 'O' AND o_orderkey % 2 = 0 THEN CAST(0 AS BIGINT) ELSE coalesce(n - ok, 0) END AS failed_urls
+FROM {orders} LEFT JOIN (
   SELECT l_orderkey, count(*) AS n, count(*) FILTER (WHERE l_returnflag <> 'R') AS ok,
          CAST(sum(l_quantity) AS BIGINT) AS secs
   FROM {lineitem} GROUP BY l_orderkey) l ON o_orderkey = l_orderkey""",
@@ -109,7 +109,11 @@ SELECT doc_id AS page_id,
               CASE WHEN doc_id % 4 = 0
                    THEN concat('<time datetime="2024-02-', CAST(10 + doc_id % 19 AS STRING), '"></time>')
                    ELSE concat('<span class="date">2024-01-', CAST(10 + doc_id % 20 AS STRING), '</span>') END,
-              '<div class="entry-content"><div><p>',
+              CASE doc_id % 3
+                WHEN 0 THEN concat('<div class="entry-content" data-note="a < b ', repeat('x', 5000), '">')
+                WHEN 1 THEN '<script-loader></script-loader><style-guide></style-guide><div class="entry-content">'
+                ELSE '<div class=entry-content><a href=/up/></a>' END,
+              '<div><p>',
               replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'),
               '</p></div><img src="http://img.example/', CAST(doc_id AS STRING), '.png">',
               '<img src="/rel.png" data-src="http://img.example/no.png">',

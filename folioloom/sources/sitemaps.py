@@ -15,9 +15,9 @@ from folioloom.functions.urls import is_article_url
 
 _CORRUPT = "_corrupt_record"
 _XML_SCHEMA = (
-    "sitemap ARRAY<STRUCT<loc STRING>>, "
-    "url ARRAY<STRUCT<loc STRING, lastmod STRING,"
-    " video ARRAY<STRUCT<loc STRING, publication_date STRING>>>>, "
+    "sitemap ARRAY<STRUCT<loc ARRAY<STRING>>>, "
+    "url ARRAY<STRUCT<loc ARRAY<STRING>, lastmod ARRAY<STRING>,"
+    " video ARRAY<STRUCT<loc ARRAY<STRING>, publication_date ARRAY<STRING>>>>>, "
     f"{_CORRUPT} STRING"
 )
 _XML_OPTIONS = {
@@ -28,20 +28,28 @@ _XML_OPTIONS = {
 
 
 def _parsed(body: Column) -> Column:
-    return F.from_xml(body, _XML_SCHEMA, _XML_OPTIONS)
+    """The document, or null unless all of it is well-formed, up to its last tag."""
+    doc = F.from_xml(body, _XML_SCHEMA, _XML_OPTIONS)
+    return F.when(doc[_CORRUPT].isNull() & body.rlike(r">\s*\z"), doc)
+
+
+def _first(values: Column) -> Column:
+    """The text of the first of several elements; null if that holds elements."""
+    value = F.get(values, F.lit(0))
+    return F.when(~value.contains("<"), value)
 
 
 def _entries(doc: Column) -> Column:
     """All pages of a document, then all its videos, as one array."""
     urls = F.coalesce(doc["url"], F.array())
     pages = F.transform(urls, lambda u: F.struct(
-        u["loc"].alias("url"),
-        blank_to_null(u["lastmod"]).alias("lastmod"),
+        _first(u["loc"]).alias("url"),
+        blank_to_null(_first(u["lastmod"])).alias("lastmod"),
         F.lit(False).alias("is_video")))
     videos = F.flatten(F.transform(urls, lambda u: F.transform(
         F.coalesce(u["video"], F.array()), lambda v: F.struct(
-            v["loc"].alias("url"),
-            blank_to_null(v["publication_date"]).alias("lastmod"),
+            _first(v["loc"]).alias("url"),
+            blank_to_null(_first(v["publication_date"])).alias("lastmod"),
             F.lit(True).alias("is_video")))))
     return F.concat(pages, videos)
 
@@ -77,7 +85,7 @@ def index_children(index_docs: DataFrame) -> DataFrame:
         .select(F.col("doc_url").alias("index_url"), _parsed(F.col("body")).alias("doc"))
         .select("index_url", F.posexplode("doc.sitemap").alias("sitemap_no", "child"))
         .select("index_url", F.col("sitemap_no").cast("bigint").alias("sitemap_no"),
-                F.col("child.loc").alias("doc_url"))
+                _first(F.col("child.loc")).alias("doc_url"))
         .where(F.col("doc_url") != ""))
 
 

@@ -124,3 +124,33 @@ def test_pages_are_scanned_once_and_pruned(spark, tmp_path):
 def test_long_pages_keep_their_end(spark):
     a = extract(spark, "<article>" + "word " * 200_000 + "last</article>")
     assert a.word_count == 200_001 and a.content.endswith("word last")
+
+
+def elements(markup, *selectors):
+    from folioloom.functions.markup import compile_rules, find_elements
+    return [markup[e["body"]:e["start"] + e["length"]] for e in find_elements(markup, compile_rules(selectors))]
+
+
+def test_long_quoted_values_do_not_hide_elements():
+    for n in (900, 1_200, 200_000):
+        assert elements(f'<div class="x" data-j="a<{"y" * n}>">in</div>', "div.x") == ["in</div>"]
+
+
+def test_custom_elements_are_not_scripts():
+    page = "<script-loader></script-loader><style-guide>a</style-guide><script>'<h1>no</h1>'</script ><h1>T</h1>"
+    assert elements(page, "h1") == ["T</h1>"]
+
+
+def test_unquoted_values_may_end_in_a_slash():
+    assert elements("<a href=/x/>Name</a>", "a") == ["Name</a>"]
+    assert elements("<a href= />Name</a>", "a") == ["Name</a>"]
+    assert elements("<a/>x<a b='c'/>y<a b />z", "a") == ["", "", ""]
+
+
+def test_broken_markup_is_read_in_linear_time():
+    import time
+    for page in ("<" * 300_000, "<a b='" * 60_000, "<a b=" * 60_000, "<script>" * 60_000, "<!--" * 60_000, "<a " * 60_000,
+                 "<a =  " * 60_000 + "'"):
+        start = time.perf_counter()
+        elements(page + "<h1>T", "h1")
+        assert time.perf_counter() - start < 2

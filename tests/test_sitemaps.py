@@ -102,3 +102,26 @@ def test_counts(spark):
     assert rows(M.unique_urls(main, news)) == [(3,)]
     empty = main.where("false")
     assert rows(M.source_counts(empty, empty, state)) == [(0, 0, 0, 2)]
+
+
+def test_documents_are_read_whole_or_not_at_all(spark):
+    from folioloom.sources import sitemaps
+    page = "<url><loc>https://s/news/{}</loc></url>"
+    bodies = {
+        "good": f"<urlset>{page.format(1)}</urlset>\n",
+        "entity": f"<urlset>{page.format(1)}<url><loc>https://s/news/&undefined;</loc></url>{page.format(3)}</urlset>",
+        "tail": f"<urlset>{page.format(1)}</urlset>garbage<",
+        "words": f"<urlset>{page.format(1)}</urlset>garbage",
+        "cut": f"<urlset>{page.format(1)}<url><loc>https://s/ne",
+        "null": None}
+    docs = spark.createDataFrame(list(bodies.items()), "doc_url string, body string")
+    assert [r.doc_url for r in sitemaps.urlset_entries(docs).collect()] == ["good"]
+
+
+def test_the_first_of_several_elements_counts(spark):
+    from folioloom.sources import sitemaps
+    body = ("<urlset xmlns:image='i'><url><loc>https://s/news/1</loc><loc>https://s/news/2</loc><image:loc>https://s/news/3</image:loc>"
+            "<lastmod><b>2024</b></lastmod></url><url><lastmod>2024</lastmod><loc>https://s/news/4</loc></url></urlset>")
+    docs = spark.createDataFrame([("d", body)], "doc_url string, body string")
+    assert [(r.url, r.lastmod) for r in sitemaps.urlset_entries(docs).collect()] == [
+        ("https://s/news/1", None), ("https://s/news/4", "2024")]
