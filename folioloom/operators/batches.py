@@ -7,6 +7,10 @@ that need no sampling and come out the same whenever a task is run again.
 Counting the ranges (a pass over the keys only) gives the rank at which each
 starts; rows are then shuffled once, together with their neighbours in rank,
 and ranked and packed where they land.
+
+Keys may repeat: rows get numbers when they are stored, and a range with more
+rows than a group is cut into parts by these numbers.  So no part reaches
+into more than two groups, whatever the keys.
 """
 
 from __future__ import annotations
@@ -17,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from folioloom.functions.text import content_hash, truncate
 from folioloom.operators.state import apply_changes
+from folioloom.sources.tables import shared_dir
 from folioloom.schemas import (
     ARTICLE_SCHEMA, BATCH_MESSAGE_CHARS, BATCH_SIZE, MAX_RETRIES)
 
@@ -24,6 +29,7 @@ BUCKET_DIGITS = 5                    # hexadecimal digits of the MD5
 BUCKETS = 16 ** BUCKET_DIGITS        # about a million: bounds the broadcast below
 BUCKETS_PER_GROUP = 8                # at least; keeps rows copied to two groups few
 BATCHES_PER_GROUP = 50               # at least
+ROW = "row_no"                       # column that tells rows apart
 
 # Values for columns the articles do not have (fixed values); others get null.
 ARTICLE_DEFAULTS = {"url": "", "title": "", "content": "", "language": "ar", "word_count": 0}
@@ -32,9 +38,9 @@ ARTICLE_DEFAULTS = {"url": "", "title": "", "content": "", "language": "ar", "wo
 def batch_projection(articles: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """The article columns of the sink.  A null that is present stays null.
 
-    ``keys`` outside the article columns come along.
+    ``keys`` outside the article columns and row numbers come along.
     """
-    extra = [k for k in keys if k not in ARTICLE_SCHEMA.names]
+    extra = [k for k in (*keys, ROW) if k not in ARTICLE_SCHEMA.names and (k != ROW or k in articles.columns)]
     return articles.select(*extra, *[
         (F.col(f.name) if f.name in articles.columns
          else F.lit(ARTICLE_DEFAULTS.get(f.name))).cast(f.dataType).alias(f.name)
@@ -49,30 +55,53 @@ def _bucket(order: Column) -> Column:
     return F.conv(F.substring(order, 1, BUCKET_DIGITS), 16, 10).cast("int")
 
 
-def _bucket_starts(articles: DataFrame, batch_size: int, keys: Sequence[str]) -> DataFrame:
-    """``(bucket, bucket_start, group_no, group_batches)``, one row per bucket
-    and group it reaches into.
+def numbered(articles: DataFrame) -> DataFrame:
+    """The articles as a stored table with a number for each row."""
+    if ROW in articles.columns:
+        return articles
+    path = shared_dir(articles.sparkSession)
+    articles.withColumn(ROW, F.monotonically_increasing_id()).write.parquet(path)
+    return articles.sparkSession.read.parquet(path)
+
+
+def _part(parts: Column) -> Column:
+    return F.pmod(F.xxhash64(ROW), parts).cast("int")
+
+
+def _bucket_parts(keyed: DataFrame, batch_size: int) -> DataFrame:
+    """``(bucket, n, group_batches, parts)`` from the rows' ``bucket``.
 
-    A group is a run of ``group_batches`` batches.  There are at most
-    ``BUCKETS`` counts whatever the data, so the running sum over them is small.
+    A group is a run of ``group_batches`` batches; a part holds about half a group.
     """
-    counts = articles.groupBy(_bucket(_order(keys)).alias("bucket")).agg(
-        F.count("*").alias("n"))
-    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.orderBy("bucket").rowsBetween(
         Window.unboundedPreceding, Window.unboundedFollowing)
-    batches = F.ceil(BUCKETS_PER_GROUP * F.col("total") / (BUCKETS * batch_size))
+    batches = F.ceil(BUCKETS_PER_GROUP * F.sum("n").over(everything) / (BUCKETS * batch_size))
+    counts = keyed.groupBy("bucket").agg(F.count("*").alias("n"))
+    return counts.withColumn("group_batches", F.greatest(F.lit(BATCHES_PER_GROUP), batches)).withColumn(
+        "parts", F.when(F.col("n") <= F.col("group_batches") * batch_size, 1).otherwise(
+            F.ceil(2 * F.col("n") / (F.col("group_batches") * batch_size))).cast("int"))
+
+
+def _part_starts(keyed: DataFrame, buckets: DataFrame, batch_size: int) -> DataFrame:
+    """``(bucket, part, part_start, group_no, group_batches)``, one row per part
+    and group it reaches into.
+
+    There are at most ``BUCKETS`` ranges whatever the data, and two parts for
+    each group, so the running sum over their counts is small.
+    """
+    large = keyed.join(F.broadcast(buckets.where("parts > 1").select("bucket", "group_batches", "parts")), "bucket")
+    cut = large.groupBy("bucket", _part(F.col("parts")).alias("part"), "group_batches").agg(F.count("*").alias("n"))
+    whole = buckets.where("parts = 1").select("bucket", F.lit(0).alias("part"), "group_batches", "n")
+    before = Window.orderBy("bucket", "part").rowsBetween(Window.unboundedPreceding, -1)
     per_group = F.col("group_batches") * batch_size
     return (
-        counts
-        .withColumn("bucket_start", F.coalesce(F.sum("n").over(before), F.lit(0)))
-        .withColumn("total", F.sum("n").over(everything))
-        .withColumn("group_batches", F.greatest(F.lit(BATCHES_PER_GROUP), batches))
+        whole.unionByName(cut)
+        .withColumn("part_start", F.coalesce(F.sum("n").over(before), F.lit(0)))
         .select(
-            "bucket", "bucket_start", "group_batches",
+            "bucket", "part", "part_start", "group_batches",
             F.explode(F.sequence(
-                F.floor(F.col("bucket_start") / per_group),
-                F.floor((F.col("bucket_start") + F.col("n") - 1) / per_group),
+                F.floor(F.col("part_start") / per_group),
+                F.floor((F.col("part_start") + F.col("n") - 1) / per_group),
             )).alias("group_no")))
 
 
@@ -81,27 +110,32 @@ def assign_batches(
 ) -> DataFrame:
     """Articles with ``group_no, batch_no, page_no`` (numbers from 0).
 
-    ``keys`` must identify an article.  The result is partitioned by
-    ``group_no``; grouping by ``group_no, batch_no`` shuffles nothing more.
-    ``articles`` is read twice, the first time for its keys only: hand in a
-    stored table, not an extraction still to be run.
+    The result is partitioned by ``group_no``; grouping by ``group_no,
+    batch_no`` shuffles nothing more.  Articles without the column ``row_no``
+    are stored once with one, which must tell rows apart and stay the same
+    however often it is read.
     """
-    starts = _bucket_starts(articles, batch_size, keys)
-    in_bucket = Window.partitionBy("group_no", "bucket").orderBy("order_key", *keys)
-    rank = F.col("bucket_start") + F.row_number().over(in_bucket) - 1
+    rows = numbered(articles)
+    keyed = rows.select(ROW, _bucket(_order(keys)).alias("bucket"))
+    buckets = _bucket_parts(keyed, batch_size)
+    starts = _part_starts(keyed, buckets, batch_size)
+    in_part = Window.partitionBy("group_no", "bucket", "part").orderBy("order_key", *keys, ROW)
+    rank = F.col("part_start") + F.row_number().over(in_part) - 1
     return (
-        articles
+        rows
         .withColumn("order_key", _order(keys))
         .withColumn("bucket", _bucket(F.col("order_key")))
-        .join(F.broadcast(starts), "bucket")
-        # A bucket across a group boundary is sent to both groups; each keeps
+        .join(F.broadcast(buckets.select("bucket", "parts")), "bucket")
+        .withColumn("part", _part(F.col("parts")))
+        .join(F.broadcast(starts), ["bucket", "part"])
+        # A part across a group boundary is sent to both groups; each keeps
         # the ranks that are its own.
         .repartition("group_no")
         .withColumn("rank", rank)
         .withColumn("batch_no", F.floor(F.col("rank") / batch_size))
         .withColumn("page_no", F.col("rank") % batch_size)
         .where(F.floor(F.col("batch_no") / F.col("group_batches")) == F.col("group_no"))
-        .drop("order_key", "bucket", "bucket_start", "group_batches", "rank"))
+        .drop("order_key", "bucket", "part", "parts", "part_start", "group_batches", "rank", ROW))
 
 
 def pack_batches(
@@ -150,9 +184,11 @@ def apply_batch_outcome(
 ) -> DataFrame:
     """The state after storing batches, each of them whole or not at all.
 
-    ``results``: ``batch_id, ok, error``.  URLs of a stored batch are done,
-    those of a failed one count one bad crawl.
+    ``results``: ``batch_id, ok, error``; of several for a batch a success
+    counts, else the largest error.  URLs of a stored batch are done, those of
+    a failed one count one bad crawl.
     """
+    results = results.groupBy("batch_id").agg(F.max("ok").alias("ok"), F.max("error").alias("error"))
     message = F.concat(
         F.lit("Batch insert failed: "), truncate(F.col("error"), BATCH_MESSAGE_CHARS))
     changes = members.join(results, "batch_id").select(

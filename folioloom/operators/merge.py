@@ -44,14 +44,18 @@ def unique_urls(main: DataFrame, news: DataFrame) -> DataFrame:
         .agg(F.count("*").alias("unique_urls")))
 
 
-def source_counts(main: DataFrame, news: DataFrame, state: DataFrame) -> DataFrame:
-    """Entries per source, distinct URLs found and URLs already tracked."""
-    per_url = (
+def found_urls(main: DataFrame, news: DataFrame) -> DataFrame:
+    """``(url, m, n)``: how often a URL occurs in each source."""
+    return (
         main.select("url", F.lit(1).alias("m"), F.lit(0).alias("n"))
         .unionByName(news.select("url", F.lit(0).alias("m"), F.lit(1).alias("n")))
         .groupBy("url").agg(F.sum("m").alias("m"), F.sum("n").alias("n")))
+
+
+def source_counts(main: DataFrame, news: DataFrame, state: DataFrame) -> DataFrame:
+    """Entries per source, distinct URLs found and URLs already tracked."""
     tracked = state.agg(F.count("*")).scalar()
-    return per_url.agg(
+    return found_urls(main, news).agg(
         F.coalesce(F.sum("m"), F.lit(0)).alias("main_count"),
         F.coalesce(F.sum("n"), F.lit(0)).alias("news_count"),
         F.count("*").alias("total_found"),

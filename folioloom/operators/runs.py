@@ -29,8 +29,13 @@ def update_runs(runs: DataFrame, updates: DataFrame, now: Column) -> DataFrame:
     """Set the non-null fields of ``updates``; a final status sets ``end_time``.
 
     ``updates``: ``crawl_id, processed_urls, successful_urls, failed_urls,
-    status``, at most one row per run.
+    status``.  Of several rows for a run the largest counts hold, and a final
+    status before one that is not.
     """
+    ends = F.col("status").isin(COMPLETED, FAILED, CANCELLED)
+    updates = updates.groupBy("crawl_id").agg(
+        *(F.max(c).alias(c) for c in ("processed_urls", "successful_urls", "failed_urls")),
+        F.max(F.when(F.col("status").isNotNull(), F.struct(ends.alias("ends"), "status")))["status"].alias("status"))
     final = F.col("u.status").isin(COMPLETED, FAILED, CANCELLED)
     joined = runs.alias("r").join(
         updates.alias("u"), F.col("r.crawl_id") == F.col("u.crawl_id"), "left")

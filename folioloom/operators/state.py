@@ -17,7 +17,6 @@ from folioloom.schemas import (
 from folioloom.sources.tables import shared_dir
 
 STATE_COLUMNS = tuple(STATE_SCHEMA.names)
-TOP_K_ROWS = 100_000     # largest queue taken by a top-k
 
 
 # --- filters -----------------------------------------------------------------
@@ -191,13 +190,11 @@ def run_queue(state: DataFrame, max_urls: int | None = None) -> DataFrame:
     """URLs a run works on: all pending ones, or the ``max_urls`` oldest."""
     if max_urls is None:
         return pending(state)
-    if max_urls <= TOP_K_ROWS:
-        return pending_queue(state, max_urls)
     return oldest_by_range(pending(state), max_urls)
 
 
 def oldest_by_range(rows: DataFrame, n: int) -> DataFrame:
-    """The first ``n`` rows by ``first_seen, url`` for an ``n`` too large for a top-k.
+    """The first ``n`` rows by ``first_seen, url``, for ``n`` of any size.
 
     A top-k passes its rows through one task.  Here the rows are sorted into
     ranges and stored once, so that the ranges stay what they were counted as;

@@ -45,23 +45,20 @@ def crawl_cycle(
     and the parse is the dear part; a lost executor then costs no re-parse.
     URLs are done once their batch is stored.
 
-    Markup is never shuffled.  A queue of bounded size is broadcast and spares
-    the parse of other pages; an unbounded one is joined to the much smaller
-    articles after it.
+    The queue prunes the pages before the parse.  Pages stored in buckets by URL
+    (``save_state_table`` takes any table with that column) lie as the join
+    needs them: their markup is then never shuffled, however long the queue.
     """
     if mode == "full":
         state = S.reset_done(state)
     state = S.reset_errors(state, max_failures)
     queue = S.run_queue(state, max_urls).select("url")
-    small = max_urls is not None and max_urls <= S.TOP_K_ROWS
 
     articles_path, batches_path = f"{out_dir}/articles", f"{out_dir}/batches"
-    if small:
-        pages = pages.join(F.broadcast(queue), "url", "left_semi")
+    pages = pages.join(queue, "url", "left_semi")
     articles = X.extract_articles(pages, keep=[k for k in keys if k != "url"])
-    if not small:
-        articles = articles.join(queue, "url", "left_semi")
     (articles.withColumn("valid", X.is_valid_article())
+     .withColumn(B.ROW, F.monotonically_increasing_id())
      .write.mode("errorifexists").parquet(articles_path))
     articles = spark.read.parquet(articles_path)
     packed = B.pack_batches(articles.where("valid"), run_id, now, batch_size, keys)
@@ -94,11 +91,13 @@ def record_run(
     return update_runs(opened, update, ended)
 
 
-def check_new(
-    main: DataFrame, news: DataFrame, state: DataFrame, order: tuple[str, ...] = M.ENTRY_ORDER
-) -> DataFrame:
-    """What a refresh would find, without writing anything."""
-    fresh = S.new_vs_done(M.merge_entries(main, news, order), state)
-    return M.source_counts(main, news, state).withColumns({
-        "new_count": fresh.select("new_count").scalar(),
-        "done_count": fresh.select("done_count").scalar()})
+def check_new(main: DataFrame, news: DataFrame, state: DataFrame) -> DataFrame:
+    """What a refresh would find, without writing anything.  Each table is read once."""
+    found, known = F.col("m").isNotNull(), F.col("crawled_at").isNotNull()
+    joined = M.found_urls(main, news).join(
+        state.select("url", "crawled_at", F.lit(True).alias("in_state")), "url", "full")
+    return joined.agg(
+        F.coalesce(F.sum("m"), F.lit(0)).alias("main_count"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("news_count"),
+        F.count_if(found).alias("total_found"), F.count("in_state").alias("tracked"),
+        F.count_if(found & ~known).alias("new_count"), F.count_if(found & known).alias("done_count"))

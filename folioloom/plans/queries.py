@@ -75,7 +75,8 @@ def _articles(spark, sf, table="article_pages"):
 def _stored_articles(spark, sf):
     """Valid articles of the given pages, as the table packing starts from."""
     path = tables.shared_dir(spark) + "/articles"
-    X.valid_article(_articles(spark, sf, "pages")).write.parquet(path)
+    (X.valid_article(_articles(spark, sf, "pages"))
+     .withColumn(B.ROW, F.monotonically_increasing_id()).write.parquet(path))
     return spark.read.parquet(path)
 
 
@@ -496,7 +497,7 @@ def sitemap_refresh(spark, sf):
 
 @query
 def check_new(spark, sf):
-    return flows.check_new(_main(spark, sf), _news(spark, sf), _state(spark, sf), POS)
+    return flows.check_new(_main(spark, sf), _news(spark, sf), _state(spark, sf))
 
 
 @query

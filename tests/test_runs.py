@@ -139,4 +139,4 @@ def test_check_new(spark):
     news = spark.createDataFrame([("c", None)], "url string, lastmod string")
     state = spark.createDataFrame([("a", True), ("z", False)], "url string, c boolean").withColumn(
         "crawled_at", F.when(F.col("c"), ts("2024-01-01")))
-    assert rows(flows.check_new(main, news, state, ("pos",))) == [(2, 1, 3, 2, 2, 1)]
+    assert rows(flows.check_new(main, news, state)) == [(2, 1, 3, 2, 2, 1)]
