@@ -23,10 +23,14 @@ NO_ARTICLE = "No content extracted or validation failed"
 EXHAUSTED = "All {} fetch attempts failed"
 
 
-def _outcomes(
-    attempts: DataFrame, keys: Sequence[str], max_attempts: int, *extra: Column
+def partial_outcomes(
+    attempts: DataFrame, keys: Sequence[str], max_attempts: int = MAX_FETCH_ATTEMPTS
 ) -> DataFrame:
-    """One aggregation: the deciding attempt of each key, plus ``extra``."""
+    """``keys, settled, first, last``: what a part of the log says of each key.
+
+    Parts of a log that are aggregated apart are put together by
+    ``finished_outcomes``: all three values are least or largest ones.
+    """
     status = F.col("http_status")
     failed = F.col("exception").isNotNull()
     last = F.col("attempt") >= max_attempts
@@ -39,16 +43,38 @@ def _outcomes(
         .when(status == 200, F.lit(NO_ARTICLE))
         .when(status == 404, F.lit(NOT_FOUND))
         .otherwise(F.concat(F.lit("HTTP "), status.cast("string"))))
+    nothing = F.lit(None).cast("string")
+    given = [(F.col(c) if c in attempts.columns else nothing).alias(c) for c in ("batch_id", "content_hash")]
     # The least (attempt, error): of repeated entries for one attempt a success
     # comes first, so the result does not depend on the order of the log.
-    settled = F.min(F.when(settles, F.struct("attempt", error.alias("error"))))
     return (
         attempts.where(F.col("attempt") <= max_attempts)
-        .groupBy(*keys).agg(settled.alias("settled"), *extra)
-        .withColumn("error", F.when(
-            F.col("settled").isNull(), F.lit(EXHAUSTED.format(max_attempts)))
-            .otherwise(F.col("settled.error")))
-        .withColumn("outcome", F.when(F.col("error").isNull(), "success").otherwise("error")))
+        .withColumn("ts", F.col("ts").cast("timestamp") if "ts" in attempts.columns else F.lit(None).cast("timestamp"))
+        .groupBy(*keys).agg(
+            F.min(F.when(settles, F.struct("attempt", error.alias("error"), *given))).alias("settled"),
+            F.min("ts").alias("first"), F.max("ts").alias("last")))
+
+
+def finished_outcomes(
+    partials: DataFrame, keys: Sequence[str], max_attempts: int = MAX_FETCH_ATTEMPTS
+) -> DataFrame:
+    """``keys, settled, first, last, error, outcome`` from one or more parts."""
+    return (
+        partials.groupBy(*keys).agg(
+            F.min("settled").alias("settled"), F.min("first").alias("first"), F.max("last").alias("last"))
+        .transform(_judged, max_attempts))
+
+
+def _judged(settled: DataFrame, max_attempts: int) -> DataFrame:
+    return settled.withColumn("error", F.when(
+        F.col("settled").isNull(), F.lit(EXHAUSTED.format(max_attempts)))
+        .otherwise(F.col("settled.error"))
+    ).withColumn("outcome", F.when(F.col("error").isNull(), "success").otherwise("error"))
+
+
+def _outcomes(attempts: DataFrame, keys: Sequence[str], max_attempts: int) -> DataFrame:
+    """One aggregation: the deciding attempt of each key."""
+    return partial_outcomes(attempts, keys, max_attempts).transform(_judged, max_attempts)
 
 
 def attempt_outcome(
@@ -72,8 +98,7 @@ def run_summary(
     One pass over the log: URLs first, so that a run holding most of the
     attempts is summed from many tasks.
     """
-    per_url = _outcomes(attempts, (run, "url"), max_attempts,
-                        F.min("ts").alias("first"), F.max("ts").alias("last"))
+    per_url = _outcomes(attempts, (run, "url"), max_attempts)
     outcome = F.col("outcome")
     return per_url.groupBy(run).agg(
         F.count("*").alias("processed"),
@@ -84,25 +109,23 @@ def run_summary(
              rate(F.col("processed"), F.col("seconds")).alias("rate"))
 
 
-def attempt_changes(attempts: DataFrame) -> DataFrame:
-    """Attempts in the shape of state changes, each attempt being one crawl.
+def outcome_changes(outcomes: DataFrame, run: str = "crawl_id") -> DataFrame:
+    """Outcomes of (run, URL) in the shape of state changes: each is one crawl.
 
-    ``batch_id`` and ``content_hash`` are taken over where the log has them;
-    ``(ts, event_id)`` orders the attempts of a URL.
+    ``(last attempt, run)`` orders the crawls of a URL.
     """
-    status, nothing = F.col("http_status"), F.lit(None).cast("string")
-    ok = F.coalesce(
-        (status == 200) & F.col("valid") & F.col("exception").isNull(), F.lit(False))
-    message = F.coalesce(
-        F.col("exception"),
-        F.concat(F.lit("HTTP "), status.cast("string")), F.lit(NO_RESPONSE))
-    return attempts.select(
+    ok = F.col("outcome") == "success"
+    return outcomes.select(
         "url", ok.alias("ok"),
-        *[(F.col(c) if c in attempts.columns else nothing).alias(c)
-          for c in ("batch_id", "content_hash")],
-        F.when(~ok, message).alias("error_message"),
-        F.col("ts").cast("timestamp").alias("changed_at"),
-        F.col("event_id").alias("seq"))
+        *[F.when(ok, F.col(f"settled.{c}")).alias(c) for c in ("batch_id", "content_hash")],
+        F.col("error").alias("error_message"), F.col("last").alias("changed_at"), F.col(run).alias("seq"))
+
+
+def attempt_changes(
+    attempts: DataFrame, run: str = "crawl_id", max_attempts: int = MAX_FETCH_ATTEMPTS
+) -> DataFrame:
+    """State changes of an attempt log: one for each URL of a run, however often it was tried."""
+    return outcome_changes(_outcomes(attempts, (run, "url"), max_attempts), run)
 
 
 def folded_state(folded: DataFrame, max_retries: int = MAX_RETRIES) -> DataFrame:
@@ -119,6 +142,9 @@ def folded_state(folded: DataFrame, max_retries: int = MAX_RETRIES) -> DataFrame
         F.col("bad").cast("int").alias("scrape_count"))
 
 
-def state_fold(attempts: DataFrame, max_retries: int = MAX_RETRIES) -> DataFrame:
-    """The state a whole attempt log leads to, in one aggregation."""
-    return folded_state(fold_changes(attempt_changes(attempts)), max_retries)
+def state_fold(
+    attempts: DataFrame, max_retries: int = MAX_RETRIES, run: str = "crawl_id",
+    max_attempts: int = MAX_FETCH_ATTEMPTS,
+) -> DataFrame:
+    """The state a whole attempt log leads to: its outcomes, folded in one more aggregation."""
+    return folded_state(fold_changes(attempt_changes(attempts, run, max_attempts)), max_retries)

@@ -123,13 +123,6 @@ FROM (SELECT *, row_number() OVER (ORDER BY md5(url), url) - 1 AS rank FROM vali
 
 VIEWS["recent"] = "SELECT * FROM checkpoints ORDER BY start_time DESC, crawl_id DESC LIMIT 20"
 VIEWS["attempt_runs"] = "SELECT *, CAST(CAST(ts AS DATE) AS VARCHAR) AS crawl_id FROM attempts"
-_BAD = "NOT coalesce(http_status = 200 AND valid AND exception IS NULL, false)"
-VIEWS["attempt_results"] = f"""
-SELECT *, {_BAD} AS bad,
-       CASE WHEN {_BAD} THEN coalesce(exception, concat('HTTP ',
-            coalesce(CAST(http_status AS VARCHAR), 'No response'))) END AS message
-FROM attempts"""
-
 VIEWS["sitemap_read"] = """
 SELECT *, concat('https://site.example/sitemaps/', CAST(doc_no AS VARCHAR), '.xml') AS doc_url,
        row_number() OVER (PARTITION BY doc_no ORDER BY entry_key) - 1 AS url_pos,
@@ -159,18 +152,6 @@ FULL OUTER JOIN (SELECT url, max(lastmod) AS lastmod FROM news_articles GROUP BY
 _STATE = ("url, lastmod, first_seen, status, crawled_at, batch_id, content_hash, "
           "error_message, scrape_count")
 _NOW = "TIMESTAMP '2024-03-01 00:00:00'"
-_CLOSED = "ts < date_trunc('day', (SELECT max(ts) FROM events) - INTERVAL '1 day')"
-
-
-def _fold(where: str) -> str:
-    return f"""
-SELECT url,
-       CASE WHEN NOT last.bad THEN 'done' WHEN scrape_count >= 3 THEN 'error' ELSE 'pending' END AS status,
-       crawled_at, content_hash, substr(last.message, 1, 500) AS error_message, scrape_count
-FROM (SELECT url, CAST(count(*) FILTER (WHERE bad) AS INT) AS scrape_count, max(ts) AS crawled_at,
-             arg_max(CASE WHEN NOT bad THEN content_hash END, row(ts, event_id)) AS content_hash,
-             arg_max_null(struct_pack(bad := bad, message := message), row(ts, event_id)) AS last
-      FROM attempt_results WHERE {where} GROUP BY url) t"""
 
 
 def _outcomes(keys: str, source: str) -> str:
@@ -194,6 +175,18 @@ FROM (SELECT {keys}, min(ts) AS first, max(ts) AS last,
       GROUP BY {keys}) g"""
 
 
+def _fold() -> str:
+    """The rule step by step: outcomes of (run, URL) in order, one crawl each."""
+    return f"""
+SELECT url,
+       CASE WHEN last_error IS NULL THEN 'done' WHEN scrape_count >= 3 THEN 'error' ELSE 'pending' END AS status,
+       crawled_at, content_hash, substr(last_error, 1, 500) AS error_message, scrape_count
+FROM (SELECT url, CAST(count(*) FILTER (WHERE outcome = 'error') AS INT) AS scrape_count, max(last) AS crawled_at,
+             CASE WHEN count(*) FILTER (WHERE outcome = 'success') > 0 THEN md5(url) END AS content_hash,
+             arg_max_null(error, row(last, crawl_id)) AS last_error
+      FROM ({_outcomes('crawl_id, url', 'attempt_runs')}) o GROUP BY url) t"""
+
+
 def _marked(ok: str, bad: str) -> str:
     """State rows after a done or a bad result; conditions say which applies."""
     return f"""
@@ -342,7 +335,7 @@ SELECT crawl_id, count(*) AS processed, count(*) FILTER (WHERE outcome = 'succes
 FROM ({_outcomes('crawl_id, url', 'attempt_runs')}) o GROUP BY crawl_id""",
     "batch_pack": _PACKED,
     "attempt_outcome": f"SELECT url, outcome, error FROM ({_outcomes('url', 'attempts')}) o",
-    "state_fold": _fold("true"),
+    "state_fold": _fold(),
     "progress": f"""
 SELECT done, total, {percent('done', 'total')} AS percent_done
 FROM (SELECT count(*) FILTER (WHERE status = 'done') AS done, count(*) AS total FROM crawl_state) t""",
@@ -387,9 +380,11 @@ ORDER BY start_time DESC, recent.crawl_id DESC LIMIT 10""",
     "max_urls": "SELECT * FROM crawl_state WHERE status = 'pending' ORDER BY first_seen, url LIMIT 250",
     "preview": "SELECT url FROM merged ORDER BY url LIMIT 10",
 
-    # Streaming: what the finished days hold
-    "stream_state_fold": _fold(_CLOSED),
-    "stream_daily": f"SELECT CAST(ts AS DATE) AS day, count(*) AS processed FROM events WHERE {_CLOSED} GROUP BY 1",
+    # Streaming: the same as over the whole log
+    "stream_state_fold": _fold(),
+    "stream_daily": f"""
+SELECT CAST(last AS DATE) AS day, count(*) AS processed
+FROM ({_outcomes('crawl_id, url', 'attempt_runs')}) o GROUP BY 1""",
 
     # Change detection
     "content_changed": """

@@ -64,6 +64,11 @@ def _index_docs(spark, sf):
     return render.index_docs(fixture(spark, sf, "sitemap_entry"))
 
 
+def _runs_of(attempts):
+    """Attempts with the day as their run."""
+    return attempts.withColumn("crawl_id", F.to_date("ts").cast("string"))
+
+
 def _scanned(spark, sf, table):
     return X.scan_pages(fixture(spark, sf, table))
 
@@ -367,7 +372,7 @@ def attempt_outcome(spark, sf):
 
 @query
 def state_fold(spark, sf):
-    return A.state_fold(fixture(spark, sf, "attempts"))
+    return A.state_fold(_runs_of(fixture(spark, sf, "attempts")))
 
 
 @query
@@ -454,20 +459,21 @@ def _event_stream(spark, sf):
     return folds.attempt_stream(spark, path, read_table(spark, sf, "events").schema)
 
 
+def _stored_outcomes(spark, sf):
+    out = tables.shared_dir(spark)
+    attempts = _runs_of(spark.sql(FIXTURES["attempts"], events=_event_stream(spark, sf)))
+    folds.stream_outcomes(attempts, out + "/parts", out + "/check").awaitTermination()
+    return spark.read.parquet(out + "/parts")
+
+
 @query
 def stream_state_fold(spark, sf):
-    out = tables.shared_dir(spark)
-    attempts = spark.sql(FIXTURES["attempts"], events=_event_stream(spark, sf))
-    folds.stream_partial_folds(attempts, out + "/folds", out + "/check").awaitTermination()
-    return folds.combined_state(spark.read.parquet(out + "/folds"))
+    return folds.combined_state(_stored_outcomes(spark, sf))
 
 
 @query
 def stream_daily(spark, sf):
-    out = tables.shared_dir(spark)
-    folds.stream_daily(
-        _event_stream(spark, sf), out + "/daily", out + "/check").awaitTermination()
-    return spark.read.parquet(out + "/daily")
+    return folds.combined_daily(_stored_outcomes(spark, sf))
 
 
 # --- change detection ------------------------------------------------------------------

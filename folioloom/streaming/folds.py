@@ -1,10 +1,11 @@
 """Streaming forms of the state fold and the daily series.
 
-Both keep state per key and event day only until the watermark has passed that
-day, then append the finished rows to a parquet table.  Open state is bounded
-by the days still open, the sink is written exactly once, and a restart goes
-on from the checkpoint.  What is not final yet is not in the table: the newest
-days appear once later events move the watermark past them.
+A micro-batch is folded to one row for each URL of a run and stored in a folder
+of its own, which a repeated micro-batch overwrites: every attempt counts
+exactly once, a restart goes on from the checkpoint, and there is no state to
+keep between micro-batches.  Least and largest values of parts are those of
+the whole, so the folds over the stored parts are complete at any moment, and
+attempts count however late they come.
 """
 
 from __future__ import annotations
@@ -13,61 +14,46 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from folioloom.operators.attempts import attempt_changes, folded_state
-from folioloom.schemas import MAX_RETRIES
+from folioloom.operators.attempts import (
+    finished_outcomes, folded_state, outcome_changes, partial_outcomes)
+from folioloom.operators.state import fold_changes
+from folioloom.schemas import MAX_FETCH_ATTEMPTS, MAX_RETRIES
 
-DAY = "1 day"
+FILES_PER_TRIGGER = 1000
 
 
-def attempt_stream(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """A file stream with ``ts`` as a zoned timestamp, which watermarks need."""
-    stream = spark.readStream.schema(schema).parquet(path)
-    return stream.withColumn("ts", F.col("ts").cast("timestamp"))
+def attempt_stream(
+    spark: SparkSession, path: str, schema: StructType, files_per_trigger: int = FILES_PER_TRIGGER
+) -> DataFrame:
+    """A file stream; a backlog is read in micro-batches of so many files."""
+    return (spark.readStream.schema(schema)
+            .option("maxFilesPerTrigger", files_per_trigger).parquet(path))
 
 
-def _append(rows: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
-    return (
-        rows.writeStream.outputMode("append").format("parquet")
-        .option("path", table).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start())
+def stream_outcomes(
+    attempts: DataFrame, table: str, checkpoint: str, run: str = "crawl_id",
+    max_attempts: int = MAX_FETCH_ATTEMPTS,
+) -> StreamingQuery:
+    """Store the partial outcomes of what has arrived, then stop."""
 
+    def store(rows: DataFrame, number: int) -> None:
+        partial_outcomes(rows, (run, "url"), max_attempts).write.mode("overwrite").parquet(
+            f"{table}/part={number}")
 
-def stream_partial_folds(
-    attempts: DataFrame, table: str, checkpoint: str, delay: str = DAY
-) -> StreamingQuery:
-    """Append one partial fold per URL and finished day."""
-    order = F.struct("changed_at", "seq")
-    last = F.struct("ok", "error_message")
-    stored = F.struct("batch_id", "content_hash")
-    partial = (
-        attempt_changes(attempts)
-        .withWatermark("changed_at", delay)
-        .groupBy(F.window("changed_at", DAY), "url")
-        .agg(F.count_if(~F.col("ok")).alias("bad"),
-             F.max_by(F.struct(order.alias("at"), last.alias("value")), order).alias("last"),
-             F.max_by(F.struct(order.alias("at"), stored.alias("value")),
-                      F.when(F.col("ok"), order)).alias("stored"))
-        .select("url", F.col("window.start").alias("day"), "bad", "last", "stored"))
-    return _append(partial, table, checkpoint)
+    return (attempts.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
 
 
-def combined_state(partials: DataFrame, max_retries: int = MAX_RETRIES) -> DataFrame:
-    """The state from partial folds; equals the fold of the attempts they cover."""
-    last_at, stored_at = F.col("last.at"), F.col("stored.at")
-    folded = partials.groupBy("url").agg(
-        F.sum("bad").alias("bad"),
-        F.max("last.at.changed_at").alias("last_at"),
-        F.max_by("last.value", last_at).alias("last"),
-        F.max_by("stored.value", stored_at).alias("stored"))
-    return folded_state(folded, max_retries)
+def combined_state(
+    partials: DataFrame, max_retries: int = MAX_RETRIES, run: str = "crawl_id",
+    max_attempts: int = MAX_FETCH_ATTEMPTS,
+) -> DataFrame:
+    """The state from the stored parts; equals the fold of all attempts read so far."""
+    outcomes = finished_outcomes(partials, (run, "url"), max_attempts)
+    return folded_state(fold_changes(outcome_changes(outcomes, run)), max_retries)
 
 
-def stream_daily(
-    attempts: DataFrame, table: str, checkpoint: str, delay: str = DAY
-) -> StreamingQuery:
-    """Append the number of attempts of every finished day."""
-    daily = (
-        attempts.withWatermark("ts", delay)
-        .groupBy(F.window("ts", DAY)).agg(F.count("*").alias("processed"))
-        .select(F.to_date("window.start").alias("day"), "processed"))
-    return _append(daily, table, checkpoint)
+def combined_daily(partials: DataFrame, run: str = "crawl_id") -> DataFrame:
+    """``day, processed``: URLs processed, by the day on which a run last tried them."""
+    per_url = partials.groupBy(run, "url").agg(F.max("last").alias("last"))
+    return per_url.groupBy(F.to_date("last").alias("day")).agg(F.count("*").alias("processed"))

@@ -74,40 +74,59 @@ def test_resets(spark):
 
 
 def attempts_log(spark, n, seed=1, hot=True):
-    """A log in which one URL has a third of all attempts."""
-    rnd = random.Random(seed)
+    """A log in which one URL has a third of all attempts; a run is 200 attempts long."""
+    rnd, tries = random.Random(seed), {}
     log = []
     for i in range(n):
-        url = "hot" if hot and i % 3 == 0 else f"u{rnd.randrange(60)}"
-        status = rnd.choice([200, 200, 200, 404, 500, None])
-        log.append((url, 1, f"2024-01-01 {i // 3600:02d}:{i // 60 % 60:02d}:{i % 60:02d}", status,
-                    rnd.random() < 0.8, "boom" if rnd.random() < 0.1 else None, i, f"h{i}"))
-    df = spark.createDataFrame(log, "url string, attempt int, t string, http_status int, "
+        url, run = "hot" if hot and i % 3 == 0 else f"u{rnd.randrange(60)}", f"r{i // 200:03d}"
+        tries[run, url] = tries.get((run, url), 0) + 1
+        status = rnd.choice([200, 200, 200, 404, 429, 503, 500, None])
+        log.append((run, url, tries[run, url], f"2024-01-01 {i // 3600:02d}:{i // 60 % 60:02d}:{i % 60:02d}", status,
+                    rnd.random() < 0.6, "boom" if rnd.random() < 0.3 else None, i, f"h{i}"))
+    df = spark.createDataFrame(log, "crawl_id string, url string, attempt int, t string, http_status int, "
                                "valid boolean, exception string, event_id bigint, content_hash string")
     return log, df.withColumn("ts", F.col("t").cast("timestamp")).drop("t")
 
 
+def settle(tries):
+    """The outcome of one URL in one run: (error, hash, time of the last try)."""
+    tries = [x for x in tries if x[2] <= 3]
+    for _, _, attempt, _, status, valid, exc, _, digest in tries:
+        if exc and attempt < 3 or not exc and status in (429, 503):
+            continue
+        if exc or status is None:
+            error = exc or "HTTP No response"
+        elif status == 200:
+            error = None if valid else "No content extracted or validation failed"
+        else:
+            error = "HTTP 404 Not Found" if status == 404 else f"HTTP {status}"
+        return error, digest, tries[-1][3]
+    return "All 3 fetch attempts failed", None, tries[-1][3]
+
+
 def replay(log, start, max_retries=3):
-    """Step by step, one update per attempt."""
-    now = dict(start)
-    for url, _, t, status, valid, exc, i, digest in log:
+    """Step by step, one update per URL and run."""
+    now, by = dict(start), {}
+    for entry in log:
+        by.setdefault(entry[:2], []).append(entry)
+    for (run, url), tries in sorted(by.items()):
         if url not in now:
             continue
         row = dict(now[url])
-        row["crawled_at"] = t
-        if status == 200 and valid and exc is None:
+        error, digest, row["crawled_at"] = settle(tries)
+        if error is None:
             row.update(status="done", hash=digest, error=None)
         else:
             row["count"] = (row["count"] or 0) + 1
             row["status"] = "error" if row["count"] >= max_retries else "pending"
-            row["error"] = exc or f"HTTP {status if status is not None else 'No response'}"
+            row["error"] = error
         now[url] = row
     return now
 
 
 def test_fold_equals_step_by_step(spark):
     log, df = attempts_log(spark, 1500)
-    urls = sorted({r[0] for r in log})
+    urls = sorted({r[1] for r in log})
     start = {u: {"status": "pending", "count": None, "hash": None, "error": None} for u in urls}
     want = replay(log, start)
     got = rows(A.state_fold(df).select("url", "status", "scrape_count", "content_hash",

@@ -8,40 +8,29 @@ from helpers import rows
 from test_state import attempts_log
 
 
-def day_files(spark, path, days):
-    """One file per day, each with its share of a log; a hot URL in all of them."""
-    _, df = attempts_log(spark, 1200)
-    df = df.withColumn("ts", F.col("ts") + F.make_dt_interval(
-        days=F.floor(F.col("event_id") / 200).cast("int")))
-    out = df.withColumn("day", F.to_date("ts"))
-    for d in days:
-        (out.where(F.dayofmonth("day") == d).drop("day").coalesce(1)
-         .write.mode("append").parquet(path))
-    return df
+def add_files(spark, path, df, parts):
+    """Files with the attempts whose number leaves one of these remainders by 3: runs and URLs are
+    cut across files, and later files hold earlier attempts."""
+    (df.where((F.col("event_id") % 3).isin(parts)).repartition(2).write.mode("append").parquet(path))
 
 
-def test_fold_resumes_and_equals_the_batch_fold(spark, tmp_path):
-    src, table, check = (str(tmp_path / n) for n in ("src", "folds", "check"))
-    df = day_files(spark, src, [1, 2, 3])
-    schema = spark.read.parquet(src).schema
+def test_fold_resumes_counts_late_attempts_and_equals_the_batch_fold(spark, tmp_path):
+    src, table, check = (str(tmp_path / n) for n in ("src", "parts", "check"))
+    _, df = attempts_log(spark, 1200)
+    schema = df.schema
 
     def run():
-        stream = folds.attempt_stream(spark, src, schema)
-        folds.stream_partial_folds(stream, table, check, "1 minute").awaitTermination()
-        return folds.combined_state(spark.read.parquet(table))
-
-    def batch(last_day):
-        return A.state_fold(df.where(F.dayofmonth("ts") <= last_day))
-
-    assert rows(run(), "url") == rows(batch(2), "url")      # day 3 is still open
-    day_files(spark, src, [4, 5, 6])
-    assert rows(run(), "url") == rows(batch(5), "url")
-
-
-def test_daily_counts_finished_days(spark, tmp_path):
-    src = str(tmp_path / "src")
-    day_files(spark, src, [1, 2, 3, 4, 5, 6])
-    stream = folds.attempt_stream(spark, src, spark.read.parquet(src).schema)
-    folds.stream_daily(stream, str(tmp_path / "t"), str(tmp_path / "c"), "1 minute").awaitTermination()
-    got = rows(spark.read.parquet(str(tmp_path / "t")), "day")
-    assert [(str(d), n) for d, n in got] == [(f"2024-01-0{i}", 200) for i in range(1, 6)]
+        stream = folds.attempt_stream(spark, src, schema, files_per_trigger=1)
+        folds.stream_outcomes(stream, table, check).awaitTermination()
+        return spark.read.parquet(table)
+
+    add_files(spark, src, df, [2])
+    assert rows(folds.combined_state(run()), "url") == rows(A.state_fold(df.where("event_id % 3 = 2")), "url")
+    add_files(spark, src, df, [0, 1])
+    parts = run()
+    assert rows(folds.combined_state(parts), "url") == rows(A.state_fold(df), "url")
+    assert rows(folds.combined_state(run()), "url") == rows(A.state_fold(df), "url")      # nothing new
+    assert parts.select("part").distinct().count() > 2
+
+    want = A.run_summary(df).agg(F.sum("processed").alias("n")).first().n
+    assert [(str(d), n) for d, n in rows(folds.combined_daily(parts), "day")] == [("2024-01-01", want)]
