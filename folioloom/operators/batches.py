@@ -175,14 +175,8 @@ def batch_members(batches: DataFrame) -> DataFrame:
                 content_hash(F.col("page.content"), cleaned=True).alias("content_hash")))
 
 
-def apply_batch_outcome(
-    state: DataFrame,
-    members: DataFrame,
-    results: DataFrame,
-    now: Column,
-    max_retries: int = MAX_RETRIES,
-) -> DataFrame:
-    """The state after storing batches, each of them whole or not at all.
+def batch_changes(members: DataFrame, results: DataFrame, now: Column) -> DataFrame:
+    """State changes from storing batches, each of them whole or not at all.
 
     ``results``: ``batch_id, ok, error``; of several for a batch a success
     counts, else the largest error.  URLs of a stored batch are done, those of
@@ -191,8 +185,18 @@ def apply_batch_outcome(
     results = results.groupBy("batch_id").agg(F.max("ok").alias("ok"), F.max("error").alias("error"))
     message = F.concat(
         F.lit("Batch insert failed: "), truncate(F.col("error"), BATCH_MESSAGE_CHARS))
-    changes = members.join(results, "batch_id").select(
+    return members.join(results, "batch_id").select(
         "url", "ok", "batch_id", "content_hash",
         F.when(~F.col("ok"), message).alias("error_message"),
         now.cast("timestamp").alias("changed_at"), F.col("batch_id").alias("seq"))
-    return apply_changes(state, changes, max_retries)
+
+
+def apply_batch_outcome(
+    state: DataFrame,
+    members: DataFrame,
+    results: DataFrame,
+    now: Column,
+    max_retries: int = MAX_RETRIES,
+) -> DataFrame:
+    """The state after storing batches; see ``batch_changes``."""
+    return apply_changes(state, batch_changes(members, results, now), max_retries)

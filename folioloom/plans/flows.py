@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from folioloom.operators import batches as B, extract as X, merge as M, state as S
-from folioloom.operators.attempts import NO_ARTICLE
+from folioloom.operators.attempts import NO_ARTICLE, attempt_outcome
 from folioloom.operators.runs import start_run, update_runs
-from folioloom.schemas import BATCH_SIZE, COMPLETED, MAX_FAILURES, MAX_RETRIES
+from folioloom.schemas import BATCH_SIZE, COMPLETED, DONE, MAX_FAILURES, MAX_RETRIES
 from folioloom.sources import sitemaps, tables
 
 
@@ -34,16 +34,22 @@ def crawl_cycle(
     max_retries: int = MAX_RETRIES,
     max_failures: int = MAX_FAILURES,
     keys: Sequence[str] = ("url",),
+    attempts: DataFrame | None = None,
+    insert: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """One run over fetched ``pages``: ``url, html`` and the ``keys``.
 
-    ``keys`` identify a page.  If a URL can occur in many pages, add a page id:
-    its pages are then spread over the batches like any others.
+    ``keys`` order the pages; pages of one URL are packed like any others.
+    ``attempts`` is the fetch log of the run: URLs of the queue whose fetch
+    failed and that have no page count one bad crawl.  ``insert`` puts the
+    stored batches into a sink and returns ``batch_id, ok, error``; without it
+    every batch succeeds.
 
-    Writes ``articles`` and ``batches`` below ``out_dir`` and returns the new
-    state.  The articles are a stored table because packing reads them twice
-    and the parse is the dear part; a lost executor then costs no re-parse.
-    URLs are done once their batch is stored.
+    Writes ``articles`` and ``batches`` of the run below ``out_dir`` and returns
+    the new state.  Both are partitions of the run: a run repeated after a
+    break replaces them, so it stores each page once.  The articles are a
+    stored table because packing reads them twice and the parse is the dear
+    part; a lost executor then costs no re-parse.
 
     The queue prunes the pages before the parse.  Pages stored in buckets by URL
     (``save_state_table`` takes any table with that column) lie as the join
@@ -54,39 +60,55 @@ def crawl_cycle(
     state = S.reset_errors(state, max_failures)
     queue = S.run_queue(state, max_urls).select("url")
 
-    articles_path, batches_path = f"{out_dir}/articles", f"{out_dir}/batches"
+    articles_path, batches_path = f"{out_dir}/articles/run_id={run_id}", f"{out_dir}/batches"
     pages = pages.join(queue, "url", "left_semi")
     articles = X.extract_articles(pages, keep=[k for k in keys if k != "url"])
     (articles.withColumn("valid", X.is_valid_article())
      .withColumn(B.ROW, F.monotonically_increasing_id())
-     .write.mode("errorifexists").parquet(articles_path))
+     .write.mode("overwrite").parquet(articles_path))
     articles = spark.read.parquet(articles_path)
     packed = B.pack_batches(articles.where("valid"), run_id, now, batch_size, keys)
-    tables.append_batches(packed, batches_path)
+    tables.store_run_batches(packed, batches_path, run_id)
+    batches = tables.read_batches(spark, f"{batches_path}/run_id={run_id}")
 
     nothing, at = F.lit(None).cast("string"), now.cast("timestamp").alias("changed_at")
-    stored = B.batch_members(tables.read_batches(spark, batches_path)).select(
-        "url", F.lit(True).alias("ok"), "batch_id", "content_hash",
-        nothing.alias("error_message"), at, F.col("batch_id").alias("seq"))
-    rejected = articles.where("NOT valid").select(
-        "url", F.lit(False).alias("ok"), nothing.alias("batch_id"),
-        nothing.alias("content_hash"),
-        F.lit(NO_ARTICLE).alias("error_message"),
-        at, F.lit("").alias("seq"))
-    return S.apply_changes(state, stored.unionByName(rejected), max_retries)
+    if insert:
+        results = insert(batches)
+    else:
+        results = batches.select("batch_id", F.lit(True).alias("ok"), nothing.alias("error"))
+    changes = B.batch_changes(B.batch_members(batches), results, now)
+
+    def bad(urls: DataFrame, message: Column) -> DataFrame:
+        return urls.select(
+            "url", F.lit(False).alias("ok"), nothing.alias("batch_id"),
+            nothing.alias("content_hash"), message.alias("error_message"), at, F.lit("").alias("seq"))
+
+    changes = changes.unionByName(bad(articles.where("NOT valid"), F.lit(NO_ARTICLE)))
+    if attempts is not None:
+        failed = (
+            attempt_outcome(attempts).where(F.col("outcome") == "error")
+            .join(queue, "url", "left_semi").join(articles.select("url"), "url", "left_anti"))
+        changes = changes.unionByName(bad(failed, F.col("error")))
+    return S.apply_changes(state, changes, max_retries)
 
 
 def record_run(
-    runs: DataFrame, articles: DataFrame, batches: DataFrame, run_id: str, mode: str,
+    runs: DataFrame, before: DataFrame, after: DataFrame, run_id: str, mode: str,
     started: Column, ended: Column,
 ) -> DataFrame:
-    """The run table with this run opened and closed."""
-    processed = articles.agg(F.count("*")).scalar()
-    successful = batches.agg(F.coalesce(F.sum("page_count"), F.lit(0))).scalar()
-    update = runs.sparkSession.range(1).select(
-        F.lit(run_id).alias("crawl_id"), processed.alias("processed_urls"),
-        successful.alias("successful_urls"),
-        (processed - successful).alias("failed_urls"), F.lit(COMPLETED).alias("status"))
+    """The run table with this run opened and closed, from the state before and after it.
+
+    A URL was processed if the run crawled it, and successful if it is done now.
+    """
+    old = before.select("url", F.col("crawled_at").alias("old_crawled_at"))
+    changed = after.join(old, "url", "left").where(
+        F.col("crawled_at").isNotNull() & ~F.col("crawled_at").eqNullSafe(F.col("old_crawled_at")))
+    update = changed.agg(
+        F.count("*").alias("processed_urls"),
+        F.count_if(F.col("status") == DONE).alias("successful_urls"),
+        F.count_if(F.col("status") != DONE).alias("failed_urls")).select(
+        F.lit(run_id).alias("crawl_id"), "processed_urls", "successful_urls", "failed_urls",
+        F.lit(COMPLETED).alias("status"))
     opened = start_run(runs, F.lit(run_id), F.lit(mode), started)
     return update_runs(opened, update, ended)
 

@@ -209,6 +209,24 @@ SELECT coalesce((SELECT CASE WHEN s > 0 THEN processed_urls / s ELSE 0.0 END
 _TODAY = "(SELECT CAST(max(start_time) AS DATE) FROM checkpoints)"
 _DIGEST = ("md5(string_agg(concat_ws('|', url, title, content, CAST(word_count AS VARCHAR)), "
            "chr(10) ORDER BY page_no))")
+
+
+def _run_urls() -> str:
+    """URLs of pages and of fetch attempts, none known before, after a run: every fourth batch
+    fails, and so do fetches by their outcome."""
+    return f"""
+SELECT p.url, CASE WHEN b.url IS NOT NULL AND batch_no % 4 <> 3 THEN 'done' ELSE 'pending' END AS status,
+       CASE WHEN b.url IS NOT NULL AND batch_no % 4 <> 3 THEN concat('run-', CAST(batch_no AS VARCHAR)) END AS batch_id,
+       CASE WHEN b.url IS NOT NULL AND batch_no % 4 <> 3 THEN {content_hash('b.content')} END AS content_hash,
+       CASE WHEN b.url IS NULL THEN 'No content extracted or validation failed'
+            WHEN batch_no % 4 = 3 THEN 'Batch insert failed: no space' END AS error_message,
+       CASE WHEN b.url IS NULL OR batch_no % 4 = 3 THEN CAST(1 AS INT) END AS scrape_count, true AS crawled
+FROM pages p LEFT JOIN page_batches b ON p.url = b.url
+UNION ALL
+SELECT url, 'pending', NULL, NULL, error, CASE WHEN outcome = 'error' THEN CAST(1 AS INT) END, outcome = 'error'
+FROM ({_outcomes('url', 'attempts')}) o"""
+
+
 _PACKED = f"""
 SELECT concat('run-', CAST(batch_no AS VARCHAR)) AS batch_id, CAST(count(*) AS INT) AS page_count,
        {_DIGEST} AS digest
@@ -408,12 +426,30 @@ SELECT (SELECT count(*) FROM main_articles) AS main_count, (SELECT count(*) FROM
        count(*) FILTER (WHERE s.url IS NULL) AS new_count, count(*) FILTER (WHERE s.url IS NOT NULL) AS done_count
 FROM merged m LEFT JOIN (SELECT url FROM crawl_state WHERE crawled_at IS NOT NULL) s ON m.url = s.url""",
     "crawl_cycle": f"""
-SELECT p.url, CASE WHEN b.url IS NOT NULL THEN 'done' ELSE 'pending' END AS status,
-       CASE WHEN b.url IS NOT NULL THEN concat('run-', CAST(b.batch_no AS VARCHAR)) END AS batch_id,
-       CASE WHEN b.url IS NOT NULL THEN {content_hash('b.content')} END AS content_hash,
-       CASE WHEN b.url IS NULL THEN 'No content extracted or validation failed' END AS error_message,
-       CASE WHEN b.url IS NULL THEN CAST(1 AS INT) END AS scrape_count
-FROM pages p LEFT JOIN page_batches b ON p.url = b.url""",
+SELECT url, status, batch_id, content_hash, error_message, scrape_count FROM ({_run_urls()}) r""",
+    # URLs that wait after the resets take the outcome of their fetch.
+    "crawl_cycle_full": f"""
+SELECT s.url,
+       CASE WHEN r.crawled THEN CASE WHEN coalesce(s.scrape_count, 0) + 1 >= 3 THEN 'error' ELSE 'pending' END
+            ELSE s.status END AS status,
+       s.batch_id, s.content_hash, CASE WHEN r.crawled THEN r.error_message ELSE s.error_message END AS error_message,
+       CASE WHEN r.crawled THEN CAST(coalesce(s.scrape_count, 0) + 1 AS INT) ELSE s.scrape_count END AS scrape_count
+FROM (SELECT url, CASE WHEN status = 'done' OR status = 'error' AND coalesce(scrape_count, 0) < 5
+                       THEN 'pending' ELSE status END AS status,
+             CASE WHEN status = 'done' THEN NULL ELSE batch_id END AS batch_id, content_hash,
+             CASE WHEN status = 'error' AND coalesce(scrape_count, 0) < 5 THEN NULL ELSE error_message END AS error_message,
+             scrape_count
+      FROM crawl_state) s
+LEFT JOIN ({_run_urls()}) r ON s.url = r.url AND s.status = 'pending'
+UNION ALL
+SELECT url, status, batch_id, content_hash, error_message, scrape_count
+FROM ({_run_urls()}) r WHERE url NOT IN (SELECT url FROM crawl_state)""",
+    "record_run": f"""
+SELECT * FROM checkpoints
+UNION ALL
+SELECT 'run', 'full', 'completed', TIMESTAMP '2024-03-01 00:00:00', TIMESTAMP '2024-03-01 01:00:00', CAST(0 AS BIGINT),
+       count(*), count(*) FILTER (WHERE status = 'done'), count(*) FILTER (WHERE status <> 'done')
+FROM ({_run_urls()}) r WHERE crawled""",
 }
 _WORD = re.compile(r"\b[a-z_]+\b")
 

@@ -506,15 +506,45 @@ def check_new(spark, sf):
     return flows.check_new(_main(spark, sf), _news(spark, sf), _state(spark, sf))
 
 
+def _run(spark, sf, state, mode):
+    """The state before and after a run over the given pages, with failed fetches and batches."""
+    attempts = fixture(spark, sf, "attempts")
+    urls = read_table(spark, sf, "pages").select("url").unionByName(attempts.select("url"))
+    waiting = S.insert_if_absent(
+        urls.withColumn("lastmod", F.lit(None).cast("string")), state, F.lit("2024-01-15 00:00:00").cast("timestamp"))
+
+    def insert(batches):
+        number = F.substring_index("batch_id", "-", -1).cast("int")
+        ok = number % 4 != 3
+        return batches.select("batch_id", ok.alias("ok"), F.when(~ok, "no space").alias("error"))
+
+    after = flows.crawl_cycle(
+        spark, waiting, read_table(spark, sf, "pages").select("url", "html"), tables.shared_dir(spark), RUN_ID,
+        _now(), mode, batch_size=PACK_SIZE, attempts=attempts, insert=insert)
+    return waiting, after
+
+
+def _run_state(state):
+    return state.select("url", "status", "batch_id", "content_hash", "error_message", "scrape_count")
+
+
 @query
 def crawl_cycle(spark, sf):
-    pages = read_table(spark, sf, "pages").select("url", "html")
-    urls = pages.select("url", F.lit(None).cast("string").alias("lastmod"))
-    waiting = S.new_urls(urls, _state(spark, sf), _now())
-    state = flows.crawl_cycle(
-        spark, waiting, pages, tables.shared_dir(spark), RUN_ID, _now(), batch_size=PACK_SIZE)
-    return state.select(
-        "url", "status", "batch_id", "content_hash", "error_message", "scrape_count")
+    empty = spark.createDataFrame([], S.STATE_SCHEMA)
+    return _run_state(_run(spark, sf, empty, "incremental")[1])
+
+
+@query
+def crawl_cycle_full(spark, sf):
+    return _run_state(_run(spark, sf, _state(spark, sf), "full")[1])
+
+
+@query
+def record_run(spark, sf):
+    before, after = _run(spark, sf, _state(spark, sf), "full")
+    return flows.record_run(
+        fixture(spark, sf, "checkpoints"), before, after, RUN_ID, "full",
+        F.lit("2024-03-01 00:00:00").cast("timestamp"), F.lit("2024-03-01 01:00:00").cast("timestamp"))
 
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:

@@ -62,6 +62,15 @@ def append_batches(batches: DataFrame, path: str) -> None:
      .write.mode("append").parquet(path))
 
 
+def store_run_batches(batches: DataFrame, path: str, run_id: str) -> None:
+    """Write the batches of one run into its own partition of the sink.
+
+    A run that is repeated after a break replaces what it had stored.
+    """
+    (batches.select(*[F.col(f.name).cast(f.dataType) for f in BATCH_SCHEMA])
+     .write.mode("overwrite").parquet(f"{path}/run_id={run_id}"))
+
+
 def read_batches(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(BATCH_SCHEMA).parquet(path)
 

@@ -109,13 +109,36 @@ def test_crawl_cycle(spark, tmp_path):
     one = cycle(spark, str(tmp_path / "d"), max_urls=1)
     assert one["bad"][1] == 1 and one["good1"][0] == "pending"
     assert spark.read.parquet(str(tmp_path / "c/articles")).count() == 5
+    assert cycle(spark, str(tmp_path / "a")) == want          # again after a break
+    assert spark.read.parquet(str(tmp_path / "a/batches")).count() == 2
+    assert spark.read.parquet(str(tmp_path / "a/articles")).count() == 4
 
-    table = flows.record_run(
-        runs(spark, ("old", "completed", "2024-01-01", "2024-01-02", 1, 1)),
-        spark.read.parquet(str(tmp_path / "a/articles")), stored, "run", "incremental",
-        ts("2024-03-01"), ts("2024-03-02"))
+
+def test_failed_fetches_and_batches_count_once(spark, tmp_path):
+    urls = spark.createDataFrame([("good",), ("lost",), ("gone",), ("slow",), ("idle",)], "url string")
+    before = S.new_urls(urls.withColumn("lastmod", F.lit(None).cast("string")),
+                        spark.createDataFrame([], STATE_SCHEMA), ts("2024-01-01"))
+    pages = spark.createDataFrame(
+        [(u, page("A long title", "x" * 150)) for u in ("good", "lost")], "url string, html string")
+    tries = [("gone", 1, 404, None)] + [("slow", i, 429, None) for i in (1, 2, 3)] + [
+        ("good", 1, 500, None), ("unknown", 1, 404, None), ("idle", 1, 200, None)]
+    attempts = spark.createDataFrame([(u, i, s, s == 200, e) for u, i, s, e in tries],
+                                     "url string, attempt int, http_status int, valid boolean, exception string")
+
+    def insert(batches):
+        ok = F.col("pages")[0]["url"] == "good"
+        return batches.select("batch_id", ok.alias("ok"), F.when(~ok, "full disk").alias("error"))
+
+    after = flows.crawl_cycle(spark, before, pages, str(tmp_path), "run", ts("2024-03-01"), batch_size=1,
+                              attempts=attempts, insert=insert)
+    assert {r.url: (r.status, r.scrape_count, r.error_message) for r in after.collect()} == {
+        "good": ("done", None, None), "lost": ("pending", 1, "Batch insert failed: full disk"),
+        "gone": ("pending", 1, "HTTP 404 Not Found"), "slow": ("pending", 1, "All 3 fetch attempts failed"),
+        "idle": ("pending", None, None)}
+    table = flows.record_run(runs(spark, ("old", "completed", "2024-01-01", "2024-01-02", 1, 1)), before, after,
+                             "run", "incremental", ts("2024-03-01"), ts("2024-03-02"))
     assert rows(table.where("crawl_id = 'run'").select(
-        "status", "processed_urls", "successful_urls", "failed_urls")) == [("completed", 4, 3, 1)]
+        "status", "processed_urls", "successful_urls", "failed_urls")) == [("completed", 4, 1, 3)]
 
 
 def test_crawl_cycle_with_a_url_fetched_many_times(spark, tmp_path):
