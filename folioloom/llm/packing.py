@@ -5,8 +5,8 @@ into sequences. Only the histogram of lengths, at most `capacity` numbers, comes
 There the linear program "cover every length with the fewest patterns" is solved by
 multiplicative weights: the weight of a length falls as it is covered, a knapsack dynamic program
 finds the pattern of the largest weight, and that pattern is used for a step. The result is rounded
-down to whole sequences; the few pieces left over are packed by best fit, largest first, the last
-two lengths of a sequence chosen together. The plan is a table of slots, whose size
+down to whole sequences; the pieces left over are packed by best fit, largest first, the last two
+lengths of a sequence chosen together. The plan is a table of slots, whose size
 depends on `capacity` alone. Pieces are numbered within their length and take the slot of
 their number, so the ids themselves are never shuffled to be packed.
 
@@ -33,7 +33,8 @@ from folioloom.llm.common import ship, split_words, stored
 
 CAPACITY = 2048
 END = 0
-ROUNDS = 400  # of multiplicative weights
+ROUNDS = 200  # of multiplicative weights
+ROUNDING = (CAPACITY, 0, -1)  # room that patterns of the rounded solution may leave; -1: none is used
 STEP = 0.05  # relative fall of a weight when its length is covered once
 SALTS = 256
 PART_BYTES = 8 << 20  # of text in work at a time in a task
@@ -184,13 +185,10 @@ def price(lengths: np.ndarray, weights: np.ndarray, capacity: int) -> dict[int,
     return pattern
 
 
-def configurations(lengths: np.ndarray, counts: np.ndarray, capacity: int, rounds: int = ROUNDS,
-                   step: float = STEP) -> list[tuple[dict[int, int], int]]:
-    """Patterns, as the number of pieces by length, and how many sequences use each.
-
-    Every piece has a place in exactly one sequence.
-    """
-    left = counts.astype(np.int64).copy()
+def solve(lengths: np.ndarray, counts: np.ndarray, capacity: int, rounds: int,
+          step: float) -> dict[tuple[tuple[int, int], ...], float]:
+    """The program by multiplicative weights: how much each pattern is used, covering no length
+    more often than it occurs. Patterns are sorted pairs of a length's place and its number."""
     covered, used = np.zeros(len(lengths)), {}
     for _ in range(rounds if len(lengths) else 0):
         pattern = price(lengths, lengths * np.exp(-step * covered), capacity)
@@ -200,16 +198,33 @@ def configurations(lengths: np.ndarray, counts: np.ndarray, capacity: int, round
         covered[items] += amount * times / counts[items]
         key = tuple(sorted(pattern.items()))
         used[key] = used.get(key, 0.0) + amount
-    # The program's solution, scaled to what there is, then rounded down to whole sequences.
     scale = max(1.0, covered.max()) if used else 1.0
-    plan: list[tuple[dict[int, int], int]] = []
-    for key, amount in sorted(used.items(), key=lambda x: -x[1]):
-        times = min(int(amount / scale), *(int(left[i]) // n for i, n in key))
-        if times > 0:
-            for i, n in key:
-                left[i] -= times * n
-            plan.append(({int(lengths[i]): n for i, n in key}, times))
-    return plan + best_fit(lengths, left, capacity)
+    return {key: amount / scale for key, amount in used.items()}
+
+
+def configurations(lengths: np.ndarray, counts: np.ndarray, capacity: int, rounds: int = ROUNDS,
+                   step: float = STEP) -> list[tuple[dict[int, int], int]]:
+    """Patterns, as the number of pieces by length, and how many sequences use each.
+
+    Every piece has a place in exactly one sequence. The solution of the program is rounded down
+    to whole sequences, and best fit packs the rest. Rounding loses most on patterns that leave
+    room: those that leave more than each of `ROUNDING` tokens are left to best fit as a whole, and
+    the plan with the fewest sequences is taken.
+    """
+    used = sorted(solve(lengths, counts, capacity, rounds, step).items(), key=lambda x: (-x[1], x[0]))
+    plans = []
+    for most in ROUNDING:
+        left, plan = counts.astype(np.int64).copy(), []
+        for key, amount in used:
+            if capacity - sum(int(lengths[i]) * n for i, n in key) > most:
+                continue
+            times = min(int(amount), *(int(left[i]) // n for i, n in key))
+            if times > 0:
+                for i, n in key:
+                    left[i] -= times * n
+                plan.append(({int(lengths[i]): n for i, n in key}, times))
+        plans.append(plan + best_fit(lengths, left, capacity))
+    return min(plans, key=lambda plan: sum(times for _, times in plan))
 
 
 def best_fit(lengths: np.ndarray, left: np.ndarray, capacity: int) -> list[tuple[dict[int, int], int]]:
@@ -229,8 +244,8 @@ def best_fit(lengths: np.ndarray, left: np.ndarray, capacity: int) -> list[tuple
                 twice = (other == np.arange(len(some))) & (left[some] - pattern[some] < 2)
                 other = np.where(twice, other - 1, other)
                 total = sizes + np.where(other >= 0, sizes[np.maximum(other, 0)], 0)
-                if total.max() == room:
-                    i = some[int(total.argmax())]
+                if 2 * sizes[-1] > room:
+                    i = some[len(total) - 1 - int(total[::-1].argmax())]
             pattern[i] += 1
             room -= int(lengths[i])
         at = np.flatnonzero(pattern)
