@@ -193,9 +193,12 @@ def find_elements(html: str, rules: tuple) -> list[dict]:
     return found
 
 
-def elements_function(selectors: Sequence[str], text_selectors: Sequence[str]):
+def elements_function(
+    selectors: Sequence[str], text_selectors: Sequence[str], wanted: Sequence[str] | None = None
+):
     """An Arrow function from markup to ``struct<elements, picks>``.
 
+    Only the ``wanted`` of the selectors are looked for (by default all).
     Null for a null page.  ``picks[i]`` lists the elements selector ``i`` picks, in document order, as
     positions in ``elements``; it is null when there are none.  ``start``
     counts characters from 0.  ``text`` (character references decoded) is
@@ -203,7 +206,7 @@ def elements_function(selectors: Sequence[str], text_selectors: Sequence[str]):
     not copied.  The function is marked non-deterministic: that keeps Spark
     from running the scan a second time inside a filter.
     """
-    rules, wants_text = compile_rules(selectors), frozenset(text_selectors)
+    rules, wants_text = compile_rules(wanted or selectors), frozenset(text_selectors)
     number = {selector: i for i, selector in enumerate(selectors)}
 
     def scan_page(page: str | None) -> dict | None:

@@ -40,14 +40,14 @@ FIRST_VALUE_SELECTORS = TITLE + AUTHOR + PUBLISHED + CATEGORY + DESCRIPTION
 ALL_SELECTORS = tuple(dict.fromkeys(FIRST_VALUE_SELECTORS + CONTENT + TAGS + IMAGES))
 
 
-def scan_pages(pages: DataFrame) -> DataFrame:
-    """``pages`` with what the selectors find in them, from one scan.
+def scan_pages(pages: DataFrame, wanted: Sequence[str] = ALL_SELECTORS) -> DataFrame:
+    """``pages`` with what the wanted selectors find in them, from one scan.
 
     ``elements``: ``start, length, text`` (trimmed), ``value`` (the text, else
     the attribute ``content``, ``title`` or ``src``), ``datetime`` and
     ``image``.  ``picks``: per selector, the positions of its elements.
     """
-    scan = elements_function(ALL_SELECTORS, FIRST_VALUE_SELECTORS)
+    scan = elements_function(ALL_SELECTORS, FIRST_VALUE_SELECTORS, wanted)
 
     def shaped(e: Column) -> Column:
         text, *attributes = [

@@ -113,13 +113,19 @@ SELECT doc_id AS page_id,
        concat('about ', CAST(doc_id AS VARCHAR)) AS description
 FROM documents"""
 
-VIEWS["valid_pages"] = f"""
-SELECT * FROM page_articles
-WHERE length({strip("coalesce(title, '')")}) > 5 AND length({strip("coalesce(content, '')")}) > 100
+_VALID = f"""length({strip("coalesce(title, '')")}) > 5 AND length({strip("coalesce(content, '')")}) > 100
   AND coalesce(url, '') <> ''"""
-VIEWS["page_batches"] = f"""
+_NO_FIELDS = ", ".join(f"CAST(NULL AS VARCHAR) AS {f}" for f in (
+    "published_date", "category", "tags", "images", "description"))
+# The given pages name no author: the second path segment stands for one.
+VIEWS["valid_pages"] = f"""
+SELECT *, nullif(concat(upper(segment[1]), lower(segment[2:])), '') AS author, {_NO_FIELDS}
+FROM (SELECT *, regexp_extract(url, '://[^/]+/[^/]+/([^/]+)/', 1) AS segment FROM page_articles) t WHERE {_VALID}"""
+VIEWS["valid_documents"] = f"SELECT * FROM document_articles WHERE {_VALID}"
+for _kind in ("page", "document"):
+    VIEWS[f"{_kind}_batches"] = f"""
 SELECT *, CAST(floor(rank / 20) AS BIGINT) AS batch_no, rank % 20 AS page_no
-FROM (SELECT *, row_number() OVER (ORDER BY md5(url), url) - 1 AS rank FROM valid_pages) t"""
+FROM (SELECT *, row_number() OVER (ORDER BY md5(url), url) - 1 AS rank FROM valid_{_kind}s) t"""
 
 VIEWS["recent"] = "SELECT * FROM checkpoints ORDER BY start_time DESC, crawl_id DESC LIMIT 20"
 VIEWS["attempt_runs"] = "SELECT *, CAST(CAST(ts AS DATE) AS VARCHAR) AS crawl_id FROM attempts"
@@ -207,8 +213,9 @@ SELECT coalesce((SELECT CASE WHEN s > 0 THEN processed_urls / s ELSE 0.0 END
   FROM (SELECT *, {seconds('start_time', 'end_time')} AS s FROM recent
         WHERE status = 'completed' ORDER BY start_time DESC, crawl_id DESC LIMIT 1) t), 0.0) AS rate"""
 _TODAY = "(SELECT CAST(max(start_time) AS DATE) FROM checkpoints)"
-_DIGEST = ("md5(string_agg(concat_ws('|', url, title, content, CAST(word_count AS VARCHAR)), "
-           "chr(10) ORDER BY page_no))")
+_FIELDS = ("url", "title", "content", "author", "published_date", "category", "tags", "images", "description", "language")
+_DIGEST = ("md5(string_agg(concat_ws('|', " + ", ".join(f"coalesce({f}, '-')" for f in _FIELDS)
+           + ", CAST(word_count AS VARCHAR)), chr(10) ORDER BY page_no))")
 
 
 def _run_urls() -> str:
@@ -227,10 +234,12 @@ SELECT url, 'pending', NULL, NULL, error, CASE WHEN outcome = 'error' THEN CAST(
 FROM ({_outcomes('url', 'attempts')}) o"""
 
 
-_PACKED = f"""
+def _packed(batches: str) -> str:
+    return f"""
 SELECT concat('run-', CAST(batch_no AS VARCHAR)) AS batch_id, CAST(count(*) AS INT) AS page_count,
        {_DIGEST} AS digest
-FROM (SELECT *, {word_count('content')} AS word_count FROM page_batches) t GROUP BY batch_no"""
+FROM (SELECT *, 'ar' AS language, {word_count('content')} AS word_count FROM {batches}) t GROUP BY batch_no"""
+
 
 ORACLES = {
     # Sources and sinks
@@ -245,8 +254,8 @@ FROM (SELECT DISTINCT doc_no, CAST(floor(doc_no / 100) AS BIGINT) AS index_no, k
     "sitemap_expand": "SELECT * FROM expanded",
     "news_sitemap": "SELECT url, lastmod FROM news_articles",
     "state_scan": "SELECT url, status, crawled_at, content_hash FROM crawl_state",
-    "batch_sink": _PACKED,
-    "dry_run_summary": f"SELECT batch_id, page_count FROM ({_PACKED}) b",
+    "batch_sink": _packed("page_batches"),
+    "dry_run_summary": f"SELECT batch_id, page_count FROM ({_packed('page_batches')}) b",
 
     # Filters and projections
     "article_url_filter": "SELECT url, lastmod, pos FROM main_articles",
@@ -351,7 +360,7 @@ SELECT crawl_id, count(*) AS processed, count(*) FILTER (WHERE outcome = 'succes
        CASE WHEN {seconds('min(first)', 'max(last)')} > 0
             THEN count(*) / {seconds('min(first)', 'max(last)')} ELSE 0.0 END AS rate
 FROM ({_outcomes('crawl_id, url', 'attempt_runs')}) o GROUP BY crawl_id""",
-    "batch_pack": _PACKED,
+    "batch_pack": _packed("document_batches"),
     "attempt_outcome": f"SELECT url, outcome, error FROM ({_outcomes('url', 'attempts')}) o",
     "state_fold": _fold(),
     "progress": f"""

@@ -11,6 +11,7 @@ from folioloom.operators import (
     attempts as A, batches as B, changes as C, extract as X, merge as M, runs as R, state as S)
 from folioloom.plans import flows, render
 from folioloom.plans.fixtures import FIXTURES, fixture, read_table
+from folioloom.schemas import ARTICLE_SCHEMA
 from folioloom.sources import sitemaps, tables
 from folioloom.streaming import folds
 
@@ -69,29 +70,29 @@ def _runs_of(attempts):
     return attempts.withColumn("crawl_id", F.to_date("ts").cast("string"))
 
 
-def _scanned(spark, sf, table):
-    return X.scan_pages(fixture(spark, sf, table))
+def _scanned(spark, sf, table, wanted):
+    return X.scan_pages(fixture(spark, sf, table), wanted)
 
 
 def _articles(spark, sf, table="article_pages"):
     return X.extract_articles(fixture(spark, sf, table), keep=("page_id",))
 
 
-def _stored_articles(spark, sf):
+def _stored_articles(spark, sf, table="pages"):
     """Valid articles of the given pages, as the table packing starts from."""
     path = tables.shared_dir(spark) + "/articles"
-    (X.valid_article(_articles(spark, sf, "pages"))
+    (X.valid_article(_articles(spark, sf, table))
      .withColumn(B.ROW, F.monotonically_increasing_id()).write.parquet(path))
     return spark.read.parquet(path)
 
 
-def _packed(spark, sf):
-    return B.pack_batches(_stored_articles(spark, sf), RUN_ID, _now(), PACK_SIZE)
+def _packed(spark, sf, table="pages"):
+    return B.pack_batches(_stored_articles(spark, sf, table), RUN_ID, _now(), PACK_SIZE)
 
 
 def _digest(batches):
-    line = F.transform("pages", lambda p: F.concat_ws(
-        "|", p["url"], p["title"], p["content"], p["word_count"].cast("string")))
+    line = F.transform("pages", lambda p: F.concat_ws("|", *(
+        F.coalesce(p[f.name].cast("string"), F.lit("-")) for f in ARTICLE_SCHEMA)))
     return batches.select(
         "batch_id", "page_count", F.md5(F.array_join(line, "\n")).alias("digest"))
 
@@ -179,28 +180,28 @@ def crawled_filter(spark, sf):
 
 @query
 def batch_projection(spark, sf):
-    fields = _scanned(spark, sf, "pages").select(
+    fields = _scanned(spark, sf, "pages", X.TITLE + X.CONTENT).select(
         "url", X.title().alias("title"), X.content().alias("content"))
     return B.batch_projection(fields)
 
 
 # --- extraction -------------------------------------------------------------------
 
-def _field(name, table, column, key):
+def _field(name, table, column, key, wanted):
     def run(spark, sf):
-        return _scanned(spark, sf, table).select("page_id", column().alias(key))
+        return _scanned(spark, sf, table, wanted).select("page_id", column().alias(key))
     run.__name__ = name
     return query(run)
 
 
-_field("extract_title", "pages", X.title, "title")
-_field("extract_author", "article_pages", X.author, "author")
-_field("extract_published", "article_pages", X.published_date, "published_date")
-_field("extract_content", "pages", X.content, "content")
-_field("extract_category", "article_pages", X.category, "category")
-_field("extract_tags", "article_pages", X.tags, "tags")
-_field("extract_images", "article_pages", X.images, "images")
-_field("extract_description", "article_pages", X.description, "description")
+_field("extract_title", "pages", X.title, "title", X.TITLE)
+_field("extract_author", "article_pages", X.author, "author", X.AUTHOR)
+_field("extract_published", "article_pages", X.published_date, "published_date", X.PUBLISHED)
+_field("extract_content", "pages", X.content, "content", X.CONTENT)
+_field("extract_category", "article_pages", X.category, "category", X.CATEGORY)
+_field("extract_tags", "article_pages", X.tags, "tags", X.TAGS)
+_field("extract_images", "article_pages", X.images, "images", X.IMAGES)
+_field("extract_description", "article_pages", X.description, "description", X.DESCRIPTION)
 
 
 @query
@@ -216,7 +217,7 @@ def extract_articles(spark, sf):
 @query
 def selector_fallback(spark, sf):
     """Text, then the ``content`` attribute, then ``src``, by element."""
-    return _scanned(spark, sf, "article_pages").select(
+    return _scanned(spark, sf, "article_pages", X.TITLE + X.DESCRIPTION + X.IMAGES).select(
         "page_id", X.first_value(X.TITLE).alias("from_text"),
         X.first_value(X.DESCRIPTION).alias("from_content"),
         X.first_value(X.IMAGES).alias("from_src"))
@@ -362,7 +363,7 @@ def run_summary(spark, sf):
 
 @query
 def batch_pack(spark, sf):
-    return _digest(_packed(spark, sf))
+    return _digest(_packed(spark, sf, "article_pages"))
 
 
 @query
