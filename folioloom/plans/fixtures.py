@@ -23,6 +23,16 @@ def _url(key: str) -> str:
          CASE WHEN {key} % 11 = 0 THEN '?page=2' ELSE '.html' END)"""
 
 
+def _turn(key: str, n: int, choices: list[str], where: str = "true") -> str:
+    """One of n expressions by the key; the last one where the condition does not hold."""
+    return (f"CASE WHEN NOT ({where}) THEN {choices[-1]} "
+            + " ".join(f"WHEN {key} % {n} = {i} THEN {x}" for i, x in enumerate(choices)) + " END")
+
+
+_IMAGES = """concat('<img src="http://img.example/', CAST(doc_id AS STRING), '.png">',
+              '<img src="/rel.png" data-src="http://img.example/no.png">',
+              '<img data-src="http://img.example/late.png">')"""
+
 FIXTURES = {
     # Repeated URLs, null dates, mixed case, rejected sections, query strings.
     "sitemap_main": f"""
@@ -97,30 +107,58 @@ SELECT CAST(floor(o_orderkey / 500) AS BIGINT) AS doc_no,
 FROM {{orders}}""",
 
     # Markup written from columns, so the expected fields are known unparsed.
+    # Every field is marked up in turn in each way that a selector looks for.
     "article_pages": f"""
 SELECT doc_id AS page_id,
        concat('{SITE}', lang, '/', source, '/', CAST(doc_id AS STRING), '.html') AS url,
-       concat('<html><head><meta name="description" content="about ', CAST(doc_id AS STRING), '">',
-              '<meta property="article:section" content="', lang, '"></head><body>',
-              '<!-- <h1 class="article-title">not this</h1> -->',
-              '<h1 class="entry-title">Title <b>of ', source, '</b></h1>',
+       concat('<html><head>', {_turn("doc_id", 2, [
+           """concat('<meta name="description" content="about ', CAST(doc_id AS STRING), '">')""",
+           """concat('<meta property="og:description" content="about ', CAST(doc_id AS STRING), '">')"""])},
+              '</head><body><!-- <h1 class="article-title">not this</h1> -->',
+              '<script-loader></script-loader><style-guide></style-guide>',
+              {_turn("doc_id", 7, [f"'{m}'" for m in (
+                  '<h1 class="article-title">', '<h1 class="entry-title">', '<h1 class="post-title">', '<h1 class="title">',
+                  '<div class="entry-header"><h1>', '<article><h1>', '<h1>')], "c < 9")},
+              'Title <b>of ', source, '</b></h1>',
+              {_turn("doc_id", 7, ["''", "''", "''", "''", "'</div>'", "'</article>'", "''"], "c < 9")},
               CASE WHEN doc_id % 3 = 0 THEN ''
-                   ELSE concat('<span class="by author">Writer ', source, '</span>') END,
+                   ELSE concat({_turn("doc_id", 8, [f"'{m}'" for m in (
+                       '<i class="author-name">', '<span class="by author">', '<i class="by-author">', '<div class="author"><a>',
+                       '<a rel="author" href=/by/>', '<i class="post-author">', '<i class="article-author">',
+                       '<i class="writer-name">')])}, 'Writer ', source,
+                       {_turn("doc_id", 8, [f"'{m}'" for m in (
+                           "</i>", "</span>", "</i>", "</a></div>", "</a>", "</i>", "</i>", "</i>")])}) END,
               CASE WHEN doc_id % 4 = 0
                    THEN concat('<time datetime="2024-02-', CAST(10 + doc_id % 19 AS STRING), '"></time>')
-                   ELSE concat('<span class="date">2024-01-', CAST(10 + doc_id % 20 AS STRING), '</span>') END,
-              CASE doc_id % 3
-                WHEN 0 THEN concat('<div class="entry-content" data-note="a < b ', repeat('x', 5000), '">')
-                WHEN 1 THEN '<script-loader></script-loader><style-guide></style-guide><div class="entry-content">'
-                ELSE '<div class=entry-content><a href=/up/></a>' END,
+                   ELSE concat({_turn("doc_id", 6, [f"'{m}'" for m in (
+                       '<span class="date">', '<time class="entry-date">', '<time class="published">', '<time class="post-date">',
+                       '<span class="post-date">', '<span class="article-date">')])},
+                       '2024-01-', CAST(10 + doc_id % 20 AS STRING),
+                       {_turn("doc_id", 6, [f"'{m}'" for m in (
+                           "</span>", "</time>", "</time>", "</time>", "</span>", "</span>")])}) END,
+              {_turn("c", 11, [f"'{m}'" for m in (
+                  '<div class="content-body"', '<div class="body"', '<div class="article-body"', '<div class="entry-content"',
+                  '<div class="post-content"', '<div class="article-content"', '<article><div class="content"',
+                  '<div class="post-body"', '<section class="article-body"', '<article', '<main')])},
+              CASE WHEN doc_id % 3 = 0 THEN concat(' data-note="a < b ', repeat('x', 5000), '"') ELSE '' END, '>',
               '<div><p>',
               replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'),
-              '</p></div><img src="http://img.example/', CAST(doc_id AS STRING), '.png">',
-              '<img src="/rel.png" data-src="http://img.example/no.png">',
-              '<img data-src="http://img.example/late.png"></div>',
-              '<div class="tags">', lang, '</div><div class="tag-list"><i>', source, '</i></div>',
+              '</p><a href=/up/></a></div>',
+              CASE WHEN c IN (2, 3, 6, 8, 9) THEN {_IMAGES} ELSE '' END,
+              {_turn("c", 11, [f"'{m}'" for m in (
+                  "</div>", "</div>", "</div>", "</div>", "</div>", "</div>", "</div></article>", "</div>", "</section>",
+                  "</article>", "</main>")])},
+              CASE WHEN c IN (2, 3, 6, 8, 9) THEN '' ELSE concat('<section class="post-content">', {_IMAGES}, '</section>') END,
+              {_turn("doc_id", 7, [
+                  """concat('<meta property="article:section" content="', lang, '">')"""] + [
+                  f"concat('{start}', lang, '{stop}')" for start, stop in (
+                      ('<b class="category">', "</b>"), ('<b class="post-category">', "</b>"), ('<b class="article-category">', "</b>"),
+                      ('<div class="breadcrumbs"><a>', "</a></div>"), ('<nav class="breadcrumb"><a>', "</a></nav>"),
+                      ('<b class="section-name">', "</b>"))])},
+              {_turn("doc_id", 2, ["'<div class=tags>'", "'<div class=post-tags>'"])}, lang, '</div>',
+              {_turn("doc_id", 2, ["""'<div class="article-tags"><i>'""", """'<div class="tag-list"><i>'"""])}, source, '</i></div>',
               '</body></html>') AS html
-FROM {{documents}}""",
+FROM (SELECT *, CAST(floor(doc_id / 7) AS BIGINT) % 11 AS c FROM {{documents}}) d""",
 }
 
 _REFERENCE = re.compile(r"\{(\w+)\}")
