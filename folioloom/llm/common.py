@@ -20,6 +20,8 @@ LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 LETTERS = bytes(
     c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32
     for c in range(256))
+#: Rows of texts in work at a time in a task.
+ARROW_ROWS = 2000
 
 
 def space_words(text: str | None) -> list[bytes]:
@@ -59,6 +61,18 @@ def split_words(texts: pa.Array, table: bytes | None = None) -> tuple[np.ndarray
     return codes, starts, words
 
 
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Lets tasks exchange at most ARROW_ROWS rows at a time with Python, which bounds the memory
+    of texts on both sides."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    return spark
+
+
+def release() -> None:
+    """Gives memory of finished batches back to the machine: a process runs many tasks."""
+    pa.default_memory_pool().release_unused()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder in the one named by spark.checkpoint.dir, which all executors share.
 
@@ -110,6 +124,7 @@ def add_columns(docs: DataFrame, text: str, fields: list[T.StructField], compute
         for batch in batches:
             old = batch.columns[:-1]
             yield pa.RecordBatch.from_arrays([*old, *compute(batch.columns[-1])], names=schema.names)
+            release()
 
     added = inner.mapInArrow(run, schema)
     return added.select(*(F.col(f"in_{i}").alias(c) for i, c in enumerate(names)),

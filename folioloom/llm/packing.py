@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folioloom.llm.common import ship, split_words, stored
+from folioloom.llm.common import release, ship, split_words, stored
 
 CAPACITY = 2048
 END = 0
@@ -37,8 +37,8 @@ ROUNDS = 200  # of multiplicative weights
 ROUNDING = (CAPACITY, 0, -1)  # room that patterns of the rounded solution may leave; -1: none is used
 STEP = 0.05  # relative fall of a weight when its length is covered once
 SALTS = 256
-PART_BYTES = 8 << 20  # of text in work at a time in a task
-CACHE_WORDS = 500_000  # a task's process remembers the ids of up to about twice as many words
+PART_BYTES = 4 << 20  # of text in work at a time in a task
+CACHE_WORDS = 150_000  # a task's process remembers the ids of two to three times as many words at most
 #: Letters whose normal form and lower case are one known character, then punctuation that never
 #: belongs to a contraction. Other words go through the whole tokenizer.
 PLAIN = re.compile(r"([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([!-&(-/:-@\[-`{-~]*)")
@@ -124,6 +124,7 @@ def tokenize(docs: DataFrame, tokenizer: str, *, doc_id: str = "doc_id", text: s
                 end = max(at + 1, int(np.searchsorted(size, before + PART_BYTES, "right")))
                 yield pieces(words_of, batch.slice(at, end - at), capacity)
                 at = end
+            release()
 
     return inner.mapInArrow(run, T.StructType([
         inner.schema["doc_id"], T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()),

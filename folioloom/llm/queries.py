@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from folioloom.llm import (
     decontaminate, embedding_dedup, licenses, ngram_lm, packing, quality, simhash, tool_calls,
     toxicity, url_rules)
-from folioloom.llm.common import split_of
+from folioloom.llm.common import small_batches, split_of
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return small_batches(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
