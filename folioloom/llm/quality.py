@@ -160,7 +160,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, label: str = "quality", doc_id: s
     rows = sample.mapInArrow(measure, T.StructType([
         kind, T.StructField("label", T.IntegerType()), T.StructField("x", T.ArrayType(T.DoubleType()))])).collect()
     rows.sort(key=lambda r: (r["x"], r["label"]))
-    x = np.array([r["x"] for r in rows], dtype=np.float64).reshape(len(rows), -1)
+    x = np.array([r["x"] for r in rows], dtype=np.float64).reshape(len(rows), width())
     return Ranking(x, np.array([r["label"] == 1 for r in rows], dtype=bool), threshold)
 
 
