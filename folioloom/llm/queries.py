@@ -116,5 +116,48 @@ QUERIES = {
     "op10_url_rules": op10_url_rules,
 }
 
+
+def words_sql(text: str) -> str:
+    return (f"regexp_extract_all(translate(coalesce({text}, ''), '{url_rules.CAPITALS}', '{url_rules.CAPITALS.lower()}'), "
+            r"'[0-9a-z\x{80}-\x{10FFFF}]+')")
+
+
+#: All windows of all items looked up at every place of every document.
+OP1_SQL = f"""
+WITH docs AS (SELECT row_number() OVER () AS n_row, doc_id, {words_sql('text')} AS w FROM documents),
+items AS (SELECT CAST(item_id AS VARCHAR) AS item, {words_sql('text')} AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item, least(len(w), 13) AS n, array_to_string(w[k:k + 12], ' ') AS t
+  FROM (SELECT item, w, unnest(generate_series(1, greatest(1, len(w) - 12))) AS k FROM items WHERE len(w) > 0) i),
+places AS (
+  SELECT n_row, n, k, array_to_string(w[k:k + n - 1], ' ') AS t
+  FROM (SELECT n_row, w, n, unnest(generate_series(1, len(w) - n + 1)) AS k
+        FROM docs, (SELECT DISTINCT n FROM windows) l WHERE len(w) >= n) d),
+hits AS (SELECT n_row, k, places.n, item FROM places JOIN windows ON places.t = windows.t AND places.n = windows.n),
+words_hit AS (
+  SELECT n_row, count(DISTINCT k + j) AS n_hit FROM (SELECT n_row, k, unnest(range(n)) AS j FROM hits) h GROUP BY n_row),
+owners AS (
+  SELECT n_row, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT n_row, item FROM hits WHERE item IS NOT NULL) h GROUP BY n_row)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit > 0 AND 20 * n_hit >= len(w), false) AS contaminated
+FROM docs LEFT JOIN words_hit USING (n_row) LEFT JOIN owners USING (n_row)"""
+
+#: Every pair of a label, and everything that links lead to.
+OP2_SQL = """
+WITH RECURSIVE good AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.label = b.label AND len(a.v) = len(b.v) AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT e.vec_id, coalesce(n, 0) AS n_links, component_id, e.vec_id = component_id AS kept
+FROM embeddings e
+JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) r ON e.vec_id = r.a
+LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) l ON e.vec_id = l.a"""
+
 #: SQL for DuckDB, where it can say the same.
-ORACLES: dict[str, str] = {"op10_url_rules": url_rules.oracle()}
+ORACLES: dict[str, str] = {
+    "op1_decontamination": OP1_SQL, "op2_embedding_dedup": OP2_SQL, "op10_url_rules": url_rules.oracle()}
