@@ -7,8 +7,10 @@ the highest it depends on, and their order is (level, turn, call_id). Arguments
 the tool's schema, and every linked pair becomes one line of canonical JSON: keys sorted, no
 spaces, text unescaped where JSON allows.
 
-The number of rounds is the longest chain of dependencies. Each round is a written table and
-joins only what is still open. Names of calls that do not exist hold nothing up.
+Chains of calls that each wait for one other, however long, take rounds in proportion to the
+logarithm of their length; then one round for each call that waits for several and stands in a row
+of such calls. Each round is a written table and joins only what is still open. Names of calls that
+do not exist hold nothing up.
 
 Defined results: a call without a result is `unanswered`, a result without a call `orphan`, calls
 that wait for each other `cyclic` with a null level, messages with a null identifier `no id`, one
@@ -91,23 +93,47 @@ def folded(messages: DataFrame, columns: list[str], count: str) -> DataFrame:
 
 
 def levels(calls: DataFrame) -> DataFrame:
-    """(call_id, level) for every call that no cycle holds up. calls: (call_id, depends_on)."""
+    """(call_id, level) for every call that no cycle holds up. calls: (call_id, depends_on).
+
+    A call that waits for one other points to it, with a distance; pointers are doubled until
+    they reach a call that waits for none or for several. What is left are the calls that wait
+    for several, which are levelled one after the other.
+    """
     known = calls.select("call_id")
-    waits = calls.select("call_id", F.explode(F.array_distinct("depends_on")).alias("needs")).join(
-        known.withColumnRenamed("call_id", "needs"), "needs", "left_semi").select("call_id", "needs")
-    open_calls, waits = stored(known, "open"), stored(waits, "waits")
-    done, level = None, 0
-    while True:
-        ready = stored(open_calls.join(waits, "call_id", "left_anti").withColumn("level", F.lit(level)), "ready")
-        done = ready if done is None else done.unionByName(ready)
+    waits = stored(calls.select("call_id", F.explode(F.array_distinct("depends_on")).alias("needs")).join(
+        known.withColumnRenamed("call_id", "needs"), "needs", "left_semi").select("call_id", "needs"), "waits")
+    counted = waits.groupBy("call_id").agg(F.count("*").alias("n"), F.min("needs").alias("needs"))
+    chain = F.coalesce("n", F.lit(0)) == 1
+    ways = stored(known.join(counted, "call_id", "left").select(
+        "call_id", F.when(chain, F.col("needs")).otherwise(F.col("call_id")).alias("up"),
+        chain.cast("long").alias("far"), (~chain).alias("ends")), "ways")
+    # After as many rounds as the number of calls has digits, what does not end is held by a cycle.
+    for _ in range(calls.count().bit_length()):
+        if ways.where("NOT ends").isEmpty():
+            break
+        above = ways.select(F.col("call_id").alias("up"), F.col("up").alias("next"), F.col("far").alias("more"),
+                            F.col("ends").alias("then"))
+        ways = stored(ways.where("NOT ends").join(above, "up").select(
+            "call_id", F.col("next").alias("up"), (F.col("far") + F.col("more")).alias("far"), F.col("then").alias("ends"))
+            .unionByName(ways.where("ends")), "ways")
+    several = counted.where("n > 1").select("call_id")
+    roots = known.join(counted, "call_id", "left_anti")
+    # (call_id, anchor, far): the calls that wait for several, and what their waits end in.
+    open_edges = stored(waits.join(several, "call_id", "left_semi").join(
+        ways.withColumnRenamed("call_id", "needs"), "needs").select(
+        "call_id", F.when(F.col("ends"), F.col("up")).alias("anchor"), (F.col("far") + 1).alias("far")), "edges")
+    done = stored(roots.withColumn("level", F.lit(0).cast("long")), "levels")
+    while not open_edges.isEmpty():
+        reached = open_edges.join(done.withColumnRenamed("call_id", "anchor"), "anchor", "left")
+        ready = stored(reached.groupBy("call_id").agg(
+            F.count_if(F.col("level").isNull()).alias("missing"), F.max(F.col("level") + F.col("far")).alias("level"))
+            .where("missing = 0").select("call_id", "level"), "ready")
         if ready.isEmpty():
-            return done
-        open_calls = stored(open_calls.join(ready, "call_id", "left_anti"), "open")
-        waits = stored(waits.join(ready.select(F.col("call_id").alias("needs")), "needs", "left_anti")
-                       .select("call_id", "needs"), "waits")
-        if open_calls.isEmpty():
-            return done
-        level += 1
+            break
+        open_edges = stored(open_edges.join(ready, "call_id", "left_anti"), "edges")
+        done = stored(done.unionByName(ready), "levels")
+    return ways.where("ends").join(done.select(F.col("call_id").alias("up"), "level"), "up").select(
+        "call_id", (F.col("level") + F.col("far")).cast("int").alias("level"))
 
 
 def link(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:

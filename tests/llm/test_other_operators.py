@@ -252,9 +252,28 @@ def test_tool_calls_are_linked_ordered_and_checked(spark):
     assert tool_calls.link(spark.createDataFrame([], MESSAGES), {}).count() == 0
 
 
-def test_levels_of_long_chains(spark):
-    calls = spark.createDataFrame([(str(i), [str(i - 1)]) for i in range(12)], "call_id string, depends_on array<string>")
-    assert {r.call_id: r.level for r in tool_calls.levels(calls).collect()} == {str(i): i for i in range(12)}
+def test_levels_of_chains_stars_and_graphs(spark):
+    pick = random.Random(11)
+    needs = {str(i): [str(i - 1)] if i else [] for i in range(70)}
+    needs |= {f"s{i}": ["0"] for i in range(20)}
+    needs |= {f"g{i}": [f"g{pick.randrange(i)}" for _ in range(pick.randint(0, 3))] if i else [] for i in range(40)}
+    needs |= {"x": ["y"], "y": ["z"], "z": ["x"], "w": ["z"], "v": ["w", "0"], "self": ["self"], "u": ["v"], "gone": ["no such"]}
+    want = {}
+
+    def level(call, path=()):
+        if call in path:
+            return None
+        if call not in want:
+            found = [level(n, (*path, call)) for n in set(needs[call]) if n in needs]
+            if None in found:
+                return None
+            want[call] = 1 + max(found) if found else 0
+        return want[call]
+
+    for call in needs:
+        level(call)
+    calls = spark.createDataFrame(list(needs.items()), "call_id string, depends_on array<string>")
+    assert {r.call_id: r.level for r in tool_calls.levels(calls).collect()} == want
 
 
 URLS = ["http://example.com/en/x", "https://WWW.Example.com/en/", "http://www.example.com/en", "http://a.b.net/es/1?x", "http://net/fr/",
