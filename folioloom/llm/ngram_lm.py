@@ -1,18 +1,23 @@
-"""Language-model scoring: a weighted backoff automaton of smoothed n-grams.
-
-Counts are of the whole training part of the corpus. A word's probability is its count less a
-discount, over all tokens; what the discounts leave is the probability of an unknown word. N-grams
-of the `frequent` words, up to `order` words long, whose share of all tokens is `rare` at least,
-are kept with their discounted probability. A state is a kept context, an arc a kept
-continuation; a state's failure arc leads to its longest proper suffix and weighs what its
-arcs leave of probability. So probabilities sum to one in every state. A text is read once from left
-to right: the state is carried, arcs and failure arcs add their logarithms.
-
-The two shares bound the automaton whatever the corpus: it is sent to all tasks. The vocabulary
-is not bounded and is never sent or collected. One pass cuts the documents into blocks of about
-`block_bytes` of text, with the words of a block numbered by their frequency in it. A block's
-different words, each once, get the corpus counts, and come back to the block's texts, which by then
-are word numbers. So each task holds one block and its words.
+"""Language-model scoring: backoff over smoothed n-grams of the whole corpus.
+
+Counts are of the whole training part of the corpus: every word and every n-gram up to `order` words
+long, whatever its share. A word's probability is its count less a discount, over all tokens;
+what the discounts leave is the probability of an unknown word. After a context that was seen, a word
+that followed it has its n-gram's discounted share of the context's count; any other word has its
+probability after the context without its first word, times what the context's arcs leave. So
+probabilities sum to one after every context. A text's score adds their logarithms.
+
+Neither the vocabulary nor the n-grams are bounded, sent or collected. One pass cuts the documents
+into blocks of about `block_bytes` of text, with the words of a block numbered by their frequency in
+it. A block's different words, each once, get the corpus counts, and come back to the block's texts,
+which by then are word numbers. Its different n-grams of each length do the same, one length after
+the other: each takes along its context's count and its last words' probability after the shorter
+context, which the block knows from the length before, and comes back with its count and its
+probability. The weights of contexts are sums over the stored n-grams, joined to those that were
+never seen in training. So each task holds one block, its words and its n-grams.
+
+`frequent` and `rare` prune: n-grams then hold only words with that share of all tokens at least, and
+n-grams below that share (or seen once) are not kept. Both are 0 by default: nothing is left out.
 
 Null and empty texts are the end token alone. Repeated rows give one row each, and all train. Extra
 columns are ignored. Without training documents every token is unknown with probability one and
@@ -32,101 +37,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folioloom.llm.common import LOWER, ship, split_of, split_words, stored
+from folioloom.llm.common import LOWER, split_of, split_words, stored
 
 ORDER = 3
-FREQUENT = 2e-4  # least share of tokens of a word in n-grams: at most 5,000 words
-RARE = 1e-5  # least share of tokens of an n-gram: at most 100,000 of each length
+FREQUENT = 0.0  # least share of tokens of a word in n-grams: all words
+RARE = 0.0  # least share of tokens of an n-gram: all n-grams
 ADD = 0.1  # smoothing of the base score
 BLOCK_BYTES = 16 << 20
 PART_BYTES = 4 << 20
 END = ""  # no word of a text is empty
 
 
-class Automaton:
-    """States, arcs and failure arcs over word numbers below `size`."""
-
-    def __init__(self, words: list[str], counts: dict[tuple[int, ...], int], tokens: int, words_known: int,
-                 discount: float, discounts: dict[int, float], order: int):
-        self.words = {w: i for i, w in enumerate(words)}
-        self.size, self.order = len(words) + 1, order
-        self.tokens, self.known, self.discount = tokens, words_known, discount
-        self.floor = math.log10(max(discount * words_known, 1e-300) / tokens) if tokens else 0.0
-        # State 0 is the empty context. Numbers of the others follow their length.
-        contexts = sorted({g[:-1] for g in counts if len(g) > 1}, key=lambda g: (len(g), g))
-        self.states = {(): 0} | {g: i + 1 for i, g in enumerate(contexts)}
-        self.arcs: dict[int, tuple[float, int]] = {}
-        self.fail, self.fall = [0] * len(self.states), [0.0] * len(self.states)
-        unigram = {g[0]: self.unigram(n) for g, n in counts.items() if len(g) == 1}
-        by: dict[tuple[int, ...], list[tuple[int, int]]] = {}
-        for g, n in counts.items():
-            if len(g) > 1:
-                by.setdefault(g[:-1], []).append((g[-1], n))
-        for context in contexts:  # shorter ones first: their probabilities are ready
-            state, total = self.states[context], counts[context]
-            suffix = self.suffix(context[1:])
-            self.fail[state] = self.states[suffix]
-            took = given = 0.0
-            for word, n in by[context]:
-                p = (n - discounts[len(context) + 1]) / total
-                lower = self.probability(self.fail[state], word, unigram)
-                took, given = took + p, given + lower
-                self.arcs[state * self.size + word] = (math.log10(p), self.goal(context + (word,)))
-            self.fall[state] = math.log10(max(1 - took, 1e-12) / max(1 - given, 1e-12))
-
-    def unigram(self, n: int) -> float:
-        return (n - self.discount) / self.tokens
-
-    def suffix(self, context: tuple[int, ...]) -> tuple[int, ...]:
-        while context not in self.states:
-            context = context[1:]
-        return context
-
-    def goal(self, history: tuple[int, ...]) -> int:
-        return self.states[self.suffix(history[-(self.order - 1):] if self.order > 1 else ())]
-
-    def probability(self, state: int, word: int, unigram: dict[int, float]) -> float:
-        weight = 0.0
-        while state:
-            arc = self.arcs.get(state * self.size + word)
-            if arc:
-                return 10 ** (weight + arc[0])
-            weight += self.fall[state]
-            state = self.fail[state]
-        return 10 ** weight * unigram[word]
-
-    def start(self) -> None:
-        """Where a word leads from the empty context."""
-        self.root = [0] * self.size
-        for word in range(self.size - 1):
-            self.root[word] = self.states.get((word,), 0) if self.order > 1 else 0
-
-    def read(self, words: list[int], logs: list[float]) -> float:
-        """Sum of log10 probabilities. words: numbers, size - 1 for one outside the automaton;
-        logs: of their unigram probabilities."""
-        state, total, other = 0, 0.0, self.size - 1
-        arcs, fail, fall, root, size = self.arcs, self.fail, self.fall, self.root, self.size
-        for word, log in zip(words, logs):
-            if word == other:
-                while state:
-                    total += fall[state]
-                    state = fail[state]
-                total += log
-                continue
-            while state:
-                arc = arcs.get(state * size + word)
-                if arc is not None:
-                    total += arc[0]
-                    state = arc[1]
-                    break
-                total += fall[state]
-                state = fail[state]
-            else:
-                total += log
-                state = root[word]
-        return total
-
-
 def parts(texts: pa.Array):
     """The texts in stretches of a bounded size, with their first row."""
     sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
@@ -216,34 +137,80 @@ def blocks_of(rows: DataFrame, block_bytes: int) -> DataFrame:
     return stored(rows.mapInArrow(run, schema), "blocks")
 
 
-def count_ngrams(rows: DataFrame, frequent: list[str], order: int) -> DataFrame:
-    """(gram, n) for all runs of 2 to `order` frequent words in the training texts.
-
-    A gram is one number, its words as digits; its first digit is the number of words.
-    """
-    sent = ship(rows.sparkSession, {w: i for i, w in enumerate(frequent)})
-    base = len(frequent) + 1
-
-    def run(batches):
-        place = sent()
-        for batch in batches:
-            for _, part in parts(batch.column(0)):
-                codes, starts, words = split_words(part, LOWER)
-                number = np.fromiter((place.get(w, -1) for w in words.to_pylist()), np.int64, len(words))
-                line = np.insert(number[codes], starts[1:], place.get(END, -1))
-                starts = starts + np.arange(len(starts))
-                doc = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
-                code, inside = line.copy(), line >= 0
-                for k in range(2, order + 1):
-                    code = code[:-1] * base + line[k - 1:]
-                    inside = inside[:-1] & (line[k - 1:] >= 0) & (doc[:len(code)] == doc[k - 1:])
-                    grams, n = np.unique(code[inside], return_counts=True)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(grams), k, dtype=np.int32)), pa.array(grams), pa.array(n)],
-                        names=["k", "gram", "n"])
-
-    found = rows.where("training").select("text").mapInArrow(run, "k int, gram long, n long")
-    return found.groupBy("k", "gram").agg(F.sum("n").alias("n"))
+def numbers(texts: pa.Table, most: int):
+    """Words of each text, places of the tokens in their texts, and for each length up to `most`: the
+    number in the block of the n-gram that ends at each token, and a token at which each n-gram ends."""
+    lines = [unpack(planes) for planes in texts.column("codes").to_pylist()]
+    line = np.concatenate(lines)
+    sizes = np.fromiter(map(len, lines), np.int64, len(lines))
+    place = np.arange(len(line)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    wide, number, found = line.max() + 1, line, [(line, None)]
+    for k in range(2, most + 1):
+        at = np.flatnonzero(place >= k - 1)
+        _, first, same = np.unique(number[at - 1] * wide + line[at], return_index=True, return_inverse=True)
+        number = np.full(len(line), -1, dtype=np.int64)
+        number[at] = same
+        found.append((number, at[first]))
+    return sizes, place, found
+
+
+def by_number(known: pa.Table, level: int, column: str) -> np.ndarray:
+    """A column of the block's n-grams of one length, by their number."""
+    mine = known.filter(pc.equal(known.column("level"), level))
+    values = mine.column(column).to_numpy()
+    out = np.empty_like(values)
+    out[mine.column("no").to_numpy()] = values
+    return out
+
+
+def ngrams_of(texts: DataFrame, known: DataFrame, k: int, inside: float) -> DataFrame:
+    """(block, no, g0.., n, total, low) for every different run of k words of a block: its words, how
+    often training texts of the block have it, its context's count, and the log10 probability of its
+    last word after the shorter context. Runs with a word counted less than `inside` have n = 0."""
+    names = [f"g{i}" for i in range(k)]
+
+    def run(key, texts: pa.Table, known: pa.Table) -> pa.Table:
+        sizes, _, found = numbers(texts, k)
+        line, (lower, _), (number, ends) = found[0][0], found[-2], found[-1]
+        training = np.repeat(texts.column("training").to_numpy(), sizes)
+        n = np.bincount(number[training & (number >= 0)], minlength=len(ends))
+        common, ids = by_number(known, 1, "n") >= inside, by_number(known, 1, "id")
+        words = [line[ends - (k - 1 - i)] for i in range(k)]
+        for word in words:
+            n = n * common[word]
+        table = pa.table([
+            pa.array(np.full(len(ends), key[0].as_py(), dtype=np.int64)), pa.array(np.arange(len(ends), dtype=np.int32)),
+            *(pa.array(ids[word]) for word in words), pa.array(n.astype(np.int64)),
+            pa.array(by_number(known, k - 1, "n")[lower[ends - 1]]),
+            pa.array(by_number(known, k - 1, "value")[lower[ends]])],
+            names=["block", "no", *names, "n", "total", "low"])
+        return pa.Table.from_batches(table.to_batches(max_chunksize=1 << 16), table.schema)
+
+    columns = ", ".join(f"{g} long" for g in names)
+    needed = known.where(F.col("level").isin(1, k - 1))
+    return texts.groupBy("block").cogroup(needed.groupBy("block")).applyInArrow(
+        run, f"block long, no int, {columns}, n long, total long, low double")
+
+
+def weigh(rows: DataFrame, k: int, least: float) -> DataFrame:
+    """(block, no, n, value): the count in all training texts, and the log10 probability of the last
+    word after the others."""
+    names = [f"g{i}" for i in range(k)]
+    # An n-gram has one row in each block, like a word.
+    whole = Window.partitionBy(*names)
+    counted = stored(rows.select(
+        "block", "no", *names, "total", "low", F.sum("n").over(whole).alias("n"),
+        (F.row_number().over(whole.orderBy("block")) == 1).alias("first")), "ngrams")
+    of_counts = counted.where("first").agg(
+        F.count_if(F.col("n") == 1).alias("once"), F.count_if(F.col("n") == 2).alias("twice")).first()
+    kept = F.col("n") >= least
+    arc = (F.col("n") - discount_of(of_counts.once or 0, of_counts.twice or 0)) / F.col("total")
+    # Summed up before the shuffle, and joined to what was not kept alone: no context is hot.
+    falls = counted.where(kept & F.col("first")).groupBy(*names[:-1]).agg(F.log10(
+        F.greatest(1 - F.sum(arc), F.lit(1e-12)) / F.greatest(1 - F.sum(F.pow(F.lit(10.0), "low")), F.lit(1e-12))).alias("fall"))
+    others = counted.where(~kept).join(falls, names[:-1], "left")
+    return counted.where(kept).select("block", "no", "n", F.log10(arc).alias("value")).unionByName(
+        others.select("block", "no", "n", (F.col("low") + F.coalesce("fall", F.lit(0.0))).alias("value")))
 
 
 def discount_of(once: int, twice: int) -> float:
@@ -251,40 +218,6 @@ def discount_of(once: int, twice: int) -> float:
     return min(0.95, max(0.05, once / (once + 2 * twice))) if once else 0.5
 
 
-def learn(rows: DataFrame, counts: DataFrame, order: int, frequent: float, rare: float) -> Automaton:
-    """counts: (word, c, first): c is a word's count in the training texts, `first` marks one row
-    of each word."""
-    vocabulary = counts.where("first")
-    total = vocabulary.agg(F.sum("c").alias("tokens"), F.count_if(F.col("c") > 0).alias("known"),
-                           F.count_if(F.col("c") == 1).alias("once"), F.count_if(F.col("c") == 2).alias("twice")).first()
-    tokens, known = total.tokens or 0, total.known or 0
-    # At most 1 / frequent words, and 1 / rare n-grams of each length.
-    common = sorted((r.word, r.c) for r in vocabulary.where(
-        F.col("c") >= max(1.0, frequent * tokens)).select("word", "c").collect())
-    words = [w for w, _ in common]
-    grams = {(i,): n for i, (_, n) in enumerate(common)}
-    discounts = {}
-    if words and order > 1:
-        if (len(words) + 1) ** order >= 1 << 62:
-            raise ValueError("frequent is too small for this order")
-        counted = stored(count_ngrams(rows, words, order), "ngrams")
-        for r in counted.groupBy("k").agg(F.count_if(F.col("n") == 1).alias("once"),
-                                          F.count_if(F.col("n") == 2).alias("twice")).collect():
-            discounts[r.k] = discount_of(r.once, r.twice)
-        base = len(words) + 1
-        for r in counted.where(F.col("n") >= max(2.0, rare * tokens)).collect():
-            gram, code = [], r.gram
-            for _ in range(r.k):
-                code, word = divmod(code, base)
-                gram.append(word)
-            grams[tuple(reversed(gram))] = r.n
-    # A context is kept with all its shorter beginnings: those are at least as frequent.
-    grams = {g: n for g, n in grams.items() if len(g) < 3 or g[:-1] in grams}
-    model = Automaton(words, grams, tokens, known, discount_of(total.once or 0, total.twice or 0), discounts, order)
-    model.start()
-    return model
-
-
 def score(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", training=None, order: int = ORDER,
           frequent: float = FREQUENT, rare: float = RARE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Per document: (doc_id, training, n_tokens, n_known, train_tokens, base_score, score).
@@ -302,44 +235,48 @@ def score(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", traini
     whole = Window.partitionBy("word")
     counts = stored(blocks.where("code IS NOT NULL").select(
         "block", "code", "word", F.sum("n").over(whole).alias("c"),
-        (F.row_number().over(whole.orderBy("block")) == 1).alias("first")), "counts")
-    model = learn(rows, counts, order, frequent, rare)
-    sent = ship(spark, model)
-    named = F.when(F.col("c") >= max(1.0, frequent * model.tokens), F.col("word"))
-    of_words = counts.select("block", "code", "c", named.alias("word"))
+        (F.row_number().over(whole.orderBy("block")) == 1).alias("first")).withColumn(
+        "row", F.monotonically_increasing_id()).select(
+        "block", "code", "c", "first", F.min("row").over(whole).alias("id")), "counts")
+    total = counts.where("first").agg(
+        F.sum("c").alias("tokens"), F.count_if(F.col("c") > 0).alias("known"),
+        F.count_if(F.col("c") == 1).alias("once"), F.count_if(F.col("c") == 2).alias("twice")).first()
+    tokens, words_known = total.tokens or 0, total.known or 0
+    discount = discount_of(total.once or 0, total.twice or 0)
+    floor = math.log10(max(discount * words_known, 1e-300) / tokens) if tokens else 0.0
     of_texts = blocks.where("code IS NULL").select("block", "doc_id", "training", "codes")
-
-    def run(key, texts: pa.Table, words: pa.Table) -> pa.Table:
-        model = sent()
-        codes = words.column("code").to_numpy()
-        c = np.zeros(len(codes))
-        c[codes] = words.column("c").to_numpy()
-        bottom = model.tokens + ADD * (model.known + 1)
+    value = F.when(F.col("c") > 0, F.log10((F.col("c") - discount) / max(tokens, 1))).otherwise(floor)
+    known = counts.select("block", F.lit(1).alias("level"), F.col("code").alias("no"), "id",
+                          F.col("c").alias("n"), value.alias("value"))
+    least = max(2.0, rare * tokens) if rare else 1.0
+    for k in range(2, order + 1):
+        weighed = weigh(ngrams_of(of_texts, known, k, max(1.0, frequent * tokens)), k, least)
+        known = known.unionByName((stored(weighed, "values") if k < order else weighed).select(
+            "block", F.lit(k).alias("level"), "no", F.lit(None).cast("long").alias("id"), "n", "value"))
+
+    def run(key, texts: pa.Table, known: pa.Table) -> pa.Table:
+        sizes, place, found = numbers(texts, order)
+        c = by_number(known, 1, "n")
+        bottom = tokens + ADD * (words_known + 1)
         base = np.log10((c + ADD) / bottom)
-        log = np.log10(np.maximum(c - model.discount, 1e-300) / max(model.tokens, 1))
-        log[c == 0] = model.floor
-        number = np.full(len(codes), model.size - 1, dtype=np.int64)
-        for code, word in zip(codes.tolist(), words.column("word").to_pylist()):
-            if word is not None:
-                number[code] = model.words[word]
-        out = {k: [] for k in ("n_tokens", "n_known", "base_score", "score")}
-        for planes in texts.column("codes").to_pylist():
-            line = unpack(planes)
-            out["n_tokens"].append(len(line))
-            out["n_known"].append(int((c[line] > 0).sum()))
-            out["base_score"].append(float(base[line].sum()))
-            out["score"].append(model.read(number[line].tolist(), log[line].tolist()))
+        line, logs = found[0][0], np.empty(len(place))
+        for k, (number, _) in enumerate(found, 1):
+            at = np.flatnonzero(place >= order - 1 if k == order else place == k - 1)
+            if len(at):
+                logs[at] = by_number(known, k, "value")[number[at]]
+        first = np.cumsum(sizes) - sizes  # no text is without tokens
         return pa.table({
-            "doc_id": texts.column("doc_id"), "training": texts.column("training"),
-            "n_tokens": pa.array(out["n_tokens"], pa.int64()), "n_known": pa.array(out["n_known"], pa.int64()),
-            "train_tokens": pa.array([model.tokens] * texts.num_rows, pa.int64()),
-            "base_score": pa.array(out["base_score"], pa.float64()), "score": pa.array(out["score"], pa.float64())})
+            "doc_id": texts.column("doc_id"), "training": texts.column("training"), "n_tokens": pa.array(sizes),
+            "n_known": pa.array(np.add.reduceat((c[line] > 0).astype(np.int64), first)),
+            "train_tokens": pa.array([tokens] * texts.num_rows, pa.int64()),
+            "base_score": pa.array(np.add.reduceat(base[line], first)),
+            "score": pa.array(np.add.reduceat(logs, first))})
 
     schema = T.StructType([
         blocks.schema["doc_id"], T.StructField("training", T.BooleanType()), T.StructField("n_tokens", T.LongType()),
         T.StructField("n_known", T.LongType()), T.StructField("train_tokens", T.LongType()),
         T.StructField("base_score", T.DoubleType()), T.StructField("score", T.DoubleType())])
-    return of_texts.groupBy("block").cogroup(of_words.groupBy("block")).applyInArrow(run, schema)
+    return of_texts.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(run, schema)
 
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

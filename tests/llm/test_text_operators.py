@@ -226,3 +226,35 @@ def test_language_model_without_documents_or_training(spark):
     assert ngram_lm.score(docs_of(spark, [])).count() == 0
     (row,) = ngram_lm.score(docs_of(spark, [(1, "a b")]), training=F.lit(False)).collect()
     assert (row.n_tokens, row.n_known, row.train_tokens, row.base_score) == (3, 0, 0, 0.0) and math.isfinite(row.score)
+
+
+def test_language_model_keeps_ngrams_of_rare_words(spark):
+    rows = list(enumerate(texts(600, 12, 4000))) + [(700, "rare pair here"), (701, "rare pair here"), (702, "rare pair there")]
+    train = [zlib.crc32(str(i).encode()) % 10 != 0 for i, _ in rows]
+    lines = [low(t).split() + [""] for _, t in rows]
+    grams = [collections.Counter(tuple(line[i:i + k]) for line, use in zip(lines, train) if use
+                                 for i in range(len(line) - k + 1)) for k in (1, 2, 3)]
+    n = sum(grams[0].values())
+    assert min(grams[0].values()) < 2e-4 * n  # words that a share of all tokens would leave out
+    d = [ngram_lm.discount_of(*(sum(1 for c in x.values() if c == k) for k in (1, 2))) for x in grams]
+    after = {}
+    for x in grams[1:]:
+        for g, c in x.items():
+            after.setdefault(g[:-1], {})[g[-1]] = c
+
+    def p(word, context):
+        if not context:
+            return (grams[0][(word,)] - d[0]) / n if grams[0][(word,)] else d[0] * len(grams[0]) / n
+        arcs, total = after.get(context), grams[len(context) - 1][context]
+        if not arcs:
+            return p(word, context[1:])
+        if word in arcs:
+            return (arcs[word] - d[len(context)]) / total
+        left = 1 - sum((c - d[len(context)]) / total for c in arcs.values())
+        return left / (1 - sum(p(w, context[1:]) for w in arcs)) * p(word, context[1:])
+
+    got = {r.doc_id: r.score for r in ngram_lm.score(docs_of(spark, rows), block_bytes=20_000).collect()}
+    assert not all(train)
+    for (i, _), line in zip(rows, lines):
+        want = sum(math.log10(p(w, tuple(line[max(0, k - 2):k]))) for k, w in enumerate(line))
+        assert got[i] == pytest.approx(want, rel=1e-9), i
