@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -136,15 +136,21 @@ def split_of(doc_id: str, parts: int):
     return F.crc32(F.col(doc_id).cast("string")) % parts
 
 
+def label_of_ids(labels: DataFrame, label: str, *, doc_id: str, training) -> DataFrame:
+    """(doc_id, label), one row for each labelled id that the condition `training` on the column
+    doc_id marks. Several labels of an id count as the largest."""
+    return labels.select(F.col(doc_id).alias("doc_id"), F.col(label).alias("label")).where(
+        F.col("label").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
+        F.max("label").cast("int").alias("label")).where(training)
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, *, doc_id: str, text: str,
                     most: int, training) -> DataFrame:
     """(text, label) of at most `most` labelled training documents of each class, by the hash of
     their ids. Several labels of an id count as the largest; an id with several texts counts once,
     with the largest. training: the condition on the column doc_id that marks rows to learn from.
     """
-    marks = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).alias("label")).where(
-        F.col("label").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
-        F.max("label").cast("int").alias("label")).where(training)
+    marks = label_of_ids(labels, label, doc_id=doc_id, training=training)
     order = (F.xxhash64("doc_id"), F.col("doc_id"))
     chosen = marks.where("label = 0").orderBy(*order).limit(most).unionByName(
         marks.where("label = 1").orderBy(*order).limit(most))
@@ -155,6 +161,22 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, *, doc_id: s
     return once.select("doc_id", F.col("t.text").alias("text"), "label")
 
 
+def running_sums(values: DataFrame, key: str, sums: list[str]) -> DataFrame:
+    """values with `<sum>_before` for each of the sums: its total over all smaller keys. Keys are
+    unique. Ranges of keys are summed apart; one row for each range comes to the driver."""
+    ranged = stored(values.repartitionByRange(key).withColumn("part", F.spark_partition_id()), "ranged")
+    parts = sorted(ranged.groupBy("part").agg(F.min(key).alias("least"), *(F.sum(s).alias(s) for s in sums)).collect(),
+                   key=lambda r: r["least"])
+    offsets, total = [], dict.fromkeys(sums, 0)
+    for r in parts:
+        offsets.append((r["part"], *total.values()))
+        total = {s: total[s] + r[s] for s in sums}
+    before = values.sparkSession.createDataFrame(offsets, "part int" + "".join(f", {s}_offset long" for s in sums))
+    smaller = Window.partitionBy("part").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+    return ranged.join(F.broadcast(before), "part").select(key, *sums, *(
+        (F.col(f"{s}_offset") + F.coalesce(F.sum(s).over(smaller), F.lit(0))).alias(f"{s}_before") for s in sums))
+
+
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) for every node of an edge, component being its smallest reachable node.
 

@@ -3,17 +3,18 @@
 A document's score is a weighted sum of features of its text. The weights make labelled good
 documents beat labelled bad ones: for pairs of one good and one bad document they minimise the
 logistic loss of the difference of scores. Documents are kept from that quantile of the scores of
-the labelled training rows that equals the share of bad ones among them; there the returned score,
+all labelled training rows that equals the share of bad ones among them; there the returned score,
 from 0 to 1, is `threshold`.
 
-The fit uses at most `most` labelled rows of each class (a parameter), chosen by the hash of their
-ids, whatever the size of the corpus; only their features come to the driver. Scoring is one
+The fit of the weights uses at most `most` labelled rows of each class (a parameter), chosen by the
+hash of their ids, whatever the size of the corpus; only their features come to the driver. The
+quantile is taken of all labelled rows, whose scores are summed up in ranges. Scoring is one
 pass without a shuffle.
 
 Features are shares of kinds of characters and words, word lengths, and repetition, over the
 whole text. Null and empty texts have zero features and get a score like any other. Repeated rows
-get equal scores. Labels without a document and documents without a label are fine; without rows
-of both classes there is no preference and every document is at the threshold. Labels, ids,
+get equal scores. Labels without a document and documents without a label are fine; an id with several
+texts counts once in the quantile, with the largest score. Without rows of both classes there is no preference and every document is at the threshold. Labels, ids,
 languages and sources are never features. Extra columns are kept.
 """
 
@@ -29,7 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folioloom.llm.common import add_columns, labelled_sample, ship, split_of, split_words
+from folioloom.llm.common import (
+    add_columns, label_of_ids, labelled_sample, running_sums, ship, split_of, split_words)
 
 MOST = 10_000  # labelled rows of each class in the fit
 OPPONENTS = 8  # pairs of each row
@@ -110,7 +112,7 @@ class Ranking:
     def __init__(self, x: np.ndarray, good: np.ndarray, threshold: float = THRESHOLD,
                  opponents: int = OPPONENTS, ridge: float = RIDGE):
         self.threshold = threshold
-        self.weights = None
+        self.weights, self.cut = None, 0.0
         if not good.any() or good.all():
             return
         self.mean = x.mean(axis=0)
@@ -130,15 +132,15 @@ class Ranking:
             self.weights = self.weights + move
             if np.abs(move).max() < 1e-6:
                 break
-        scores = np.sort(x @ self.weights)
-        bad = int((~good).sum())
-        self.cut = (scores[bad - 1] + scores[bad]) / 2
+
+    def raw(self, x: np.ndarray) -> np.ndarray:
+        return ((x - self.mean) / self.scale) @ self.weights
 
     def score(self, x: np.ndarray) -> np.ndarray:
         """From 0 to 1; the threshold stands at the cut."""
         if self.weights is None:
             return np.full(len(x), self.threshold)
-        raw = ((x - self.mean) / self.scale) @ self.weights - self.cut
+        raw = self.raw(x) - self.cut
         return 1 / (1 + (1 / self.threshold - 1) * np.exp(np.clip(-raw, -50, 50)))
 
 
@@ -161,7 +163,32 @@ def fit(docs: DataFrame, labels: DataFrame, *, label: str = "quality", doc_id: s
         kind, T.StructField("label", T.IntegerType()), T.StructField("x", T.ArrayType(T.DoubleType()))])).collect()
     rows.sort(key=lambda r: (r["x"], r["label"]))
     x = np.array([r["x"] for r in rows], dtype=np.float64).reshape(len(rows), width())
-    return Ranking(x, np.array([r["label"] == 1 for r in rows], dtype=bool), threshold)
+    model = Ranking(x, np.array([r["label"] == 1 for r in rows], dtype=bool), threshold)
+    if model.weights is not None:
+        marks = label_of_ids(labels, label, doc_id=doc_id, training=training)
+        model.cut = cut_of(docs, marks, model, doc_id=doc_id, text=text)
+    return model
+
+
+def cut_of(docs: DataFrame, marks: DataFrame, model: Ranking, *, doc_id: str, text: str) -> float:
+    """Between the two scores of labelled documents that have as many rows at or below them as there
+    are bad ones, and one more. All documents are scored, so that no text is shuffled."""
+    sent = ship(docs.sparkSession, model)
+    inner = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).where("doc_id IS NOT NULL")
+
+    def measure(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(sent().raw(features(batch.column(1))))], names=["doc_id", "raw"])
+
+    scored = inner.mapInArrow(measure, T.StructType([inner.schema["doc_id"], T.StructField("raw", T.DoubleType())]))
+    values = scored.groupBy("doc_id").agg(F.max("raw").alias("raw")).join(marks, "doc_id").groupBy("raw").agg(
+        F.count("*").alias("n"), F.sum(1 - F.col("label")).alias("bad"))
+    sums = running_sums(values, "raw", ["n", "bad"])
+    bad = sums.agg(F.sum("bad")).first()[0]
+    upto = F.col("n_before") + F.col("n")
+    low, high = sums.agg(F.min(F.when(upto >= bad, F.col("raw"))), F.min(F.when(upto > bad, F.col("raw")))).first()
+    return (low + high) / 2
 
 
 def score(docs: DataFrame, model: Ranking, *, text: str = "text", column: str = "score") -> DataFrame:

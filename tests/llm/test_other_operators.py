@@ -164,6 +164,19 @@ def test_quality_ranks_held_out_documents(spark):
     assert quality.score(docs.limit(0), model).count() == 0
 
 
+def test_quality_rejects_the_share_of_bad_labels_beyond_the_sample(spark):
+    pick, rows, labels = random.Random(13), [], []
+    for i in range(600):  # classes overlap: the texts say little about the label
+        good = pick.random() < 0.85
+        rows.append((i, prose(pick, pick.randint(20, 90)) + " !" * pick.randint(0, 6 if good else 8)))
+        labels.append((i, int(good)))
+    docs = docs_of(spark, rows)
+    scored = quality.score(docs, quality.fit(docs, spark.createDataFrame(labels, "doc_id long, quality int"), most=30)).collect()
+    marks = {i: good for i, good in labels if zlib.crc32(str(i).encode()) % 4 != 2}
+    rejected = sum(r.score < quality.THRESHOLD for r in scored if r.doc_id in marks)
+    assert rejected == sum(not good for good in marks.values())
+
+
 def segments_brute(values):
     """All maximal segments: split at the best segment (leftmost, shortest), then left and right."""
     best = None
