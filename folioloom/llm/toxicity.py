@@ -7,17 +7,18 @@ else its beginning's, less a small cost for every token, so that random text sco
 
 One linear scan of a text finds all maximal scoring segments: the toxic passages. Under the
 corpus's shares of scores a clean text of m words has about K m exp(-lambda S) segments of score S
-or more by chance (extreme-value statistics; lambda from the shares, K counted on the clean
+or more by chance (extreme-value statistics; lambda from the shares, K counted on all clean
 labelled rows). A document's statistic is the sum of -log of that number over its significant
-passages; the returned score, from 0 to 1, is `threshold` where the statistic separates the
+passages; the returned score, from 0 to 1, is `threshold` where the statistic separates all
 labelled training rows best.
 
-The fit uses at most `most` labelled rows of each class (a parameter), chosen by the hash of their
-ids. The lexicon holds significant units of those rows alone, so its size does not grow with the
-corpus. Corpus shares are counted over all documents. Scoring is one pass without a shuffle.
+The lexicon is of at most `most` labelled rows of each class (a parameter), chosen by the hash of
+their ids. It holds significant units of those rows alone, so its size does not grow with the
+corpus. Corpus shares are counted over all documents; K and the cut come from all labelled
+training rows, whose statistics are summed up in ranges. Scoring is one pass without a shuffle.
 
-Null, empty and very short texts have no passage and a low score. Equal labelled texts count once.
-Without labelled rows of both classes there is no lexicon and every score is 0. Labels, ids,
+Null, empty and very short texts have no passage and a low score. Equal labelled texts count once
+in the lexicon; an id with several texts counts once in K and the cut, with its longest one. Without labelled rows of both classes there is no lexicon and every score is 0. Labels, ids,
 languages and sources are never used in a score. Extra columns are kept.
 """
 
@@ -34,7 +35,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folioloom.llm.common import LETTERS, add_columns, labelled_sample, ship, split_of, split_words, stored
+from folioloom.llm.common import (
+    LETTERS, add_columns, label_of_ids, labelled_sample, running_sums, ship, split_of, split_words, stored)
 
 MOST = 10_000  # labelled rows of each class in the fit
 THRESHOLD = 0.3
@@ -213,14 +215,18 @@ def fit(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", doc_id: str
     if training is None:
         training = split_of("doc_id", 4) != 2
     sample = labelled_sample(docs, labels, label, doc_id=doc_id, text=text, most=most, training=training)
-    return learn(docs, stored(sample, "labelled"), text)
+    model = learn(docs, stored(sample, "labelled"), text)
+    if model is None:
+        return Lexicon({})
+    return calibrate(model, docs, label_of_ids(labels, label, doc_id=doc_id, training=training), doc_id, text)
 
 
-def learn(docs: DataFrame, sample: DataFrame, text: str) -> Lexicon:
+def learn(docs: DataFrame, sample: DataFrame, text: str) -> Lexicon | None:
+    """The lexicon, and how fast chance segments fall; none without texts of both classes."""
     total = sample.groupBy("text").agg(F.max("label").alias("label")).agg(
         F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("clean")).first()
     if not total.toxic or not total.clean:
-        return Lexicon({})
+        return None
     # Units that can become significant and large: those that would be so under the floor alone.
     y, z = F.col("toxic") + FLOOR, F.col("clean") + FLOOR
     odds = F.abs(F.log(y / (total.toxic + 2 * FLOOR - y)) - F.log(z / (total.clean + 2 * FLOOR - z)))
@@ -236,7 +242,7 @@ def learn(docs: DataFrame, sample: DataFrame, text: str) -> Lexicon:
     # The background of the statistics is clean text: of a unit's share, the part in clean texts.
     pure = {u: s * (r.clean + FLOOR) / (r.clean + r.toxic + 2 * FLOOR) for u, r, s in zip(names, rows, share)}
     model.decay = decay([(o, pure[u]) for u, o in scores.items()])
-    return calibrate(model, sample)
+    return model
 
 
 def decay(scored: list[tuple[float, float]]) -> float:
@@ -255,40 +261,50 @@ def decay(scored: list[tuple[float, float]]) -> float:
     return hi
 
 
-def calibrate(model: Lexicon, sample: DataFrame) -> Lexicon:
-    """Counts chance segments on clean rows, and sets the cut and the slope."""
-    sent = ship(sample.sparkSession, model)
+def calibrate(model: Lexicon, docs: DataFrame, marks: DataFrame, doc_id: str, text: str) -> Lexicon:
+    """Counts chance segments on all clean rows, and sets the cut and the slope by all rows of marks.
+
+    The segments of all documents are found, so that no text is shuffled.
+    """
+    sent = ship(docs.sparkSession, model)
+    inner = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).where("doc_id IS NOT NULL")
 
     def run(batches):
         lexicon = sent()
         for batch in batches:
-            found = lexicon.segments(batch.column(0))
+            found = lexicon.segments(batch.column(1))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(1), pa.array([n for n, _ in found], pa.int64()),
+                [batch.column(0), pa.array([n for n, _ in found], pa.int64()),
                  pa.array([[s for _, _, s in x] for _, x in found], pa.list_(pa.float64()))],
-                names=["label", "words", "scores"])
+                names=["doc_id", "words", "scores"])
 
-    rows = [(r.label, r.words, [(0, 0, s) for s in r.scores]) for r in sample.select("text", "label").mapInArrow(
-        run, "label int, words long, scores array<double>").toLocalIterator()]  # bounded by the sample
-    clean = [r for r in rows if r[0] == 0]
+    measured = inner.mapInArrow(run, T.StructType([
+        inner.schema["doc_id"], T.StructField("words", T.LongType()), T.StructField("scores", T.ArrayType(T.DoubleType()))]))
+    rows = stored(measured.groupBy("doc_id").agg(F.max(F.struct("words", "scores")).alias("m")).join(
+        marks, "doc_id").select("label", "m.words", "m.scores"), "measured")
     low = min((s for s in model.scores.values() if s > COST), default=1.0) - COST
-    number = sum(1 for _, _, x in clean for _, _, s in x if s >= low)
-    model.chance = (number + 0.5) / (max(1, sum(n for _, n, _ in clean)) * math.exp(-model.decay * low))
-    marks = np.array([label for label, _, _ in rows])
-    values = np.array([model.statistic(n, x) for _, n, x in rows])
-    order = np.argsort(values, kind="stable")
-    values, marks = values[order], marks[order]
-    # A cut after i rows: those above are called toxic. The best has the largest F1.
-    hit = marks.sum() - np.concatenate(([0], np.cumsum(marks)))
-    called = len(marks) - np.arange(len(marks) + 1)
-    f1 = 2 * hit / np.maximum(called + marks.sum(), 1)
-    usable = np.concatenate(([True], values[1:] > values[:-1], [True]))
-    best = int(np.argmax(np.where(usable, f1, -1)))
-    if best == 0 or best == len(values):
-        model.cut = float(values[min(best, len(values) - 1)]) + (1e-6 if best else -1e-6)
-    else:
-        model.cut = float(values[best - 1] + values[best]) / 2
-    spread = float(np.abs(values - model.cut).mean())
+    clean = rows.where("label = 0").agg(
+        F.sum(F.size(F.filter("scores", lambda s: s >= low))).alias("number"), F.sum("words").alias("words")).first()
+    model.chance = ((clean.number or 0) + 0.5) / (max(1, clean.words or 0) * math.exp(-model.decay * low))
+    counted = ship(docs.sparkSession, model)
+
+    def judge(batches):
+        lexicon = counted()
+        for batch in batches:
+            found = [lexicon.statistic(n, [(0, 0, s) for s in x])
+                     for n, x in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.float64())], names=["label", "value"])
+
+    values = rows.select("label", "words", "scores").mapInArrow(judge, "label int, value double").groupBy("value").agg(
+        F.count("*").alias("n"), F.sum(F.col("label").cast("long")).alias("toxic"))
+    sums = stored(running_sums(values, "value", ["n", "toxic"]), "sums")
+    total = sums.agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic")).first()
+    # A cut just below each value: the rows from there on are called toxic. The best has the largest F1.
+    f1 = 2 * (total.toxic - F.col("toxic_before")) / (total.n - F.col("n_before") + total.toxic)
+    best = -sums.agg(F.max(F.struct(f1.alias("f1"), (-F.col("value")).alias("least"))).alias("b")).first().b.least
+    below = sums.where(F.col("value") < best).agg(F.max("value")).first()[0]
+    model.cut = best - 1e-6 if below is None else (below + best) / 2
+    spread = sums.agg(F.sum(F.abs(F.col("value") - model.cut) * F.col("n"))).first()[0] / total.n
     model.slope = 3.0 / max(spread, 1e-6)
     return model
 

@@ -230,6 +230,27 @@ def test_toxicity_finds_passages_in_held_out_documents(spark):
     assert toxicity.score(docs.limit(0), none).count() == 0
 
 
+def test_toxicity_cut_is_best_over_all_labelled_rows(spark):
+    pick, rows, labels = random.Random(14), [], []
+    for i in range(1000):
+        bad = i % 10 == 0
+        words = prose(pick, 40).split()
+        number = pick.choice([1, 1, 2, 3]) if bad else int(pick.random() < 0.2)
+        rows.append((i, " ".join(words + ["idiot"] * number)))
+        labels.append((i, int(bad)))
+    docs = docs_of(spark, rows)
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), most=60)
+    marks = {i: bad for i, bad in labels if zlib.crc32(str(i).encode()) % 4 != 2}
+    judged = [(r.score, marks[r.doc_id]) for r in toxicity.score(docs, model).collect() if r.doc_id in marks]
+    toxic = sum(marks.values())
+
+    def f1(cut):
+        called = [bad for score, bad in judged if score >= cut]
+        return 2 * sum(called) / (len(called) + toxic)
+
+    assert f1(toxicity.THRESHOLD) == max(f1(score) for score, _ in judged)
+
+
 MESSAGES = ("conv_id long, turn long, kind string, call_id string, name string, arguments string, "
             "depends_on array<string>, content string, level string, first string")
 SCHEMA = {"type": "object", "required": ["q"], "additionalProperties": False,
