@@ -5,7 +5,9 @@ hashed and joined with the places of the templates' runs; equal hashes are check
 match at word p of a document and word t of a template votes for the diagonal p - t. Votes of one
 template that follow each other closely, on the same or neighbouring diagonals, are one span,
 so that a few inserted or lost words do not break it. A span is verified by the share of the
-template's runs that it has: all of them, on one diagonal, for phrases; `VERIFIED` for passages.
+template's runs that it has: all of them, on one diagonal, for phrases; `VERIFIED` for passages, one of
+which must be a run that no template of another label has. A passage without such a run must be
+whole, and does not count where a verified passage of another label holds it.
 
 One pass over the texts, all in Spark's own functions: the texts are not shuffled, and only
 matches and one row for each document are written. The templates are a fixed list of bounded
@@ -74,18 +76,31 @@ def runs_of(words: Column) -> Column:
     return zipped.cast("array<struct<" + ",".join(f"w{i}:string" for i in range(K)) + ">>")
 
 
+def template_words(text: str) -> list[str]:
+    return re.findall(r"[a-z0-9]+", text.lower())
+
+
+def runs_in(text: str, size: int) -> list[tuple[str, ...]]:
+    words = template_words(text)
+    return [tuple(words[i:i + size]) for i in range(len(words) - size + 1)]
+
+
 def template_runs(spark, phrases=PHRASES, passages=PASSAGES) -> DataFrame:
-    """(template, label, phrase, runs, at, k0.., code) for every run of every template."""
+    """(template, label, phrase, runs, at, own, telling, k0.., code) for every run of every template.
+
+    own: no template of another label has the run; telling: the template has such a run."""
     rows = []
     for phrase, texts in ((True, phrases), (False, passages)):
         for text, label in texts:
-            words = re.findall(r"[a-z0-9]+", text.lower())
-            if len(words) < K:
+            runs = runs_in(text, K)
+            if not runs:
                 raise ValueError(f"a template needs {K} words: {text}")
-            rows += [(text, label, phrase, len(words) - K + 1, i, *words[i:i + K])
-                     for i in range(len(words) - K + 1)]
+            others = {run for t, name in [*phrases, *passages] if name != label for run in runs_in(t, K)}
+            own = [run not in others for run in runs]
+            rows += [(text, label, phrase, len(runs), i, own[i], any(own), *run) for i, run in enumerate(runs)]
     names = ", ".join(f"k{i} string" for i in range(K))
-    table = spark.createDataFrame(rows, f"template string, label string, phrase boolean, runs int, at int, {names}")
+    table = spark.createDataFrame(rows, 
+        f"template string, label string, phrase boolean, runs int, at int, own boolean, telling boolean, {names}")
     return table.withColumn("code", F.xxhash64(*(f"k{i}" for i in range(K))))
 
 
@@ -105,26 +120,47 @@ def votes(docs: DataFrame, templates: DataFrame, doc_id: str, text: str) -> Data
         same &= F.col(f"run.w{i}") == F.col(f"k{i}")
     joined = coded.join(F.broadcast(templates), same, "left")
     return joined.where(F.col("at").isNotNull() | (F.col("place") < 0)).select(
-        "row", "doc_id", "n_words", "place", "template", "label", "phrase", "runs", "at")
+        "row", "doc_id", "n_words", "place", "template", "label", "phrase", "runs", "at", "own", "telling")
 
 
 def spans(found: DataFrame) -> DataFrame:
-    """(row, label, phrase, share, first_word, last_word) of every span, verified or not."""
+    """(row, template, label, phrase, share, told, first_word, last_word) of every span, verified or not.
+
+    told: a run tells the template from those of other labels, or the template is whole."""
     voted = found.where("at IS NOT NULL").withColumn("diagonal", F.col("place") - F.col("at"))
     order = Window.partitionBy("row", "template").orderBy("place", "at")
     near = ((F.col("place") - F.lag("place").over(order) <= GAP)
             & (F.abs(F.col("diagonal") - F.lag("diagonal").over(order)) <= DRIFT))
-    phrases = voted.where("phrase").groupBy("row", "template", "label", "phrase", "runs", "diagonal").agg(
-        F.count("*").alias("hit"), F.min("place").alias("first_word"), F.max("place").alias("last"))
+    phrases = voted.where("phrase").groupBy("row", "template", "label", "phrase", "runs", "telling", "diagonal").agg(
+        F.count("*").alias("hit"), F.max("own").alias("own"), F.min("place").alias("first_word"), F.max("place").alias("last"))
     marked = voted.where("NOT phrase").withColumn("new", F.when(F.coalesce(near, F.lit(False)), 0).otherwise(1))
     numbered = marked.withColumn("span", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    passages = numbered.groupBy("row", "template", "label", "phrase", "runs", "span").agg(
-        F.count_distinct("at").alias("hit"), F.min("place").alias("first_word"), F.max("place").alias("last"))
+    passages = numbered.groupBy("row", "template", "label", "phrase", "runs", "telling", "span").agg(
+        F.count_distinct("at").alias("hit"), F.max("own").alias("own"), F.min("place").alias("first_word"), F.max("place").alias("last"))
     return phrases.drop("diagonal").unionByName(passages.drop("span")).select(
-        "row", "label", "phrase", (F.col("hit") / F.col("runs")).alias("share"), "first_word",
+        "row", "template", "label", "phrase", (F.col("hit") / F.col("runs")).alias("share"),
+        F.when(F.col("telling"), F.col("own")).otherwise(F.col("hit") == F.col("runs")).alias("told"), "first_word",
         (F.col("last") + K - 1).alias("last_word"))
 
 
+def held_passages(spark, passages=PASSAGES) -> DataFrame:
+    """(template, holder): passages and those of another label that hold all their words."""
+    pairs = [(t, h) for t, a in passages for h, b in passages
+             if a != b and len(t_words := template_words(t)) < len(template_words(h))
+             and tuple(t_words) in runs_in(h, len(t_words))]
+    return spark.createDataFrame(pairs, "template string, holder string")
+
+
+def without_held(sure: DataFrame, held: DataFrame) -> DataFrame:
+    """sure without the spans of passages that lie in a span of a passage that holds them."""
+    over = sure.where("NOT phrase").select(
+        F.col("row"), F.col("template").alias("holder"), F.col("first_word").alias("from"), F.col("last_word").alias("to")
+    ).join(F.broadcast(held), "holder").select(
+        F.col("row").alias("over_row"), F.col("template").alias("over_template"), "from", "to")
+    return sure.join(over, (F.col("row") == F.col("over_row")) & (F.col("template") == F.col("over_template"))
+                     & ~F.col("phrase") & (F.col("first_word") <= F.col("to")) & (F.col("last_word") >= F.col("from")), "left_anti")
+
+
 def scan(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", phrases=PHRASES, passages=PASSAGES,
          verified: float = VERIFIED) -> DataFrame:
     """Per document: doc_id, n_words, n_base, first_word, last_word (of phrases), base_labels, labels, score.
@@ -134,7 +170,9 @@ def scan(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", phrases
     """
     spark = docs.sparkSession
     found = stored(votes(docs, template_runs(spark, phrases, passages), doc_id, text), "votes")
-    sure = spans(found).where(F.when(F.col("phrase"), F.col("share") == 1.0).otherwise(F.col("share") >= verified))
+    sure = spans(found).where(F.when(F.col("phrase"), F.col("share") == 1.0).otherwise(
+        (F.col("share") >= verified) & F.col("told")))
+    sure = without_held(sure, held_passages(spark, passages))
     named = lambda where: F.array_join(F.array_sort(F.collect_set(F.when(where, F.col("label")))), ",")
     base = F.col("phrase")
     by_row = sure.groupBy("row").agg(

@@ -170,6 +170,14 @@ def test_licenses_find_changed_passages(spark):
     assert got[2] == ("", 0, 0.0) and got[3] == ("mit", 0, 1.0) and got[4] == ("", 0, 0.0)
 
 
+def test_licenses_tell_templates_with_a_shared_beginning_apart(spark):
+    by = "This work is licensed under a Creative Commons Attribution"
+    rows = [(1, f"{by} 4.0 International License."), (2, f"{by}-ShareAlike 4.0 License."), (3, f"{by}-NonCommercial 4.0 License."),
+            (4, f"{by} 4.0 License. The pictures are {by}-ShareAlike 4.0."), (5, "licensed under a Creative Commons")]
+    got = {r.doc_id: r.labels for r in licenses.scan(docs_of(spark, rows)).collect()}
+    assert got == {1: "cc-by", 2: "cc-by-sa", 3: "cc-by-nc", 4: "cc-by,cc-by-sa", 5: ""}
+
+
 def test_language_model_counts_and_base_score(spark):
     base = texts(40, 5, 80)
     rows = list(enumerate(base)) + [(50, None), (51, ""), (0, base[0]), (None, "w1 only"), (52, "w1 " * 9000), (53, "İW  w2 w2")]
