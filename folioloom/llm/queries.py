@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import zlib
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioloom.llm import (
-    decontaminate, embedding_dedup, licenses, ngram_lm, packing, quality, simhash, tool_calls,
-    toxicity, url_rules)
+    decontaminate, embedding_dedup, hard_negatives, licenses, ngram_lm, packing, periodic_runs, quality,
+    simhash, tool_calls, toxicity, url_rules)
 from folioloom.llm.common import small_batches, split_of
 
 
@@ -103,6 +107,45 @@ def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def whole(x):
+        x = 256 * x.cast("double")
+        # Larger numbers are whole; what is no finite number stays so.
+        return F.when(F.abs(x) < 2.0 ** 53, F.floor(x).cast("double")).otherwise(x)
+
+    rows = table(spark, sf_dir, "embeddings").select(
+        "vec_id", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"),
+        F.transform("embedding", whole).alias("vector"))
+    return hard_negatives.mine(rows, anchor=F.col("vec_id") % 100 == 0)
+
+
+def woven(ids: pa.Array, codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The words of every tenth id, by its hash, repeat themselves from some word on."""
+    codes = codes.copy()
+    for i, doc_id in enumerate(ids.to_pylist()):
+        lo, n = int(starts[i]), int(starts[i + 1] - starts[i])
+        h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+        if h % 10 == 0 and n:
+            g = h // 10
+            a = g % n
+            codes[lo + a:lo + n] = codes[lo + a + np.arange(n - a) % (1 + (n - a) // (3 + g % 8))]
+    return codes
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.runs_of(table(spark, sf_dir, "documents"), rewrite=woven)
+    none = F.lit(None).cast(periodic_runs.RUN)
+    # The runs come by start and period, so the first of equally great exponents stays.
+    best = F.aggregate("runs", none, lambda most, run: F.when(
+        most.isNull() | (run["length"] * most["period"] > most["length"] * run["period"]), run).otherwise(most))
+    lines = F.array_join(F.transform("runs", lambda run: F.concat(
+        F.concat_ws(",", run["start"], run["length"], run["period"]), F.lit("\n"))), "")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start"), F.col("best.length"),
+        F.col("best.period"), F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -114,6 +157,8 @@ QUERIES = {
     "op8_backoff_lm": op8_backoff_lm,
     "op9_toxicity": op9_toxicity,
     "op10_url_rules": op10_url_rules,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 
@@ -158,6 +203,29 @@ FROM embeddings e
 JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) r ON e.vec_id = r.a
 LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) l ON e.vec_id = l.a"""
 
+#: The score of every row for every anchor.
+OP12_SQL = """
+WITH good AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, b.label,
+         CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM good a JOIN good b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5"""
+
 #: SQL for DuckDB, where it can say the same.
 ORACLES: dict[str, str] = {
-    "op1_decontamination": OP1_SQL, "op2_embedding_dedup": OP2_SQL, "op10_url_rules": url_rules.oracle()}
+    "op1_decontamination": OP1_SQL, "op2_embedding_dedup": OP2_SQL, "op10_url_rules": url_rules.oracle(),
+    "op12_hard_negatives": OP12_SQL}
