@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from folioloom.llm import (
     decontaminate, embedding_dedup, hard_negatives, licenses, ngram_lm, packing, periodic_runs, quality,
-    simhash, tool_calls, toxicity, url_rules)
+    simhash, tool_calls, toxicity, url_rules, weighted_sampling)
 from folioloom.llm.common import small_batches, split_of
 
 
@@ -107,6 +107,10 @@ def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents"))
 
 
+def op11_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weighted_sampling.neighbours(table(spark, sf_dir, "documents"))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     def whole(x):
         x = 256 * x.cast("double")
@@ -157,6 +161,7 @@ QUERIES = {
     "op8_backoff_lm": op8_backoff_lm,
     "op9_toxicity": op9_toxicity,
     "op10_url_rules": op10_url_rules,
+    "op11_weighted_sampling": op11_weighted_sampling,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_periodic_runs": op13_periodic_runs,
 }
