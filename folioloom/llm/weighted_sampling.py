@@ -8,6 +8,9 @@ texts have the same sample with a probability that equals their generalised Jacc
 sum of the smaller weights over the sum of the larger. A fingerprint holds 16 bits of each sample,
 so different samples look equal once in 65,536.
 
+The least value of a text of n words is exponential with rate n, so it lies below 32 / n but for one
+sample in 10 ** 13 (which counts as zero); terms that a cheap bound puts beyond are not worked out.
+
 Only Spark's own functions are used. Terms are counted within their row: the sorted hashes of a
 text's words show where each term begins. A row for each term then goes through one
 hash aggregation with a smallest number for each sample, value above and identity below. A task holds
@@ -26,13 +29,15 @@ from pyspark.sql import functions as F
 
 from folioloom.llm.common import stored
 
-SAMPLES = 64
+SAMPLES = 64  # a multiple of AT_ONCE, or fewer
+AT_ONCE = 16
 SHINGLE = 1
 #: Capitals that are lowered, and white space between words.
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SPACES = r"[\x20\x09-\x0D]+"
 DIGITS = 4  # hexadecimal, of a sample
 VALUE_BITS = 23  # after the point, of a value
+BEYOND = 32.0  # the least value of a text exceeds this over its words with probability exp(-32)
 
 
 def let(value: Column, body) -> Column:
@@ -66,32 +71,49 @@ def weighted_terms(text: Column, shingle: int = SHINGLE) -> Column:
 
 
 def sample(s: int) -> Column:
-    """The sample s of one term, given its hash `term` and the logarithm `log_weight` of its weight: a
-    number whose upper half is the term's value and whose lower half names the term and its level."""
+    """The sample `offset` + s of one term, given its hash `term`, its `weight`, the logarithm `log_weight` of that
+    and `far`: a number whose upper half is the term's value and whose lower half names the term and its level.
+
+    Null where even the least that the value can be is beyond `far`: no logarithm is needed to see it. With
+    q = exp(-r) the value is that of c * q ** (t - b + 1), and -ln(x) is no less than 2 (1 - x) / (1 + x). The
+    power is no less than q / weight, and for weight 1 no less than q / (1 - b + b * q).
+    """
 
     def uniform(hashed: str, by: int, n: int) -> str:
         """n bits of a hash as a number between 0 and 1."""
         return f"(((shiftrightunsigned({hashed}, {by}) & {(1 << n) - 1}L) + 0.5D) * {2.0 ** -n!r}D)"
 
-    first, second = f"xxhash64(term, {2 * s})", f"xxhash64(term, {2 * s + 1})"
-    minus_r = f"ln({uniform(first, 0, 21)} * {uniform(first, 21, 21)})"
+    first, second = f"xxhash64(term, offset, {2 * s})", f"xxhash64(term, offset, {2 * s + 1})"
+    q = f"({uniform(first, 0, 21)} * {uniform(first, 21, 21)})"
     b = uniform(first, 42, 22)
-    log_c = f"ln(-ln({uniform(second, 0, 32)} * {uniform(second, 32, 32)}))"
-    level = f"floor({b} - log_weight / {minus_r})"
-    value = f"({log_c} + {minus_r} * ({level} - {b} + 1)) * {1 << VALUE_BITS}D"
-    return F.expr(f"shiftleft(CAST({value} AS BIGINT), 32) | ((term ^ ({level} * 1000003L)) & {0xFFFFFFFF}L)")
+    x = f"({uniform(second, 0, 32)} * {uniform(second, 32, 32)})"
+    level = f"floor({b} - log_weight / ln({q}))"
+    value = f"(ln(-ln({x})) + ln({q}) * ({level} - {b} + 1)) * {1 << VALUE_BITS}D"
+    within = f"2 * (1 - {x}) * {q} <= far * (1 + {x}) * if(weight = 1, 1 - {b} + {b} * {q}, weight)"
+    return F.expr(f"CASE WHEN {within} THEN shiftleft(CAST({value} AS BIGINT), 32)"
+                  f" | ((term ^ ({level} * 1000003L)) & {0xFFFFFFFF}L) END")
 
 
 def fingerprints(texts: DataFrame, keys: list[str], *, text: str = "text", shingle: int = SHINGLE,
                  samples: int = SAMPLES) -> DataFrame:
     """(keys, fingerprint) for each key: four hexadecimal digits for each sample. Rows of a key have the
     same text."""
-    terms = texts.select(*keys, F.explode_outer(weighted_terms(F.coalesce(F.col(text).cast("string"), F.lit("")), shingle)).alias("t"))
-    rows = terms.select(*keys, F.col("t.term").alias("term"), F.ln(F.col("t.weight").cast("double")).alias("log_weight"))
-    least = rows.groupBy(*keys).agg(*(F.min(sample(s)).alias(f"s{s}") for s in range(samples)))
+    terms = weighted_terms(F.coalesce(F.col(text).cast("string"), F.lit("")), shingle)
+    rows = texts.select(*keys, terms.alias("terms"))
+    total = F.aggregate("terms", F.lit(0).cast("double"), lambda sum_of, t: sum_of + t["weight"])
+    # `far` comes before the terms are dealt out, or every row would carry all of them.
+    rows = rows.select(*keys, (BEYOND / F.greatest(total, F.lit(1.0))).alias("far"), "terms").select(
+        *keys, "far", F.explode_outer("terms").alias("t")).select(
+        *keys, "far", F.col("t.term").alias("term"), F.col("t.weight").cast("double").alias("weight"),
+        F.ln(F.col("t.weight").cast("double")).alias("log_weight"))
+    # The samples of a term are dealt over rows: each row's code stays small enough to be compiled.
+    rows = rows.withColumn("offset", F.explode(F.array(*(F.lit(at) for at in range(0, samples, AT_ONCE)))))
+    least = rows.groupBy(*keys, "offset").agg(*(F.min(sample(s)).alias(f"s{s}") for s in range(min(samples, AT_ONCE))))
     digits = (F.lpad(F.hex(F.coalesce(F.col(f"s{s}"), F.lit(0)).bitwiseAND(F.lit((1 << 4 * DIGITS) - 1))), DIGITS, "0")
-              for s in range(samples))
-    return least.select(*keys, F.lower(F.concat(*digits)).alias("fingerprint"))
+              for s in range(min(samples, AT_ONCE)))
+    named = least.select(*keys, F.struct("offset", F.lower(F.concat(*digits)).alias("digits")).alias("part"))
+    return named.groupBy(*keys).agg(F.array_join(F.transform(
+        F.array_sort(F.collect_list("part")), lambda part: part["digits"]), "").alias("fingerprint"))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -138,7 +160,9 @@ def neighbours(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", s
     of each no more than what the edit takes is sent on to the document before.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    keyed = rows.select(F.struct("doc_id", F.xxhash64("text").alias("hash")).alias("key"), "text")
+    # The type that written tables give back: joins then need no cast, and no other exchange.
+    kind = f"struct<doc_id:{rows.schema['doc_id'].dataType.simpleString()},hash:bigint>"
+    keyed = rows.select(F.struct("doc_id", F.xxhash64("text").alias("hash")).cast(kind).alias("key"), "text")
     keys = stored(keyed.groupBy("key").agg(F.max(F.length("text")).alias("n_chars"), F.count("*").alias("copies")), "keys")
     order = stored(in_order(keys), "order")
     whole = keyed.dropDuplicates(["key"]).join(order, "key")
@@ -152,18 +176,19 @@ def neighbours(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", s
     versions = F.array(
         F.struct(F.lit(0).alias("kind"), F.col("text")), F.struct(F.lit(1).alias("kind"), edited(F.col("head")).alias("text")),
         F.when(F.col("copies") > 1, F.struct(F.lit(2).alias("kind"), edited(F.col("text")).alias("text"))))
-    texts = whole.join(heads, "key").select("key", "n_chars", "copies", "next", F.explode(versions).alias("v")).where(
-        "v IS NOT NULL").select("key", "n_chars", "copies", "next", "v.kind", F.sha2("v.text", 256).alias("sha256"), "v.text")
-    prints = fingerprints(texts, ["key", "n_chars", "copies", "next", "kind", "sha256"], shingle=shingle, samples=samples)
+    texts = whole.join(heads, "key").select("key", F.explode(versions).alias("v")).where("v IS NOT NULL").select(
+        "key", "v.kind", F.unhex(F.sha2("v.text", 256)).alias("sha256"), "v.text")
+    prints = fingerprints(texts, ["key", "kind", "sha256"], shingle=shingle, samples=samples)
     own = F.max(F.when(F.col("kind") == 0, F.col("fingerprint"))).alias("fingerprint")
     others = F.filter(F.collect_list(F.struct("kind", "sha256", "fingerprint")), lambda v: v["kind"] > 0).alias("others")
-    classes = stored(prints.groupBy("key", "n_chars", "copies", "next").agg(own, others), "prints")
-    following = classes.select(F.col("key").alias("next"), F.col("fingerprint").alias("next_fingerprint"))
-    each = classes.join(following, "next").select("*", F.explode("others").alias("edit"))
+    classes = stored(prints.groupBy("key").agg(own, others), "prints", "zstd")
+    following = order.select("key", "n_chars", "copies", "next").join(
+        classes.select(F.col("key").alias("next"), F.col("fingerprint").alias("next_fingerprint")), "next")
+    each = classes.join(following, "key").select("*", F.explode("others").alias("edit"))
     near_next = F.when(F.col("edit.kind") == 1, likeness(F.col("fingerprint"), F.col("next_fingerprint"))).otherwise(1.0)
     result = each.select(
         F.col("key.doc_id").alias("doc_id"), F.col("n_chars").cast("long").alias("n_chars"),
-        F.col("edit.sha256").alias("edited_sha256"), "fingerprint", F.col("edit.fingerprint").alias("edited_fingerprint"),
+        F.lower(F.hex("edit.sha256")).alias("edited_sha256"), "fingerprint", F.col("edit.fingerprint").alias("edited_fingerprint"),
         likeness(F.col("fingerprint"), F.col("edit.fingerprint")).alias("near_edited"), near_next.alias("near_next"),
         F.when(F.col("edit.kind") == 1, F.lit(1).cast("long")).otherwise(F.col("copies") - 1).alias("times"))
     repeated = F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))
