@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import pickle
 import sys
-import tempfile
-import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from folioloom.sources.tables import drop, scope, store, tidy  # noqa: F401
+
 #: The bytes A-Z lowered, and those that separate words of letters and digits.
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 LETTERS = bytes(
@@ -73,26 +73,10 @@ def release() -> None:
     pa.default_memory_pool().release_unused()
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new folder in the one named by spark.checkpoint.dir, which all executors share.
-
-    A session on one machine that names none gets a temporary folder; elsewhere that is an error.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        master = spark.conf.get("spark.master", "local")
-        if master != "local" and not master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="folioloom-")
-    return f"{base.rstrip('/')}/folioloom-llm-{name}-{uuid.uuid4().hex}"
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """The rows of df, written once and read back: later steps neither repeat nor depend on the
     work before, and a lost executor costs no more than the tasks it ran."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return store(df, f"llm-{name}", compression)
 
 
 def ship(spark: SparkSession, value):

@@ -1,27 +1,28 @@
-"""Language-model scoring: backoff over smoothed n-grams of the whole corpus.
+"""Language-model scoring: a weighted backoff automaton over smoothed n-grams of the whole corpus.
 
 Counts are of the whole training part of the corpus: every word and every n-gram up to `order` words
-long, whatever its share. A word's probability is its count less a discount, over all tokens;
-what the discounts leave is the probability of an unknown word. After a context that was seen, a word
-that followed it has its n-gram's discounted share of the context's count; any other word has its
-probability after the context without its first word, times what the context's arcs leave. So
-probabilities sum to one after every context. A text's score adds their logarithms.
-
-Neither the vocabulary nor the n-grams are bounded, sent or collected. One pass cuts the documents
-into blocks of about `block_bytes` of text, with the words of a block numbered by their frequency in
-it. A block's different words, each once, get the corpus counts, and come back to the block's texts,
-which by then are word numbers. Its different n-grams of each length do the same, one length after
-the other: each takes along its context's count and its last words' probability after the shorter
-context, which the block knows from the length before, and comes back with its count and its
-probability. The weights of contexts are sums over the stored n-grams, joined to those that were
-never seen in training. So each task holds one block, its words and its n-grams.
-
-`frequent` and `rare` prune: n-grams then hold only words with that share of all tokens at least, and
-n-grams below that share (or seen once) are not kept. Both are 0 by default: nothing is left out.
+long. The states of the automaton are the contexts that training texts hold, up to `order` - 1 words; the
+root is the empty one. A state has an arc for each word that follows it in training, weighted by
+the n-gram's count less a discount, over the state's count. For any other word its failure arc leads
+to the state without the first word, weighted so that probabilities sum to one: what the discounts
+leave, over what the shorter context gives the words that have no arc. At the root a word without an
+arc has the probability that the discounts leave there. Reading a word leads to the longest state
+that ends in it. A text is read from left to right, carrying the state, and its logarithms are added.
+
+The automaton is never in one place. A state or arc is known by a hash of its words (`KEY_BITS`
+bits); ranges of hashes are shards. Documents are cut into blocks of about `block_bytes` of text, stored
+as word numbers. A block sends each shard the hashes of its different n-grams, sorted and packed, with
+their training counts; it gets back the counts of the corpus in the same order, so hashes travel once.
+A frequent n-gram is one entry a block, however often it occurs. For failure arcs a second round
+does the same with contexts alone: each arc is summed up by the first block that holds it, and only
+contexts that texts outside training walk are sent. Last, each block walks the part of the automaton that
+its own texts reach. So a task holds one block, or one shard of about `shard_grams` entries; nothing
+of the corpus is sent to the driver but a few sums. Messages are one for each block, shard and length:
+where the corpus is many terabytes, raise `block_bytes` and `shard_grams` with the executors' memory.
 
 Null and empty texts are the end token alone. Repeated rows give one row each, and all train. Extra
 columns are ignored. Without training documents every token is unknown with probability one and
-the base score divides by its smoothing alone.
+the base score divides by its smoothing alone. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -32,20 +33,22 @@ import sys
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folioloom.llm.common import LOWER, split_of, split_words, stored
+from folioloom.llm.common import LOWER, drop, release, split_of, split_words, stored, tidy
 
 ORDER = 3
-FREQUENT = 0.0  # least share of tokens of a word in n-grams: all words
-RARE = 0.0  # least share of tokens of an n-gram: all n-grams
 ADD = 0.1  # smoothing of the base score
 BLOCK_BYTES = 16 << 20
+SHARD_GRAMS = 2 << 20
 PART_BYTES = 4 << 20
+KEY_BITS = 56
 END = ""  # no word of a text is empty
+SEED = 42
 
 
 def parts(texts: pa.Array):
@@ -58,14 +61,32 @@ def parts(texts: pa.Array):
         at = end
 
 
-def pack(codes: np.ndarray) -> bytes:
-    """Word numbers as two planes of 16 bits: the upper one is mostly zero and compresses."""
-    return codes.astype("<u2").tobytes() + (codes >> 16).astype("<u2").tobytes()
+def pack(numbers: np.ndarray) -> bytes:
+    """Whole numbers from 0 as planes of their bytes, without the upper planes that are zero."""
+    planes = np.ascontiguousarray(numbers, dtype="<u8").view(np.uint8).reshape(-1, 8).T
+    n = (int(numbers.max()).bit_length() + 7) // 8 if len(numbers) else 0
+    return bytes([n]) + planes[:n].tobytes()
 
 
-def unpack(planes: bytes) -> np.ndarray:
-    low, high = np.frombuffer(planes, "<u2").reshape(2, -1).astype(np.int64)
-    return low | (high << 16)
+def unpack(packed: bytes, size: int) -> np.ndarray:
+    planes = np.zeros((size, 8), dtype=np.uint8)
+    planes[:, :packed[0]] = np.frombuffer(packed, np.uint8, offset=1).reshape(packed[0], size).T
+    return planes.view("<u8").reshape(-1)
+
+
+def pack_bits(bits: np.ndarray) -> bytes:
+    return np.packbits(bits).tobytes()
+
+
+def unpack_bits(packed: bytes, size: int) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(packed, np.uint8), count=size).astype(bool)
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """Each 64-bit number scattered over all 64 bits, one to one."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
 
 class Block:
@@ -86,131 +107,254 @@ class Block:
         self.training.append(training)
         self.bytes += int(pc.sum(pc.binary_length(texts)).as_py() or 0)
 
-    def rows(self, block: int):
-        """A row for each text, and a row for each word with its count in the training texts."""
-        training = np.concatenate(self.training)
+    def row(self, block: int, kind: pa.DataType) -> pa.RecordBatch:
+        """The block as one row; words are numbered by their frequency, so that most numbers are small."""
         everything = np.concatenate(self.lines)
-        sizes = np.fromiter(map(len, self.lines), np.int64, len(self.lines))
         order = np.argsort(-np.bincount(everything, minlength=len(self.place)), kind="stable")
         rank = np.empty_like(order)
         rank[order] = np.arange(len(order))
-        n = np.bincount(everything[np.repeat(training, sizes)], minlength=len(self.place))[order]
-        words = np.array(list(self.place), dtype=object)[order]
-        yield self.batch(block, len(sizes), pa.concat_arrays(self.ids), pa.array(training), pa.array(
-            [pack(rank[line]) for line in self.lines], pa.binary()), None, None, None)
-        for at in range(0, len(words), 1 << 16):
-            part = slice(at, at + (1 << 16))
-            yield self.batch(block, len(words[part]), None, None, None, pa.array(
-                np.arange(at, at + len(words[part]), dtype=np.int32)), pa.array(words[part], pa.string()), pa.array(n[part]))
-
-    def batch(self, block, size, ids, training, codes, code, word, n):
-        kinds = (self.ids[0].type, pa.bool_(), pa.binary(), pa.int32(), pa.string(), pa.int64())
-        columns = [pa.nulls(size, kind) if x is None else x
-                   for x, kind in zip((ids, training, codes, code, word, n), kinds)]
+        words = np.array(list(self.place), dtype=object)[order].tolist()
+        ids = pa.concat_arrays(self.ids)
+        n = len(ids)
+
+        def one(values: pa.Array) -> pa.Array:
+            return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+        sizes = np.fromiter(map(len, self.lines), np.int64, n)
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(size, block, dtype=np.int64)), *columns],
-            names=["block", "doc_id", "training", "codes", "code", "word", "n"])
+            [pa.array([block]), one(ids.cast(kind)), one(pa.array(np.concatenate(self.training))), one(pa.array(sizes)),
+             pa.array([pack(rank[everything])]), one(pa.array(words, pa.string())), pa.array([len(everything)])],
+            names=["block", "ids", "training", "sizes", "codes", "words", "tokens"])
 
 
 def blocks_of(rows: DataFrame, block_bytes: int) -> DataFrame:
-    """Rows of texts (block, doc_id, training, codes) and of words (block, code, word, n), in one
-    written table; the other columns are null. rows: (doc_id, training, text)."""
+    """One row for each block: (block, ids, training, sizes, codes, words, tokens). rows: (doc_id, training, text)."""
 
     def run(batches):
         from pyspark import TaskContext
 
-        block, number = Block(), TaskContext.get().partitionId() << 24
+        block, number, kind = Block(), TaskContext.get().partitionId() << 24, None
         for batch in batches:
+            kind = batch.schema.field(0).type
             training = batch.column(1).to_numpy(zero_copy_only=False)
             for at, part in parts(batch.column(2)):
                 block.add(batch.column(0).slice(at, len(part)), training[at:at + len(part)], part)
                 if block.bytes >= block_bytes:
-                    yield from block.rows(number)
+                    yield block.row(number, kind)
                     block, number = Block(), number + 1
         if block.lines:
-            yield from block.rows(number)
-
-    schema = T.StructType([
-        T.StructField("block", T.LongType()), rows.schema["doc_id"], T.StructField("training", T.BooleanType()),
-        T.StructField("codes", T.BinaryType()), T.StructField("code", T.IntegerType()),
-        T.StructField("word", T.StringType()), T.StructField("n", T.LongType())])
-    return stored(rows.mapInArrow(run, schema), "blocks")
-
-
-def numbers(texts: pa.Table, most: int):
-    """Words of each text, places of the tokens in their texts, and for each length up to `most`: the
-    number in the block of the n-gram that ends at each token, and a token at which each n-gram ends."""
-    lines = [unpack(planes) for planes in texts.column("codes").to_pylist()]
-    line = np.concatenate(lines)
-    sizes = np.fromiter(map(len, lines), np.int64, len(lines))
-    place = np.arange(len(line)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    wide, number, found = line.max() + 1, line, [(line, None)]
-    for k in range(2, most + 1):
-        at = np.flatnonzero(place >= k - 1)
-        _, first, same = np.unique(number[at - 1] * wide + line[at], return_index=True, return_inverse=True)
-        number = np.full(len(line), -1, dtype=np.int64)
-        number[at] = same
-        found.append((number, at[first]))
-    return sizes, place, found
-
-
-def by_number(known: pa.Table, level: int, column: str) -> np.ndarray:
-    """A column of the block's n-grams of one length, by their number."""
-    mine = known.filter(pc.equal(known.column("level"), level))
-    values = mine.column(column).to_numpy()
-    out = np.empty_like(values)
-    out[mine.column("no").to_numpy()] = values
-    return out
-
-
-def ngrams_of(texts: DataFrame, known: DataFrame, k: int, inside: float) -> DataFrame:
-    """(block, no, g0.., n, total, low) for every different run of k words of a block: its words, how
-    often training texts of the block have it, its context's count, and the log10 probability of its
-    last word after the shorter context. Runs with a word counted less than `inside` have n = 0."""
-    names = [f"g{i}" for i in range(k)]
-
-    def run(key, texts: pa.Table, known: pa.Table) -> pa.Table:
-        sizes, _, found = numbers(texts, k)
-        line, (lower, _), (number, ends) = found[0][0], found[-2], found[-1]
-        training = np.repeat(texts.column("training").to_numpy(), sizes)
-        n = np.bincount(number[training & (number >= 0)], minlength=len(ends))
-        common, ids = by_number(known, 1, "n") >= inside, by_number(known, 1, "id")
-        words = [line[ends - (k - 1 - i)] for i in range(k)]
-        for word in words:
-            n = n * common[word]
-        table = pa.table([
-            pa.array(np.full(len(ends), key[0].as_py(), dtype=np.int64)), pa.array(np.arange(len(ends), dtype=np.int32)),
-            *(pa.array(ids[word]) for word in words), pa.array(n.astype(np.int64)),
-            pa.array(by_number(known, k - 1, "n")[lower[ends - 1]]),
-            pa.array(by_number(known, k - 1, "value")[lower[ends]])],
-            names=["block", "no", *names, "n", "total", "low"])
-        return pa.Table.from_batches(table.to_batches(max_chunksize=1 << 16), table.schema)
-
-    columns = ", ".join(f"{g} long" for g in names)
-    needed = known.where(F.col("level").isin(1, k - 1))
-    return texts.groupBy("block").cogroup(needed.groupBy("block")).applyInArrow(
-        run, f"block long, no int, {columns}, n long, total long, low double")
-
-
-def weigh(rows: DataFrame, k: int, least: float) -> DataFrame:
-    """(block, no, n, value): the count in all training texts, and the log10 probability of the last
-    word after the others."""
-    names = [f"g{i}" for i in range(k)]
-    # An n-gram has one row in each block, like a word.
-    whole = Window.partitionBy(*names)
-    counted = stored(rows.select(
-        "block", "no", *names, "total", "low", F.sum("n").over(whole).alias("n"),
-        (F.row_number().over(whole.orderBy("block")) == 1).alias("first")), "ngrams")
-    of_counts = counted.where("first").agg(
-        F.count_if(F.col("n") == 1).alias("once"), F.count_if(F.col("n") == 2).alias("twice")).first()
-    kept = F.col("n") >= least
-    arc = (F.col("n") - discount_of(of_counts.once or 0, of_counts.twice or 0)) / F.col("total")
-    # Summed up before the shuffle, and joined to what was not kept alone: no context is hot.
-    falls = counted.where(kept & F.col("first")).groupBy(*names[:-1]).agg(F.log10(
-        F.greatest(1 - F.sum(arc), F.lit(1e-12)) / F.greatest(1 - F.sum(F.pow(F.lit(10.0), "low")), F.lit(1e-12))).alias("fall"))
-    others = counted.where(~kept).join(falls, names[:-1], "left")
-    return counted.where(kept).select("block", "no", "n", F.log10(arc).alias("value")).unionByName(
-        others.select("block", "no", "n", (F.col("low") + F.coalesce("fall", F.lit(0.0))).alias("value")))
+            yield block.row(number, kind)
+
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return stored(rows.mapInArrow(
+        run, f"block long, ids array<{kind}>, training array<boolean>, sizes array<long>, codes binary, "
+             "words array<string>, tokens long"), "blocks", "zstd")
+
+
+class Level:
+    """The different n-grams of one length in a block, sorted by their hash."""
+
+    def __init__(self, keys: np.ndarray, at: np.ndarray, tokens: int):
+        self.keys, first, same = np.unique(keys, return_index=True, return_inverse=True)
+        #: The number of the n-gram that ends at each token, -1 where the text is too short.
+        self.number = np.full(tokens, -1, dtype=np.int32)
+        self.number[at] = same
+        #: A token at which each n-gram ends.
+        self.ends = at[first]
+
+
+class Grams:
+    """The n-grams of a block's texts up to a length."""
+
+    def __init__(self, row: dict, order: int):
+        self.sizes = np.array(row["sizes"], dtype=np.int64)
+        self.line = unpack(row["codes"], int(self.sizes.sum())).astype(np.int64)
+        training = np.array(row["training"], dtype=bool)
+        self.training = np.repeat(training, self.sizes)
+        self.first = np.cumsum(self.sizes) - self.sizes
+        place = np.arange(len(self.line)) - np.repeat(self.first, self.sizes)
+        word = np.array([xxhash.xxh64_intdigest(w, SEED) for w in row["words"]], dtype=np.uint64)[self.line]
+        narrow, chain = np.uint64(64 - KEY_BITS), mixed(word)
+        self.levels = [Level(chain >> narrow, np.arange(len(word)), len(word))]
+        for k in range(2, order + 1):
+            at = np.flatnonzero(place >= k - 1)
+            longer = np.zeros_like(chain)
+            longer[at] = mixed(chain[at - 1] * np.uint64(0x9E3779B97F4A7C15) + word[at])
+            chain = longer
+            self.levels.append(Level(chain[at] >> narrow, at, len(word)))
+
+    def count(self, level: Level) -> np.ndarray:
+        """How often training texts of the block have each n-gram."""
+        return np.bincount(level.number[self.training & (level.number >= 0)], minlength=len(level.keys))
+
+    def outside(self, level: Level) -> np.ndarray:
+        """Which n-grams texts outside training have."""
+        found = np.zeros(len(level.keys), dtype=bool)
+        found[level.number[~self.training & (level.number >= 0)]] = True
+        return found
+
+
+def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
+    """Shards are ranges: sorted hashes lie in ascending shards."""
+    return ((keys >> np.uint64(KEY_BITS - 32)) * np.uint64(shards)) >> np.uint64(32)
+
+
+def messages(block: int, length: int, keys: np.ndarray, shards: int, columns: dict) -> pa.RecordBatch:
+    """One row for each shard: the sorted hashes as differences, and packed columns of the same order."""
+    bounds = np.searchsorted(shard_of(keys, shards), np.arange(shards + 1))
+    some = np.flatnonzero(np.diff(bounds))
+    spans = [(int(bounds[s]), int(bounds[s + 1])) for s in some]
+    rest = [pa.array([(pack_bits if x.dtype == bool else pack)(x[a:b]) for a, b in spans], pa.binary()) for x in columns.values()]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(some.astype(np.int32)), pa.array(np.full(len(some), block)), pa.array(np.full(len(some), length, dtype=np.int32)),
+         pa.array(np.array([b - a for a, b in spans], dtype=np.int64)),
+         pa.array([pack(np.diff(keys[a:b], prepend=np.uint64(0))) for a, b in spans], pa.binary()), *rest],
+        names=["shard", "block", "length", "size", "keys", *columns])
+
+
+MESSAGE = "shard int, block long, length int, size long, keys binary"
+
+
+class Shard:
+    """Entries of one length in a shard, of all blocks that sent some."""
+
+    def __init__(self, table: pa.Table, length: int):
+        mine = table.filter(pc.equal(table.column("length"), length)).sort_by("block")
+        self.blocks, self.sizes = mine.column("block").to_pylist(), mine.column("size").to_pylist()
+        self.bounds = np.cumsum([0, *self.sizes])
+        self.table = mine
+        keys = [np.cumsum(unpack(x, n)) for x, n in zip(mine.column("keys").to_pylist(), self.sizes)]
+        found, self.same = np.unique(np.concatenate(keys), return_inverse=True)
+        self.n = len(found)
+
+    def numbers(self, column: str) -> np.ndarray:
+        return np.concatenate([unpack(x, n) for x, n in zip(self.table.column(column).to_pylist(), self.sizes)]).astype(np.int64)
+
+    def bits(self, column: str) -> np.ndarray:
+        return np.concatenate([unpack_bits(x, n) for x, n in zip(self.table.column(column).to_pylist(), self.sizes)])
+
+    def sums(self, values: np.ndarray) -> np.ndarray:
+        """The sum over all entries of each hash."""
+        total = np.zeros(self.n, dtype=np.int64)
+        np.add.at(total, self.same, values)
+        return total
+
+    def each(self):
+        """(block, its entries)."""
+        return zip(self.blocks, map(slice, self.bounds[:-1], self.bounds[1:]))
+
+
+def corpus_counts(blocks: DataFrame, order: int, shards: int) -> DataFrame:
+    """(block, shard, length, counts, owned, walked, once, twice, known, total): for each block and shard the
+    corpus counts of the block's n-grams, which of them it is the first to train on, and which of them texts
+    outside training hold. Rows of block -1 have the number of n-grams counted once and twice, of all counted,
+    and the sum of counts."""
+
+    def send(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                grams = Grams(row, order)
+                for k, level in enumerate(grams.levels, 1):
+                    yield messages(row["block"], k, level.keys, shards, {
+                        "counts": grams.count(level), "outside": grams.outside(level)})
+                release()
+
+    def merge(table: pa.Table) -> pa.Table:
+        out = []
+        for k in sorted(set(table.column("length").to_pylist())):
+            shard, number = Shard(table, k), table.column("shard")[0].as_py()
+            counts = shard.numbers("counts")
+            total = shard.sums(counts)
+            trained = np.flatnonzero(counts)
+            first = np.full(shard.n, -1, dtype=np.int64)
+            first[shard.same[trained][::-1]] = trained[::-1]  # the last to be written is the first block's
+            walked = np.zeros(shard.n, dtype=bool)
+            walked[shard.same[shard.bits("outside")]] = True
+            for block, mine in shard.each():
+                same = shard.same[mine]
+                out.append((block, number, k, len(same), pack(total[same]), pack_bits(first[same] == np.arange(mine.start, mine.stop)),
+                            pack_bits(walked[same]), 0, 0, 0, 0))
+            out.append((-1, number, k, 0, None, None, None, *(int(x) for x in (
+                (total == 1).sum(), (total == 2).sum(), (total > 0).sum(), total.sum()))))
+        return pa.table(list(map(pa.array, zip(*out))), names=COUNTS.names).cast(COUNTS)
+
+    sent = blocks.select("block", "training", "sizes", "codes", "words").mapInArrow(
+        send, f"{MESSAGE}, counts binary, outside binary")
+    return stored(sent.groupBy("shard").applyInArrow(
+        merge, "block long, shard int, length int, size long, counts binary, owned binary, walked binary, "
+               "once long, twice long, known long, total long"), "counts", "zstd")
+
+
+COUNTS = pa.schema([
+    ("block", pa.int64()), ("shard", pa.int32()), ("length", pa.int32()), ("size", pa.int64()), ("counts", pa.binary()),
+    ("owned", pa.binary()), ("walked", pa.binary()), ("once", pa.int64()), ("twice", pa.int64()), ("known", pa.int64()),
+    ("total", pa.int64())])
+
+
+def answers(found: list[dict], length: int, columns: dict) -> list[np.ndarray]:
+    """Columns that the shards sent back for one length, in the order of the block's sorted hashes."""
+    mine = sorted((x for x in found if x["length"] == length), key=lambda x: x["shard"])
+    return [np.concatenate([np.zeros(0, kind), *((unpack_bits if kind is bool else unpack)(x[c], x["size"]).astype(kind) for x in mine)])
+            for c, kind in columns.items()]
+
+
+def with_answers(blocks: DataFrame, rows: DataFrame, name: str, columns: list[str]) -> DataFrame:
+    """blocks with what each got back from all shards, as one array."""
+    mine = rows.where("block >= 0").groupBy("block").agg(
+        F.collect_list(F.struct("shard", "length", "size", *columns)).alias(name))
+    return blocks.join(mine, "block", "left")
+
+
+def context_sums(walks: DataFrame, order: int, shards: int) -> DataFrame:
+    """(block, shard, length, size, sums, arcs): for the contexts that texts of the block outside training walk,
+    their number of arcs, and the sum of the counts that the words on these arcs have after the shorter context."""
+
+    def send(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                grams = Grams(row, order)
+                counts, owned, walked = zip(*(answers(row["counted"], k, {"counts": np.int64, "owned": bool, "walked": bool})
+                                              for k in range(1, order + 1)))
+                for m in range(1, order):  # words of the context
+                    level, shorter = grams.levels[m], grams.levels[m - 1]
+                    mine = np.flatnonzero(owned[m])
+                    context = shorter.number[level.ends[mine] - 1]
+                    # The n-gram without its first word, as long as the context.
+                    after = counts[m - 1][shorter.number[level.ends[mine]]]
+                    sums = np.zeros(len(shorter.keys), dtype=np.int64)
+                    np.add.at(sums, context, after)
+                    arcs = np.bincount(context, minlength=len(shorter.keys))
+                    asked = asked_contexts(grams, m, counts[m - 1])
+                    some = walked[m - 1] & ((arcs > 0) | asked)
+                    if some.any():
+                        yield messages(row["block"], m, shorter.keys[some], shards, {
+                            "sums": sums[some], "arcs": arcs[some], "asked": asked[some]})
+                release()
+
+    def merge(table: pa.Table) -> pa.Table:
+        out = []
+        for m in sorted(set(table.column("length").to_pylist())):
+            shard, number = Shard(table, m), table.column("shard")[0].as_py()
+            sums, arcs, asked = shard.sums(shard.numbers("sums")), shard.sums(shard.numbers("arcs")), shard.bits("asked")
+            for block, mine in shard.each():
+                same = shard.same[mine][asked[mine]]
+                if len(same):
+                    out.append((block, number, m, len(same), pack(sums[same]), pack(arcs[same])))
+        return pa.table([pa.array(x, f.type) for x, f in zip(zip(*out) if out else [[]] * 6, SUMS)], schema=SUMS)
+
+    sent = walks.select("block", "training", "sizes", "codes", "words", "counted").mapInArrow(
+        send, f"{MESSAGE}, sums binary, arcs binary, asked binary")
+    return stored(sent.groupBy("shard").applyInArrow(
+        merge, "block long, shard int, length int, size long, sums binary, arcs binary"), "sums")
+
+
+SUMS = pa.schema([("block", pa.int64()), ("shard", pa.int32()), ("length", pa.int32()), ("size", pa.int64()),
+                  ("sums", pa.binary()), ("arcs", pa.binary())])
+
+
+def asked_contexts(grams: Grams, m: int, counts: np.ndarray) -> np.ndarray:
+    """Which n-grams of m words are states that the block's texts outside training walk."""
+    return grams.outside(grams.levels[m - 1]) & (counts > 0)
 
 
 def discount_of(once: int, twice: int) -> float:
@@ -218,8 +362,69 @@ def discount_of(once: int, twice: int) -> float:
     return min(0.95, max(0.05, once / (once + 2 * twice))) if once else 0.5
 
 
+class Automaton:
+    """The states and arcs that the texts of a block reach.
+
+    A state is a context that training texts hold; its words being the last ones read, it is carried
+    as their number. For each token and each number of words before it: whether the state of these words
+    has an arc for the token, the arc's weight, and the weight of the state's failure arc.
+    """
+
+    def __init__(self, grams: Grams, row: dict, discounts: list[float], tokens: int, floor: float):
+        self.grams, self.order = grams, len(grams.levels)
+        self.counts = [answers(row["counted"], k, {"counts": np.int64})[0] for k in range(1, self.order + 1)]
+        n = len(grams.line)
+        self.arc = np.zeros((self.order, n), dtype=bool)
+        self.weight = np.zeros((self.order, n))
+        self.failure = np.zeros((self.order, n))
+        for m in range(self.order):  # words of the state
+            level = grams.levels[m]
+            at = np.flatnonzero(level.number >= 0)
+            count = self.counts[m][level.number[at]]
+            before = self.counts[m - 1][grams.levels[m - 1].number[at - 1]] if m else np.full(n, tokens)
+            self.arc[m, at] = count > 0
+            some = count > 0
+            self.weight[m, at[some]] = np.log10((count[some] - discounts[m]) / before[some])
+            if m:
+                self.failure[m, at] = self.failures(m, row, discounts, tokens)[grams.levels[m - 1].number[at - 1]]
+        self.weight[0, ~self.arc[0]] = floor
+
+    def failures(self, m: int, row: dict, discounts: list[float], tokens: int) -> np.ndarray:
+        """Weights of the failure arcs of all states of m words that texts outside training walk; others, none of
+        whose texts fails there, have zero."""
+        level, counts = self.grams.levels[m - 1], self.counts[m - 1]
+        asked = np.flatnonzero(asked_contexts(self.grams, m, counts))
+        sums, arcs = answers(row["summed"] or [], m, {"sums": np.int64, "arcs": np.int64})
+        own = counts[asked]
+        shorter = self.counts[m - 2][self.grams.levels[m - 2].number[level.ends[asked]]] if m > 1 else np.full(len(asked), tokens)
+        left = discounts[m] * arcs / own
+        given = (sums - discounts[m - 1] * arcs) / shorter
+        out = np.zeros(len(counts))
+        out[asked] = np.log10(np.maximum(left, 1e-12) / np.maximum(1 - given, 1e-12))
+        return out
+
+    def walk(self) -> np.ndarray:
+        """The log10 probability of each text: all texts are read from left to right, a word at a time."""
+        order = np.argsort(-self.grams.sizes, kind="stable")
+        first, sizes = self.grams.first[order], self.grams.sizes[order]
+        state, total = np.zeros(len(order), dtype=np.int64), np.zeros(len(order))
+        reading = np.searchsorted(-sizes, -np.arange(int(sizes.max(initial=0))), "left")  # texts longer than t
+        for t, n in enumerate(reading.tolist()):
+            at, here, sum_of = first[:n] + t, state[:n], total[:n]
+            for m in range(self.order - 1, 0, -1):
+                fails = (here == m) & ~self.arc[m, at]
+                sum_of += np.where(fails, self.failure[m, at], 0.0)
+                here = here - fails
+            sum_of += self.weight[here, at]
+            state[:n] = np.minimum(here + self.arc[here, at], self.order - 1)
+        out = np.empty(len(order))
+        out[order] = total
+        return out
+
+
+@tidy
 def score(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", training=None, order: int = ORDER,
-          frequent: float = FREQUENT, rare: float = RARE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+          block_bytes: int = BLOCK_BYTES, shard_grams: int = SHARD_GRAMS) -> DataFrame:
     """Per document: (doc_id, training, n_tokens, n_known, train_tokens, base_score, score).
 
     training: the condition on the column doc_id that marks documents to learn from; by default
@@ -227,56 +432,42 @@ def score(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", traini
     """
     if training is None:
         training = split_of("doc_id", 10) != 0
-    spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(training, F.lit(True)).alias("training"),
                        F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     blocks = blocks_of(rows, block_bytes)
-    # A word has one row in each block: the window of the commonest holds as many rows as blocks.
-    whole = Window.partitionBy("word")
-    counts = stored(blocks.where("code IS NOT NULL").select(
-        "block", "code", "word", F.sum("n").over(whole).alias("c"),
-        (F.row_number().over(whole.orderBy("block")) == 1).alias("first")).withColumn(
-        "row", F.monotonically_increasing_id()).select(
-        "block", "code", "c", "first", F.min("row").over(whole).alias("id")), "counts")
-    total = counts.where("first").agg(
-        F.sum("c").alias("tokens"), F.count_if(F.col("c") > 0).alias("known"),
-        F.count_if(F.col("c") == 1).alias("once"), F.count_if(F.col("c") == 2).alias("twice")).first()
-    tokens, words_known = total.tokens or 0, total.known or 0
-    discount = discount_of(total.once or 0, total.twice or 0)
-    floor = math.log10(max(discount * words_known, 1e-300) / tokens) if tokens else 0.0
-    of_texts = blocks.where("code IS NULL").select("block", "doc_id", "training", "codes")
-    value = F.when(F.col("c") > 0, F.log10((F.col("c") - discount) / max(tokens, 1))).otherwise(floor)
-    known = counts.select("block", F.lit(1).alias("level"), F.col("code").alias("no"), "id",
-                          F.col("c").alias("n"), value.alias("value"))
-    least = max(2.0, rare * tokens) if rare else 1.0
-    for k in range(2, order + 1):
-        weighed = weigh(ngrams_of(of_texts, known, k, max(1.0, frequent * tokens)), k, least)
-        known = known.unionByName((stored(weighed, "values") if k < order else weighed).select(
-            "block", F.lit(k).alias("level"), "no", F.lit(None).cast("long").alias("id"), "n", "value"))
-
-    def run(key, texts: pa.Table, known: pa.Table) -> pa.Table:
-        sizes, place, found = numbers(texts, order)
-        c = by_number(known, 1, "n")
-        bottom = tokens + ADD * (words_known + 1)
-        base = np.log10((c + ADD) / bottom)
-        line, logs = found[0][0], np.empty(len(place))
-        for k, (number, _) in enumerate(found, 1):
-            at = np.flatnonzero(place >= order - 1 if k == order else place == k - 1)
-            if len(at):
-                logs[at] = by_number(known, k, "value")[number[at]]
-        first = np.cumsum(sizes) - sizes  # no text is without tokens
-        return pa.table({
-            "doc_id": texts.column("doc_id"), "training": texts.column("training"), "n_tokens": pa.array(sizes),
-            "n_known": pa.array(np.add.reduceat((c[line] > 0).astype(np.int64), first)),
-            "train_tokens": pa.array([tokens] * texts.num_rows, pa.int64()),
-            "base_score": pa.array(np.add.reduceat(base[line], first)),
-            "score": pa.array(np.add.reduceat(logs, first))})
+    size = blocks.agg(F.sum("tokens")).first()[0] or 0
+    shards = max(1, -(-order * size // shard_grams))
+    counts = corpus_counts(blocks, order, shards)
+    of_length = {r.length: r for r in counts.where("block < 0").groupBy("length").agg(
+        *(F.sum(c).alias(c) for c in ("once", "twice", "known", "total"))).collect()}
+    discounts = [discount_of(of_length[k].once, of_length[k].twice) if k in of_length else 0.5 for k in range(1, order + 1)]
+    tokens, known = (of_length[1].total, of_length[1].known) if 1 in of_length else (0, 0)
+    floor = math.log10(max(discounts[0] * known, 1e-300) / tokens) if tokens else 0.0
+    walks = stored(with_answers(blocks, counts, "counted", ["counts", "owned", "walked"]), "walks", "zstd")
+    drop(blocks, counts)
+    sums = context_sums(walks, order, shards)
+
+    def run(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                grams = Grams(row, order)
+                automaton = Automaton(grams, row, discounts, tokens, floor)
+                c = automaton.counts[0][grams.levels[0].number]
+                base = np.log10((c + ADD) / (tokens + ADD * (known + 1)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(row["ids"], batch.schema.field("ids").type.value_type), pa.array(row["training"]),
+                     pa.array(grams.sizes), pa.array(np.add.reduceat((c > 0).astype(np.int64), grams.first)),
+                     pa.array(np.full(len(grams.sizes), tokens)), pa.array(np.add.reduceat(base, grams.first)),
+                     pa.array(automaton.walk())],
+                    names=["doc_id", "training", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+                release()
 
     schema = T.StructType([
-        blocks.schema["doc_id"], T.StructField("training", T.BooleanType()), T.StructField("n_tokens", T.LongType()),
+        rows.schema["doc_id"], T.StructField("training", T.BooleanType()), T.StructField("n_tokens", T.LongType()),
         T.StructField("n_known", T.LongType()), T.StructField("train_tokens", T.LongType()),
         T.StructField("base_score", T.DoubleType()), T.StructField("score", T.DoubleType())])
-    return of_texts.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(run, schema)
+    return with_answers(walks, sums, "summed", ["sums", "arcs"]).select(
+        "ids", "training", "sizes", "codes", "words", "counted", "summed").mapInArrow(run, schema)
 
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -3,12 +3,20 @@
 Texts become token ids, are cut into pieces of at most `capacity` tokens, and the pieces are packed
 into sequences. Only the histogram of lengths, at most `capacity` numbers, comes to the driver.
 There the linear program "cover every length with the fewest patterns" is solved by
-multiplicative weights: the weight of a length falls as it is covered, a knapsack dynamic program
-finds the pattern of the largest weight, and that pattern is used for a step. The result is rounded
-down to whole sequences; the pieces left over are packed by best fit, largest first, the last two
-lengths of a sequence chosen together. The plan is a table of slots, whose size
-depends on `capacity` alone. Pieces are numbered within their length and take the slot of
-their number, so the ids themselves are never shuffled to be packed.
+multiplicative weights: the weight of a length falls as it is covered; a knapsack dynamic program
+prices all patterns, and gives for each of the least covered lengths the pattern of the largest weight
+that holds it; each of these columns is used for a small step. All columns are kept, and steps go on until
+every length is covered. Each pricing also bounds the program from below (no pattern weighs more than the
+best), as do the pieces that cannot share a sequence, so the gap between the solution and the optimum is measured; with a gap above `EPSILON` the
+program is solved again in finer steps.
+
+Rounding takes each column as often as its whole part says, then once more by the largest fraction, as
+long as pieces are left; full columns of few pieces come first, which leaves small pieces for the end. The
+program of the pieces left over is solved and rounded in turn until `PLACED` of all pieces have a place.
+The last ones are packed by best fit, largest first, the last two lengths of a sequence chosen
+together: there the program has no more pieces than patterns, and nothing to balance. The plan is
+a table of slots, whose size depends on `capacity` alone. Pieces are numbered within their length and take the
+slot of their number, so the ids themselves are never shuffled to be packed.
 
 A hot length is dealt over `SALTS` groups that are numbered apart and then moved up by their sums.
 
@@ -33,9 +41,10 @@ from folioloom.llm.common import release, ship, split_words, stored
 
 CAPACITY = 2048
 END = 0
-ROUNDS = 200  # of multiplicative weights
-ROUNDING = (CAPACITY, 0, -1)  # room that patterns of the rounded solution may leave; -1: none is used
-STEP = 0.05  # relative fall of a weight when its length is covered once
+EPSILON = 0.01  # of the optimum, that the program's solution may be above it
+STEPS = (0.05, 0.025, 0.0125)  # share of a length that one step may cover, tried until the gap is met
+COLUMNS = 128  # of one pricing
+PLACED = 0.92  # share of pieces after which best fit takes the rest
 SALTS = 256
 PART_BYTES = 4 << 20  # of text in work at a time in a task
 CACHE_WORDS = 150_000  # a task's process remembers the ids of two to three times as many words at most
@@ -162,70 +171,125 @@ def pieces(words_of: WordEncoder, batch: pa.RecordBatch, capacity: int) -> pa.Re
         names=["doc_id", "piece", "start", "length", "ids"])
 
 
-def price(lengths: np.ndarray, weights: np.ndarray, capacity: int) -> dict[int, int]:
-    """Knapsack by dynamic programming: the lengths, each any number of times, of most weight."""
-    best = np.zeros(capacity + 1)
-    taken = np.full(capacity + 1, -1)
-    fit = np.searchsorted(lengths, np.arange(capacity + 1), "right")
+def price(weights: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
+    """Knapsack by dynamic programming, lengths taken any number of times: the largest weight of a pattern,
+    and the length to take last in each room (0: leave one token). weights: by length, from 0."""
+    best, last = np.zeros(capacity + 1), np.zeros(capacity + 1, dtype=np.int64)
     for room in range(1, capacity + 1):
-        best[room], taken[room] = best[room - 1], -1
-        if k := fit[room]:
-            value = best[room - lengths[:k]] + weights[:k]
-            top = int(value.argmax())
-            if value[top] > best[room]:
-                best[room], taken[room] = value[top], top
-    pattern: dict[int, int] = {}
-    room = capacity
-    while room > 0:
-        if taken[room] < 0:
-            room -= 1
+        value = best[room - 1::-1] + weights[1:room + 1] if room > 1 else weights[1:2]
+        top = int(value.argmax())
+        if value[top] > best[room - 1]:
+            best[room], last[room] = value[top], top + 1
         else:
-            i = int(taken[room])
-            pattern[i] = pattern.get(i, 0) + 1
-            room -= int(lengths[i])
+            best[room] = best[room - 1]
+    return float(best[capacity]), last
+
+
+def pattern_with(length: int, last: np.ndarray, capacity: int) -> dict[int, int]:
+    """The heaviest pattern that holds the length: pieces by length."""
+    pattern, room = {length: 1}, capacity - length
+    while room > 0:
+        x = int(last[room])
+        if x:
+            pattern[x] = pattern.get(x, 0) + 1
+        room -= x or 1
     return pattern
 
 
-def solve(lengths: np.ndarray, counts: np.ndarray, capacity: int, rounds: int,
-          step: float) -> dict[tuple[tuple[int, int], ...], float]:
-    """The program by multiplicative weights: how much each pattern is used, covering no length
-    more often than it occurs. Patterns are sorted pairs of a length's place and its number."""
-    covered, used = np.zeros(len(lengths)), {}
-    for _ in range(rounds if len(lengths) else 0):
-        pattern = price(lengths, lengths * np.exp(-step * covered), capacity)
-        items, times = np.array(list(pattern)), np.array(list(pattern.values()))
-        # A step covers each length of the pattern by at most all its pieces.
-        amount = float((counts[items] / times).min())
-        covered[items] += amount * times / counts[items]
-        key = tuple(sorted(pattern.items()))
-        used[key] = used.get(key, 0.0) + amount
-    scale = max(1.0, covered.max()) if used else 1.0
-    return {key: amount / scale for key, amount in used.items()}
-
-
-def configurations(lengths: np.ndarray, counts: np.ndarray, capacity: int, rounds: int = ROUNDS,
-                   step: float = STEP) -> list[tuple[dict[int, int], int]]:
-    """Patterns, as the number of pieces by length, and how many sequences use each.
-
-    Every piece has a place in exactly one sequence. The solution of the program is rounded down
-    to whole sequences, and best fit packs the rest. Rounding loses most on patterns that leave
-    room: those that leave more than each of `ROUNDING` tokens are left to best fit as a whole, and
-    the plan with the fewest sequences is taken.
-    """
-    used = sorted(solve(lengths, counts, capacity, rounds, step).items(), key=lambda x: (-x[1], x[0]))
-    plans = []
-    for most in ROUNDING:
-        left, plan = counts.astype(np.int64).copy(), []
-        for key, amount in used:
-            if capacity - sum(int(lengths[i]) * n for i, n in key) > most:
-                continue
-            times = min(int(amount), *(int(left[i]) // n for i, n in key))
-            if times > 0:
-                for i, n in key:
-                    left[i] -= times * n
-                plan.append(({int(lengths[i]): n for i, n in key}, times))
-        plans.append(plan + best_fit(lengths, left, capacity))
-    return min(plans, key=lambda plan: sum(times for _, times in plan))
+Pattern = tuple[tuple[int, int], ...]
+
+
+def solve(lengths: np.ndarray, counts: np.ndarray, capacity: int, step: float) -> tuple[dict[Pattern, float], float]:
+    """The program: how often each pattern is used, so that every length is covered by its count, and a lower
+    bound of any solution. Patterns are sorted pairs of a length and its number."""
+    n = np.zeros(capacity + 1)
+    n[lengths] = counts
+    left, used, bound = n.copy(), {}, 0.0
+    while (still := lengths[left[lengths] > 0]).size:
+        covered = 1 - left[still] / n[still]
+        weights = np.full(capacity + 1, -np.inf)
+        weights[still] = still * np.exp(-covered)
+        most, last = price(weights, capacity)
+        bound = max(bound, float((n[still] * weights[still]).sum()) / most)
+        for length in still[np.argsort(covered, kind="stable")][:COLUMNS].tolist():
+            pattern = pattern_with(length, last, capacity)
+            items, times = np.array(list(pattern)), np.array(list(pattern.values()))
+            amount = float((np.minimum(left[items], step * n[items]) / times).min())
+            if amount > 0:
+                left[items] -= amount * times
+                left[items[left[items] < 1e-9 * n[items]]] = 0
+                key = tuple(sorted(pattern.items()))
+                used[key] = used.get(key, 0.0) + amount
+    return used, bound
+
+
+def size_bound(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> float:
+    """A lower bound of the program: of lengths above half the capacity no two share a sequence, and shorter ones,
+    down to a least length, only fit where the longer leave them room."""
+    best = 0.0
+    long = lengths > capacity / 2
+    for least in np.unique(np.concatenate(([1], lengths[~long]))).tolist():
+        alone = lengths > capacity - least
+        shared, short = long & ~alone, ~long & (lengths >= least)
+        room = (counts[shared] * (capacity - lengths[shared])).sum()
+        more = max(0.0, float((counts[short] * lengths[short]).sum() - room) / capacity)
+        best = max(best, float(counts[alone].sum() + counts[shared].sum()) + more)
+    return best
+
+
+def program(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> tuple[dict[Pattern, float], float]:
+    """The solution of the program, and its gap: how far it is above the lower bound, relatively."""
+    least = size_bound(lengths, counts, capacity)
+    for step in STEPS:
+        used, bound = solve(lengths, counts, capacity, step)
+        gap = sum(used.values()) / max(least, bound) - 1 if used else 0.0
+        if gap <= EPSILON:
+            break
+    return used, gap
+
+
+def rounded(used: dict[Pattern, float], left: dict[int, int], most: int, capacity: int) -> list[tuple[Pattern, int]]:
+    """Whole uses of the patterns, which place about `most` pieces; their pieces are taken from `left`."""
+    def room(key: Pattern) -> int:
+        return capacity - sum(x * n for x, n in key)
+
+    order = sorted(used, key=lambda key: (room(key), sum(n for _, n in key), -(used[key] % 1), key))
+    # Rounding up a pattern that leaves more room than the solution does on average would cost sequences.
+    spare = sum(room(key) * amount for key, amount in used.items()) / sum(used.values())
+    plan, placed = [], 0
+    for up in (False, True):
+        for key in order:
+            if placed >= most:
+                return plan
+            if room(key) <= spare:
+                times = min(1 if up else int(used[key]), *(left[x] // n for x, n in key))
+                if times > 0:
+                    for x, n in key:
+                        left[x] -= times * n
+                    placed += times * sum(n for _, n in key)
+                    plan.append((key, times))
+    return plan
+
+
+def configurations(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> list[tuple[dict[int, int], int]]:
+    """Patterns, as the number of pieces by length, and how many sequences use each: those of the rounded program,
+    then those of best fit. Every piece has a place in exactly one sequence."""
+    by_program, left = planned(lengths, counts, capacity)
+    return by_program + best_fit(lengths, left, capacity)
+
+
+def planned(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> tuple[list[tuple[dict[int, int], int]], np.ndarray]:
+    """The plan of the rounded program, and how many pieces of each length it leaves."""
+    left, plan = dict(zip(lengths.tolist(), counts.tolist())), []
+    total = sum(left.values())
+    while (most := sum(left.values()) - (1 - PLACED) * total) > 0:
+        some = np.array([x for x in left if left[x]], dtype=np.int64)
+        used, _ = program(some, np.array([left[x] for x in some.tolist()], dtype=np.float64), capacity)
+        more = rounded(used, left, most, capacity)
+        if not more:
+            break
+        plan += [(dict(key), times) for key, times in more]
+    return plan, np.array(list(left.values()), dtype=np.int64)
 
 
 def best_fit(lengths: np.ndarray, left: np.ndarray, capacity: int) -> list[tuple[dict[int, int], int]]:

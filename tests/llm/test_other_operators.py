@@ -86,9 +86,63 @@ def test_pricing_finds_the_best_pattern():
         best = np.zeros(41)
         for room in range(1, 41):
             best[room] = max([best[room - 1]] + [best[room - n] + w for n, w in zip(lengths, weights) if n <= room])
-        pattern = packing.price(lengths, weights, 40)
-        assert sum(int(lengths[i]) * n for i, n in pattern.items()) <= 40
-        assert sum(weights[i] * n for i, n in pattern.items()) == pytest.approx(best[40])
+        by_length = np.full(41, -np.inf)
+        by_length[lengths] = weights
+        most, last = packing.price(by_length, 40)
+        assert most == pytest.approx(best[40])
+        for length in lengths.tolist():
+            pattern = packing.pattern_with(length, last, 40)
+            assert pattern[length] >= 1 and sum(x * n for x, n in pattern.items()) <= 40
+            weight = sum(by_length[x] * n for x, n in pattern.items())
+            assert weight == pytest.approx(best[40 - length] + by_length[length])
+
+
+def histogram(sizes):
+    lengths, counts = np.unique(np.array(sizes), return_counts=True)
+    return lengths, counts
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_program_covers_every_length_within_its_gap(seed):
+    rng = np.random.default_rng(seed)
+    sizes = np.clip(np.exp(rng.normal(6.3, 0.9, 5000)).astype(int), 1, 2048)
+    lengths, counts = histogram(sizes)
+    used, gap = packing.program(lengths, counts.astype(float), 2048)
+    covered = dict.fromkeys(lengths.tolist(), 0.0)
+    for pattern, amount in used.items():
+        assert amount > 0 and sum(x * n for x, n in pattern) <= 2048
+        for x, n in pattern:
+            covered[x] += n * amount
+    assert gap <= packing.EPSILON
+    assert sum(used.values()) <= (1 + packing.EPSILON) * max(sizes.sum() / 2048, packing.size_bound(lengths, counts, 2048))
+    for x, n in zip(lengths.tolist(), counts.tolist()):
+        assert covered[x] == pytest.approx(n, rel=1e-6)
+
+
+@pytest.mark.parametrize("sizes", [[1500] * 400, [1500] * 400 + [300] * 200, list(range(900, 1500)) * 3, [3], [2048] * 7 + [1]])
+def test_program_of_pieces_that_fit_badly(sizes):
+    lengths, counts = histogram(sizes)
+    used, gap = packing.program(lengths, counts.astype(float), 2048)
+    assert gap <= packing.EPSILON or sum(used.values()) < packing.size_bound(lengths, counts, 2048) + 1
+    plan = packing.configurations(lengths, counts, 2048)
+    placed = {}
+    for pattern, times in plan:
+        assert sum(x * n for x, n in pattern.items()) <= 2048
+        for x, n in pattern.items():
+            placed[x] = placed.get(x, 0) + n * times
+    assert placed == dict(zip(lengths.tolist(), counts.tolist()))
+    assert sum(times for _, times in plan) <= 1.01 * packing.size_bound(lengths, counts, 2048) + 2
+
+
+def test_program_places_nine_tenths_of_the_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    pieces = packing.tokenize(docs, tokenizer_path("word_bpe_49k.json")).groupBy("length").count().collect()
+    lengths, counts = (np.array(x, dtype=np.int64) for x in zip(*sorted(map(tuple, pieces))))
+    plan, left = packing.planned(lengths, counts, 2048)
+    assert left.sum() <= 0.1 * counts.sum()
+    sequences = sum(times for _, times in plan + packing.best_fit(lengths, left, 2048))
+    assert sequences <= -(-int((lengths * counts).sum()) // 2048) * 1.001 + 1
+    print("sequences", sequences, "best fit alone", sum(times for _, times in packing.best_fit(lengths, counts, 2048)))
 
 
 def vectors_of(spark, rows):

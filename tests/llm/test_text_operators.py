@@ -196,25 +196,23 @@ def test_language_model_counts_and_base_score(spark):
 def test_language_model_equals_direct_backoff_and_sums_to_one(spark):
     rows = list(enumerate(texts(60, 6, 12)))
     everything = F.lit(True)
-    got = {r.doc_id: r.score for r in ngram_lm.score(docs_of(spark, rows), training=everything, frequent=0.01, rare=0.0005).collect()}
+    got = {r.doc_id: r.score for r in ngram_lm.score(docs_of(spark, rows), training=everything).collect()}
     lines = [low(t).encode().decode().split() + [""] for _, t in rows]
     n = sum(map(len, lines))
     grams = [collections.Counter(tuple(line[i:i + k]) for line in lines for i in range(len(line) - k + 1)) for k in (1, 2, 3)]
-    common_words = {g for g, c in grams[0].items() if c >= max(1, 0.01 * n)}
-    inside = [{g: c for g, c in grams[k].items() if all((w,) in common_words for w in g)} for k in (1, 2)]
-    kept = [{g: c for g, c in x.items() if c >= max(2, 0.0005 * n)} for x in inside]
+    kept = grams[1:]
 
     def discount(counts):
         ones, twos = (sum(1 for c in counts.values() if c == k) for k in (1, 2))
         return ngram_lm.discount_of(ones, twos)
 
-    d = [discount(grams[0]), discount(inside[0]), discount(inside[1])]
+    d = [discount(x) for x in grams]
 
     def p(word, context):
         if not context:
             return (grams[0][(word,)] - d[0]) / n if grams[0][(word,)] else d[0] * len(grams[0]) / n
         arcs = {g[-1]: c for g, c in kept[len(context) - 1].items() if g[:-1] == context}
-        if not arcs or len(context) == 2 and context not in kept[0]:
+        if not arcs:
             return p(word, context[1:])
         total = grams[len(context) - 1][context]
         if word in arcs:
