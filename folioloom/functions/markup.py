@@ -24,12 +24,13 @@ ELEMENT_FIELDS = ("content", "title", "src", "data-src", "datetime")
 FOUND_TYPE = (
     "struct<elements:array<struct<start:int,length:int,text:string,"
     "content:string,title:string,src:string,`data-src`:string,datetime:string>>,"
-    "picks:array<array<int>>>")
+    "picks:array<array<int>>,error:string>")
 _ARROW_TYPE = pa.struct([
     ("elements", pa.list_(pa.struct(
         [("start", pa.int32()), ("length", pa.int32()), ("text", pa.string())]
         + [(name, pa.string()) for name in ELEMENT_FIELDS]))),
-    ("picks", pa.list_(pa.list_(pa.int32())))])
+    ("picks", pa.list_(pa.list_(pa.int32()))), ("error", pa.string())])
+MAX_ERROR = 500
 
 _PART = re.compile(r"(\w*)(?:\.([\w-]+))?(?:\[(\w+)(?:='([^']*)')?\])?$")
 _NAME = re.compile(r"[a-zA-Z][^\s/><]*")
@@ -39,7 +40,6 @@ _RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I) for tag in ("script", "
 _ATTRIBUTE = re.compile(
     r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _REFERENCE = re.compile(r"&#?\w+;")
-_ANY_MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|(<[^>]*+\Z)|<[^>]++>", re.S)
 
 # HTML rules (fixed values): elements without an end tag, and start tags that
 # end an open paragraph or an open element of their own kind.
@@ -86,17 +86,20 @@ def compile_rules(selectors: Sequence[str]) -> tuple:
 def read_tags(html: str) -> Iterator[tuple[int, int, bool, str, str]]:
     """Start, stop, whether it is an end tag, lower-case name and attribute text of each tag.
 
-    A quoted value runs to its next quote, however far.  A comment or a tag
+    Comments and the tags of scripts and styles have an empty name.  What lies
+    between is text.  A quoted value runs to its next quote, however far.  A comment or a tag
     that never ends takes the rest of the page.  The contents of scripts and
     styles are no markup.  The page is read once from left to right.
     """
     at = html.find("<")
     while at >= 0:
         if html.startswith("<!--", at):
-            stop = html.find("-->", at + 4)
-            if stop < 0:
+            stop = html.find("-->", at + 4) + 3
+            if stop < 3:
+                yield at, len(html), False, "", ""
                 return
-            at = html.find("<", stop + 3)
+            yield at, stop, False, "", ""
+            at = html.find("<", stop)
             continue
         end = html.startswith("/", at + 1)
         name = _NAME.match(html, at + 1 + end)
@@ -115,14 +118,16 @@ def read_tags(html: str) -> Iterator[tuple[int, int, bool, str, str]]:
                 return
         stop, tag = found.end(), name[0].lower()
         if not end and tag in _RAW_END:
+            yield at, stop, False, "", ""
             closing = _RAW_END[tag].search(html, stop)
             if not closing:
                 return
             at = closing.start()
-            stop = html.find(">", at)
-            if stop < 0:
+            stop = html.find(">", at) + 1
+            if not stop:
                 return
-            at = html.find("<", stop + 1)
+            yield at, stop, False, "", ""
+            at = html.find("<", stop)
             continue
         yield at, stop, end, tag, html[name.end():stop - 1]
         at = html.find("<", stop)
@@ -137,9 +142,15 @@ def closes_itself(rest: str) -> bool:
 
 
 def find_elements(html: str, rules: tuple) -> list[dict]:
-    """The elements of a page that at least one selector picks."""
+    """The elements of a page that at least one selector picks.
+
+    Their texts are ``pieces[first:last]`` of the page: what was read between tags
+    while they were open.
+    """
     targets, scopes, names, asked_for = rules
     found: list[dict] = []
+    pieces: list[str] = []
+    read = 0
     stack: list[tuple] = []                  # open elements: (tag, record, scopes it opens)
     inside: Counter = Counter({"": 1})       # scopes open at this point
 
@@ -147,11 +158,15 @@ def find_elements(html: str, rules: tuple) -> list[dict]:
         while len(stack) > depth:
             _, record, opened = stack.pop()
             if record:
-                record["length"] = stop - record["start"]
+                record["length"], record["last"] = stop - record["start"], len(pieces)
             for scope in opened:
                 inside[scope] -= 1
 
     for start, stop, end, tag, rest in read_tags(html):
+        pieces.append(html[read:start])
+        read = stop
+        if not tag:
+            continue
         if end:
             if stack and stack[-1][0] == tag:
                 close(len(stack) - 1, stop)
@@ -179,8 +194,8 @@ def find_elements(html: str, rules: tuple) -> list[dict]:
                 if inside[scope] and (not value or attrs[attr] == value):
                     if record is None:
                         attrs = attrs or (_attributes(rest) if rest else attrs)
-                        record = {"selectors": [], "start": start,
-                                  "length": stop - start, "body": stop}
+                        record = {"selectors": [], "start": start, "length": stop - start,
+                                  "body": stop, "first": len(pieces), "last": len(pieces)}
                         for name in ELEMENT_FIELDS:
                             record[name] = attrs.get(name)
                         found.append(record)
@@ -189,17 +204,20 @@ def find_elements(html: str, rules: tuple) -> list[dict]:
             stack.append((tag, record, opened))
             for scope in opened:
                 inside[scope] += 1
+    pieces.append(html[read:])
     close(0, len(html))
+    for record in found:
+        record["pieces"] = pieces
     return found
 
 
 def elements_function(
     selectors: Sequence[str], text_selectors: Sequence[str], wanted: Sequence[str] | None = None
 ):
-    """An Arrow function from markup to ``struct<elements, picks>``.
+    """An Arrow function from markup to ``struct<elements, picks, error>``.
 
     Only the ``wanted`` of the selectors are looked for (by default all).
-    Null for a null page.  ``picks[i]`` lists the elements selector ``i`` picks, in document order, as
+    Null for a null page.  A page that raises has an ``error`` alone.  ``picks[i]`` lists the elements selector ``i`` picks, in document order, as
     positions in ``elements``; it is null when there are none.  ``start``
     counts characters from 0.  ``text`` (character references decoded) is
     filled for elements of ``text_selectors`` only, so that large bodies are
@@ -209,23 +227,34 @@ def elements_function(
     rules, wants_text = compile_rules(wanted or selectors), frozenset(text_selectors)
     number = {selector: i for i, selector in enumerate(selectors)}
 
-    def scan_page(page: str | None) -> dict | None:
-        if page is None:        # the row says so in its error column
-            return None
+    def scan_page(page: str) -> dict:
         elements = find_elements(page, rules)
         picks: list = [None] * len(number)
         for position, element in enumerate(elements):
-            body, picked = element.pop("body"), element.pop("selectors")
+            element.pop("body")
+            picked, pieces = element.pop("selectors"), element.pop("pieces")
+            first, last = element.pop("first"), element.pop("last")
             for selector in picked:
                 i = number[selector]
-                picks[i] = (picks[i] or []) + [position]
+                if picks[i] is None:
+                    picks[i] = []
+                picks[i].append(position)
             if not wants_text.isdisjoint(picked):
-                inner = page[body:element["start"] + element["length"]]
-                element["text"] = _decoded(_ANY_MARKUP.sub(r"\1", inner))
-        return {"elements": elements, "picks": picks}
+                element["text"] = _decoded("".join(pieces[first:last]))
+        return {"elements": elements, "picks": picks, "error": None}
+
+    def kept_apart(page: str | None) -> dict | None:
+        """A page that cannot be scanned costs its own row, not the task."""
+        if page is None:
+            return None
+        try:
+            return scan_page(page)
+        except Exception as problem:
+            said = f"{type(problem).__name__}: {problem}"[:MAX_ERROR]
+            return {"elements": None, "picks": None, "error": said}
 
     def scan(pages: pa.Array) -> pa.Array:
-        return pa.array([scan_page(p) for p in pages.to_pylist()], type=_ARROW_TYPE)
+        return pa.array([kept_apart(p) for p in pages.to_pylist()], type=_ARROW_TYPE)
 
     # Ship the scanner itself, so that executors need no copy of this package.
     cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -59,10 +59,13 @@ def finished_outcomes(
     partials: DataFrame, keys: Sequence[str], max_attempts: int = MAX_FETCH_ATTEMPTS
 ) -> DataFrame:
     """``keys, settled, first, last, error, outcome`` from one or more parts."""
-    return (
-        partials.groupBy(*keys).agg(
-            F.min("settled").alias("settled"), F.min("first").alias("first"), F.max("last").alias("last"))
-        .transform(_judged, max_attempts))
+    return merged_partials(partials, keys).transform(_judged, max_attempts)
+
+
+def merged_partials(partials: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key from several parts, which is again a part."""
+    return partials.groupBy(*keys).agg(
+        F.min("settled").alias("settled"), F.min("first").alias("first"), F.max("last").alias("last"))
 
 
 def _judged(settled: DataFrame, max_attempts: int) -> DataFrame:

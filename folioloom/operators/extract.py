@@ -35,6 +35,7 @@ DESCRIPTION = ("meta[name='description']", "meta[property='og:description']")
 
 # Bounds of a valid article and of a tag, in characters (fixed values).
 MIN_TITLE, MIN_CONTENT, MAX_TAG = 5, 100, 100
+NO_MARKUP = "no readable markup"
 
 FIRST_VALUE_SELECTORS = TITLE + AUTHOR + PUBLISHED + CATEGORY + DESCRIPTION
 ALL_SELECTORS = tuple(dict.fromkeys(FIRST_VALUE_SELECTORS + CONTENT + TAGS + IMAGES))
@@ -46,6 +47,7 @@ def scan_pages(pages: DataFrame, wanted: Sequence[str] = ALL_SELECTORS) -> DataF
     ``elements``: ``start, length, text`` (trimmed), ``value`` (the text, else
     the attribute ``content``, ``title`` or ``src``), ``datetime`` and
     ``image``.  ``picks``: per selector, the positions of its elements.
+    ``scan_error``: why a page has neither.
     """
     scan = elements_function(ALL_SELECTORS, FIRST_VALUE_SELECTORS, wanted)
 
@@ -61,7 +63,9 @@ def scan_pages(pages: DataFrame, wanted: Sequence[str] = ALL_SELECTORS) -> DataF
     return (
         pages.withColumn("found", scan(F.col("html")))
         .withColumn("elements", F.transform("found.elements", shaped))
-        .withColumn("picks", F.col("found.picks")).drop("found"))
+        .withColumn("picks", F.col("found.picks"))
+        .withColumn("scan_error", F.when(F.col("found").isNull(), F.lit(NO_MARKUP)).otherwise(F.col("found.error")))
+        .drop("found"))
 
 
 def _picks(selector: str) -> str:
@@ -147,8 +151,8 @@ def extract_articles(
 ) -> DataFrame:
     """The article of each page; columns ``keep`` of ``pages`` come along.
 
-    A page that cannot be read keeps its row, with null fields and an
-    ``error``; the job goes on.
+    A page that cannot be read keeps its row, without what its markup would
+    give and with an ``error``; the job goes on.  ``failed_pages`` counts them.
     """
     scanned = scan_pages(pages.select(*keep, "url", "html"))
     fields = scanned.select(
@@ -156,7 +160,7 @@ def extract_articles(
         author(host).alias("author"), published_date().alias("published_date"),
         category().alias("category"), tags().alias("tags"), images().alias("images"),
         description().alias("description"),
-        F.when(F.col("elements").isNull(), F.lit("no readable markup")).alias("error"))
+        F.col("scan_error").alias("error"))
     row = F.struct(
         *keep, "url", "title", "content", "author", "published_date", "category",
         "tags", "images", "description", F.lit(language).alias("language"),
@@ -166,6 +170,11 @@ def extract_articles(
     return fields.select(F.inline(F.array(row)))
 
 
+def failed_pages(articles: DataFrame) -> DataFrame:
+    """``error, pages``: how many pages could not be read, by the reason."""
+    return articles.where(F.col("error").isNotNull()).groupBy("error").agg(F.count("*").alias("pages"))
+
+
 def is_valid_article() -> Column:
     """Does a row have a title, enough content and a URL?"""
     def text(name: str) -> Column:

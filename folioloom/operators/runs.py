@@ -105,6 +105,15 @@ def time_left(state: DataFrame, runs: DataFrame, recent: int = RECENT) -> DataFr
         .withColumn("eta", eta(F.col("pending"), F.col("rate"))))
 
 
+def started_from(runs: DataFrame, first: Column, end: Column) -> DataFrame:
+    """Runs that began on a day from ``first`` and before ``end``.
+
+    Bounds on the time itself, unlike a condition on its day, reach the file scan.
+    """
+    kind = runs.schema["start_time"].dataType
+    return runs.where((F.col("start_time") >= first.cast(kind)) & (F.col("start_time") < end.cast(kind)))
+
+
 def daily_series(
     runs: DataFrame, today: Column, days: int = 14, max_runs: int | None = RECENT
 ) -> DataFrame:
@@ -115,9 +124,8 @@ def daily_series(
     first = F.date_sub(day(today), days - 1)
     source = runs if max_runs is None else recent_runs(runs, max_runs)
     per_day = (
-        source.withColumn("day", day(F.col("start_time")))
-        .where(F.col("day").between(first, day(today)))
-        .groupBy("day").agg(F.sum("processed_urls").alias("processed")))
+        started_from(source, first, F.date_add(day(today), 1))
+        .groupBy(day(F.col("start_time")).alias("day")).agg(F.sum("processed_urls").alias("processed")))
     spine = runs.sparkSession.range(days).select(
         F.date_add(first, F.col("id").cast("int")).alias("day"))
     return spine.join(per_day, "day", "left").select(
@@ -128,5 +136,5 @@ def today_total(
     runs: DataFrame, today: Column, max_runs: int | None = RECENT
 ) -> DataFrame:
     source = runs if max_runs is None else recent_runs(runs, max_runs)
-    return source.where(day(F.col("start_time")) == day(today)).agg(
+    return started_from(source, day(today), F.date_add(day(today), 1)).agg(
         F.coalesce(F.sum("processed_urls"), F.lit(0)).alias("processed"))

@@ -119,7 +119,7 @@ SELECT doc_id AS page_id,
               {_turn("doc_id", 7, [f"'{m}'" for m in (
                   '<h1 class="article-title">', '<h1 class="entry-title">', '<h1 class="post-title">', '<h1 class="title">',
                   '<div class="entry-header"><h1>', '<article><h1>', '<h1>')], "c < 9")},
-              'Title <b>of ', source, '</b></h1>',
+              CASE WHEN doc_id % 5 = 0 THEN 'Title <b title="x > y">of ' ELSE 'Title <b>of ' END, source, '</b></h1>',
               {_turn("doc_id", 7, ["''", "''", "''", "''", "'</div>'", "'</article>'", "''"], "c < 9")},
               CASE WHEN doc_id % 3 = 0 THEN ''
                    ELSE concat({_turn("doc_id", 8, [f"'{m}'" for m in (

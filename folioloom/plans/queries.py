@@ -464,7 +464,7 @@ def _stored_outcomes(spark, sf):
     out = tables.shared_dir(spark)
     attempts = _runs_of(spark.sql(FIXTURES["attempts"], events=_event_stream(spark, sf)))
     folds.stream_outcomes(attempts, out + "/parts", out + "/check").awaitTermination()
-    return spark.read.parquet(out + "/parts")
+    return folds.stored_partials(spark, out + "/parts")
 
 
 @query

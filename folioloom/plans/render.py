@@ -49,12 +49,30 @@ def render_urlsets(entries: DataFrame, doc_url: Column, order: Column) -> DataFr
         F.concat(F.lit(_URLSET), "xml", F.lit("</urlset>")).alias("body"))
 
 
+def _replaced(body: Column, *pairs: tuple[str, str]) -> Column:
+    for old, new in pairs:
+        body = F.replace(body, F.lit(old), F.lit(new))
+    return body
+
+
 def sitemap_docs(entries: DataFrame) -> DataFrame:
-    """All sitemaps of ``sitemap_entry``, some cut short."""
+    """All sitemaps of ``sitemap_entry``.
+
+    Some are cut short or go on after their root; some bind the namespace to a
+    prefix; some have an image's place before the page's.
+    """
     docs = render_urlsets(entries, child_url(F.col("doc_no")), F.col("entry_key"))
-    cut = F.substr(F.col("body"), F.lit(1), F.length("body") - 20)
-    return docs.withColumn(
-        "body", F.when(F.col("doc_no") % 40 == 13, cut).otherwise(F.col("body")))
+    body, turn = F.col("body"), F.col("doc_no") % 40
+    prefixed = _replaced(
+        body, ("<urlset xmlns=", "<sm:urlset xmlns:sm="), ("</urlset>", "</sm:urlset>"),
+        *((f"<{end}{name}>", f"<{end}sm:{name}>") for name in ("url", "loc", "lastmod") for end in ("", "/")))
+    with_images = _replaced(
+        body, ("<urlset ", '<urlset xmlns:image="http://www.google.com/schemas/sitemap-image/1.1" '),
+        ("<url>", "<url><image:loc>https://site.example/news/img.html</image:loc>"))
+    return docs.withColumn("body", F.when(turn == 13, F.substr(body, F.lit(1), F.length(body) - 20))
+                           .when(turn == 17, F.concat(body, F.lit("junk>")))
+                           .when(turn == 21, F.concat(body, F.lit("<x/>")))
+                           .when(turn == 29, prefixed).when(turn == 5, with_images).otherwise(body))
 
 
 def gone_url(doc_no: Column) -> Column:

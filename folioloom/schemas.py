@@ -61,3 +61,14 @@ BATCH_SIZE = 200         # articles in one sink row
 STATE_MESSAGE_CHARS = 500
 FETCH_MESSAGE_CHARS = 300
 BATCH_MESSAGE_CHARS = 200
+
+# One row per (run, URL): the deciding attempt so far, and the first and last times.
+PARTIAL_SCHEMA = T.StructType([
+    T.StructField("crawl_id", T.StringType()),
+    T.StructField("url", T.StringType()),
+    T.StructField("settled", T.StructType([
+        T.StructField("attempt", T.LongType()),
+        *[T.StructField(c, T.StringType()) for c in ("error", "batch_id", "content_hash")]])),
+    T.StructField("first", T.TimestampType()),
+    T.StructField("last", T.TimestampType()),
+])

@@ -3,55 +3,105 @@
 Input is a table ``(doc_url, body)`` of fetched XML.  The sitemap protocol
 bounds a document at 50,000 entries, so a document is a sound unit of parsing;
 its entries are exploded right after the parse and never gathered again.
-A document that is not well-formed yields no rows.
+Elements are known by their namespace, whatever their prefix. A document that
+is not one well-formed root, with nothing after it, yields no rows.
 """
 
 from __future__ import annotations
 
+import sys
+from xml.parsers import expat
+
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
-from folioloom.functions.text import blank_to_null
 from folioloom.functions.urls import is_article_url
 
-_CORRUPT = "_corrupt_record"
-_XML_SCHEMA = (
-    "sitemap ARRAY<STRUCT<loc ARRAY<STRING>>>, "
-    "url ARRAY<STRUCT<loc ARRAY<STRING>, lastmod ARRAY<STRING>,"
-    " video ARRAY<STRUCT<loc ARRAY<STRING>, publication_date ARRAY<STRING>>>>>, "
-    f"{_CORRUPT} STRING"
-)
-_XML_OPTIONS = {
-    "ignoreNamespace": "true",
-    "ignoreSurroundingSpaces": "false",
-    "columnNameOfCorruptRecord": _CORRUPT,
-}
+# Namespaces (fixed values).
+SITEMAP = "http://www.sitemaps.org/schemas/sitemap/0.9"
+VIDEO = "http://www.google.com/schemas/sitemap-video/1.1"
 
+PARSED_TYPE = (
+    "struct<children:array<string>,entries:array<struct<url:string,lastmod:string,is_video:boolean>>>")
+_ARROW_TYPE = pa.struct([
+    ("children", pa.list_(pa.string())),
+    ("entries", pa.list_(pa.struct([("url", pa.string()), ("lastmod", pa.string()), ("is_video", pa.bool_())])))])
 
-def _parsed(body: Column) -> Column:
-    """The document, or null unless all of it is well-formed, up to its last tag."""
-    doc = F.from_xml(body, _XML_SCHEMA, _XML_OPTIONS)
-    return F.when(doc[_CORRUPT].isNull() & body.rlike(r">\s*\z"), doc)
 
+class _Reader:
+    """Takes a document element by element, whatever prefixes its namespaces have.
+
+    An item is an element whose direct children are wanted: of several with one
+    name the first counts, with its text up to an element inside it.
+    """
+
+    ITEMS = {
+        f"{SITEMAP} sitemap": {f"{SITEMAP} loc": "url"},
+        f"{SITEMAP} url": {f"{SITEMAP} loc": "url", f"{SITEMAP} lastmod": "lastmod"},
+        f"{VIDEO} video": {f"{VIDEO} loc": "url", f"{VIDEO} publication_date": "lastmod"}}
+
+    def __init__(self):
+        self.found: dict[str, list[dict]] = {name: [] for name in self.ITEMS}
+        self.open: list[tuple[dict | None, dict]] = []    # per open element: its item, what the item wants
+        self.target: tuple[dict, str] | None = None       # what text belongs to
+
+    def start(self, name: str, attributes: dict) -> None:
+        self.target = None
+        item, wanted = self.open[-1] if self.open else (None, {})
+        field = wanted.get(name)
+        if field and field not in item:
+            item[field] = ""
+            self.target = (item, field)
+        if name in self.ITEMS and self.open:              # the root itself is no item
+            self.found[name].append({})
+            self.open.append((self.found[name][-1], self.ITEMS[name]))
+        else:
+            self.open.append((None, {}))
+
+    def end(self, name: str) -> None:
+        self.target = None
+        self.open.pop()
+
+    def text(self, data: str) -> None:
+        if self.target:
+            item, field = self.target
+            item[field] += data
+
+
+def read_document(body: str | None) -> dict | None:
+    """The sitemaps a document lists, and its pages followed by its videos.
+
+    None unless the whole body is one well-formed XML document.
+    """
+    if body is None:
+        return None
+    reader, parser = _Reader(), expat.ParserCreate(namespace_separator=" ")
+    parser.buffer_text = True
+    parser.StartElementHandler, parser.EndElementHandler = reader.start, reader.end
+    parser.CharacterDataHandler = reader.text
+    try:
+        parser.Parse(body, True)
+    except (expat.ExpatError, ValueError):
+        return None
+    children, pages, videos = reader.found.values()
+    return {
+        "children": [c.get("url") or None for c in children],
+        "entries": [
+            {"url": e.get("url") or None, "lastmod": e.get("lastmod") or None, "is_video": is_video}
+            for found, is_video in ((pages, False), (videos, True)) for e in found]}
 
-def _first(values: Column) -> Column:
-    """The text of the first of several elements; null if that holds elements."""
-    value = F.get(values, F.lit(0))
-    return F.when(~value.contains("<"), value)
 
+def _parsed(body: Column) -> Column:
+    """``struct<children, entries>`` of each document, null where it is not well-formed."""
+    def parse(bodies: pa.Array) -> pa.Array:
+        return pa.array([read_document(b) for b in bodies.to_pylist()], type=_ARROW_TYPE)
 
-def _entries(doc: Column) -> Column:
-    """All pages of a document, then all its videos, as one array."""
-    urls = F.coalesce(doc["url"], F.array())
-    pages = F.transform(urls, lambda u: F.struct(
-        _first(u["loc"]).alias("url"),
-        blank_to_null(_first(u["lastmod"])).alias("lastmod"),
-        F.lit(False).alias("is_video")))
-    videos = F.flatten(F.transform(urls, lambda u: F.transform(
-        F.coalesce(u["video"], F.array()), lambda v: F.struct(
-            _first(v["loc"]).alias("url"),
-            blank_to_null(_first(v["publication_date"])).alias("lastmod"),
-            F.lit(True).alias("is_video")))))
-    return F.concat(pages, videos)
+    # Ship the reader itself, so that executors need no copy of this package.
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    parse.__annotations__ = {"bodies": pa.Array, "return": pa.Array}
+    # Non-deterministic: Spark then does not parse a second time inside a filter.
+    return F.arrow_udf(parse, PARSED_TYPE).asNondeterministic()(body)
 
 
 def parse_entries(docs: DataFrame) -> DataFrame:
@@ -63,9 +113,9 @@ def parse_entries(docs: DataFrame) -> DataFrame:
     carried = [c for c in docs.columns if c != "body"]
     return (
         docs.select(*carried, _parsed(F.col("body")).alias("doc"))
-        .select(*carried, F.posexplode(_entries(F.col("doc"))).alias("pos", "entry"))
+        .select(*carried, F.posexplode("doc.entries").alias("pos", "entry"))
         .select(*carried, F.col("pos").cast("bigint").alias("pos"), "entry.*")
-        .where((F.col("url") != "") & (F.col("is_video") | is_article_url(F.col("url")))))
+        .where(F.col("url").isNotNull() & (F.col("is_video") | is_article_url(F.col("url")))))
 
 
 def urlset_entries(docs: DataFrame) -> DataFrame:
@@ -83,10 +133,9 @@ def index_children(index_docs: DataFrame) -> DataFrame:
     return (
         index_docs
         .select(F.col("doc_url").alias("index_url"), _parsed(F.col("body")).alias("doc"))
-        .select("index_url", F.posexplode("doc.sitemap").alias("sitemap_no", "child"))
-        .select("index_url", F.col("sitemap_no").cast("bigint").alias("sitemap_no"),
-                _first(F.col("child.loc")).alias("doc_url"))
-        .where(F.col("doc_url") != ""))
+        .select("index_url", F.posexplode("doc.children").alias("sitemap_no", "doc_url"))
+        .select("index_url", F.col("sitemap_no").cast("bigint").alias("sitemap_no"), "doc_url")
+        .where(F.col("doc_url").isNotNull()))
 
 
 def expand_sitemaps(
@@ -110,8 +159,8 @@ def expand_sitemaps(
         ).select("last.*", "doc_url")
     listed = docs.select("doc_url", "body").join(children, "doc_url")
     plain = (
-        index_docs
-        .where(F.coalesce(F.size(_parsed(F.col("body"))["sitemap"]), F.lit(0)) <= 0)
+        index_docs.withColumn("doc", _parsed(F.col("body")))
+        .where(F.coalesce(F.size("doc.children"), F.lit(0)) <= 0)
         .select("doc_url", "body", F.col("doc_url").alias("index_url"),
                 F.lit(0).cast("bigint").alias("sitemap_no")))
     return parse_entries(listed.unionByName(plain)).select(

@@ -71,10 +71,14 @@ class Scope:
     def keep(self, stored: DataFrame) -> DataFrame:
         """Leave a stored table to the scope around this one."""
         self._paths.remove(stored._folioloom_path)
-        _scopes[_scopes.index(self._paths) - 1].append(stored._folioloom_path)
+        _scopes[_place_of(self._paths) - 1].append(stored._folioloom_path)
         return stored
 
 
+def _place_of(paths: list[str]) -> int:
+    return next(i for i, known in enumerate(_scopes) if known is paths)
+
+
 @contextmanager
 def scope() -> Iterator[Scope]:
     """Deletes the tables stored inside when it ends, also by an error.
@@ -87,7 +91,7 @@ def scope() -> Iterator[Scope]:
     try:
         yield Scope(paths)
     finally:
-        _scopes.remove(paths)
+        del _scopes[_place_of(paths)]
         for path in paths:
             _delete(path)
 

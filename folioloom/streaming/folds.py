@@ -6,20 +6,32 @@ exactly once, a restart goes on from the checkpoint, and there is no state to
 keep between micro-batches.  Least and largest values of parts are those of
 the whole, so the folds over the stored parts are complete at any moment, and
 attempts count however late they come.
+
+Parts are put together as they come: ``every`` of them make one fold, as many
+folds a larger one, and so on.  After n micro-batches there are at most
+``every`` folders of each size, of which there are log n, and a row has been
+rewritten log n times.  A manifest names the folds that count and the last
+micro-batch they hold; parts up to that one are ignored, and parts and folds
+that another fold has replaced are deleted after it is named.  Broken off at
+any point, the next micro-batch goes on from the manifest.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from folioloom.operators.attempts import (
-    finished_outcomes, folded_state, outcome_changes, partial_outcomes)
+    finished_outcomes, folded_state, merged_partials, outcome_changes, partial_outcomes)
 from folioloom.operators.state import fold_changes
-from folioloom.schemas import MAX_FETCH_ATTEMPTS, MAX_RETRIES
+from folioloom.schemas import MAX_FETCH_ATTEMPTS, MAX_RETRIES, PARTIAL_SCHEMA
+from folioloom.sources.manifest import delete, names, read_manifest, write_manifest
 
 FILES_PER_TRIGGER = 1000
+EVERY = 20  # folders of one size
 
 
 def attempt_stream(
@@ -30,15 +42,68 @@ def attempt_stream(
             .option("maxFilesPerTrigger", files_per_trigger).parquet(path))
 
 
+def store_part(
+    rows: DataFrame, number: int, table: str, run: str = "crawl_id", max_attempts: int = MAX_FETCH_ATTEMPTS,
+    every: int = EVERY,
+) -> None:
+    """Store a micro-batch as its part, and put parts together when there are enough."""
+    spark = rows.sparkSession
+    partial_outcomes(rows, (run, "url"), max_attempts).write.mode("overwrite").parquet(f"{table}/part={number}")
+    if number % every == every - 1:
+        compact(spark, table, (run, "url"), number, every)
+
+
+def _parts_after(spark: SparkSession, table: str, upto: int) -> list[str]:
+    numbers = sorted(int(n[5:]) for n in names(spark, table) if n.startswith("part="))
+    return [f"part={n}" for n in numbers if n > upto]
+
+
+def compact(spark: SparkSession, table: str, keys: Sequence[str], upto: int, every: int = EVERY) -> None:
+    """Fold the parts up to a micro-batch, and folds of one size where there are ``every``."""
+    version, manifest = read_manifest(spark, table)
+    folds, done = manifest.get("folds", []), manifest.get("upto", -1)
+    parts = [p for p in _parts_after(spark, table, done) if int(p[5:]) <= upto]
+    if not parts:
+        return
+    merging, size = parts, 1
+    # Larger folds come first: those at the end have the sizes below.
+    while sum(f["size"] == size for f in folds) >= every - 1:
+        merging = [f["folder"] for f in folds if f["size"] == size] + merging
+        folds = [f for f in folds if f["size"] != size]
+        size += 1
+    folder = f"fold={version + 1}"
+    merged_partials(spark.read.parquet(*(f"{table}/{f}" for f in merging)), keys).write.mode("overwrite").parquet(
+        f"{table}/{folder}")
+    write_manifest(spark, table, version + 1, {"folds": [*folds, {"size": size, "folder": folder}], "upto": upto})
+    sweep(spark, table)
+
+
+def sweep(spark: SparkSession, table: str) -> None:
+    """Delete what the manifest does not name, parts still to be folded aside."""
+    _, manifest = read_manifest(spark, table)
+    kept = {f["folder"] for f in manifest.get("folds", [])} | set(_parts_after(spark, table, manifest.get("upto", -1)))
+    for name in names(spark, table):
+        if name.startswith(("part=", "fold=")) and name not in kept:
+            delete(spark, f"{table}/{name}")
+
+
+def stored_partials(spark: SparkSession, table: str) -> DataFrame:
+    """All partial outcomes stored so far, each attempt in exactly one; none before the first micro-batch."""
+    _, manifest = read_manifest(spark, table)
+    folders = [f["folder"] for f in manifest.get("folds", [])] + _parts_after(spark, table, manifest.get("upto", -1))
+    if not folders:
+        return spark.createDataFrame([], PARTIAL_SCHEMA)
+    return spark.read.parquet(*(f"{table}/{f}" for f in folders))
+
+
 def stream_outcomes(
     attempts: DataFrame, table: str, checkpoint: str, run: str = "crawl_id",
-    max_attempts: int = MAX_FETCH_ATTEMPTS,
+    max_attempts: int = MAX_FETCH_ATTEMPTS, every: int = EVERY,
 ) -> StreamingQuery:
     """Store the partial outcomes of what has arrived, then stop."""
 
     def store(rows: DataFrame, number: int) -> None:
-        partial_outcomes(rows, (run, "url"), max_attempts).write.mode("overwrite").parquet(
-            f"{table}/part={number}")
+        store_part(rows, number, table, run, max_attempts, every)
 
     return (attempts.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

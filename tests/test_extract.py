@@ -91,6 +91,41 @@ def test_title_attribute_and_src_fallback(spark):
     assert X.scan_pages(pages).select(X.first_value(X.IMAGES)).collect()[0][0] == "http://i/9"
 
 
+def test_text_is_what_lies_between_tags(spark):
+    def title(inner):
+        return extract(spark, f'<h1 class="title">{inner}</h1>').title
+
+    assert title('<a title="x > y">Hello there</a>') == "Hello there"
+    assert title("a<!-- <b>no</b> --> b<br/>c") == "a bc"
+    assert title("1 < 2<i data-x='</h1>'> and</i> 3") == "1 < 2 and 3"
+    a = extract(spark, '<h1>t</h1><i class="author">A<b title="> B">nn</b> O<span class="author">x</span></i>'
+                       '<span class="date" title=">">2024<i a=">">-01</i></span><p class="category">c<i x=">">d</i></p>')
+    assert (a.author, a.published_date, a.category) == ("Ann Ox", "2024-01", "cd")
+    assert extract(spark, '<p class="author">Ann <b').author == "Ann <b"
+    assert extract(spark, '<p class="author">Ann <!-- Bob').author == "Ann"
+
+
+def test_a_page_that_raises_costs_its_own_row(spark, monkeypatch):
+    from folioloom.functions import markup
+
+    find = markup.find_elements
+
+    def fails(page, rules):
+        if "BOOM" in page:
+            raise RuntimeError("bad page " + "x" * 9000)
+        return find(page, rules)
+
+    monkeypatch.setattr(markup, "find_elements", fails)
+    pages = spark.createDataFrame([(f"https://h/ar/a/{i}.html", f"<h1>t{i}</h1>" + ("BOOM" if i % 3 == 0 else ""))
+                                   for i in range(30)] + [("https://h/x", None)], "url string, html string")
+    articles = X.extract_articles(pages)
+    found = {r.url: r for r in articles.collect()}
+    assert len(found) == 31 and found["https://h/ar/a/1.html"].title == "t1"
+    bad = found["https://h/ar/a/3.html"]
+    assert bad.title is None and bad.content is None and bad.error.startswith("RuntimeError: bad page x") and len(bad.error) == 500
+    assert sorted(r.pages for r in X.failed_pages(articles).collect()) == [1, 10]
+
+
 def test_references(spark):
     assert extract(spark, "<h1>a&amp;b&ampc&#65;&#x42;&nope;&amp;lt;</h1>").title == "a&b&ampcAB&nope;&lt;"
 

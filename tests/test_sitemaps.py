@@ -30,6 +30,35 @@ def test_urlset(spark):
         ("a", 5, "https://s/v?1", "2023"), ("a", 6, "https://s/v/2", None)]
 
 
+def test_namespaces_count_and_prefixes_do_not(spark):
+    loc = "<{0}loc>https://s/news/{1}</{0}loc>"
+    other = 'xmlns:image="http://www.google.com/schemas/sitemap-image/1.1"'
+    d = docs(
+        spark,
+        ("prefixed", f'<sm:urlset xmlns:sm="{S.SITEMAP}"><sm:url>{loc.format("sm:", 1)}</sm:url></sm:urlset>'),
+        ("image", f"<urlset {NS} {other}><url>{loc.format('image:', 2)}{loc.format('', 3)}</url></urlset>"),
+        ("none", f"<urlset><url>{loc.format('', 4)}</url></urlset>"),
+        ("first", f"<urlset {NS}><url>{loc.format('', 5)}{loc.format('', 6)}</url></urlset>"),
+        ("inner", f"<urlset {NS}><url><loc>https://s/news/7<b>x</b>y</loc></url></urlset>"),
+        ("deeper", f"<urlset {NS}><x><url><y>{loc.format('', 8)}</y>{loc.format('', 9)}</url></x></urlset>"),
+        ("text", f"<urlset {NS}><url><loc><![CDATA[https://s/news/1-a&]]>b&amp;c<!-- no --></loc></url></urlset>"))
+    assert rows(S.urlset_entries(d).select("doc_url", "url"), "doc_url") == [
+        ("deeper", "https://s/news/9"), ("first", "https://s/news/5"), ("image", "https://s/news/3"),
+        ("inner", "https://s/news/7"), ("prefixed", "https://s/news/1"), ("text", "https://s/news/1-a&b&c")]
+
+
+def test_documents_that_are_not_one_well_formed_root(spark):
+    good = f"<urlset {NS}><url><loc>https://s/news/1</loc></url></urlset>"
+    bad = (good + "junk>", good + "<x/>", good + good, good + "x", "x" + good, good[:-1], good.replace("</loc>", ""),
+           good.replace("1<", "&nope;<"), good.replace("xmlns", "xmlns:a"), good.replace("<url>", "<b:url>"), "", " ")
+    assert S.urlset_entries(docs(spark, *[(str(i), b) for i, b in enumerate(bad)])).count() == 0
+    fine = (good + " \n", good + "<!-- end -->", '<?xml version="1.0"?>\n<!DOCTYPE urlset>' + good, "\ufeff" + good)
+    assert S.urlset_entries(docs(spark, *[(str(i), b) for i, b in enumerate(fine)])).count() == len(fine)
+    bomb = '<!DOCTYPE u [<!ENTITY a "' + "x" * 1000 + '">' + "".join(
+        f'<!ENTITY a{i} "{("&a" + (str(i - 1) if i else "") + ";") * 50}">' for i in range(6)) + "]>"
+    assert S.urlset_entries(docs(spark, ("bomb", bomb + good.replace("1<", "&a5;<")))).count() == 0
+
+
 def test_expand_skips_missing_and_reads_a_plain_index(spark):
     child = f"<urlset {NS}><url><loc>https://s/news/{{}}</loc></url></urlset>"
     index = (f"<sitemapindex {NS}><sitemap><loc>b</loc></sitemap>"
@@ -108,11 +137,11 @@ def test_documents_are_read_whole_or_not_at_all(spark):
     from folioloom.sources import sitemaps
     page = "<url><loc>https://s/news/{}</loc></url>"
     bodies = {
-        "good": f"<urlset>{page.format(1)}</urlset>\n",
-        "entity": f"<urlset>{page.format(1)}<url><loc>https://s/news/&undefined;</loc></url>{page.format(3)}</urlset>",
-        "tail": f"<urlset>{page.format(1)}</urlset>garbage<",
-        "words": f"<urlset>{page.format(1)}</urlset>garbage",
-        "cut": f"<urlset>{page.format(1)}<url><loc>https://s/ne",
+        "good": f"<urlset {NS}>{page.format(1)}</urlset>\n",
+        "entity": f"<urlset {NS}>{page.format(1)}<url><loc>https://s/news/&undefined;</loc></url>{page.format(3)}</urlset>",
+        "tail": f"<urlset {NS}>{page.format(1)}</urlset>garbage<",
+        "words": f"<urlset {NS}>{page.format(1)}</urlset>garbage",
+        "cut": f"<urlset {NS}>{page.format(1)}<url><loc>https://s/ne",
         "null": None}
     docs = spark.createDataFrame(list(bodies.items()), "doc_url string, body string")
     assert [r.doc_url for r in sitemaps.urlset_entries(docs).collect()] == ["good"]
@@ -120,7 +149,7 @@ def test_documents_are_read_whole_or_not_at_all(spark):
 
 def test_the_first_of_several_elements_counts(spark):
     from folioloom.sources import sitemaps
-    body = ("<urlset xmlns:image='i'><url><loc>https://s/news/1</loc><loc>https://s/news/2</loc><image:loc>https://s/news/3</image:loc>"
+    body = (f"<urlset {NS} xmlns:image='i'><url><loc>https://s/news/1</loc><loc>https://s/news/2</loc><image:loc>https://s/news/3</image:loc>"
             "<lastmod><b>2024</b></lastmod></url><url><lastmod>2024</lastmod><loc>https://s/news/4</loc></url></urlset>")
     docs = spark.createDataFrame([("d", body)], "doc_url string, body string")
     assert [(r.url, r.lastmod) for r in sitemaps.urlset_entries(docs).collect()] == [
