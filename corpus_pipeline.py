@@ -2,7 +2,7 @@
 
 Clean documents stay whole in every filtering stage. Null and empty texts are judged like any other
 text by each stage's operator; repeated rows are near-duplicates of each other, of which one stays.
-Extra columns go through to the last stage, which returns pieces of documents.
+Extra columns, whatever their names, go through to the last stage, which returns pieces of documents.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioloom.llm import decontaminate, packing, quality, simhash, toxicity
-from folioloom.llm.common import stored
+from folioloom.llm.common import drop, renamed, restored, scope, stored
 from folioloom.llm.queries import table, tokenizer_path
 
 #: SQL can't express the learned stages; tests/llm holds the stages against brute-force versions.
@@ -21,15 +21,17 @@ ORACLE_SQL = None
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score is at the threshold or above."""
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
-    return quality.score(docs, model, column="quality_score").where(
-        F.col("quality_score") >= quality.THRESHOLD).select(docs.columns)
+    rows, names = renamed(docs)
+    scored = quality.score(rows, model, text=names["text"], column="score")
+    return restored(scored.where(F.col("score") >= quality.THRESHOLD), docs)
 
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below the threshold."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model, column="toxicity_score").where(
-        F.col("toxicity_score") < toxicity.THRESHOLD).select(docs.columns)
+    rows, names = renamed(docs)
+    scored = toxicity.score(rows, model, text=names["text"], column="score")
+    return restored(scored.where(F.col("score") < toxicity.THRESHOLD), docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,8 +41,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not contaminated by the benchmark."""
-    found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
-    return found.where("NOT contaminated").select(docs.columns)
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,8 +60,11 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents, each reading what the one before wrote."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over the documents, each reading what the one before wrote, which is deleted then."""
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        with scope() as tables:
+            docs = tables.keep(stored(stage(spark, docs, sf_dir), name))
+        drop(*before)
+        before = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -93,6 +93,20 @@ def ship(spark: SparkSession, value):
     return get
 
 
+def renamed(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """docs with columns in_0, in_1, ..., whatever they were called, and the new name of each old one: columns
+    that an operator adds then never meet those of its input."""
+    names = {c: f"in_{i}" for i, c in enumerate(docs.columns)}
+    frame = docs.toDF(*(f"in_{i}" for i in range(len(docs.columns))))
+    # A name may be asked for in another case, as in Spark.
+    return frame, {c.lower(): n for c, n in reversed(names.items())} | names
+
+
+def restored(frame: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of docs, under their old names, of a frame made from renamed(docs)."""
+    return frame.select(*(F.col(f"in_{i}").alias(c) for i, c in enumerate(docs.columns)))
+
+
 def add_columns(docs: DataFrame, text: str, fields: list[T.StructField], compute) -> DataFrame:
     """docs with columns that compute makes of the texts: compute(texts) -> one array per field.
 
@@ -186,9 +200,12 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
             F.explode(F.array(
                 F.struct("node", F.least("grand", "seen").alias("parent")),
                 F.struct(F.col("parent").alias("node"), F.least("grand", "seen").alias("parent")))).alias("x"))
-        labels = stored(heard.groupBy(F.col("x.node").alias("node")).agg(F.min("x.parent").alias("parent")), "labels")
+        after = stored(heard.groupBy(F.col("x.node").alias("node")).agg(F.min("x.parent").alias("parent")), "labels")
+        drop(jumped, labels)
+        labels = after
         now = labels.agg(F.count("*"), F.sum(F.xxhash64("node", "parent").cast("decimal(38,0)"))).first()
         if now == mark:
+            drop(links)
             return labels.withColumnRenamed("parent", "component")
         mark = now
 

@@ -33,22 +33,24 @@ import sys
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folioloom.llm.common import LOWER, drop, release, split_of, split_words, stored, tidy
+from folioloom.llm.common import LOWER, drop, release, split_of, stored, tidy
 
 ORDER = 3
 ADD = 0.1  # smoothing of the base score
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 SHARD_GRAMS = 2 << 20
-PART_BYTES = 4 << 20
+PART_BYTES = 2 << 20
 KEY_BITS = 56
-END = ""  # no word of a text is empty
-SEED = 42
+BASE = 0x9E3779B97F4A7C15  # of the polynomial that hashes a word's bytes: odd, so it has an inverse
+INVERSE = pow(BASE, -1, 1 << 64)
+END = 0  # the hash of the end token; no word of a text is empty
+#: White space: a blank, and the five characters from the tabulator on.
+SPACE = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
 
 
 def parts(texts: pa.Array):
@@ -89,41 +91,100 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def grouped(keys: np.ndarray, bits: int = 64) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different numbers below 2 ** bits in order, a place of each, and the number of each place's own.
+
+    Sorting plain numbers is much faster than sorting places by them: upper bits of a number and its place share
+    one word. Where the bits left are not enough to tell two numbers apart, their order is mended.
+    """
+    n = len(keys)
+    mask = np.uint64((1 << max(1, (n - 1).bit_length())) - 1) if n else np.uint64(1)
+    both = np.sort(((keys << np.uint64(64 - bits)) & ~mask) | np.arange(n, dtype=np.uint64))
+    order = (both & mask).astype(np.int64)
+    values = keys[order]
+    if (values[1:] < values[:-1]).any():
+        again = np.argsort(values, kind="stable")
+        order, values = order[again], values[again]
+    new = np.ones(n, dtype=bool)
+    new[1:] = values[1:] != values[:-1]
+    number = np.empty(n, dtype=np.int64)
+    number[order] = np.cumsum(new) - 1
+    return values[new], order[new], number
+
+
+_powers: list[np.ndarray] = []
+
+
+def powers(n: int) -> list[np.ndarray]:
+    """BASE ** i and BASE ** -i for i below n, modulo 2 ** 64."""
+    if not _powers or len(_powers[0]) < n:
+        _powers[:] = [np.multiply.accumulate(np.concatenate((
+            np.ones(1, np.uint64), np.full(n - 1, base, np.uint64)))) for base in (BASE, INVERSE)]
+    return _powers
+
+
+def word_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A number for each word, the bytes data[begin:end]: a polynomial of its bytes, scattered."""
+    out, at = np.empty(len(begin), dtype=np.uint64), 0
+    while at < len(begin):
+        stop = max(at + 1, int(np.searchsorted(end, begin[at] + PART_BYTES, "right")))
+        lo, hi = int(begin[at]), int(end[stop - 1])
+        up, down = powers(max(PART_BYTES, hi - lo) + 1)
+        sums = np.zeros(hi - lo + 1, dtype=np.uint64)
+        np.cumsum((data[lo:hi].astype(np.uint64) + np.uint64(1)) * up[:hi - lo], out=sums[1:])
+        a, b = begin[at:stop] - lo, end[at:stop] - lo
+        out[at:stop] = mixed((sums[b] - sums[a]) * down[a] + (b - a).astype(np.uint64))
+        at = stop
+    return out
+
+
+def hashed_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the white-space separated words of all texts, with A-Z lowered, and how many each text has."""
+    texts = pc.fill_null(texts.cast(pa.string()), "")
+    n = len(texts)
+    at = np.frombuffer(texts.buffers()[1], np.int32, n + 1, 4 * texts.offset).astype(np.int64)
+    raw = texts.buffers()[2]
+    data = np.frombuffer(raw, np.uint8)[at[0]:at[-1]] if raw is not None else np.zeros(0, np.uint8)
+    at = at - at[0]
+    data = np.frombuffer(LOWER, np.uint8)[data]
+    letter = np.ones(len(data) + 2, dtype=bool)
+    letter[0] = letter[-1] = False
+    letter[1:-1] = ~SPACE[data]
+    edge = np.zeros(len(data) + 1, dtype=bool)
+    edge[at] = True  # words end with their text
+    begin = np.flatnonzero(letter[1:-1] & (~letter[:-2] | edge[:-1]))
+    end = np.flatnonzero(letter[1:-1] & (~letter[2:] | edge[1:])) + 1
+    return word_hashes(data, begin, end), np.diff(np.searchsorted(begin, at))
+
+
 class Block:
     """Texts of one block as numbers of its words."""
 
     def __init__(self):
-        self.place: dict[str, int] = {}
-        self.lines, self.ids, self.training, self.bytes = [], [], [], 0
+        self.hashes, self.sizes, self.ids, self.training, self.bytes = [], [], [], [], 0
 
     def add(self, ids: pa.Array, training: np.ndarray, texts: pa.Array) -> None:
-        codes, starts, words = split_words(texts, LOWER)
-        place = self.place
-        number = np.fromiter((place.setdefault(w, len(place)) for w in words.to_pylist()), np.int64, len(words))
-        line = np.insert(number[codes], starts[1:], place.setdefault(END, len(place)))
-        bounds = starts + np.arange(len(starts))
-        self.lines += [line[a:b] for a, b in zip(bounds, bounds[1:])]
+        hashes, sizes = hashed_words(texts)
+        self.hashes.append(np.insert(hashes, np.cumsum(sizes), np.uint64(END)))
+        self.sizes.append(sizes + 1)
         self.ids.append(ids)
         self.training.append(training)
         self.bytes += int(pc.sum(pc.binary_length(texts)).as_py() or 0)
 
     def row(self, block: int, kind: pa.DataType) -> pa.RecordBatch:
         """The block as one row; words are numbered by their frequency, so that most numbers are small."""
-        everything = np.concatenate(self.lines)
-        order = np.argsort(-np.bincount(everything, minlength=len(self.place)), kind="stable")
+        words, _, number = grouped(np.concatenate(self.hashes))
+        order = np.argsort(-np.bincount(number, minlength=len(words)), kind="stable")
         rank = np.empty_like(order)
         rank[order] = np.arange(len(order))
-        words = np.array(list(self.place), dtype=object)[order].tolist()
-        ids = pa.concat_arrays(self.ids)
-        n = len(ids)
 
         def one(values: pa.Array) -> pa.Array:
             return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
-        sizes = np.fromiter(map(len, self.lines), np.int64, n)
         return pa.RecordBatch.from_arrays(
-            [pa.array([block]), one(ids.cast(kind)), one(pa.array(np.concatenate(self.training))), one(pa.array(sizes)),
-             pa.array([pack(rank[everything])]), one(pa.array(words, pa.string())), pa.array([len(everything)])],
+            [pa.array([block]), one(pa.concat_arrays(self.ids).cast(kind)), one(pa.array(np.concatenate(self.training))),
+             one(pa.array(np.concatenate(self.sizes))), pa.array([pack(rank[number])]),
+             pa.array([words[order].astype("<u8").tobytes()]), pa.array([len(number)])],
             names=["block", "ids", "training", "sizes", "codes", "words", "tokens"])
 
 
@@ -142,20 +203,26 @@ def blocks_of(rows: DataFrame, block_bytes: int) -> DataFrame:
                 if block.bytes >= block_bytes:
                     yield block.row(number, kind)
                     block, number = Block(), number + 1
-        if block.lines:
+        if block.ids:
             yield block.row(number, kind)
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     return stored(rows.mapInArrow(
         run, f"block long, ids array<{kind}>, training array<boolean>, sizes array<long>, codes binary, "
-             "words array<string>, tokens long"), "blocks", "zstd")
+             "words binary, tokens long"), "blocks", "zstd")
+
+
+def rows_of(batch: pa.RecordBatch):
+    """Blocks one after the other: a batch may hold several."""
+    for i in range(batch.num_rows):
+        yield batch.slice(i, 1).to_pylist()[0]
 
 
 class Level:
     """The different n-grams of one length in a block, sorted by their hash."""
 
     def __init__(self, keys: np.ndarray, at: np.ndarray, tokens: int):
-        self.keys, first, same = np.unique(keys, return_index=True, return_inverse=True)
+        self.keys, first, same = grouped(keys, KEY_BITS)
         #: The number of the n-gram that ends at each token, -1 where the text is too short.
         self.number = np.full(tokens, -1, dtype=np.int32)
         self.number[at] = same
@@ -173,13 +240,13 @@ class Grams:
         self.training = np.repeat(training, self.sizes)
         self.first = np.cumsum(self.sizes) - self.sizes
         place = np.arange(len(self.line)) - np.repeat(self.first, self.sizes)
-        word = np.array([xxhash.xxh64_intdigest(w, SEED) for w in row["words"]], dtype=np.uint64)[self.line]
+        word = np.frombuffer(row["words"], "<u8").astype(np.uint64)[self.line]
         narrow, chain = np.uint64(64 - KEY_BITS), mixed(word)
         self.levels = [Level(chain >> narrow, np.arange(len(word)), len(word))]
         for k in range(2, order + 1):
             at = np.flatnonzero(place >= k - 1)
             longer = np.zeros_like(chain)
-            longer[at] = mixed(chain[at - 1] * np.uint64(0x9E3779B97F4A7C15) + word[at])
+            longer[at] = mixed(chain[at - 1] * np.uint64(BASE) + word[at])
             chain = longer
             self.levels.append(Level(chain[at] >> narrow, at, len(word)))
 
@@ -224,7 +291,7 @@ class Shard:
         self.bounds = np.cumsum([0, *self.sizes])
         self.table = mine
         keys = [np.cumsum(unpack(x, n)) for x, n in zip(mine.column("keys").to_pylist(), self.sizes)]
-        found, self.same = np.unique(np.concatenate(keys), return_inverse=True)
+        found, _, self.same = grouped(np.concatenate(keys), KEY_BITS)
         self.n = len(found)
 
     def numbers(self, column: str) -> np.ndarray:
@@ -252,7 +319,7 @@ def corpus_counts(blocks: DataFrame, order: int, shards: int) -> DataFrame:
 
     def send(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in rows_of(batch):
                 grams = Grams(row, order)
                 for k, level in enumerate(grams.levels, 1):
                     yield messages(row["block"], k, level.keys, shards, {
@@ -311,7 +378,7 @@ def context_sums(walks: DataFrame, order: int, shards: int) -> DataFrame:
 
     def send(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in rows_of(batch):
                 grams = Grams(row, order)
                 counts, owned, walked = zip(*(answers(row["counted"], k, {"counts": np.int64, "owned": bool, "walked": bool})
                                               for k in range(1, order + 1)))
@@ -449,7 +516,7 @@ def score(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", traini
 
     def run(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in rows_of(batch):
                 grams = Grams(row, order)
                 automaton = Automaton(grams, row, discounts, tokens, floor)
                 c = automaton.counts[0][grams.levels[0].number]

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folioloom.llm.common import release, ship, split_words, stored
+from folioloom.llm.common import release, renamed, ship, split_words, stored
 
 CAPACITY = 2048
 END = 0
@@ -339,39 +339,42 @@ def pack(pieces: DataFrame, *, capacity: int = CAPACITY, length: str = "length")
     """The rows of pieces with `sequence_id` and `offset`: their place in sequences of at most
     `capacity` tokens, gapless from 0. Lengths are from 1 to capacity."""
     spark = pieces.sparkSession
-    rows = stored(pieces.withColumn("pack_row", F.monotonically_increasing_id())
-                  .withColumn("pack_salt", (F.col("pack_row") % SALTS).cast("int")), "pieces")
-    counts = stored(rows.groupBy(F.col(length).alias("pack_length"), "pack_salt").agg(F.count("*").alias("n")), "counts")
+    frame, names = renamed(pieces)
+    size = names[length]
+    rows = stored(frame.withColumn("row", F.monotonically_increasing_id())
+                  .withColumn("salt", (F.col("row") % SALTS).cast("int")), "pieces")
+    counts = stored(rows.groupBy(size, "salt").agg(F.count("*").alias("n")), "counts")
     # At most one row for each length up to the capacity.
-    histogram = sorted((r[0], r[1]) for r in counts.groupBy("pack_length").agg(F.sum("n")).collect())
+    histogram = sorted((r[0], r[1]) for r in counts.groupBy(size).agg(F.sum("n")).collect())
     if any(not x or x > capacity or x < 1 for x, _ in histogram):
         raise ValueError(f"lengths must be from 1 to {capacity}")
     plan = configurations(np.array([x for x, _ in histogram], dtype=np.int64),
                           np.array([n for _, n in histogram], dtype=np.int64), capacity)
     sent = ship(spark, slots(plan))
     before = counts.withColumn("before", F.coalesce(F.sum("n").over(
-        Window.partitionBy("pack_length").orderBy("pack_salt").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ).select(F.col("pack_length").alias(length), "pack_salt", "before")
-    numbered = rows.join(before, [length, "pack_salt"]).withColumn("pack_number", F.col("before") + F.row_number().over(
-        Window.partitionBy(length, "pack_salt").orderBy("pack_row")) - 1)
-    names = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
+        Window.partitionBy(size).orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ).select(size, "salt", "before")
+    numbered = rows.join(before, [size, "salt"]).withColumn("number", F.col("before") + F.row_number().over(
+        Window.partitionBy(size, "salt").orderBy("row")) - 1)
+    kept = [(f"in_{i}", c) for i, c in enumerate(pieces.columns) if c.lower() not in ("sequence_id", "offset")]
 
     def place(batches):
         table = sent()
         keys = table["length"] * (1 << 48) + table["number"]
         for batch in batches:
-            number = batch.column("pack_number").to_numpy()
-            size = batch.column(length).to_numpy().astype(np.int64)
-            at = np.searchsorted(keys, size * (1 << 48) + number, "right") - 1
+            number = batch.column("number").to_numpy()
+            sizes = batch.column(size).to_numpy().astype(np.int64)
+            at = np.searchsorted(keys, sizes * (1 << 48) + number, "right") - 1
             nth = number - table["number"][at]
             each = table["each"][at]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in names), pa.array(table["sequence"][at] + nth // each),
-                 pa.array(table["offset"][at] + nth % each * size)], names=[*names, "sequence_id", "offset"])
+                [*(batch.column(i) for i, _ in kept), pa.array(table["sequence"][at] + nth // each),
+                 pa.array(table["offset"][at] + nth % each * sizes)], names=[*(i for i, _ in kept), "sequence_id", "offset"])
 
-    fields = [f for f in pieces.schema if f.name in names]
-    return numbered.select(*names, "pack_number").mapInArrow(place, T.StructType(
+    fields = [frame.schema[i] for i, _ in kept]
+    placed = numbered.select(*dict.fromkeys([*(i for i, _ in kept), size, "number"])).mapInArrow(place, T.StructType(
         [*fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())]))
+    return placed.select(*(F.col(i).alias(c) for i, c in kept), "sequence_id", "offset")
 
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

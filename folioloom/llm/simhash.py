@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folioloom.llm.common import connected_components, space_words, stored
+from folioloom.llm.common import connected_components, renamed, restored, space_words, stored
 
 SHINGLE = 3
 DISTANCE = 2
@@ -161,13 +161,13 @@ def keep_one(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shi
              distance: int = DISTANCE) -> DataFrame:
     """The rows of docs that stay: of each group the row with the smallest id, and of rows with that
     same id one. Groups whose ids are all null keep one row."""
-    # Rows get numbers in the id's order: written, so that they stay the same.
-    numbered = stored(docs.withColumn("simhash_row", F.monotonically_increasing_id()), "numbered")
-    named = simhash_groups(numbered.withColumn("simhash_key", F.struct(
-        F.col(f"`{doc_id}`").isNull().alias("n"), F.col(f"`{doc_id}`").alias("i"), F.col("simhash_row").alias("r"))),
-        doc_id="simhash_key", text=text, shingle=shingle, distance=distance)
-    first = named.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id.r").alias("simhash_row"))
-    return numbered.join(first, "simhash_row", "left_semi").select(docs.columns)
+    rows, names = renamed(docs)
+    # Rows get numbers: written, so that they stay the same.
+    numbered = stored(rows.withColumn("number", F.monotonically_increasing_id()), "numbered")
+    key = F.struct(F.col(names[doc_id]).isNull().alias("n"), F.col(names[doc_id]).alias("i"), F.col("number").alias("r"))
+    named = simhash_groups(numbered.withColumn("key", key), doc_id="key", text=names[text], shingle=shingle, distance=distance)
+    first = named.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id.r").alias("number"))
+    return restored(numbered.join(first, "number", "left_semi"), docs)
 
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

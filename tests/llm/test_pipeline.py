@@ -73,6 +73,34 @@ def test_pipeline_takes_nulls_empty_and_repeated_rows(spark):
     assert empty.count() == 0
 
 
+CLASHING = ["places", "Items", "n_words", "passages", "quality_score", "toxicity_score", "simhash_row", "simhash_key",
+            "pack_row", "score", "number", "key", "in_0", "Contaminated", "added_text"]
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    docs = table(spark, SF, "documents").limit(60)
+    docs = docs.select(*(F.concat(F.lit(c + " "), "doc_id").alias(c) for c in CLASHING), *docs.columns)
+    frame = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        frame = stored(stage(spark, frame, SF), name)
+        assert frame.columns == docs.columns and frame.dtypes == docs.dtypes
+        rows = frame.collect()
+        assert rows and all(r[c] == f"{c} {r.doc_id}" for r in rows for c in CLASHING)
+    assert corpus_pipeline.STAGES[-1][1](spark, frame, SF).count() > 0
+
+
+def test_pipeline_leaves_nothing_behind(spark, tmp_path):
+    import os
+
+    from folioloom.sources import tables
+
+    shared = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(shared))
+    with tables.scope():
+        corpus_pipeline.run(spark, SF).write.parquet(f"{tmp_path}/out")
+    assert set(os.listdir(shared)) == before and spark.read.parquet(f"{tmp_path}/out").count() > 0
+
+
 def test_queries_equal_their_sql(spark):
     from check_oracle import compare, duck
     from folioloom.llm.queries import ORACLES, QUERIES

@@ -52,20 +52,50 @@ def windows_brute(rows, items, size=13):
     return out
 
 
-@pytest.mark.parametrize("block_bytes", [1 << 20, 60])
-def test_decontamination_equals_brute_force(spark, block_bytes):
+@pytest.mark.parametrize("segment, salts", [(4096, 16), (2, 1)])
+def test_decontamination_equals_brute_force(spark, monkeypatch, segment, salts):
+    monkeypatch.setattr(decontaminate, "SEGMENT", segment)
+    monkeypatch.setattr(decontaminate, "SALTS", salts)
     base = texts(12, 1)
     items = [(1, base[0]), (2, "w1, W2"), (3, None), (4, ""), (5, base[1]), (5, base[1]), (None, "w3 w3 w3"), (6, "ÉW1 É")]
     rows = list(enumerate(base)) + [(90, None), (91, ""), (92, " .!"), (0, base[0]), (None, base[0]),
                                     (93, "x " * 3000 + base[0] + " y" * 5000), (94, "w2 " + base[1].upper())]
     found = decontaminate.decontaminate(
-        docs_of(spark, rows), spark.createDataFrame(items, "item_id long, text string"), block_bytes=block_bytes)
+        docs_of(spark, rows), spark.createDataFrame(items, "item_id long, text string"))
     got = [(r.doc_id, r.n_words, r.n_hit, r["items"], r.contaminated) for r in found.collect()]
     key = lambda r: (r[0] is None, str(r))
     assert sorted(got, key=key) == sorted(windows_brute(rows, items), key=key)
     assert found.columns.count("n_words") == 1
 
 
+def test_decontamination_of_repetitive_texts_equals_brute_force(spark):
+    """Few words, so that windows overlap, repeat and share their rarest shingles."""
+    pick = random.Random(31)
+    words = ["a", "b", "c"]
+    items = [(i, " ".join(pick.choice(words) for _ in range(pick.choice([2, 5, 7, 13, 14, 20, 45])))) for i in range(25)]
+    rows = []
+    for i in range(60):
+        text = [pick.choice(words) for _ in range(pick.randint(0, 60))]
+        for _ in range(pick.randint(0, 3)):
+            item = pick.choice(items)[1].split()
+            lo = pick.randrange(len(item))
+            at = pick.randint(0, len(text))
+            text[at:at] = item[lo:lo + pick.randint(1, 30)]
+        rows.append((i, " ".join(text)))
+    found = decontaminate.decontaminate(docs_of(spark, rows), spark.createDataFrame(items, "item_id long, text string"))
+    got = {r.doc_id: (r.n_words, r.n_hit, r["items"], r.contaminated) for r in found.collect()}
+    assert got == {r[0]: r[1:] for r in windows_brute(rows, items)}
+    places = {r.doc_id: [tuple(p) for p in r.places] for r in found.collect()}
+    for doc, text in rows[:20]:
+        line, want = WORD.findall(low(text)), set()
+        for _, item in items:
+            of = WORD.findall(low(item))
+            n = min(13, len(of))
+            for k in range(len(of) - n + 1):
+                want |= {(j, j + n) for j in range(len(line) - n + 1) if line[j:j + n] == of[k:k + n]}
+        assert places[doc] == sorted(want)
+
+
 def test_decontamination_of_empty_tables(spark):
     docs, items = docs_of(spark, [(1, "a b")]), spark.createDataFrame([], "item_id long, text string")
     assert [(r.n_words, r.n_hit, r.contaminated) for r in decontaminate.decontaminate(docs, items).collect()] == [(2, 0, False)]
