@@ -87,7 +87,7 @@ def index_of(rules: DataFrame, urls: DataFrame) -> DataFrame:
     """rules with `token`: the literal that the fewest urls have; of equal ones the first by name."""
     literals = rules.select("rule", "whole", F.explode("literals").alias("token"))
     known = literals.select("token").distinct()
-    rarity = (urls.select(F.explode("tokens").alias("token")).join(F.broadcast(known), "token", "left_semi")
+    rarity = (urls.select(F.explode("tokens").alias("token")).join(known, "token", "left_semi")
               .groupBy("token").agg(F.count("*").alias("n")))
     rarest = (literals.join(rarity, "token", "left").groupBy("rule", "whole")
               .agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token")).alias("least")))

@@ -330,7 +330,7 @@ def test_tool_calls_are_linked_ordered_and_checked(spark):
         "a": ("linked", 0), "b": ("unanswered", 1), "c": ("unanswered", 2), "d": ("cyclic", None), "e": ("cyclic", None),
         "f": ("cyclic", None), "g": ("orphan", None), "h": ("unanswered", 0), "i": ("unanswered", 0),
         "j": ("unanswered", 0), "k": ("unanswered", 0)}
-    assert by["a"].json == '{"arguments":{"k":2,"q":"é"},"depends_on":[],"id":"a","name":"find","result":"first"}'
+    assert by["a"].json == '{"arguments":{"k":2,"q":"é"},"depends_on":[],"id":"a","name":"find","result":["first","second"]}'
     assert (by["a"].n_results, by["i"].n_calls, json.loads(by["i"].json)["arguments"]["q"]) == (2, 2, "early")
     assert by["a"].valid and by["b"].errors == ["$.k: more than 9", "$.q: shorter than 1"]
     assert by["c"].errors == ["$.extra: unknown", "$.in: not one of the allowed values"]
@@ -340,6 +340,73 @@ def test_tool_calls_are_linked_ordered_and_checked(spark):
     assert tool_calls.link(spark.createDataFrame([], MESSAGES), {}).count() == 0
 
 
+def test_identifiers_belong_to_their_conversation(spark):
+    rows = [r for conv in (1, 2, None) for r in (
+        (conv, 1, "call", "call_1", "find", '{"q":"x"}', ["call_0", "call_2"], None, "x", 1),
+        (conv, 3, "call", "call_2", "find", '{"q":"y"}', None, None, "x", 1),
+        (conv, 4, "result", "call_1", None, None, None, f"b {conv}", "x", 1), (conv, 2, "result", "call_1", None, None, None, f"a {conv}", "x", 1))]
+    rows += [(1, 0, "call", "call_0", "find", '{"q":"z"}', None, None, "x", 1)]
+    got = {(r.conv_id, r.call_id): r for r in tool_calls.link(spark.createDataFrame(rows, MESSAGES), {"find": SCHEMA}).collect()}
+    assert len(got) == 7
+    for conv in (1, 2, None):
+        r = got[conv, "call_1"]
+        assert (r.level, r.n_calls, r.n_results, r.status) == (1, 1, 2, "linked")
+        assert json.loads(r.json)["result"] == [f"a {conv}", f"b {conv}"]
+
+
+def link_brute(messages):
+    """Status, level and results of every identifier of every conversation."""
+    late = 1 << 63
+    out, convs = {}, {}
+    for conv, turn, kind, call_id, *_, needs, content, _, _ in messages:
+        if call_id is not None and kind in ("call", "result"):
+            of = convs.setdefault(conv, {}).setdefault(call_id, {"call": [], "result": []})
+            of[kind].append((late if turn is None else turn, needs if kind == "call" else content))
+    for conv, found in convs.items():
+        needs = {c: {n for n in (min(x["call"], key=lambda m: m[0])[1] or []) if n in found and found[n]["call"]}
+                 for c, x in found.items() if x["call"]}
+        level = {}
+        while True:
+            ready = {c: 1 + max((level[n] for n in ns), default=-1) for c, ns in needs.items() if c not in level and ns <= level.keys()}
+            if not ready:
+                break
+            level |= ready
+        for c, x in found.items():
+            status = ("orphan" if not x["call"] else "cyclic" if c not in level else "linked" if x["result"] else "unanswered")
+            out[conv, c] = (status, level.get(c), len(x["call"]), len(x["result"]), sorted(t for _, t in x["result"]))
+    return out
+
+
+@pytest.mark.parametrize("block", [50_000, 3])
+def test_linking_equals_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(tool_calls, "BLOCK", block)
+    monkeypatch.setattr(tool_calls, "TURNS", 4 * block)
+    pick, rows = random.Random(17), []
+    for conv in (1, 2, 3, None):
+        for turn in range(25):
+            needs = [f"c{pick.randrange(30)}" for _ in range(pick.randint(0, 2))]
+            if pick.random() < 0.7:
+                needs = [n for n in needs if int(n[1:]) < turn]
+            rows.append((conv, turn, "call", f"c{turn}", "find", '{"q":"x"}', needs, None, "x", 1))
+            if pick.random() < 0.7:
+                rows += [(conv, turn, "result", f"c{pick.randrange(30)}", None, None, None, f"r{turn}", "x", 1)] * pick.randint(1, 2)
+    rows += [(3, 99, "call", "c4", "find", "{}", ["c3"], None, "x", 1)]
+    got = {}
+    for r in tool_calls.link(spark.createDataFrame(rows, MESSAGES), {"find": SCHEMA}).collect():
+        said = json.loads(r.json)["result"]
+        said = said if isinstance(said, list) else [said] if r.n_results else []
+        got[r.conv_id, r.call_id] = (r.status, r.level, r.n_calls, r.n_results, sorted(said))
+    assert got == link_brute(rows)
+
+
+def test_a_ladder_of_ten_thousand_calls(spark):
+    calls = spark.range(10_000).select(
+        F.col("id").cast("string").alias("call_id"), F.filter(F.array(
+            F.when(F.col("id") > 0, F.col("id") - 1), F.when(F.col("id") > 1, F.col("id") - 2)),
+            lambda x: x.isNotNull()).cast("array<string>").alias("depends_on"))
+    assert {int(r.call_id): r.level for r in tool_calls.levels(calls).collect()} == {i: i for i in range(10_000)}
+
+
 def test_levels_of_chains_stars_and_graphs(spark):
     pick = random.Random(11)
     needs = {str(i): [str(i - 1)] if i else [] for i in range(70)}

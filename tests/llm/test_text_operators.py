@@ -208,6 +208,117 @@ def test_licenses_tell_templates_with_a_shared_beginning_apart(spark):
     assert got == {1: "cc-by", 2: "cc-by-sa", 3: "cc-by-nc", 4: "cc-by,cc-by-sa", 5: ""}
 
 
+MIT = ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+       "documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the "
+       "rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit "
+       "persons to whom the Software is furnished to do so")
+BSD = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+       "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of "
+       "conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this "
+       "list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. ")
+BSD_END = "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES"
+ISC = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"
+ISC_END = "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE"
+
+
+def gnu(what, name, version):
+    return (f"This {what} is free software; you can redistribute it and/or modify it under the terms of the GNU {name}General Public "
+            f"License as published by the Free Software Foundation{version}")
+
+
+def creative(kind):
+    return f"This work is licensed under a Creative Commons Attribution{kind} 4.0 International License."
+
+
+LICENSES = {
+    MIT + ", subject to the following conditions: The above copyright notice and this permission notice shall be included in all "
+          "copies or substantial portions of the Software.": "mit",
+    MIT + ". THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED": "mit-0",
+    BSD + BSD_END: "bsd-2",
+    BSD + "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+          "derived from this software without specific prior written permission. " + BSD_END: "bsd-3",
+    ISC + ", provided that the above copyright notice and this permission notice appear in all copies. " + ISC_END: "isc",
+    ISC + ". " + ISC_END: "0bsd",
+    gnu("program", "", "."): "gpl",
+    gnu("program", "", "; either version 2 of the License, or (at your option) any later version."): "gpl-2",
+    gnu("program", "", ", either version 3 of the License, or (at your option) any later version."): "gpl-3",
+    gnu("library", "Lesser ", "; either version 2.1 of the License, or (at your option) any later version."): "lgpl",
+    gnu("program", "Lesser ", ", either version 3 of the License, or any later version."): "lgpl",
+    gnu("program", "Affero ", ", either version 3 of the License, or (at your option) any later version."): "agpl",
+    gnu("program", "Other ", ", either version 3 of the License."): "",
+    creative(""): "cc-by", creative("-NoDerivatives"): "cc-by-nd", creative("-ShareAlike"): "cc-by-sa", creative("-NonCommercial"): "cc-by-nc",
+    creative("-NonCommercial-ShareAlike"): "cc-by-nc-sa", creative("-NonCommercial-NoDerivatives"): "cc-by-nc-nd",
+    creative("-ShareAlike") + " Pictures: " + creative("-NoDerivatives"): "cc-by-nd,cc-by-sa",
+    "The person has waived all copyright and related or neighboring rights to this work": "cc0",
+    "made available under the terms of the Eclipse Public License 2.0": "epl",
+}
+
+
+def test_licenses_of_a_family_have_their_exact_labels(spark):
+    cases = list(LICENSES.items()) + [("\n * ".join(t.split()), label) for t, label in LICENSES.items()]
+    cases += [("word " * 40 + t.upper() + " word" * 40, label) for t, label in LICENSES.items()]
+    got = {r.doc_id: r.labels for r in licenses.scan(docs_of(spark, [(i, t) for i, (t, _) in enumerate(cases)])).collect()}
+    assert {cases[i][0]: label for i, label in got.items()} == dict(cases)
+
+
+def spans_brute(text):
+    """Passages found, by trying every way to read the text: the votes of each template on its diagonals."""
+    words, sure = WORD.findall(low(text)), []
+    templates = [(t, name, (), False, True) for t, name in licenses.PHRASES] + [
+        (*licenses.passage(p), False) for p in licenses.PASSAGES]
+    runs_of = [licenses.runs_in(t, 3) for t, *_ in templates]
+    place = [tuple(words[i:i + 3]) for i in range(len(words) - 2)]
+    for (t, label, must, general, phrase), runs in zip(templates, runs_of):
+        votes = [(p, a, p - a) for p, run in enumerate(place) for a, r in enumerate(runs) if r == run]
+        if phrase:
+            for d in {v[2] for v in votes}:
+                if sum(v[2] == d for v in votes) == len(runs):
+                    sure.append((t, label, general, True, d, d + len(runs) + 1))
+            continue
+        kept = {}
+        for p, a, d in votes:
+            company = sum(abs(v[2] - d) <= licenses.DRIFT for v in votes)
+            if p not in kept or (-company, a) < kept[p][0]:
+                kept[p] = ((-company, a), a, d)
+        spans, last = [], None
+        for p in sorted(kept):
+            _, a, d = kept[p]
+            if last is None or p - last[0] > licenses.GAP or abs(d - last[1]) > licenses.DRIFT:
+                spans.append([])
+            spans[-1].append((p, a))
+            last = (p, d)
+        others = {r for (x, name, *_), rs in zip(templates, runs_of) if name != label for r in rs}
+        for span in spans:
+            hit = {a for _, a in span}
+            musts = {i for i, r in enumerate(runs) if any(r in licenses.runs_in(m, 3) for m in must)}
+            own = {i for i, r in enumerate(runs) if r not in others}
+            told = musts <= hit if musts else bool(own & hit) if own else len(hit) == len(runs)
+            if len(hit) / len(runs) >= licenses.VERIFIED and told:
+                sure.append((t, label, general, False, span[0][0], span[-1][0] + 2))
+    plain = lambda t: " " + " ".join(licenses.template_words(t)) + " "
+    free = [s for s in sure if s[3] or not any(
+        not h[3] and h[1] != s[1] and len(plain(s[0])) < len(plain(h[0])) and plain(s[0]) in plain(h[0])
+        and s[4] <= h[5] and s[5] >= h[4] for h in sure)]
+    said = {}
+    for s in free:
+        if not s[2] and not s[3]:
+            said.setdefault(licenses.family_of(s[1]), set()).add(s[1])
+    labels = {s[1] for s in free if not s[2] or s[1] in said.get(licenses.family_of(s[1]), {s[1]})}
+    return ",".join(sorted(labels))
+
+
+def test_license_labels_equal_brute_force(spark):
+    pick, rows, known = random.Random(23), [], list(LICENSES)
+    for i in range(150):
+        words = " word ".join(pick.sample(known, pick.randint(1, 2))).split()
+        for _ in range(pick.randint(0, 12)):
+            at = pick.randrange(len(words))
+            words[at:at + pick.randint(0, 2)] = [pick.choice(words)] * pick.randint(0, 2)
+        rows.append((i, " ".join(words)))
+    got = {r.doc_id: r.labels for r in licenses.scan(docs_of(spark, rows)).collect()}
+    assert got == {i: spans_brute(t) for i, t in rows}
+
+
 def test_language_model_counts_and_base_score(spark):
     base = texts(40, 5, 80)
     rows = list(enumerate(base)) + [(50, None), (51, ""), (0, base[0]), (None, "w1 only"), (52, "w1 " * 9000), (53, "İW  w2 w2")]
