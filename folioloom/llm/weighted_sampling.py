@@ -71,8 +71,9 @@ def weighted_terms(text: Column, shingle: int = SHINGLE) -> Column:
 
 
 def sample(s: int) -> Column:
-    """The sample `offset` + s of one term, given its hash `term`, its `weight`, the logarithm `log_weight` of that
-    and `far`: a number whose upper half is the term's value and whose lower half names the term and its level.
+    """The sample `offset` + s of one term, given its hash `term`, its `seed` for the offset, its `weight`, the logarithm
+    `log_weight` of that and `far`: a number whose upper half is the term's value and whose lower half names the term
+    and its level, which is 0 for a weight of one.
 
     Null where even the least that the value can be is beyond `far`: no logarithm is needed to see it. With
     q = exp(-r) the value is that of c * q ** (t - b + 1), and -ln(x) is no less than 2 (1 - x) / (1 + x). The
@@ -83,11 +84,12 @@ def sample(s: int) -> Column:
         """n bits of a hash as a number between 0 and 1."""
         return f"(((shiftrightunsigned({hashed}, {by}) & {(1 << n) - 1}L) + 0.5D) * {2.0 ** -n!r}D)"
 
-    first, second = f"xxhash64(term, offset, {2 * s})", f"xxhash64(term, offset, {2 * s + 1})"
+    first = f"xxhash64(seed, {s})"
+    second = f"xxhash64({first})"
     q = f"({uniform(first, 0, 21)} * {uniform(first, 21, 21)})"
     b = uniform(first, 42, 22)
     x = f"({uniform(second, 0, 32)} * {uniform(second, 32, 32)})"
-    level = f"floor({b} - log_weight / ln({q}))"
+    level = f"if(weight = 1, 0L, floor({b} - log_weight / ln({q})))"
     value = f"(ln(-ln({x})) + ln({q}) * ({level} - {b} + 1)) * {1 << VALUE_BITS}D"
     within = f"2 * (1 - {x}) * {q} <= far * (1 + {x}) * if(weight = 1, 1 - {b} + {b} * {q}, weight)"
     return F.expr(f"CASE WHEN {within} THEN shiftleft(CAST({value} AS BIGINT), 32)"
@@ -107,7 +109,8 @@ def fingerprints(texts: DataFrame, keys: list[str], *, text: str = "text", shing
         *keys, "far", F.col("t.term").alias("term"), F.col("t.weight").cast("double").alias("weight"),
         F.ln(F.col("t.weight").cast("double")).alias("log_weight"))
     # The samples of a term are dealt over rows: each row's code stays small enough to be compiled.
-    rows = rows.withColumn("offset", F.explode(F.array(*(F.lit(at) for at in range(0, samples, AT_ONCE)))))
+    rows = rows.withColumn("offset", F.explode(F.array(*(F.lit(at) for at in range(0, samples, AT_ONCE))))).withColumn(
+        "seed", F.xxhash64("term", "offset"))
     least = rows.groupBy(*keys, "offset").agg(*(F.min(sample(s)).alias(f"s{s}") for s in range(min(samples, AT_ONCE))))
     digits = (F.lpad(F.hex(F.coalesce(F.col(f"s{s}"), F.lit(0)).bitwiseAND(F.lit((1 << 4 * DIGITS) - 1))), DIGITS, "0")
               for s in range(min(samples, AT_ONCE)))
