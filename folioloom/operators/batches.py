@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from folioloom.functions.text import content_hash, truncate
 from folioloom.operators.state import apply_changes
-from folioloom.sources.tables import shared_dir
+from folioloom.sources.tables import store
 from folioloom.schemas import (
     ARTICLE_SCHEMA, BATCH_MESSAGE_CHARS, BATCH_SIZE, MAX_RETRIES)
 
@@ -59,9 +59,7 @@ def numbered(articles: DataFrame) -> DataFrame:
     """The articles as a stored table with a number for each row."""
     if ROW in articles.columns:
         return articles
-    path = shared_dir(articles.sparkSession)
-    articles.withColumn(ROW, F.monotonically_increasing_id()).write.parquet(path)
-    return articles.sparkSession.read.parquet(path)
+    return store(articles.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
 
 
 def _part(parts: Column) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from folioloom.functions.text import truncate
 from folioloom.schemas import (
     DONE, ERROR, MAX_FAILURES, MAX_RETRIES, PENDING, STATE_MESSAGE_CHARS, STATE_SCHEMA)
-from folioloom.sources.tables import shared_dir
+from folioloom.sources.tables import store
 
 STATE_COLUMNS = tuple(STATE_SCHEMA.names)
 
@@ -200,12 +200,8 @@ def oldest_by_range(rows: DataFrame, n: int) -> DataFrame:
     ranges and stored once, so that the ranges stay what they were counted as;
     the counts (one per range) say which ranges to keep whole and where to cut.
     """
-    spark = rows.sparkSession
-    stored = shared_dir(spark)
-    (rows.repartitionByRange("first_seen", "url")
-     .withColumn("part", F.spark_partition_id())
-     .write.parquet(stored))
-    ranged = spark.read.parquet(stored)
+    ranged = store(
+        rows.repartitionByRange("first_seen", "url").withColumn("part", F.spark_partition_id()), "queue")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = ranged.groupBy("part").agg(F.count("*").alias("rows")).select(
         "part", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"))

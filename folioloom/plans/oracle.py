@@ -480,5 +480,10 @@ def _with_views(sql: str) -> str:
     return f"WITH {ctes}\n{sql}"
 
 
+# A state rewritten by buckets is the same state.
+ORACLES |= {f"{name}_in_place": ORACLES[full] for name, full in (
+    ("insert", "insert_if_absent"), ("mark_done", "mark_done"), ("mark_error", "mark_error"))}
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: _with_views(sql) for name, sql in ORACLES.items()}

@@ -12,13 +12,14 @@ from folioloom.operators import (
 from folioloom.plans import flows, render
 from folioloom.plans.fixtures import FIXTURES, fixture, read_table
 from folioloom.schemas import ARTICLE_SCHEMA
-from folioloom.sources import sitemaps, tables
+from folioloom.sources import sitemaps, state_table, tables
 from folioloom.streaming import folds
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 RUN_ID = "run"
 PACK_SIZE = 20
+STATE_BUCKETS = 8
 POS = ("pos",)
 
 QUERIES: dict[str, Query] = {}
@@ -80,10 +81,8 @@ def _articles(spark, sf, table="article_pages"):
 
 def _stored_articles(spark, sf, table="pages"):
     """Valid articles of the given pages, as the table packing starts from."""
-    path = tables.shared_dir(spark) + "/articles"
-    (X.valid_article(_articles(spark, sf, table))
-     .withColumn(B.ROW, F.monotonically_increasing_id()).write.parquet(path))
-    return spark.read.parquet(path)
+    return tables.store(X.valid_article(_articles(spark, sf, table)).withColumn(
+        B.ROW, F.monotonically_increasing_id()), "articles")
 
 
 def _packed(spark, sf, table="pages"):
@@ -307,6 +306,32 @@ def mark_error(spark, sf):
     return S.mark_error(_state(spark, sf), failures, _now())
 
 
+def _in_place(spark, sf, changes, apply):
+    """A state table, after an update that rewrites the buckets it hits."""
+    path = tables.shared_dir(spark, "state")
+    state_table.create_state(_state(spark, sf), path, STATE_BUCKETS)
+    state_table.update_state(spark, path, changes, apply)
+    return state_table.read_state(spark, path)
+
+
+@query
+def insert_in_place(spark, sf):
+    return _in_place(spark, sf, _merged(spark, sf), lambda old, new: S.insert_if_absent(new, old, _now()))
+
+
+@query
+def mark_done_in_place(spark, sf):
+    stored = _results(spark, sf).where("ok").select(
+        "url", F.lit("run-7").alias("batch_id"), F.md5(F.concat("url", F.lit("x"))).alias("content_hash"))
+    return _in_place(spark, sf, stored, lambda old, new: S.mark_done(old, new, _now()))
+
+
+@query
+def mark_error_in_place(spark, sf):
+    failures = _results(spark, sf).where("NOT ok").select("url", F.repeat("url", F.lit(20)).alias("error_message"))
+    return _in_place(spark, sf, failures, lambda old, new: S.mark_error(old, new, _now()))
+
+
 @query
 def reset_done(spark, sf):
     return S.reset_done(_state(spark, sf))

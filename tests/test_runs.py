@@ -114,6 +114,19 @@ def test_crawl_cycle(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "a/articles")).count() == 4
 
 
+def test_crawl_cycle_leaves_its_outputs_only(spark, tmp_path):
+    import os
+
+    from folioloom.sources import tables
+
+    shared = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(shared)) if os.path.isdir(shared) else set()
+    with tables.scope():
+        cycle(spark, str(tmp_path / "a"), max_urls=3)
+    assert set(os.listdir(shared)) == before
+    assert sorted(n for n in os.listdir(tmp_path / "a")) == ["articles", "batches"]
+
+
 def test_failed_fetches_and_batches_count_once(spark, tmp_path):
     urls = spark.createDataFrame([("good",), ("lost",), ("gone",), ("slow",), ("idle",)], "url string")
     before = S.new_urls(urls.withColumn("lastmod", F.lit(None).cast("string")),
