@@ -16,8 +16,9 @@ WHITESPACE = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000")
 WHITESPACE_RUN = r"(?U)[\s\x1c-\x1f]+"
+# Control characters that are deleted (fixed values).
 CONTROL = r"[\x00-\x08\x0b-\x0c\x0e-\x1f\x{7f}-\x{9f}]"
-# A tag, or (group 1) an unclosed one up to the end of the text, which stays.
+# What counts as a tag and as a decimal reference (fixed values): a tag, or (group 1) an unclosed one up to the end of the text, which stays.
 # Taking that tail in one match keeps texts full of "<" linear.
 TAG = r"(<[^>]*+\z)|<[^>]++>"
 DECIMAL_REFERENCE = r"&#\p{Nd}+;"
