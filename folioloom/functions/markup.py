@@ -33,9 +33,10 @@ _ARROW_TYPE = pa.struct([
 MAX_ERROR = 500
 
 _PART = re.compile(r"(\w*)(?:\.([\w-]+))?(?:\[(\w+)(?:='([^']*)')?\])?$")
-_NAME = re.compile(r"[a-zA-Z][^\s/><]*")
-# Where a tag ends, or where a quoted value begins in it.
-_STOP = re.compile(r">|=\s*([\"'])")
+# A whole tag: end mark, name, attributes.  Quotes count after an equals sign only.
+_TAG = re.compile(
+    r"<(/?)([a-zA-Z][^\s/><]*+)((?:[^>=]++|=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|=(?!\s*+[\"']))*+)>")
+_OPENING = re.compile(r"</?[a-zA-Z]")
 _RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I) for tag in ("script", "style")}
 _ATTRIBUTE = re.compile(
     r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
@@ -93,30 +94,22 @@ def read_tags(html: str) -> Iterator[tuple[int, int, bool, str, str]]:
     """
     at = html.find("<")
     while at >= 0:
-        if html.startswith("<!--", at):
-            stop = html.find("-->", at + 4) + 3
-            if stop < 3:
-                yield at, len(html), False, "", ""
+        found = _TAG.match(html, at)
+        if not found:
+            if html.startswith("<!--", at):
+                stop = html.find("-->", at + 4) + 3
+                if stop < 3:
+                    yield at, len(html), False, "", ""
+                    return
+                yield at, stop, False, "", ""
+                at = html.find("<", stop)
+            elif _OPENING.match(html, at):      # a tag that never ends
                 return
-            yield at, stop, False, "", ""
-            at = html.find("<", stop)
-            continue
-        end = html.startswith("/", at + 1)
-        name = _NAME.match(html, at + 1 + end)
-        if not name:
-            at = html.find("<", at + 1)
+            else:
+                at = html.find("<", at + 1)
             continue
-        place = name.end()
-        while True:
-            found = _STOP.search(html, place)
-            if not found:
-                return
-            if not found[1]:
-                break
-            place = html.find(found[1], found.end()) + 1
-            if not place:
-                return
-        stop, tag = found.end(), name[0].lower()
+        mark, tag, rest = found.groups()
+        stop, end, tag = found.end(), bool(mark), tag.lower()
         if not end and tag in _RAW_END:
             yield at, stop, False, "", ""
             closing = _RAW_END[tag].search(html, stop)
@@ -129,7 +122,7 @@ def read_tags(html: str) -> Iterator[tuple[int, int, bool, str, str]]:
             yield at, stop, False, "", ""
             at = html.find("<", stop)
             continue
-        yield at, stop, end, tag, html[name.end():stop - 1]
+        yield at, stop, end, tag, rest
         at = html.find("<", stop)
 
 
