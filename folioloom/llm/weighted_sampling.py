@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from folioloom.llm.common import stored
 
 SAMPLES = 64  # a multiple of AT_ONCE, or fewer
-AT_ONCE = 16
+AT_ONCE = 32
 SHINGLE = 1
 #: Capitals that are lowered, and white space between words.
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
