@@ -10,6 +10,7 @@ is not one well-formed root, with nothing after it, yields no rows.
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterator
 from xml.parsers import expat
 
 import pyarrow as pa
@@ -24,6 +25,8 @@ VIDEO = "http://www.google.com/schemas/sitemap-video/1.1"
 
 PARSED_TYPE = (
     "struct<children:array<string>,entries:array<struct<url:string,lastmod:string,is_video:boolean>>>")
+#: A batch that a task hands on ends with the document that brings it to so many elements.
+BATCH_ELEMENTS = 10_000
 _ARROW_TYPE = pa.struct([
     ("children", pa.list_(pa.string())),
     ("entries", pa.list_(pa.struct([("url", pa.string()), ("lastmod", pa.string()), ("is_video", pa.bool_())])))])
@@ -92,14 +95,33 @@ def read_document(body: str | None) -> dict | None:
             for found, is_video in ((pages, False), (videos, True)) for e in found]}
 
 
+def read_batches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """What each document holds, in batches of about ``BATCH_ELEMENTS`` elements.
+
+    A batch that comes in may have thousands of documents. They are read one by
+    one, so a task holds the elements of one batch that goes out, not of all of them.
+    """
+    for bodies in batches:
+        read, elements = [], 0
+        for body in bodies:
+            doc = read_document(body.as_py())
+            read.append(doc)
+            elements += len(doc["children"]) + len(doc["entries"]) if doc else 0
+            if elements >= BATCH_ELEMENTS:
+                yield pa.array(read, type=_ARROW_TYPE)
+                read, elements = [], 0
+        if read:
+            yield pa.array(read, type=_ARROW_TYPE)
+
+
 def _parsed(body: Column) -> Column:
     """``struct<children, entries>`` of each document, null where it is not well-formed."""
-    def parse(bodies: pa.Array) -> pa.Array:
-        return pa.array([read_document(b) for b in bodies.to_pylist()], type=_ARROW_TYPE)
+    def parse(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return read_batches(batches)
 
     # Ship the reader itself, so that executors need no copy of this package.
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    parse.__annotations__ = {"bodies": pa.Array, "return": pa.Array}
+    parse.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     # Non-deterministic: Spark then does not parse a second time inside a filter.
     return F.arrow_udf(parse, PARSED_TYPE).asNondeterministic()(body)
 

@@ -154,3 +154,17 @@ def test_the_first_of_several_elements_counts(spark):
     docs = spark.createDataFrame([("d", body)], "doc_url string, body string")
     assert [(r.url, r.lastmod) for r in sitemaps.urlset_entries(docs).collect()] == [
         ("https://s/news/1", None), ("https://s/news/4", "2024")]
+
+
+def test_a_task_holds_few_documents_at_a_time(spark, monkeypatch):
+    """A batch of many documents is handed on in parts; nulls and broken documents keep their places."""
+    import pyarrow as pa
+    body = f"<urlset {NS}>" + "".join(f"<url><loc>https://s/news/{i}</loc></url>" for i in range(500)) + "</urlset>"
+    bodies = [None if i % 7 == 3 else "<x" if i % 7 == 5 else body for i in range(400)] + [None] * 30
+    parts = list(S.read_batches(iter([pa.array(bodies, pa.string()), pa.array([], pa.string()), pa.array(["<x"])])))
+    assert max(sum(len(d["entries"]) for d in p.to_pylist() if d) for p in parts) <= S.BATCH_ELEMENTS + 500
+    assert [d and len(d["entries"]) for p in parts for d in p.to_pylist()] == [500 if b == body else None for b in bodies] + [None]
+    monkeypatch.setattr(S, "BATCH_ELEMENTS", 3)
+    d = docs(spark, *[(str(i), b) for i, b in enumerate(bodies)]).coalesce(1)
+    got = S.urlset_entries(d).groupBy("doc_url").count().collect()
+    assert {r.doc_url: r["count"] for r in got} == {str(i): 500 for i, b in enumerate(bodies) if b == body}
