@@ -131,12 +131,14 @@ def mark_error(
     Below ``max_retries`` bad crawls a URL goes back to the queue, from there
     on it is an error.
     """
-    nothing = F.lit(None).cast("string")
-    return apply_changes(state, failures.select(
-        "url", F.lit(False).alias("ok"), nothing.alias("batch_id"),
-        nothing.alias("content_hash"), "error_message",
-        now.cast("timestamp").alias("changed_at"),
-        F.col("error_message").alias("seq")), max_retries)
+    # The message orders the failures of one time and is stored too: rows carry it once, and no longer than it is kept.
+    worst = F.struct(now.cast("timestamp").alias("changed_at"),
+                     truncate(F.col("error_message"), STATE_MESSAGE_CHARS).alias("error_message"))
+    folded = failures.groupBy("url").agg(F.count("*").alias("bad"), F.max(worst).alias("worst"))
+    return apply_folded(state, folded.select(
+        "url", "bad", F.col("worst.changed_at").alias("last_at"),
+        F.struct(F.lit(False).alias("ok"), F.col("worst.error_message")).alias("last"),
+        F.lit(None).cast("struct<batch_id:string,content_hash:string>").alias("stored")), max_retries)
 
 
 def reset_done(state: DataFrame) -> DataFrame:

@@ -202,6 +202,20 @@ def test_bucketed_state_is_not_shuffled(spark):
         spark.conf.set("spark.sql.shuffle.partitions", partitions)
 
 
+def test_failures_carry_a_message_once_and_no_longer_than_it_is_kept(spark):
+    """Before they are grouped, too: a task sorts the rows it groups."""
+    old = state(spark, ("a", "pending", 0), ("b", "pending", 1), ("c", "pending", None), ("d", "done", 0))
+    long = "m" * 500
+    bad = spark.createDataFrame(
+        [("a", long + "x"), ("a", long + "y"), ("a", "l" * 900), ("b", None), ("c", None), ("c", "only"), ("gone", "z")],
+        "url string, error_message string")
+    updated = S.mark_error(old, bad, ts(NOW))
+    assert [(r[0], r[1], r[2], r[5]) for r in brief(updated)] == [
+        ("a", "error", 3, long), ("b", "pending", 2, None), ("c", "pending", 2, "only"), ("d", "done", 0, "e0")]
+    grouped = [line for line in plan(updated).splitlines() if "partial_max" in line]
+    assert len(grouped) == 1 and "substring(error_message" in grouped[0] and "seq" not in grouped[0]
+
+
 def test_pending_filter_prunes_a_snapshot(spark):
     path = tables.shared_dir(spark)
     tables.write_snapshot(state(spark, ("a", "done", 0), ("b", "pending", 0)), path)
