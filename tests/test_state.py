@@ -216,6 +216,20 @@ def test_failures_carry_a_message_once_and_no_longer_than_it_is_kept(spark):
     assert len(grouped) == 1 and "substring(error_message" in grouped[0] and "seq" not in grouped[0]
 
 
+def test_results_of_one_file_are_dealt_before_messages_are_made(spark):
+    from folioloom.plans import queries as Q
+    folder = tables.shared_dir(spark)
+    spark.range(300).select(F.col("id").alias("c_custkey")).coalesce(1).write.parquet(folder + "/customer.parquet")
+    for name in ("mark_error", "mark_done"):
+        updated = Q.QUERIES[name](spark, folder)
+        lines = plan(updated).splitlines()
+        dealt = next(i for i, line in enumerate(lines) if "REPARTITION_BY_COL" in line)
+        grouped = [i for i, line in enumerate(lines) if "partial_" in line]
+        assert grouped and max(grouped) < dealt and "repeat(" not in "".join(lines[dealt:])
+        assert updated.count() == 300
+    assert Q._results(spark, folder).count() == 300
+
+
 def test_pending_filter_prunes_a_snapshot(spark):
     path = tables.shared_dir(spark)
     tables.write_snapshot(state(spark, ("a", "done", 0), ("b", "pending", 0)), path)
